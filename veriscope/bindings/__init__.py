@@ -1,0 +1,6 @@
+"""Queries over the driver's tables."""
+
+from . import queries_stages  # noqa: F401
+from .registry import ORACLES, QUERIES
+
+__all__ = ["ORACLES", "QUERIES"]

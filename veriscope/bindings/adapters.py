@@ -92,12 +92,15 @@ def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def lead_of(number):
+    return F.get(F.array(*[F.lit(h) for h in LEADS]), (number % len(LEADS)).cast("int"))
+
+
 def forecasts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as staged forecasts."""
     e = F.col("event_id")
     kph = (e % 41).cast("double")
-    lead = F.get(F.array(*[F.lit(h) for h in LEADS]), (e % 8).cast("int"))
-    made = plus_seconds(F.col("hour"), -(lead * 3600 + ((e * 37) % 41 - 20) * 60))
+    made = plus_seconds(F.col("hour"), -(lead_of(e) * 3600 + ((e * 37) % 41 - 20) * 60))
     rows = events(spark, sf_dir).withColumn("made", made)
     return rows.select(
         e.alias("id"),
@@ -348,7 +351,8 @@ def landing_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
         "provider",
         *_place(r),
         (r % 3 + 1).cast("int").alias("hours"),
-        F.get("p", F.lit(0))["ts"].alias("fetched_at"),
+        # Asked for some hours before the first of its events.
+        plus_seconds(F.get("p", F.lit(0))["ts"], -lead_of(r) * 3600).alias("fetched_at"),
         payload.alias("payload"),
     )
 

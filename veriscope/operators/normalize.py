@@ -42,6 +42,9 @@ FORECAST_PAYLOAD = """
     data array<struct<
         temp string, rh string, wind_spd string, timestamp_local string, timestamp_utc string>>
 """
+POINTS = """array<struct<
+    time: timestamp_ntz, temperature_c: double, wind_speed_kph: double, humidity: double,
+    bad_number: boolean, no_temperature: boolean>>"""
 # The one provider that keys its days by date instead of listing them.
 DATED_PAYLOAD = """
     forecast map<string, struct<hourly array<struct<
@@ -56,6 +59,15 @@ def _by_provider(cases: dict[str, Column]) -> Column:
     return branches.otherwise(F.lit(None))
 
 
+def _once(value: Column, name: str) -> Column:
+    """A costly value that is computed once per row.
+
+    Spark moves filters on a plain column below the projection that makes it, and would compute
+    (here: parse) it again for the filter.  It does not move them below a generator.
+    """
+    return F.explode_outer(F.array(value)).alias(name)
+
+
 def _is_object(payload: Column) -> Column:
     return F.json_object_keys(payload).isNotNull()
 
@@ -70,8 +82,7 @@ def _unreadable(text: Column) -> Column:
 
 def normalize_current(landing: DataFrame, keep_raw: bool = True) -> DataFrame:
     """One normalised sample per landed answer, with the reason if the answer is unusable."""
-    p = F.from_json("payload", CURRENT_PAYLOAD).alias("p")
-    parsed = landing.select("*", p)
+    parsed = landing.select("*", _once(F.from_json("payload", CURRENT_PAYLOAD), "p"))
     first = F.get(F.col("p.data"), F.lit(0))
 
     texts = parsed.select(
@@ -183,11 +194,17 @@ def normalize_forecast(landing: DataFrame) -> DataFrame:
     """
     now = F.col("fetched_at")
     hours = F.coalesce(F.col("hours"), F.lit(DEFAULT_HOURS))
+    is_dated = F.col("provider") == "weatherstack"
     parsed = landing.select(
         "*",
-        F.when(F.col("provider") != "weatherstack", F.from_json("payload", FORECAST_PAYLOAD)).alias("p"),
-        F.when(F.col("provider") == "weatherstack", F.from_json("payload", DATED_PAYLOAD)).alias("d"),
-    )
+        _once(
+            F.struct(
+                F.when(~is_dated, F.from_json("payload", FORECAST_PAYLOAD)).alias("listed"),
+                F.when(is_dated, F.from_json("payload", DATED_PAYLOAD)).alias("dated"),
+            ),
+            "both",
+        ),
+    ).select(*landing.columns, F.col("both.listed").alias("p"), F.col("both.dated").alias("d"))
     times, temps = F.col("p.hourly.time"), F.col("p.hourly.temperature_2m")
     both = F.least(F.size(times), F.size(temps))
     zipped = F.slice(
@@ -210,66 +227,60 @@ def normalize_forecast(landing: DataFrame) -> DataFrame:
         )
     )
     has_temperature = lambda point: ~point["no_temperature"]
-    points = parsed.select(
-        "*",
-        _by_provider(
-            {
-                "open_meteo": F.transform(
-                    zipped, lambda z: _point(iso_time_or(z["t"], now), z["temp"], z["hum"], z["wind"])
-                ),
-                "openweathermap": F.transform(
-                    F.col("p.list"),
-                    lambda i: _point(
-                        F.coalesce(epoch_to_time(i["dt"]), now),
-                        i["main"]["temp"],
-                        i["main"]["humidity"],
-                        i["wind"]["speed"],
-                        in_ms=True,
-                    ),
+    all_points = _by_provider(
+        {
+            "open_meteo": F.transform(
+                zipped, lambda z: _point(iso_time_or(z["t"], now), z["temp"], z["hum"], z["wind"])
+            ),
+            "openweathermap": F.transform(
+                F.col("p.list"),
+                lambda i: _point(
+                    F.coalesce(epoch_to_time(i["dt"]), now),
+                    i["main"]["temp"],
+                    i["main"]["humidity"],
+                    i["wind"]["speed"],
+                    in_ms=True,
                 ),
-                "weatherapi": F.slice(
-                    F.filter(
-                        F.transform(
-                            _nested_or_none(F.col("p.forecast.forecastday"), "hour"),
-                            lambda h: _point(
-                                iso_time_or(h["time"], now), h["temp_c"], h["humidity"], h["wind_kph"]
-                            ),
-                        ),
-                        has_temperature,
-                    ),
-                    F.lit(1),
-                    hours,
+            ),
+            "weatherapi": F.filter(
+                F.transform(
+                    _nested_or_none(F.col("p.forecast.forecastday"), "hour"),
+                    lambda h: _point(iso_time_or(h["time"], now), h["temp_c"], h["humidity"], h["wind_kph"]),
                 ),
-                "weatherbit": F.filter(
-                    F.transform(
-                        F.col("p.data"),
-                        lambda i: _point(
-                            iso_time_or(
-                                F.coalesce(_or_empty(i["timestamp_local"]), i["timestamp_utc"]), now
-                            ),
-                            i["temp"],
-                            i["rh"],
-                            i["wind_spd"],
-                            in_ms=True,
+                has_temperature,
+            ),
+            "weatherbit": F.filter(
+                F.transform(
+                    F.col("p.data"),
+                    lambda i: _point(
+                        iso_time_or(
+                            F.coalesce(_or_empty(i["timestamp_local"]), i["timestamp_utc"]), now
                         ),
+                        i["temp"],
+                        i["rh"],
+                        i["wind_spd"],
+                        in_ms=True,
                     ),
-                    has_temperature,
                 ),
-                "weatherstack": F.filter(
-                    F.transform(
-                        dated,
-                        lambda x: _point(
-                            date_and_code(x["date"], x["h"]["time"], now),
-                            x["h"]["temperature"],
-                            x["h"]["humidity"],
-                            x["h"]["wind_speed"],
-                        ),
+                has_temperature,
+            ),
+            "weatherstack": F.filter(
+                F.transform(
+                    dated,
+                    lambda x: _point(
+                        date_and_code(x["date"], x["h"]["time"], now),
+                        x["h"]["temperature"],
+                        x["h"]["humidity"],
+                        x["h"]["wind_speed"],
                     ),
-                    has_temperature,
                 ),
-            }
-        ).alias("all_points"),
-    ).withColumn("all_points", F.coalesce("all_points", F.array().cast("array<struct<time:timestamp_ntz,temperature_c:double,wind_speed_kph:double,humidity:double,bad_number:boolean,no_temperature:boolean>>")))
+                has_temperature,
+            ),
+        }
+    )
+    points = parsed.select(
+        *landing.columns, _once(F.coalesce(all_points, F.array().cast(POINTS)), "all_points")
+    )
     reason = (
         F.when(~F.col("provider").isin(PROVIDERS) | F.col("provider").isNull(), "unknown_provider")
         .when(~hours.between(MIN_HOURS, MAX_HOURS), "hours_out_of_range")
@@ -279,9 +290,8 @@ def normalize_forecast(landing: DataFrame) -> DataFrame:
         .when(F.exists("all_points", lambda point: point["no_temperature"]), "missing_temperature")
         .when(F.exists("all_points", lambda point: point["time"].isNull()), "bad_time")
     )
-    kept = F.when(F.col("provider") == "weatherstack", F.slice("all_points", F.lit(1), hours)).otherwise(
-        F.col("all_points")
-    )
+    answers_in_days = F.col("provider").isin("weatherapi", "weatherstack")
+    kept = F.when(answers_in_days, F.slice("all_points", F.lit(1), hours)).otherwise(F.col("all_points"))
     return points.select(
         *[c for c in landing.columns if c != "payload"],
         F.transform(
