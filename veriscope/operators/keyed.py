@@ -74,26 +74,33 @@ def scd2_history(log: DataFrame, key: str, change: str) -> DataFrame:
     )
 
 
-def scd2_changes(active: DataFrame, batch: DataFrame, key: str, change: str) -> DataFrame:
-    """Batch rows that open a new version, as ``batch`` columns plus ``_replaces`` (key was active).
+def scd2_changes(
+    active: DataFrame, batch: DataFrame, key: str, change: str, one_each: bool = False
+) -> DataFrame:
+    """Batch rows that open a new version, with ``_replaces`` (key was active) and ``_is_newest``.
 
     A key whose newest batch version carries the active version's change stamp is unchanged, so
     replaying a batch does nothing.  Otherwise the versions later than the active one are new; a
-    newest version older than the active one still replaces it.
+    newest version older than the active one still replaces it.  ``one_each`` says that the batch
+    holds one version per key, which takes a single join.
     """
-    newest = batch.groupBy(key).agg(
-        F.max(change).alias("_newest"), F.max(F.col(change).isNotNull()).alias("_dated")
-    )
     standing = active.select(key, F.col(change).alias("_active"), F.lit(True).alias("_known"))
-    state = newest.join(standing, key, "left")
-    rows = batch.dropDuplicates([key, change]).join(state, key)
-    unchanged = F.col("_newest").eqNullSafe(F.col("_active"))
-    is_newest = F.col(change).eqNullSafe(F.col("_newest"))
-    later = F.coalesce(F.col(change) > F.col("_active"), F.lit(False)) | (
-        F.col("_active").isNull() & F.col(change).isNotNull()
+    if one_each:
+        rows = batch.join(standing, key, "left")
+        is_newest = F.lit(True)
+        wanted = F.col("_known").isNull() | ~F.col(change).eqNullSafe(F.col("_active"))
+    else:
+        newest = batch.groupBy(key).agg(F.max(change).alias("_newest"))
+        rows = batch.dropDuplicates([key, change]).join(newest.join(standing, key, "left"), key)
+        is_newest = F.col(change).eqNullSafe(F.col("_newest"))
+        later = F.coalesce(F.col(change) > F.col("_active"), F.lit(False)) | (
+            F.col("_active").isNull() & F.col(change).isNotNull()
+        )
+        unchanged = F.col("_newest").eqNullSafe(F.col("_active"))
+        wanted = F.col("_known").isNull() | (~unchanged & (is_newest | later))
+    return rows.filter(wanted).select(
+        *batch.columns, F.col("_known").isNotNull().alias("_replaces"), is_newest.alias("_is_newest")
     )
-    wanted = F.col("_known").isNull() | (~unchanged & (is_newest | later))
-    return rows.filter(wanted).select(*batch.columns, F.col("_known").isNotNull().alias("_replaces"), is_newest.alias("_is_newest"))
 
 
 def scd2_upsert(

@@ -70,7 +70,9 @@ def failing_city_coordinates(
     tolerance: float = 0.1,
 ) -> DataFrame:
     """Cities at more than one position whose positions lie further apart than the tolerance."""
-    positions = rows.groupBy(F.col(city).alias("city"), F.col(latitude).alias("la"), F.col(longitude).alias("lo")).agg()
+    positions = rows.select(
+        F.col(city).alias("city"), F.col(latitude).alias("la"), F.col(longitude).alias("lo")
+    ).distinct()
     spread = positions.groupBy("city").agg(
         F.count(F.lit(1)).alias("coord_variations"),
         (F.max("la") - F.min("la")).alias("lat_range"),

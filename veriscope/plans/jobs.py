@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.clock import ntz
 from ..schemas import FORECAST_PROVIDERS, ODS_EPOCH, RAW_EPOCH
-from ..sources.documents import current_documents, read_documents, read_since
+from ..sources.documents import read_documents, read_since
 from ..sources.warehouse import Warehouse
 from . import dm, ods, stg
 from .checks import check_layers
@@ -43,7 +43,7 @@ def load_kind(
     newest = warehouse.watermark(f"raw.weather_{kind}")
     since = RAW_EPOCH if newest is None else newest - dt.timedelta(days=shift_days)
     changed = read_since(documents, "updated_at", since)
-    warehouse.scd2_load(kind, current_documents(changed), now or _utc_now())
+    warehouse.scd2_load(kind, changed, now or _utc_now())
 
 
 def ingest(

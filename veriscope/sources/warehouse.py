@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 from ..functions.clock import NTZ, ntz
 from ..operators.keyed import delete_insert, require_unique, scd2_changes
 from ..schemas import OPEN_END, raw_key, raw_schema
+from .documents import current_documents
 
 PART = "part_day"
 # Every finished write leaves a marker; a staged table without one is ignored.
@@ -185,62 +186,51 @@ class Warehouse:
     def scd2_load(self, kind: str, documents: DataFrame, now: dt.datetime) -> None:
         """Loads documents into a raw table: see :func:`veriscope.operators.keyed.scd2_upsert`.
 
-        The table is partitioned by a document's day of creation, which never changes.  New
-        documents are appended.  Only days with a changed document are rewritten.  Ids are digests
-        of key and version, so that a task which runs twice writes the same id.
+        Of several states of a document the latest counts.  The table is partitioned by a
+        document's day of creation, which never changes.  New documents are appended.  Only days
+        with a changed document are rewritten.  Ids are digests of key and version, so that a task
+        which runs twice writes the same id.
         """
         table, key, change = f"raw.weather_{kind}", raw_key(kind), "updated_at"
         columns = raw_schema(kind).fieldNames()
         self.create_raw(kind)
-        rows = documents.withColumnRenamed("_id", key).withColumn(
-            "id", F.md5(F.concat_ws("|", F.col(key), F.coalesce(F.col(change).cast("string"), F.lit(""))))
-        )
-        rows = rows.select(*[c for c in columns if not c.startswith("valid_")]).withColumn(
-            PART, F.col("created_at").cast("date")
-        )
-        days, undated = self._days_of(rows)
+        days, undated = self._days_of(documents.select(F.col("created_at").cast("date").alias(PART)))
         if not days and not undated:
             return
+        version = F.concat_ws("|", F.col(key), F.coalesce(F.col(change).cast("string"), F.lit("")))
+        rows = (
+            current_documents(documents)
+            .withColumnRenamed("_id", key)
+            .withColumn("id", F.md5(version))
+            .select(*[c for c in columns if not c.startswith("valid_")], F.col("created_at").cast("date").alias(PART))
+        )
         target = self._stored(table).filter(self._on(days, undated))
-        active = target.filter(F.col("valid_to_dttm") == ntz(OPEN_END))
-        # The comparison with the table is written once; both steps below read it.
+        in_force = F.col("valid_to_dttm") == ntz(OPEN_END)
+        # What is new is found once and written; the steps below read that.
         opened_path = self._beside(table, "opened")
-        scd2_changes(active, rows, key, change).write.mode("overwrite").parquet(opened_path)
-        opened = self.spark.read.parquet(opened_path)
-        new = opened.select(
-            *rows.columns,
-            ntz(now).alias("valid_from_dttm"),
-            F.when(F.col("_is_newest"), ntz(OPEN_END)).otherwise(ntz(now)).alias("valid_to_dttm"),
-            F.col("_replaces"),
+        scd2_changes(target.filter(in_force), rows, key, change, one_each=True).write.mode("overwrite").parquet(
+            opened_path
         )
-        changed = new.filter("_replaces")
+        opened = (
+            self.spark.read.parquet(opened_path)
+            .withColumn("valid_from_dttm", ntz(now))
+            .withColumn("valid_to_dttm", ntz(OPEN_END))
+        )
+        changed = opened.filter("_replaces")
         changed_days, changed_undated = self._days_of(changed)
-        rewritten = self._on(changed_days, changed_undated)
+        rewritten = F.coalesce(self._on(changed_days, changed_undated), F.lit(False))
         if changed_days or changed_undated:
-            closing = changed.select(key).distinct().withColumn("_closed", F.lit(True))
-            in_force = F.col("valid_to_dttm") == ntz(OPEN_END)
-            before = (
-                target.filter(rewritten)
-                .join(closing, key, "left")
-                .withColumn(
-                    "valid_to_dttm",
-                    F.when(F.col("_closed") & in_force, ntz(now)).otherwise(F.col("valid_to_dttm")),
-                )
-            )
-            after = new.filter(rewritten)
+            closing = changed.select(key, F.lit(True).alias("_closed"))
+            until = F.when(F.col("_closed") & in_force, ntz(now)).otherwise(F.col("valid_to_dttm"))
+            before = target.filter(rewritten).join(closing, key, "left").withColumn("valid_to_dttm", until)
+            after = opened.filter(rewritten)
             staged = before.select(*columns, PART).unionByName(after.select(*columns, PART))
             newest = self._write(staged, self._beside(table, "staging"), PART, "overwrite", change)
             self._publish(table)
             self._advance(table, newest)
-        newest = self._write(
-            new.filter(~F.coalesce(rewritten, F.lit(False))).select(*columns, PART),
-            self.path(table),
-            PART,
-            "append",
-            change,
-        )
+        appended = opened.filter(~rewritten).select(*columns, PART)
+        newest = self._write(appended, self.path(table), PART, "append", change)
         self._advance(table, newest)
-        self._drop(opened_path)
 
     def create_raw(self, kind: str) -> None:
         self.create(f"raw.weather_{kind}", raw_schema(kind), "created_at")

@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame
 
 from ..plans.jobs import _utc_now
 from ..schemas import document_schema
-from ..sources.documents import current_documents
 from ..sources.warehouse import Warehouse
 
 
@@ -32,7 +31,7 @@ def stream_ingest(
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
 
     def load(batch: DataFrame, _: int) -> None:
-        warehouse.scd2_load(kind, current_documents(batch), clock())
+        warehouse.scd2_load(kind, batch, clock())
 
     return (
         reader.load(source)
