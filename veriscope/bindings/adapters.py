@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.clock import hour_of, ntz, plus_seconds, seconds_between
+from ..functions.clock import NTZ, hour_of, ntz, plus_seconds, seconds_between
 from ..functions.scalar import kph_to_ms, lead_hours
 from ..operators.nest import nest_current, nest_forecast, to_documents
 from ..operators.normalize import accepted, normalize_current, normalize_forecast
@@ -33,327 +33,270 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``events`` with its provider and the hour it falls in."""
-    provider = F
-    for event_type, name in PROVIDER_OF.items():
-        provider = provider.when(F.col("event_type") == event_type, name)
-    return (
-        table(spark, sf_dir, "events")
-        .withColumn("ts", F.col("ts").cast("timestamp_ntz"))
-        .withColumn("provider", provider)
-        .withColumn("hour", hour_of(F.col("ts")))
+    """``events`` with a short name for its number, its provider and the hour it falls in."""
+    whens = " ".join(f"WHEN '{kind}' THEN '{provider}'" for kind, provider in PROVIDER_OF.items())
+    return table(spark, sf_dir, "events").selectExpr(
+        "event_id",
+        "event_id AS e",
+        f"cast(ts AS {NTZ}) AS ts",
+        "user_id",
+        "event_type",
+        "value",
+        "props",
+        f"CASE event_type {whens} END AS provider",
+        f"{hour_of(f'cast(ts AS {NTZ})')} AS hour",
     )
 
 
 def cities(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nations as cities, regions as their countries."""
     n, r = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
-    return n.join(r, n.n_regionkey == r.r_regionkey).select(
-        F.col("n_nationkey").cast("double").alias("latitude"),
-        (F.col("n_nationkey") + F.lit(0.5)).alias("longitude"),
-        F.col("n_name").alias("city"),
-        F.col("r_name").alias("country"),
+    return n.join(r, n.n_regionkey == r.r_regionkey).selectExpr(
+        "cast(n_nationkey AS double) AS latitude",
+        "n_nationkey + 0.5D AS longitude",
+        "n_name AS city",
+        "r_name AS country",
     )
 
 
-def _unless(modulus: int, value):
+def unless(modulus: int, value: str) -> str:
     """NULL for every ``modulus``-th event."""
-    return F.when(F.col("event_id") % modulus != 0, value)
+    return f"CASE WHEN e % {modulus} <> 0 THEN {value} END"
+
+
+def lead_of(number: str) -> str:
+    return f"get(array({', '.join(map(str, LEADS))}), cast({number} % {len(LEADS)} AS int))"
+
+
+_PLACE = [
+    "cast(user_id % 30 AS double) + 0.004D AS latitude",
+    "cast(user_id % 30 AS double) + 0.504D AS longitude",
+    "concat('C', user_id % 18) AS city",
+    "concat('K', (user_id % 18) % 5) AS country",
+    "provider",
+]
+_SKY = [
+    "cast(e % 100 AS double) AS cloud_cover_percent",
+    "cast(e % 10 AS double) AS visibility_km",
+    "cast(e % 12 AS double) AS uv_index",
+    "value - (e % 5 * 5) AS feels_like_celsius",
+    f"{unless(13, 'cast((e * 5) % 800 AS double) / 2.0D')} AS wind_direction_degrees",
+    "concat('W', e % 4) AS weather_condition",
+]
 
 
 def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as staged observations."""
-    e = F.col("event_id")
-    kph = (e % 37).cast("double")
-    return events(spark, sf_dir).select(
-        e.alias("id"),
-        F.concat(F.lit("E"), e).alias("weather_id"),
-        ((F.col("user_id") % 30).cast("double") + F.lit(0.004)).alias("latitude"),
-        ((F.col("user_id") % 30).cast("double") + F.lit(0.504)).alias("longitude"),
-        F.concat(F.lit("C"), F.col("user_id") % 18).alias("city"),
-        F.concat(F.lit("K"), (F.col("user_id") % 18) % 5).alias("country"),
-        "provider",
-        F.col("hour").alias("observation_time"),
-        F.col("value").alias("temperature_celsius"),
-        _unless(50, (e % 101).cast("double")).alias("humidity_percent"),
-        kph_to_ms(kph).alias("wind_speed_ms"),
-        kph.alias("wind_speed_kph"),
-        (e % 40 + 990).cast("double").alias("pressure_hpa"),
-        _unless(7, (e % 23).cast("double") / F.lit(10.0)).alias("precipitation_mm"),
-        (e % 100).cast("double").alias("cloud_cover_percent"),
-        (e % 10).cast("double").alias("visibility_km"),
-        (e % 12).cast("double").alias("uv_index"),
-        (F.col("value") - (e % 5 * 5)).alias("feels_like_celsius"),
-        _unless(13, ((e * 5) % 800).cast("double") / F.lit(2.0)).alias("wind_direction_degrees"),
-        F.concat(F.lit("W"), e % 4).alias("weather_condition"),
-        F.lit(200).alias("status_code"),
-        F.col("ts").alias("created_at"),
-        _unless(11, F.col("ts")).alias("updated_at"),
+    kph = "cast(e % 37 AS double)"
+    return events(spark, sf_dir).selectExpr(
+        "e AS id",
+        "concat('E', e) AS weather_id",
+        *_PLACE,
+        "hour AS observation_time",
+        "value AS temperature_celsius",
+        f"{unless(50, 'cast(e % 101 AS double)')} AS humidity_percent",
+        f"{kph_to_ms(kph)} AS wind_speed_ms",
+        f"{kph} AS wind_speed_kph",
+        "cast(e % 40 + 990 AS double) AS pressure_hpa",
+        f"{unless(7, 'cast(e % 23 AS double) / 10.0D')} AS precipitation_mm",
+        *_SKY,
+        "200 AS status_code",
+        "ts AS created_at",
+        f"{unless(11, 'ts')} AS updated_at",
     )
 
 
-def lead_of(number):
-    return F.get(F.array(*[F.lit(h) for h in LEADS]), (number % len(LEADS)).cast("int"))
-
-
 def forecasts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as staged forecasts."""
-    e = F.col("event_id")
-    kph = (e % 41).cast("double")
-    made = plus_seconds(F.col("hour"), -(lead_of(e) * 3600 + ((e * 37) % 41 - 20) * 60))
-    rows = events(spark, sf_dir).withColumn("made", made)
-    return rows.select(
-        e.alias("id"),
-        F.concat(F.lit("F"), e).alias("forecast_id"),
-        ((F.col("user_id") % 30).cast("double") + F.lit(0.004)).alias("latitude"),
-        ((F.col("user_id") % 30).cast("double") + F.lit(0.504)).alias("longitude"),
-        F.concat(F.lit("C"), F.col("user_id") % 18).alias("city"),
-        F.concat(F.lit("K"), (F.col("user_id") % 18) % 5).alias("country"),
-        "provider",
-        F.col("hour").alias("forecast_timestamp"),
-        lead_hours(F.col("hour"), F.col("made")).alias("hours_ahead"),
-        (F.col("value") + ((e * 7) % 13 - 6)).alias("temperature_celsius"),
-        _unless(60, ((e * 3) % 101).cast("double")).alias("humidity_percent"),
-        kph_to_ms(kph).alias("wind_speed_ms"),
-        kph.alias("wind_speed_kph"),
-        (e % 40 + 990).cast("double").alias("pressure_hpa"),
-        ((e % 23).cast("double") / F.lit(10.0)).alias("precipitation_mm"),
-        (e % 100).cast("double").alias("cloud_cover_percent"),
-        (e % 10).cast("double").alias("visibility_km"),
-        (e % 12).cast("double").alias("uv_index"),
-        (F.col("value") - (e % 5 * 5)).alias("feels_like_celsius"),
-        _unless(13, ((e * 5) % 800).cast("double") / F.lit(2.0)).alias("wind_direction_degrees"),
-        F.concat(F.lit("W"), e % 4).alias("weather_condition"),
-        (e % 101).cast("double").alias("precipitation_probability"),
-        F.lit(200).alias("status_code"),
-        F.col("made").alias("forecast_created_at"),
-        F.col("ts").alias("updated_at"),
+    kph = "cast(e % 41 AS double)"
+    made = plus_seconds("hour", f"-({lead_of('e')} * 3600 + ((e * 37) % 41 - 20) * 60)")
+    return events(spark, sf_dir).selectExpr("*", f"{made} AS made").selectExpr(
+        "e AS id",
+        "concat('F', e) AS forecast_id",
+        *_PLACE,
+        "hour AS forecast_timestamp",
+        f"{lead_hours('hour', 'made')} AS hours_ahead",
+        "value + ((e * 7) % 13 - 6) AS temperature_celsius",
+        f"{unless(60, 'cast((e * 3) % 101 AS double)')} AS humidity_percent",
+        f"{kph_to_ms(kph)} AS wind_speed_ms",
+        f"{kph} AS wind_speed_kph",
+        "cast(e % 40 + 990 AS double) AS pressure_hpa",
+        "cast(e % 23 AS double) / 10.0D AS precipitation_mm",
+        *_SKY,
+        "cast(e % 101 AS double) AS precipitation_probability",
+        "200 AS status_code",
+        "made AS forecast_created_at",
+        "ts AS updated_at",
     )
 
 
 # Answers of providers
 
 
-def _place(request):
+def _at(request: str) -> list[str]:
     return [
-        ((request % 30).cast("double") + F.lit(0.004)).alias("latitude"),
-        ((request % 30).cast("double") + F.lit(0.504)).alias("longitude"),
+        f"cast({request} % 30 AS double) + 0.004D AS latitude",
+        f"cast({request} % 30 AS double) + 0.504D AS longitude",
     ]
 
 
-def _epoch(ts):
-    return seconds_between(ntz(RAW_EPOCH), ts).cast("bigint")
+def _struct(**fields: str) -> str:
+    return f"named_struct({', '.join(f'{name!r}, {value}' for name, value in fields.items())})"
+
+
+def _json(**fields: str) -> str:
+    return f"to_json({_struct(**fields)})"
+
 
+def _epoch(ts: str) -> str:
+    return f"cast({seconds_between(ntz(RAW_EPOCH), ts)} AS bigint)"
 
-def _iso(ts):
-    return F.replace(ts.cast("string"), F.lit(" "), F.lit("T"))
 
+def _iso(ts: str) -> str:
+    return f"replace(cast({ts} AS string), ' ', 'T')"
 
-def _minutes(ts):
-    return F.substring(ts.cast("string"), 1, 16)
+
+def _minutes(ts: str) -> str:
+    return f"substring(cast({ts} AS string), 1, 16)"
 
 
 def landing_current(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One answer per event in the shape of its provider, some of them unusable."""
-    e = F.col("event_id")
-    number = F.when(e % 31 != 0, F.when(e % 37 == 0, F.lit("n/a")).otherwise(F.col("value").cast("string")))
-    humidity, wind = (e % 101), (e % 37)
-    condition = F.concat(F.lit("W"), e % 4)
-    degrees = (e * 7) % 400
-    felt = F.col("value") - (e % 5)
-    is_ = lambda name: F.col("provider") == name
-    api = F.struct(
-        number.alias("temp_c"),
-        humidity.alias("humidity"),
-        wind.alias("wind_kph"),
-        F.struct(condition.alias("text")).alias("condition"),
-        _minutes(F.col("hour")).alias("last_updated"),
-        (e % 40 + 990).alias("pressure_mb"),
-        (e % 10).alias("vis_km"),
-        felt.alias("feelslike_c"),
-        degrees.alias("wind_degree"),
-        (e % 100).alias("cloudcover"),
-        (e % 12).alias("uv"),
-        (e % 23).alias("precip_mm"),
+    number = "CASE WHEN e % 31 <> 0 THEN CASE WHEN e % 37 = 0 THEN 'n/a' ELSE cast(value AS string) END END"
+    humidity, wind, condition = "e % 101", "e % 37", "concat('W', e % 4)"
+    degrees, felt, pressure = "(e * 7) % 400", "value - (e % 5)", "e % 40 + 990"
+    open_meteo = _json(
+        current_weather=_struct(temperature=number, windspeed=wind, winddirection=degrees, time=_iso("hour"))
     )
-    stack = F.struct(
-        number.alias("temperature"),
-        humidity.alias("humidity"),
-        wind.alias("wind_speed"),
-        F.array(condition, F.lit("more")).alias("weather_descriptions"),
-        (e % 40 + 990).alias("pressure"),
-        (e % 10).alias("visibility"),
-        felt.alias("feelslike"),
-        degrees.alias("wind_degree"),
-        (e % 100).alias("cloudcover"),
-        (e % 12).alias("uv_index"),
-        (e % 23).alias("precip"),
+    openweather = _json(
+        main=_struct(temp=number, humidity=humidity, pressure=pressure, feels_like=felt),
+        wind=_struct(speed=wind, deg=degrees),
+        weather=f"array({_struct(description=condition)})",
+        visibility="e % 10 * 1000",
+        clouds=_struct(all="e % 100"),
+        dt=_epoch("hour"),
     )
-    payload = (
-        F.when(e % 29 == 0, F.lit("{broken"))
-        .when(
-            is_("open_meteo"),
-            F.to_json(
-                F.struct(
-                    F.struct(
-                        number.alias("temperature"),
-                        wind.alias("windspeed"),
-                        degrees.alias("winddirection"),
-                        _iso(F.col("hour")).alias("time"),
-                    ).alias("current_weather")
-                )
-            ),
-        )
-        .when(
-            is_("openweathermap"),
-            F.to_json(
-                F.struct(
-                    F.struct(
-                        number.alias("temp"),
-                        humidity.alias("humidity"),
-                        (e % 40 + 990).alias("pressure"),
-                        felt.alias("feels_like"),
-                    ).alias("main"),
-                    F.struct(wind.alias("speed"), degrees.alias("deg")).alias("wind"),
-                    F.array(F.struct(condition.alias("description"))).alias("weather"),
-                    (e % 10 * 1000).alias("visibility"),
-                    F.struct((e % 100).alias("all")).alias("clouds"),
-                    _epoch(F.col("hour")).alias("dt"),
-                )
-            ),
-        )
-        .when(is_("weatherapi"), F.to_json(F.struct(api.alias("current"))))
-        .when(is_("weatherbit") & (e % 19 == 0), F.lit('{"data": []}'))
-        .when(
-            is_("weatherbit"),
-            F.to_json(
-                F.struct(
-                    F.array(
-                        F.struct(
-                            number.alias("temp"),
-                            humidity.alias("rh"),
-                            wind.alias("wind_spd"),
-                            F.struct(condition.alias("description")).alias("weather"),
-                            _minutes(F.col("hour")).alias("ob_time"),
-                            (e % 40 + 990).alias("pres"),
-                            (e % 10).alias("vis"),
-                            felt.alias("app_temp"),
-                            degrees.alias("wind_dir"),
-                            (e % 100).alias("clouds"),
-                            (e % 12).alias("uv"),
-                            (e % 23).alias("precip"),
-                        )
-                    ).alias("data")
-                )
-            ),
-        )
-        .when(e % 23 == 0, F.lit('{"error": {"code": 101, "info": "Invalid access key"}}'))
-        .otherwise(
-            F.to_json(
-                F.struct(F.struct(_minutes(F.col("hour")).alias("localtime")).alias("location"), stack.alias("current"))
-            )
+    weatherapi = _json(
+        current=_struct(
+            temp_c=number,
+            humidity=humidity,
+            wind_kph=wind,
+            condition=_struct(text=condition),
+            last_updated=_minutes("hour"),
+            pressure_mb=pressure,
+            vis_km="e % 10",
+            feelslike_c=felt,
+            wind_degree=degrees,
+            cloudcover="e % 100",
+            uv="e % 12",
+            precip_mm="e % 23",
         )
     )
-    request = F.floor(e / ANSWERS_PER_REQUEST)
-    return events(spark, sf_dir).select(
-        e.alias("event_id"),
-        request.alias("request_id"),
+    entry = _struct(
+        temp=number,
+        rh=humidity,
+        wind_spd=wind,
+        weather=_struct(description=condition),
+        ob_time=_minutes("hour"),
+        pres=pressure,
+        vis="e % 10",
+        app_temp=felt,
+        wind_dir=degrees,
+        clouds="e % 100",
+        uv="e % 12",
+        precip="e % 23",
+    )
+    weatherbit = _json(data=f"array({entry})")
+    weatherstack = _json(
+        location=_struct(localtime=_minutes("hour")),
+        current=_struct(
+            temperature=number,
+            humidity=humidity,
+            wind_speed=wind,
+            weather_descriptions=f"array({condition}, 'more')",
+            pressure=pressure,
+            visibility="e % 10",
+            feelslike=felt,
+            wind_degree=degrees,
+            cloudcover="e % 100",
+            uv_index="e % 12",
+            precip="e % 23",
+        ),
+    )
+    payload = f"""CASE
+        WHEN e % 29 = 0 THEN '{{broken'
+        WHEN provider = 'open_meteo' THEN {open_meteo}
+        WHEN provider = 'openweathermap' THEN {openweather}
+        WHEN provider = 'weatherapi' THEN {weatherapi}
+        WHEN provider = 'weatherbit' AND e % 19 = 0 THEN '{{"data": []}}'
+        WHEN provider = 'weatherbit' THEN {weatherbit}
+        WHEN e % 23 = 0 THEN '{{"error": {{"code": 101, "info": "Invalid access key"}}}}'
+        ELSE {weatherstack} END"""
+    numbered = events(spark, sf_dir).selectExpr("*", f"floor(e / {ANSWERS_PER_REQUEST}) AS request_id")
+    return numbered.selectExpr(
+        "event_id",
+        "request_id",
         "provider",
-        *_place(request),
-        F.col("ts").alias("fetched_at"),
-        payload.alias("payload"),
+        *_at("request_id"),
+        "ts AS fetched_at",
+        f"{payload} AS payload",
     )
 
 
 def landing_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One answer per request and provider with up to ``POINTS_PER_REQUEST`` points."""
-    e = F.col("event_id")
-    request = F.floor(e / POINTS_PER_REQUEST)
-    point = F.struct(
-        e.alias("e"),
-        F.col("hour").alias("hour"),
-        F.when(e % 41 != 0, F.col("value")).alias("temp"),
-        (e % 101).alias("hum"),
-        (e % 37).alias("wind"),
-        F.col("ts").alias("ts"),
+    point = _struct(
+        e="e", hour="hour", temp="CASE WHEN e % 41 <> 0 THEN value END", hum="e % 101", wind="e % 37", ts="ts"
     )
-    grouped = (
-        events(spark, sf_dir)
-        .groupBy(request.alias("request_id"), "provider")
-        .agg(F.array_sort(F.collect_list(point)).alias("p"))
-    )
-    each = lambda make: F.transform("p", make)
-    hourly = F.struct(
-        each(lambda p: _iso(p["hour"])).alias("time"),
-        each(lambda p: p["temp"]).alias("temperature_2m"),
-        F.slice(each(lambda p: p["hum"]), F.lit(1), F.lit(2)).alias("relativehumidity_2m"),
-        each(lambda p: p["wind"]).alias("windspeed_10m"),
+    numbered = events(spark, sf_dir).selectExpr("*", f"floor(e / {POINTS_PER_REQUEST}) AS request_id")
+    grouped = numbered.groupBy("request_id", "provider").agg(F.expr(f"array_sort(collect_list({point})) AS p"))
+
+    def each(make: str) -> str:
+        return f"transform(p, x -> {make})"
+
+    hourly = _struct(
+        time=each(_iso("x.hour")),
+        temperature_2m=each("x.temp"),
+        relativehumidity_2m=f"slice({each('x.hum')}, 1, 2)",
+        windspeed_10m=each("x.wind"),
     )
     listed = each(
-        lambda p: F.struct(
-            _epoch(p["hour"]).alias("dt"),
-            F.struct(p["temp"].alias("temp"), p["hum"].alias("humidity")).alias("main"),
-            F.struct(p["wind"].alias("speed")).alias("wind"),
-        )
-    )
-    hours = each(
-        lambda p: F.struct(
-            _minutes(p["hour"]).alias("time"),
-            p["temp"].alias("temp_c"),
-            p["hum"].alias("humidity"),
-            p["wind"].alias("wind_kph"),
-        )
+        _struct(dt=_epoch("x.hour"), main=_struct(temp="x.temp", humidity="x.hum"), wind=_struct(speed="x.wind"))
     )
+    hours = each(_struct(time=_minutes("x.hour"), temp_c="x.temp", humidity="x.hum", wind_kph="x.wind"))
     # Two days in one answer: the first point, then all others.
-    days = F.array(
-        F.struct(F.slice(hours, 1, 1).alias("hour")), F.struct(F.slice(hours, 2, POINTS_PER_REQUEST).alias("hour"))
-    )
+    first, rest = _struct(hour=f"slice({hours}, 1, 1)"), _struct(hour=f"slice({hours}, 2, {POINTS_PER_REQUEST})")
     data = each(
-        lambda p: F.struct(
-            p["temp"].alias("temp"),
-            p["hum"].alias("rh"),
-            p["wind"].alias("wind_spd"),
-            F.when(p["e"] % 3 == 0, F.lit("")).otherwise(_iso(p["hour"])).alias("timestamp_local"),
-            _iso(p["hour"]).alias("timestamp_utc"),
+        _struct(
+            temp="x.temp",
+            rh="x.hum",
+            wind_spd="x.wind",
+            timestamp_local=f"CASE WHEN x.e % 3 = 0 THEN '' ELSE {_iso('x.hour')} END",
+            timestamp_utc=_iso("x.hour"),
         )
     )
-    # Keyed by date: a day for each point, so that truncation runs across dates; hours as codes.
-    by_date = F.map_from_entries(
-        each(
-            lambda p: F.struct(
-                # A made-up distinct date per point, in order of the points.
-                F.date_add(F.lit("2024-01-01").cast("date"), (p["e"] % 20000).cast("int")).cast("string").alias("key"),
-                F.struct(
-                    F.array(
-                        F.struct(
-                            (F.hour(p["hour"]) * 100).cast("string").alias("time"),
-                            p["temp"].alias("temperature"),
-                            p["hum"].alias("humidity"),
-                            p["wind"].alias("wind_speed"),
-                        )
-                    ).alias("hourly")
-                ).alias("value"),
-            )
-        )
-    )
-    is_ = lambda name: F.col("provider") == name
-    payload = (
-        F.when(F.col("request_id") % 17 == 0, F.lit("{broken"))
-        .when(is_("open_meteo"), F.to_json(F.struct(hourly.alias("hourly"))))
-        .when(is_("openweathermap"), F.to_json(F.struct(listed.alias("list"))))
-        .when(is_("weatherapi"), F.to_json(F.struct(F.struct(days.alias("forecastday")).alias("forecast"))))
-        .when(is_("weatherbit"), F.to_json(F.struct(data.alias("data"))))
-        .otherwise(F.to_json(F.struct(by_date.alias("forecast"))))
+    # Keyed by date, one date per point, so that the cut runs across dates; hours are codes.
+    code = _struct(
+        time="cast(hour(x.hour) * 100 AS string)", temperature="x.temp", humidity="x.hum", wind_speed="x.wind"
     )
-    r = F.col("request_id")
-    return grouped.select(
+    date = f"cast(date_add(date'2024-01-01', cast(x.e % {POINTS_PER_REQUEST} AS int)) AS string)"
+    by_date = f"map_from_entries({each(_struct(key=date, value=_struct(hourly=f'array({code})')))})"
+    payload = f"""CASE
+        WHEN request_id % 17 = 0 THEN '{{broken'
+        WHEN provider = 'open_meteo' THEN {_json(hourly=hourly)}
+        WHEN provider = 'openweathermap' THEN {_json(list=listed)}
+        WHEN provider = 'weatherapi' THEN {_json(forecast=_struct(forecastday=f"array({first}, {rest})"))}
+        WHEN provider = 'weatherbit' THEN {_json(data=data)}
+        ELSE {_json(forecast=by_date)} END"""
+    # Asked for some hours before the first of its events.
+    fetched = plus_seconds("get(p, 0).ts", f"-{lead_of('request_id')} * 3600")
+    return grouped.selectExpr(
         "request_id",
         "provider",
-        *_place(r),
-        (r % 3 + 1).cast("int").alias("hours"),
-        # Asked for some hours before the first of its events.
-        plus_seconds(F.get("p", F.lit(0))["ts"], -lead_of(r) * 3600).alias("fetched_at"),
-        payload.alias("payload"),
+        *_at("request_id"),
+        "cast(request_id % 3 + 1 AS int) AS hours",
+        f"{fetched} AS fetched_at",
+        f"{payload} AS payload",
     )
 
 
@@ -366,19 +309,16 @@ def documents(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
         nested = nest_current(accepted(normalize_current(landing_current(spark, sf_dir))))
     else:
         nested = nest_forecast(accepted(normalize_forecast(landing_forecast(spark, sf_dir))))
-    return to_documents(nested, kind).withColumn(
-        "status_code", F.when(F.col("_id").cast("bigint") % 19 == 0, 500).otherwise(200)
-    )
+    status = F.expr("CASE WHEN cast(_id AS bigint) % 19 = 0 THEN 500 ELSE 200 END")
+    return to_documents(nested, kind).withColumn("status_code", status)
 
 
 def raw_versions(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
     """Documents as raw versions, every thirteenth of them no longer valid."""
-    docs = documents(spark, sf_dir, kind)
-    number = F.col("_id").cast("bigint")
     hours = ["hours"] if kind == "forecast" else []
-    return docs.select(
-        number.alias("id"),
-        F.col("_id").alias(raw_key(kind)),
+    return documents(spark, sf_dir, kind).selectExpr(
+        "cast(_id AS bigint) AS id",
+        f"_id AS {raw_key(kind)}",
         "latitude",
         "longitude",
         *hours,
@@ -387,6 +327,6 @@ def raw_versions(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
         "status_code",
         "created_at",
         "updated_at",
-        F.col("created_at").alias("valid_from_dttm"),
-        F.when(number % 13 == 0, F.col("created_at")).otherwise(ntz(OPEN_END)).alias("valid_to_dttm"),
+        "created_at AS valid_from_dttm",
+        f"CASE WHEN cast(_id AS bigint) % 13 = 0 THEN created_at ELSE {ntz(OPEN_END)} END AS valid_to_dttm",
     )

@@ -324,7 +324,7 @@ cte(
     """SELECT e, request_id, provider, CAST(request_id % 30 AS DOUBLE) + 0.004 AS latitude,
         CAST(request_id % 30 AS DOUBLE) + 0.504 AS longitude, hours, fetched_at,
         CASE WHEN provider = 'weatherstack'
-             THEN TIMESTAMP '2024-01-01 00:00:00' + to_days(CAST(e % 20000 AS INT)) + to_hours(CAST(date_part('hour', hour) AS INT))
+             THEN TIMESTAMP '2024-01-01 00:00:00' + to_days(CAST(e % 20 AS INT)) + to_hours(CAST(date_part('hour', hour) AS INT))
              ELSE hour END AS time,
         temp AS temperature_c,
         CASE WHEN provider IN ('openweathermap', 'weatherbit') THEN CAST(e % 37 AS DOUBLE) * 3.6

@@ -43,7 +43,7 @@ def _accuracy(spark, sf_dir):
     ),
 )
 def fn_coalesce_changed_at(spark, sf_dir):
-    return A.observations(spark, sf_dir).select("id", ods.observation_changed_at().alias("source_changed_at"))
+    return A.observations(spark, sf_dir).selectExpr("id", f"{ods.OBSERVATION_CHANGED_AT} AS source_changed_at")
 
 
 @query("flt_horizon_range", sql("SELECT id, hours_ahead FROM fc WHERE hours_ahead BETWEEN 0 AND 48", "fc"))
@@ -53,8 +53,8 @@ def flt_horizon_range(spark, sf_dir):
 
 @query("bucket_horizon", sql(f"SELECT id, hours_ahead, {bucket('hours_ahead')} AS hours_ahead_interval FROM fc", "fc"))
 def bucket_horizon_query(spark, sf_dir):
-    at = bucket_horizon(F.col("hours_ahead")).alias("hours_ahead_interval")
-    return A.forecasts(spark, sf_dir).select("id", "hours_ahead", at)
+    at = f"{bucket_horizon('hours_ahead')} AS hours_ahead_interval"
+    return A.forecasts(spark, sf_dir).selectExpr("id", "hours_ahead", at)
 
 
 @query(
@@ -71,7 +71,7 @@ def flt_bucket_not_null(spark, sf_dir):
 
 @query("dedup_latest_obs", sql("SELECT city, provider, observation_time, id, source_changed_at FROM ods_obs", "ods_obs"))
 def dedup_latest_obs(spark, sf_dir):
-    changed = A.observations(spark, sf_dir).withColumn("source_changed_at", ods.observation_changed_at())
+    changed = A.observations(spark, sf_dir).selectExpr("*", f"{ods.OBSERVATION_CHANGED_AT} AS source_changed_at")
     return ods.latest_observations(changed).select("city", "provider", "observation_time", "id", "source_changed_at")
 
 
@@ -80,7 +80,7 @@ def dedup_latest_obs(spark, sf_dir):
     sql("SELECT city, provider, forecast_timestamp, hours_ahead_interval, id, source_changed_at FROM ods_fc", "ods_fc"),
 )
 def dedup_latest_fc(spark, sf_dir):
-    changed = A.forecasts(spark, sf_dir).withColumn("source_changed_at", ods.forecast_changed_at())
+    changed = A.forecasts(spark, sf_dir).selectExpr("*", f"{ods.FORECAST_CHANGED_AT} AS source_changed_at")
     return ods.latest_forecasts(ods.with_lead_time(changed)).select(*ods.FORECAST_KEY, "id", "source_changed_at")
 
 
@@ -89,18 +89,18 @@ def dedup_latest_fc(spark, sf_dir):
     sql(f"SELECT id, {key('city', 'provider', 'observation_time', 'updated_at')} AS digest FROM obs", "obs"),
 )
 def key_surrogate(spark, sf_dir):
-    digest = surrogate_key("city", "provider", "observation_time", "updated_at").alias("digest")
-    return A.observations(spark, sf_dir).select("id", digest)
+    digest = surrogate_key("city", "provider", "observation_time", "updated_at")
+    return A.observations(spark, sf_dir).selectExpr("id", f"{digest} AS digest")
 
 
 @query("fn_c_to_f", sql(f"SELECT id, {duck_c_to_f('temperature_celsius')} AS fahrenheit FROM obs", "obs"))
 def fn_c_to_f(spark, sf_dir):
-    return A.observations(spark, sf_dir).select("id", c_to_f(F.col("temperature_celsius")).alias("fahrenheit"))
+    return A.observations(spark, sf_dir).selectExpr("id", f"{c_to_f('temperature_celsius')} AS fahrenheit")
 
 
 @query("fn_wind_cardinal", sql(f"SELECT id, {cardinal('wind_direction_degrees')} AS cardinal FROM obs", "obs"))
 def fn_wind_cardinal(spark, sf_dir):
-    return A.observations(spark, sf_dir).select("id", wind_cardinal(F.col("wind_direction_degrees")).alias("cardinal"))
+    return A.observations(spark, sf_dir).selectExpr("id", f"{wind_cardinal('wind_direction_degrees')} AS cardinal")
 
 
 @query("ods_observations", sql(f"SELECT {ODS_OBS_COLUMNS} FROM ods_obs", "ods_obs"))
@@ -127,7 +127,7 @@ _ROUNDED = ["actual_temperature", "actual_humidity", "actual_wind_speed"]
     ),
 )
 def preagg_actuals(spark, sf_dir):
-    return actual_values(_observations(spark, sf_dir)).withColumns({c: pg_round(F.col(c), 6) for c in _ROUNDED})
+    return actual_values(_observations(spark, sf_dir)).withColumns({c: F.expr(pg_round(c, 6)) for c in _ROUNDED})
 
 
 @query(
@@ -139,8 +139,8 @@ def preagg_actuals(spark, sf_dir):
     ),
 )
 def join_forecast_actual(spark, sf_dir):
-    return _errors(spark, sf_dir).select(
-        *ods.FORECAST_KEY, "forecast_temperature", pg_round(F.col("actual_temperature"), 6).alias("actual_temperature")
+    return _errors(spark, sf_dir).selectExpr(
+        *ods.FORECAST_KEY, "forecast_temperature", f"{pg_round('actual_temperature', 6)} AS actual_temperature"
     )
 
 
@@ -157,7 +157,7 @@ _SQUARED = ["temperature_squared_error", "humidity_squared_error"]
     ),
 )
 def fn_abs_error(spark, sf_dir):
-    return _errors(spark, sf_dir).select(*ods.FORECAST_KEY, *[pg_round(F.col(c), 6).alias(c) for c in _ABS])
+    return _errors(spark, sf_dir).selectExpr(*ods.FORECAST_KEY, *[f"{pg_round(c, 6)} AS {c}" for c in _ABS])
 
 
 @query(
@@ -169,7 +169,7 @@ def fn_abs_error(spark, sf_dir):
     ),
 )
 def fn_sq_error(spark, sf_dir):
-    return _errors(spark, sf_dir).select(*ods.FORECAST_KEY, *[pg_round(F.col(c), 4).alias(c) for c in _SQUARED])
+    return _errors(spark, sf_dir).selectExpr(*ods.FORECAST_KEY, *[f"{pg_round(c, 4)} AS {c}" for c in _SQUARED])
 
 
 @query(
@@ -181,9 +181,8 @@ def fn_sq_error(spark, sf_dir):
     ),
 )
 def fn_range(spark, sf_dir):
-    t = F.col("temperature_celsius")
-    span = pg_round(F.max(t) - F.min(t), 6).alias("temperature_range")
-    return _observations(spark, sf_dir).groupBy("city").agg(span)
+    span = pg_round("max(temperature_celsius) - min(temperature_celsius)", 6)
+    return _observations(spark, sf_dir).groupBy("city").agg(F.expr(f"{span} AS temperature_range"))
 
 
 @query(
@@ -198,7 +197,7 @@ def fn_ratio_nullif(spark, sf_dir):
     counts = A.observations(spark, sf_dir).groupBy("city", "provider").agg(
         F.count(F.lit(1)).alias("n"), F.count_if(F.col("humidity_percent") > 90).alias("humid")
     )
-    return counts.select("city", "provider", ratio(F.col("n"), F.col("humid")).alias("ratio"))
+    return counts.selectExpr("city", "provider", f"{ratio('n', 'humid')} AS ratio")
 
 
 @query(
@@ -242,7 +241,7 @@ def agg_count_distinct(spark, sf_dir):
     sql("SELECT city, count(DISTINCT date_trunc('day', observation_time)) AS days_tracked FROM obs GROUP BY city", "obs"),
 )
 def agg_distinct_days(spark, sf_dir):
-    days = F.count_distinct(day_of(F.col("observation_time"))).alias("days_tracked")
+    days = F.expr(f"count(DISTINCT {day_of('observation_time')}) AS days_tracked")
     return A.observations(spark, sf_dir).groupBy("city").agg(days)
 
 
@@ -257,10 +256,10 @@ def agg_distinct_days(spark, sf_dir):
 )
 def agg_avg_min_max_sum(spark, sf_dir):
     return A.observations(spark, sf_dir).groupBy("city").agg(
-        pg_round(F.avg("temperature_celsius"), 6).alias("mean"),
+        F.expr(f"{pg_round('avg(temperature_celsius)', 6)} AS mean"),
         F.min("temperature_celsius").alias("lowest"),
         F.max("temperature_celsius").alias("highest"),
-        pg_round(F.sum("precipitation_mm"), 6).alias("total"),
+        F.expr(f"{pg_round('sum(precipitation_mm)', 6)} AS total"),
         F.min("observation_time").alias("first_time"),
         F.max("observation_time").alias("last_time"),
     )
@@ -276,7 +275,7 @@ def agg_avg_min_max_sum(spark, sf_dir):
 )
 def agg_stddev(spark, sf_dir):
     # Most of these groups have one row, whose deviation is NULL.
-    deviation = pg_round(F.stddev_samp("temperature_celsius"), 6).alias("stddev")
+    deviation = F.expr(f"{pg_round('stddev_samp(temperature_celsius)', 6)} AS stddev")
     return A.observations(spark, sf_dir).groupBy(*ods.OBSERVATION_KEY).agg(deviation)
 
 
@@ -291,9 +290,9 @@ def agg_stddev(spark, sf_dir):
 )
 def agg_mae(spark, sf_dir):
     return _errors(spark, sf_dir).groupBy("provider").agg(
-        mae(F.col("temperature_error_abs")).alias("temperature_mae"),
-        mae(F.col("humidity_error_abs")).alias("humidity_mae"),
-        mae(F.col("wind_speed_error_abs")).alias("wind_speed_mae"),
+        F.expr(f"{mae('temperature_error_abs')} AS temperature_mae"),
+        F.expr(f"{mae('humidity_error_abs')} AS humidity_mae"),
+        F.expr(f"{mae('wind_speed_error_abs')} AS wind_speed_mae"),
     )
 
 
@@ -307,8 +306,8 @@ def agg_mae(spark, sf_dir):
 )
 def agg_rmse(spark, sf_dir):
     return _errors(spark, sf_dir).groupBy("provider").agg(
-        rmse(F.col("temperature_squared_error")).alias("temperature_rmse"),
-        rmse(F.col("humidity_squared_error")).alias("humidity_rmse"),
+        F.expr(f"{rmse('temperature_squared_error')} AS temperature_rmse"),
+        F.expr(f"{rmse('humidity_squared_error')} AS humidity_rmse"),
     )
 
 
@@ -326,7 +325,7 @@ def agg_median(spark, sf_dir):
         medians = errors.groupBy(*dm.ACCURACY_KEY).agg(F.median("temperature_error_abs").alias("median_error"))
     else:
         medians = grouped_median(errors, dm.ACCURACY_KEY, "temperature_error_abs", "median_error")
-    return medians.withColumn("median_error", pg_round(F.col("median_error"), 6))
+    return medians.withColumn("median_error", F.expr(pg_round("median_error", 6)))
 
 
 @query(
@@ -347,7 +346,7 @@ def agg_median_two_pass(spark, sf_dir):
     sql(f"SELECT provider, {r('max(temperature_error_abs)', 2)} AS temperature_max_error FROM errors GROUP BY provider", "errors"),
 )
 def agg_max_error(spark, sf_dir):
-    worst = pg_round(F.max("temperature_error_abs"), 2).alias("temperature_max_error")
+    worst = F.expr(f"{pg_round('max(temperature_error_abs)', 2)} AS temperature_max_error")
     return _errors(spark, sf_dir).groupBy("provider").agg(worst)
 
 
@@ -362,9 +361,9 @@ def agg_max_error(spark, sf_dir):
 )
 def agg_pct_within(spark, sf_dir):
     return _errors(spark, sf_dir).groupBy("provider").agg(
-        pct_within(F.col("temperature_error_abs"), 2).alias("within_2deg"),
-        pct_within(F.col("temperature_error_abs"), 5).alias("within_5deg"),
-        pct_within(F.col("humidity_error_abs"), 10).alias("within_10pct"),
+        F.expr(f"{pct_within('temperature_error_abs', 2)} AS within_2deg"),
+        F.expr(f"{pct_within('temperature_error_abs', 5)} AS within_5deg"),
+        F.expr(f"{pct_within('humidity_error_abs', 10)} AS within_10pct"),
     )
 
 
@@ -378,10 +377,10 @@ def agg_pct_within(spark, sf_dir):
     ),
 )
 def agg_conditional_avg(spark, sf_dir):
-    error, at = F.col("temperature_error_abs"), F.col("hours_ahead_interval")
+    short = avg_where("temperature_error_abs", "hours_ahead_interval <= 6")
+    long = avg_where("temperature_error_abs", "hours_ahead_interval >= 12")
     return _errors(spark, sf_dir).groupBy("provider").agg(
-        pg_round(avg_where(error, at <= 6), 6).alias("short_term"),
-        pg_round(avg_where(error, at >= 12), 6).alias("long_term"),
+        F.expr(f"{pg_round(short, 6)} AS short_term"), F.expr(f"{pg_round(long, 6)} AS long_term")
     )
 
 
@@ -408,7 +407,7 @@ _ROLLED = [
     ),
 )
 def agg_provider_rollup(spark, sf_dir):
-    return dm.provider_rollup(_accuracy(spark, sf_dir)).withColumns({c: pg_round(F.col(c), 6) for c in _ROLLED})
+    return dm.provider_rollup(_accuracy(spark, sf_dir)).withColumns({c: F.expr(pg_round(c, 6)) for c in _ROLLED})
 
 
 # Ranks

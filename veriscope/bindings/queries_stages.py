@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.clock import date_and_code, epoch_to_time, iso_time, iso_time_or, seconds_between
+from ..functions.clock import NTZ, date_and_code, epoch_to_time, iso_time, iso_time_or, ntz, plus_seconds, seconds_between
 from ..functions.scalar import at_path, kph_to_ms, lead_hours, m_to_km, ms_to_kph, number_or_null, pg_round
 from ..operators import history, nest
 from ..operators.matching import enrich_city
@@ -19,12 +19,13 @@ from ..operators.normalize import (
     steps_of_three_hours,
 )
 from ..plans import stg
-from ..schemas import RAW_PATHS
+from ..schemas import RAW_EPOCH, RAW_PATHS
 from . import adapters as A
 from .duck import HOURS_BETWEEN, lead, r, sql
 from .registry import query
 
 SAMPLE = "event_id, request_id, provider, latitude, longitude, fetched_at, temperature_c, wind_speed_kph, humidity, condition, observation_time"
+PROPS = "from_json(props, 'k string')"
 POINT = "request_id, provider, latitude, longitude, hours, fetched_at, time, temperature_c, wind_speed_kph, humidity"
 
 # Payloads
@@ -68,20 +69,17 @@ def filter_valid_samples(spark, sf_dir):
 
 @query("fn_ms_to_kph", sql("SELECT e AS event_id, CAST(e % 37 AS DOUBLE) * 3.6 AS kph FROM ev", "ev"))
 def fn_ms_to_kph(spark, sf_dir):
-    ms = (F.col("event_id") % 37).cast("double")
-    return A.events(spark, sf_dir).select("event_id", ms_to_kph(ms).alias("kph"))
+    return A.events(spark, sf_dir).selectExpr("event_id", f"{ms_to_kph('cast(e % 37 AS double)')} AS kph")
 
 
 @query("fn_kph_to_ms", sql("SELECT e AS event_id, CAST(e % 37 AS DOUBLE) / 3.6 AS ms FROM ev", "ev"))
 def fn_kph_to_ms(spark, sf_dir):
-    kph = (F.col("event_id") % 37).cast("double")
-    return A.events(spark, sf_dir).select("event_id", kph_to_ms(kph).alias("ms"))
+    return A.events(spark, sf_dir).selectExpr("event_id", f"{kph_to_ms('cast(e % 37 AS double)')} AS ms")
 
 
 @query("fn_m_to_km", sql("SELECT e AS event_id, CAST(e % 9973 AS DOUBLE) / 1000.0 AS km FROM ev", "ev"))
 def fn_m_to_km(spark, sf_dir):
-    m = (F.col("event_id") % 9973).cast("double")
-    return A.events(spark, sf_dir).select("event_id", m_to_km(m).alias("km"))
+    return A.events(spark, sf_dir).selectExpr("event_id", f"{m_to_km('cast(e % 9973 AS double)')} AS km")
 
 
 @query(
@@ -96,24 +94,21 @@ def fn_m_to_km(spark, sf_dir):
     ),
 )
 def fn_epoch_to_ts(spark, sf_dir):
-    seconds = F.floor(seconds_between(F.lit("1970-01-01").cast("timestamp_ntz"), F.col("ts")))
-    at = epoch_to_time(F.when(F.col("event_id") % 9 != 0, seconds))
-    return A.events(spark, sf_dir).select(
-        "event_id", at.alias("at_time"), F.coalesce(at, F.col("ts")).alias("at_time_or_fetched")
+    seconds = A.unless(9, f"floor({seconds_between(ntz(RAW_EPOCH), 'ts')})")
+    at = epoch_to_time(seconds)
+    return A.events(spark, sf_dir).selectExpr(
+        "event_id", f"{at} AS at_time", f"coalesce({at}, ts) AS at_time_or_fetched"
     )
 
 
-def _iso_texts():
+def _with_iso_texts(spark, sf_dir):
     """ISO text of various forms, some of it unreadable."""
-    e, ts = F.col("event_id"), F.col("ts")
-    text = F.replace(ts.cast("string"), F.lit(" "), F.lit("T"))
-    return (
-        F.when(e % 6 == 0, F.substring(text, 1, 16))
-        .when(e % 6 == 1, F.substring(ts.cast("string"), 1, 10))
-        .when(e % 6 == 2, F.concat(F.substring(text, 1, 19), F.lit("+03:00")))
-        .when(e % 6 == 3, F.lit(""))
-        .when(e % 6 == 4, F.concat(F.lit("at "), text))
-        .otherwise(text)
+    return A.events(spark, sf_dir).selectExpr("*", "replace(cast(ts AS string), ' ', 'T') AS iso").selectExpr(
+        "event_id",
+        "ts",
+        """CASE e % 6 WHEN 0 THEN substring(iso, 1, 16) WHEN 1 THEN substring(iso, 1, 10)
+            WHEN 2 THEN concat(substring(iso, 1, 19), '+03:00') WHEN 3 THEN '' WHEN 4 THEN concat('at ', iso)
+            ELSE iso END AS text""",
     )
 
 
@@ -123,12 +118,12 @@ _ISO = """CASE e % 6 WHEN 0 THEN date_trunc('minute', ts) WHEN 1 THEN date_trunc
 
 @query("fn_iso_parse_null", sql(f"SELECT e AS event_id, CAST({_ISO} AS TIMESTAMP) AS at_time FROM ev", "ev"))
 def fn_iso_parse_null(spark, sf_dir):
-    return A.events(spark, sf_dir).select("event_id", iso_time(_iso_texts()).alias("at_time"))
+    return _with_iso_texts(spark, sf_dir).selectExpr("event_id", f"{iso_time('text')} AS at_time")
 
 
 @query("fn_iso_parse_now", sql(f"SELECT e AS event_id, coalesce(CAST({_ISO} AS TIMESTAMP), ts) AS at_time FROM ev", "ev"))
 def fn_iso_parse_now(spark, sf_dir):
-    return A.events(spark, sf_dir).select("event_id", iso_time_or(_iso_texts(), F.col("ts")).alias("at_time"))
+    return _with_iso_texts(spark, sf_dir).selectExpr("event_id", f"{iso_time_or('text', 'ts')} AS at_time")
 
 
 @query(
@@ -143,10 +138,13 @@ def fn_iso_parse_now(spark, sf_dir):
     ),
 )
 def fn_hhmm_code(spark, sf_dir):
-    e = F.col("event_id")
-    day = F.when(e % 10 == 0, F.lit("some day")).otherwise(F.substring(F.col("ts").cast("string"), 1, 10))
-    code = F.when(e % 7 == 0, F.lit("noon")).otherwise((e % 2600).cast("string"))
-    return A.events(spark, sf_dir).select("event_id", date_and_code(day, code, F.col("ts")).alias("at_time"))
+    texts = A.events(spark, sf_dir).selectExpr(
+        "event_id",
+        "ts",
+        "CASE WHEN e % 10 = 0 THEN 'some day' ELSE substring(cast(ts AS string), 1, 10) END AS day",
+        "CASE WHEN e % 7 = 0 THEN 'noon' ELSE cast(e % 2600 AS string) END AS code",
+    )
+    return texts.selectExpr("event_id", f"{date_and_code('day', 'code', 'ts')} AS at_time")
 
 
 @query(
@@ -154,9 +152,8 @@ def fn_hhmm_code(spark, sf_dir):
     sql("SELECT e AS event_id, CASE WHEN e % 3 <> 0 THEN value END AS number FROM ev", "ev"),
 )
 def fn_num_or_null(spark, sf_dir):
-    e = F.col("event_id")
-    text = F.when(e % 3 == 0, F.when(e % 2 == 0, F.lit("none"))).otherwise(F.col("value").cast("string"))
-    return A.events(spark, sf_dir).select("event_id", number_or_null(text).alias("number"))
+    text = "CASE WHEN e % 6 = 0 THEN 'none' WHEN e % 3 <> 0 THEN cast(value AS string) END"
+    return A.events(spark, sf_dir).selectExpr("event_id", f"{number_or_null(text)} AS number")
 
 
 @query(
@@ -190,17 +187,17 @@ def fn_json_iso_dates(spark, sf_dir):
 )
 def agg_current_by_request(spark, sf_dir):
     samples = accepted(normalize_current(A.landing_current(spark, sf_dir), keep_raw=False))
-    total = F.aggregate("samples", F.lit(0.0), lambda acc, s: acc + s["temperature_c"])
-    return nest.nest_current(samples).select(
+    total = "aggregate(samples.temperature_c, 0.0D, (total, t) -> total + t)"
+    return nest.nest_current(samples).selectExpr(
         "request_id",
         "latitude",
         "longitude",
-        F.size("samples").cast("bigint").alias("samples_count"),
+        "cast(size(samples) AS bigint) AS samples_count",
         # The fixed order of the providers is also their order by name.
-        F.array_join(F.transform("samples", lambda s: s["provider"]), ",").alias("providers"),
-        pg_round(total, 6).alias("sample_temperature_sum"),
-        pg_round(F.col("average_temperature_c"), 6).alias("average_temperature_c"),
-        pg_round(F.col("average_humidity"), 6).alias("average_humidity"),
+        "array_join(samples.provider, ',') AS providers",
+        f"{pg_round(total, 6)} AS sample_temperature_sum",
+        f"{pg_round('average_temperature_c', 6)} AS average_temperature_c",
+        f"{pg_round('average_humidity', 6)} AS average_humidity",
     )
 
 
@@ -217,15 +214,14 @@ def agg_current_by_request(spark, sf_dir):
 )
 def agg_forecast_by_request(spark, sf_dir):
     nested = nest.nest_forecast(accepted(normalize_forecast(A.landing_forecast(spark, sf_dir))))
-    points = F.flatten(F.transform("forecasts", lambda f: f["points"]))
-    return nested.select(
+    return nested.selectExpr("*", "flatten(forecasts.points) AS points").selectExpr(
         "request_id",
         "latitude",
         "longitude",
         "hours",
-        F.size("forecasts").cast("bigint").alias("providers_count"),
-        F.size(points).cast("bigint").alias("points_count"),
-        F.array_min(F.transform(points, lambda p: p["time"])).alias("first_time"),
+        "cast(size(forecasts) AS bigint) AS providers_count",
+        "cast(size(points) AS bigint) AS points_count",
+        "array_min(points.time) AS first_time",
     )
 
 
@@ -240,16 +236,14 @@ def agg_forecast_by_request(spark, sf_dir):
     ),
 )
 def forecast_horizon_check(spark, sf_dir):
-    e = F.col("event_id")
-    asked = A.events(spark, sf_dir).select(F.when(e % 5 != 0, (e % 200).cast("int")).alias("hours"))
-    hours = F.col("hours")
+    asked = A.events(spark, sf_dir).selectExpr(f"{A.unless(5, 'cast(e % 200 AS int)')} AS hours")
     counted = nest.with_default_hours(asked).groupBy("hours").agg(F.count(F.lit(1)).alias("requests"))
-    return counted.select(
+    return counted.selectExpr(
         "hours",
         "requests",
-        nest.hours_allowed(hours).alias("allowed"),
-        steps_of_three_hours(hours).alias("three_hour_points"),
-        days_for(hours).alias("days"),
+        f"{nest.hours_allowed('hours')} AS allowed",
+        f"{steps_of_three_hours('hours')} AS three_hour_points",
+        f"{days_for('hours')} AS days",
     )
 
 
@@ -340,7 +334,7 @@ def topk_locations_forecast(spark, sf_dir):
 )
 def doc_summary(spark, sf_dir):
     summary = history.summarize_current(A.documents(spark, sf_dir, "current"))
-    return summary.withColumn("average_temperature_c", pg_round(F.col("average_temperature_c"), 6))
+    return summary.withColumn("average_temperature_c", F.expr(pg_round("average_temperature_c", 6)))
 
 
 @query(
@@ -374,9 +368,8 @@ def flt_status_ok(spark, sf_dir):
 @query("flt_json_not_null", sql("SELECT e AS event_id FROM ev WHERE json_extract(props, '$.k') IS NOT NULL AND e % 3 <> 0", "ev"))
 def flt_json_not_null(spark, sf_dir):
     # Every third text lacks the key.
-    text = F.when(F.col("event_id") % 3 == 0, F.lit('{"other": 1}')).otherwise(F.col("props"))
-    has = F.get_json_object(text, "$.k").isNotNull()
-    return A.events(spark, sf_dir).filter(has).select("event_id")
+    text = """CASE WHEN e % 3 = 0 THEN '{"other": 1}' ELSE props END"""
+    return A.events(spark, sf_dir).filter(f"get_json_object({text}, '$.k') IS NOT NULL").select("event_id")
 
 
 @query(
@@ -388,10 +381,8 @@ def flt_json_not_null(spark, sf_dir):
 )
 def json_explode(spark, sf_dir):
     exploded = stg.explode_samples(A.raw_versions(spark, sf_dir, "current"))
-    return exploded.select(
-        "id",
-        F.col("sample.provider").alias("provider"),
-        number_or_null(F.col("sample.temperature_c")).alias("temperature_c"),
+    return exploded.selectExpr(
+        "id", "sample.provider AS provider", f"{number_or_null('sample.temperature_c')} AS temperature_c"
     )
 
 
@@ -401,23 +392,22 @@ def json_explode(spark, sf_dir):
 )
 def json_explode_2level(spark, sf_dir):
     exploded = stg.explode_points(A.raw_versions(spark, sf_dir, "forecast"))
-    return exploded.select(
+    return exploded.selectExpr(
         "id",
         "provider",
-        number_or_null(F.col("point.temperature_c")).alias("temperature_c"),
-        F.col("point.time").try_cast("timestamp_ntz").alias("time"),
+        f"{number_or_null('point.temperature_c')} AS temperature_c",
+        f"try_cast(point.time AS {NTZ}) AS time",
     )
 
 
 @query("json_path_text", "SELECT event_id, json_extract_string(props, '$.k') AS k FROM events")
 def json_path_text(spark, sf_dir):
-    return A.table(spark, sf_dir, "events").select("event_id", at_path(F.from_json("props", "k string"), "k").alias("k"))
+    return A.table(spark, sf_dir, "events").selectExpr("event_id", f"{at_path(PROPS, 'k')} AS k")
 
 
 @query("json_path_float", "SELECT event_id, CAST(json_extract_string(props, '$.k') AS DOUBLE) AS k FROM events")
 def json_path_float(spark, sf_dir):
-    k = number_or_null(at_path(F.from_json("props", "k string"), "k"))
-    return A.table(spark, sf_dir, "events").select("event_id", k.alias("k"))
+    return A.table(spark, sf_dir, "events").selectExpr("event_id", f"{number_or_null(at_path(PROPS, 'k'))} AS k")
 
 
 _READINGS = ["pressure_hpa", "visibility_km", "feels_like_celsius", "wind_direction_degrees", "cloud_cover_percent", "uv_index", "precipitation_mm"]
@@ -433,13 +423,11 @@ _READINGS = ["pressure_hpa", "visibility_km", "feels_like_celsius", "wind_direct
 )
 def json_provider_dispatch(spark, sf_dir):
     versions = stg.successful(stg.in_force(A.raw_versions(spark, sf_dir, "current")))
-    s = F.col("sample")
-    readings = stg.explode_samples(versions).select(
-        s["provider"].alias("provider"),
-        *[stg.provider_reading(c, s["provider"], s["raw"]).alias(c) for c in RAW_PATHS],
+    readings = stg.explode_samples(versions).selectExpr(
+        "sample.provider AS provider", *[f"{stg.provider_reading(c)} AS {c}" for c in RAW_PATHS]
     )
-    sums = [x for c in _READINGS for x in (pg_round(F.sum(c), 4).alias(c), F.count(c).alias(f"known_{c}"))]
-    return readings.groupBy("provider").agg(F.count(F.lit(1)).alias("n"), *sums)
+    sums = [x for c in _READINGS for x in (f"{pg_round(f'sum({c})', 4)} AS {c}", f"count({c}) AS known_{c}")]
+    return readings.groupBy("provider").agg(*[F.expr(x) for x in ("count(1) AS n", *sums)])
 
 
 @query(
@@ -453,9 +441,10 @@ def json_provider_dispatch(spark, sf_dir):
     ),
 )
 def join_coord_left(spark, sf_dir):
-    place = (F.col("user_id") % 30).cast("double")
-    rows = A.events(spark, sf_dir).select(
-        "event_id", (place + F.lit(0.004)).alias("latitude"), (place + F.lit(0.504)).alias("longitude")
+    rows = A.events(spark, sf_dir).selectExpr(
+        "event_id",
+        "cast(user_id % 30 AS double) + 0.004D AS latitude",
+        "cast(user_id % 30 AS double) + 0.504D AS longitude",
     )
     return enrich_city(rows, A.cities(spark, sf_dir)).select("event_id", "city", "country")
 
@@ -469,9 +458,8 @@ def join_coord_left(spark, sf_dir):
     ),
 )
 def fn_hours_ahead(spark, sf_dir):
-    e = F.col("event_id")
-    made = F.when(e % 10 != 0, A.plus_seconds(F.col("hour"), -(A.lead_of(e) * 3600 - 7200)))
-    return A.events(spark, sf_dir).select("event_id", lead_hours(F.col("hour"), made).alias("hours_ahead"))
+    made = A.unless(10, plus_seconds("hour", f"-({A.lead_of('e')} * 3600 - 7200)"))
+    return A.events(spark, sf_dir).selectExpr("event_id", f"{lead_hours('hour', made)} AS hours_ahead")
 
 
 @query(
@@ -479,11 +467,11 @@ def fn_hours_ahead(spark, sf_dir):
     sql("SELECT id, created_at AS source_created_at, updated_at AS source_updated_at, updated_at AS forecast_created_at FROM obs", "obs"),
 )
 def proj_rename(spark, sf_dir):
-    return A.observations(spark, sf_dir).select(
+    return A.observations(spark, sf_dir).selectExpr(
         "id",
-        F.col("created_at").alias("source_created_at"),
-        F.col("updated_at").alias("source_updated_at"),
-        F.col("updated_at").alias("forecast_created_at"),
+        "created_at AS source_created_at",
+        "updated_at AS source_updated_at",
+        "updated_at AS forecast_created_at",
     )
 
 
@@ -497,7 +485,7 @@ def proj_rename(spark, sf_dir):
 )
 def stg_current(spark, sf_dir) -> DataFrame:
     staged = stg.stg_current(A.raw_versions(spark, sf_dir, "current"), A.cities(spark, sf_dir))
-    return staged.withColumns({c: pg_round(F.col(c), 6) for c in ("avg_temperature_c", "avg_humidity")})
+    return staged.withColumns({c: F.expr(pg_round(c, 6)) for c in ("avg_temperature_c", "avg_humidity")})
 
 
 @query("stg_forecast", sql("SELECT * RENAME (src_forecast_id AS forecast_id) FROM stg_forecast", "stg_forecast"))

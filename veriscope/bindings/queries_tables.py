@@ -7,7 +7,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from ..functions.clock import day_of, ntz
+from ..functions.clock import day_of, hour_of, ntz
 from ..functions.scalar import pg_round
 from ..operators import anomalies, quality
 from ..operators.dedup import latest_per_key
@@ -134,13 +134,14 @@ def sink_append_documents(spark, sf_dir):
 def _scd2_inputs(spark, sf_dir):
     """Users as documents: their last event of the first half as target, of the whole month as batch."""
     e = A.events(spark, sf_dir).select("user_id", F.col("ts").alias("updated_at"), "value")
-    latest = lambda rows: latest_per_key(rows, ["user_id"], [F.col("updated_at").desc_nulls_last()])
-    early = e.filter((F.col("updated_at") < ntz(dt.datetime(2024, 1, 16))) & (F.col("user_id") % 7 != 0))
-    target = latest(early).select(
-        "*", F.col("updated_at").alias("valid_from_dttm"), ntz(OPEN_END).alias("valid_to_dttm")
+    latest = lambda rows: latest_per_key(rows, ["user_id"], ["updated_at DESC NULLS LAST"])
+    half = f"updated_at < {ntz(dt.datetime(2024, 1, 16))}"
+    early = e.filter(f"{half} AND user_id % 7 <> 0")
+    target = latest(early).selectExpr(
+        "*", "updated_at AS valid_from_dttm", f"{ntz(OPEN_END)} AS valid_to_dttm"
     )
     # Every fourth user does not change after the first half.
-    late = e.filter((F.col("user_id") % 4 != 0) | (F.col("updated_at") < ntz(dt.datetime(2024, 1, 16))))
+    late = e.filter(f"user_id % 4 <> 0 OR {half}")
     return target, latest(late)
 
 
@@ -201,8 +202,8 @@ _KEYED = [*_KEY, "id", "temperature_celsius"]
 def _target_and_batch(spark, sf_dir):
     """Observations of the first two thirds of the month, and corrected ones of the last two thirds."""
     rows = A.observations(spark, sf_dir).select(*_KEYED)
-    target = rows.filter(F.col("observation_time") < ntz(dt.datetime(2024, 1, 21)))
-    batch = rows.filter(F.col("observation_time") >= ntz(dt.datetime(2024, 1, 11))).filter(F.col("id") % 3 != 0)
+    target = rows.filter(f"observation_time < {ntz(dt.datetime(2024, 1, 21))}")
+    batch = rows.filter(f"observation_time >= {ntz(dt.datetime(2024, 1, 11))}").filter(F.col("id") % 3 != 0)
     return target, batch.withColumn("temperature_celsius", F.col("temperature_celsius") + F.lit(100.0))
 
 
@@ -288,7 +289,7 @@ def sink_full_refresh(spark, sf_dir):
 )
 def inc_watermark_gt(spark, sf_dir):
     events = A.table(spark, sf_dir, "events")
-    loaded = events.filter(F.col("ts") < ntz(dt.datetime(2024, 1, 11)))
+    loaded = events.filter(f"ts < {ntz(dt.datetime(2024, 1, 11))}")
     since = high_watermark(loaded, "ts", lookback=dt.timedelta(0))
     return read_since(events, "ts", since).select("event_id", "ts")
 
@@ -303,16 +304,16 @@ def inc_watermark_gt(spark, sf_dir):
     ),
 )
 def inc_watermark_ge(spark, sf_dir):
-    rows = A.observations(spark, sf_dir).withColumn("source_changed_at", ods.observation_changed_at())
-    loaded = rows.filter(F.col("observation_time") < ntz(dt.datetime(2024, 1, 11)))
+    rows = A.observations(spark, sf_dir).selectExpr("*", f"{ods.OBSERVATION_CHANGED_AT} AS source_changed_at")
+    loaded = rows.filter(f"observation_time < {ntz(dt.datetime(2024, 1, 11))}")
     fresh = read_since(rows, "source_changed_at", ods_watermark(loaded), inclusive=True)
     return fresh.select("id", "source_changed_at")
 
 
 @query("meta_processed_at", sql("SELECT id, true AS stamped FROM obs", "obs"))
 def meta_processed_at(spark, sf_dir):
-    stamped = A.observations(spark, sf_dir).select("id", ods.processed_now())
-    return stamped.select("id", F.col("processed_dttm").isNotNull().alias("stamped"))
+    stamped = A.observations(spark, sf_dir).selectExpr("id", ods.PROCESSED_NOW)
+    return stamped.selectExpr("id", "processed_dttm IS NOT NULL AS stamped")
 
 
 # Data quality
@@ -328,7 +329,7 @@ def dq_not_null(spark, sf_dir):
     sql("SELECT updated_at, count(*) AS n_records FROM (SELECT date_trunc('hour', updated_at) AS updated_at FROM obs) WHERE updated_at IS NOT NULL GROUP BY updated_at HAVING count(*) > 1", "obs"),
 )
 def dq_unique(spark, sf_dir):
-    hourly = A.observations(spark, sf_dir).select(A.hour_of(F.col("updated_at")).alias("updated_at"))
+    hourly = A.observations(spark, sf_dir).selectExpr(f"{hour_of('updated_at')} AS updated_at")
     return quality.failing_unique(hourly, "updated_at")
 
 
@@ -373,7 +374,7 @@ def dq_expression(spark, sf_dir):
 )
 def dq_city_coordinates(spark, sf_dir):
     failing = quality.failing_city_coordinates(A.observations(spark, sf_dir))
-    return failing.withColumns({c: pg_round(F.col(c), 6) for c in ("lat_range", "lon_range")})
+    return failing.withColumns({c: F.expr(pg_round(c, 6)) for c in ("lat_range", "lon_range")})
 
 
 @query(
@@ -444,15 +445,10 @@ cte(
 
 
 def _spiky(spark, sf_dir):
-    e, ts = F.col("event_id"), F.col("ts")
-    gone = (ts >= ntz(dt.datetime(2024, 1, 20, 5))) & (ts < ntz(dt.datetime(2024, 1, 21)))
-    value = (
-        F.when(e % 90 == 0, F.lit(None))
-        .when(e % 80 == 0, F.lit(0.0))
-        .when(day_of(ts) == ntz(dt.datetime(2024, 1, 20)), F.col("value") + F.lit(5000.0))
-        .otherwise(F.col("value"))
-    )
-    return A.events(spark, sf_dir).filter(~gone).select("event_id", "ts", "provider", value.alias("value"))
+    gone = f"ts >= {ntz(dt.datetime(2024, 1, 20, 5))} AND ts < {ntz(dt.datetime(2024, 1, 21))}"
+    value = f"""CASE WHEN e % 90 = 0 THEN NULL WHEN e % 80 = 0 THEN 0.0D
+        WHEN {day_of('ts')} = {ntz(dt.datetime(2024, 1, 20))} THEN value + 5000.0D ELSE value END AS value"""
+    return A.events(spark, sf_dir).filter(f"NOT ({gone})").selectExpr("event_id", "ts", "hour", "provider", value)
 
 
 @query(
@@ -530,7 +526,7 @@ def dq_anom_column(spark, sf_dir):
     ),
 )
 def dq_anom_all_columns(spark, sf_dir):
-    rows = _spiky(spark, sf_dir).withColumn("dbt_batch", F.lit(1))
+    rows = _spiky(spark, sf_dir).drop("hour").withColumn("dbt_batch", F.lit(1))
     return anomalies.all_columns_anomalies(rows, "ts")
 
 
@@ -545,8 +541,7 @@ def dq_anom_all_columns(spark, sf_dir):
     ),
 )
 def dq_anom_event_freshness(spark, sf_dir):
-    rows = _spiky(spark, sf_dir).withColumn("hour", A.hour_of(F.col("ts")))
-    return anomalies.event_freshness_anomalies(rows, "hour", "ts")
+    return anomalies.event_freshness_anomalies(_spiky(spark, sf_dir), "hour", "ts")
 
 
 # Jobs
@@ -564,12 +559,12 @@ def _raw_counts(warehouse: Warehouse):
     parts = []
     for kind, key in (("current", "weather_id"), ("forecast", "forecast_id")):
         parts.append(
-            warehouse.read(f"raw.weather_{kind}").agg(
-                F.lit(kind).alias("kind"),
-                F.count(F.lit(1)).alias("versions"),
-                F.count_if(F.col("valid_to_dttm") == ntz(OPEN_END)).alias("in_force"),
-                F.count_distinct(key).alias("documents"),
-                F.max("updated_at").alias("newest"),
+            warehouse.read(f"raw.weather_{kind}").selectExpr(
+                f"'{kind}' AS kind",
+                "count(1) AS versions",
+                f"count_if(valid_to_dttm = {ntz(OPEN_END)}) AS in_force",
+                f"count(DISTINCT {key}) AS documents",
+                "max(updated_at) AS newest",
             )
         )
     return parts[0].unionByName(parts[1])

@@ -2,25 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 from .scalar import pg_round
 
 
-def mae(abs_error: Column, digits: int = 2) -> Column:
-    return pg_round(F.avg(abs_error), digits)
+def mae(abs_error: str, digits: int = 2) -> str:
+    return pg_round(f"avg({abs_error})", digits)
 
 
-def rmse(squared_error: Column, digits: int = 2) -> Column:
-    return pg_round(F.sqrt(F.avg(squared_error)), digits)
+def rmse(squared_error: str, digits: int = 2) -> str:
+    return pg_round(f"sqrt(avg({squared_error}))", digits)
 
 
-def pct_within(abs_error: Column, tolerance: float, digits: int = 1) -> Column:
+def pct_within(abs_error: str, tolerance: float, digits: int = 1) -> str:
     """Share of all rows, in percent, with an error within ``tolerance``; an unknown error is a miss."""
-    hits = F.sum(F.when(abs_error <= F.lit(float(tolerance)), F.lit(1)).otherwise(F.lit(0)))
-    return pg_round(hits.cast("double") / F.count(F.lit(1)) * F.lit(100.0), digits)
+    return pg_round(f"cast(count_if({abs_error} <= {float(tolerance)}D) AS double) / count(1) * 100.0D", digits)
 
 
-def avg_where(value: Column, condition: Column) -> Column:
-    return F.avg(F.when(condition, value))
+def avg_where(value: str, condition: str) -> str:
+    return f"avg({value}) FILTER (WHERE {condition})"

@@ -1,12 +1,9 @@
-"""Scalar functions of the models, all built from JVM-side expressions."""
+"""Scalar functions of the models."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 from ..schemas import COMPASS, LEAD_HALF_WIDTH, LEAD_HOURS
 from .clock import seconds_between
 
@@ -14,75 +11,69 @@ from .clock import seconds_between
 KEY_NULL = "_dbt_utils_surrogate_key_null_"
 
 
-def exact(x: Column) -> Column:
+def exact(x: str) -> str:
     """A double as a decimal on which rounding is well defined."""
-    return x.cast("decimal(38,12)")
+    return f"cast({x} AS decimal(38, 12))"
 
 
-def pg_round(x: Column, digits: int) -> Column:
+def pg_round(x: str, digits: int) -> str:
     """Round half away from zero on the decimal value, back as a double."""
-    return F.round(exact(x), digits).cast("double")
+    return f"cast(round({exact(x)}, {digits}) AS double)"
 
 
-def number_or_null(text: Column) -> Column:
-    return text.try_cast("double")
+def number_or_null(text: str) -> str:
+    return f"try_cast({text} AS double)"
 
 
-def ms_to_kph(x: Column) -> Column:
-    return x * F.lit(3.6)
+def ms_to_kph(x: str) -> str:
+    return f"({x} * 3.6D)"
 
 
-def kph_to_ms(x: Column) -> Column:
-    return x / F.lit(3.6)
+def kph_to_ms(x: str) -> str:
+    return f"({x} / 3.6D)"
 
 
-def m_to_km(x: Column) -> Column:
-    return x / F.lit(1000.0)
+def m_to_km(x: str) -> str:
+    return f"({x} / 1000.0D)"
 
 
-def c_to_f(x: Column) -> Column:
-    return pg_round(x * F.lit(9.0) / F.lit(5.0) + F.lit(32), 1)
+def c_to_f(x: str) -> str:
+    return pg_round(f"{x} * 9.0D / 5.0D + 32", 1)
 
 
-def wind_cardinal(degrees: Column) -> Column:
+def wind_cardinal(degrees: str) -> str:
     """Compass point of a wind direction; NULL and impossible angles are 'Unknown'."""
-    branches = F
-    for low, high, name in COMPASS:
-        branches = branches.when(degrees.between(F.lit(float(low)), F.lit(float(high))), name)
-    return branches.otherwise("Unknown")
+    whens = " ".join(f"WHEN {degrees} BETWEEN {low}D AND {high}D THEN '{name}'" for low, high, name in COMPASS)
+    return f"CASE {whens} ELSE 'Unknown' END"
 
 
-def lead_hours(forecast_time: Column, created_at: Column) -> Column:
+def lead_hours(forecast_time: str, created_at: str) -> str:
     """Hours from creation to the forecast time, not below 0; an unknown gap counts as 0."""
-    gap = seconds_between(created_at, forecast_time).cast("double") / F.lit(3600.0)
-    return F.greatest(F.lit(0.0), gap)
+    return f"greatest(0.0D, cast({seconds_between(created_at, forecast_time)} AS double) / 3600.0D)"
 
 
 def bucket_horizon(
-    hours: Column, centers: Sequence[int] = tuple(LEAD_HOURS), half_width: float = LEAD_HALF_WIDTH
-) -> Column:
+    hours: str, centers: Sequence[int] = tuple(LEAD_HOURS), half_width: float = LEAD_HALF_WIDTH
+) -> str:
     """The lead time within ``half_width`` hours, both ends included, else NULL."""
-    branches = F
-    for center in centers:
-        inside = hours.between(F.lit(center - half_width), F.lit(center + half_width))
-        branches = branches.when(inside, F.lit(center))
-    return branches.otherwise(F.lit(None).cast("int"))
+    whens = " ".join(f"WHEN {hours} BETWEEN {c - half_width}D AND {c + half_width}D THEN {c}" for c in centers)
+    return f"CASE {whens} END"
 
 
-def surrogate_key(*columns: str | Column) -> Column:
+def surrogate_key(*columns: str) -> str:
     """md5 over the text of all columns joined with '-', NULL written as a fixed text."""
-    parts = [F.col(c) if isinstance(c, str) else c for c in columns]
-    return F.md5(F.concat_ws("-", *[F.coalesce(c.cast("string"), F.lit(KEY_NULL)) for c in parts]))
+    parts = ", ".join(f"coalesce(cast({c} AS string), '{KEY_NULL}')" for c in columns)
+    return f"md5(concat_ws('-', {parts}))"
 
 
-def ratio(numerator: Column, denominator: Column) -> Column:
+def ratio(numerator: str, denominator: str) -> str:
     """A quotient that is NULL over zero."""
-    return numerator.cast("double") / F.nullif(denominator, F.lit(0)).cast("double")
+    return f"(cast({numerator} AS double) / nullif(cast({denominator} AS double), 0))"
 
 
-def at_path(root: Column, path: str) -> Column:
+def at_path(root: str, path: str) -> str:
     """The field at an ``a.b`` / ``a[0].b`` path of a parsed struct; missing steps give NULL."""
     node = root
     for step in path.split("."):
-        node = F.get(node.getField(step[:-3]), F.lit(0)) if step.endswith("[0]") else node.getField(step)
+        node = f"get({node}.{step[:-3]}, 0)" if step.endswith("[0]") else f"{node}.{step}"
     return node

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, GroupedData
 from pyspark.sql import functions as F
 
 from ..functions.clock import day_of, hour_of, plus_hours, seconds_between
@@ -19,83 +19,75 @@ HISTORY, MIN_HISTORY, SIGMAS = 14, 7, 3.0
 DIGITS = 6
 
 
-def bucket_of(ts: Column, period: str) -> Column:
-    return {"hour": hour_of, "day": day_of}[period](ts)
+BUCKETS = {"hour": hour_of, "day": day_of}
 
 
 def score(buckets: DataFrame, value: str = "value", by: Sequence[str] = (), bucket: str = "bucket") -> DataFrame:
     """Adds the history's ``n_history``, ``mean``, ``stddev`` and the verdict ``is_anomaly``."""
-    past = Window.partitionBy(*by).orderBy(bucket).rowsBetween(-HISTORY, -1)
-    v = F.col(value).cast("double")
-    scored = buckets.select(
+    partition = f"PARTITION BY {', '.join(by)} " if by else ""
+    past = f"OVER ({partition}ORDER BY {bucket} ROWS BETWEEN {HISTORY} PRECEDING AND 1 PRECEDING)"
+    v = f"cast({value} AS double)"
+    scored = buckets.selectExpr(
         "*",
-        F.count(v).over(past).alias("n_history"),
-        pg_round(F.avg(v).over(past), DIGITS).alias("mean"),
-        pg_round(F.stddev_samp(v).over(past), DIGITS).alias("stddev"),
+        f"count({v}) {past} AS n_history",
+        f"{pg_round(f'avg({v}) {past}', DIGITS)} AS mean",
+        f"{pg_round(f'stddev_samp({v}) {past}', DIGITS)} AS stddev",
     )
-    far = F.abs(v - F.col("mean")) > F.lit(SIGMAS) * F.col("stddev")
-    other = (F.col("stddev") == 0) & (F.abs(v - F.col("mean")) > F.lit(10.0**-DIGITS))
-    verdict = (F.col("n_history") >= MIN_HISTORY) & v.isNotNull() & F.when(F.col("stddev") == 0, other).otherwise(far)
-    return scored.withColumn("is_anomaly", F.coalesce(verdict, F.lit(False)))
+    away = f"abs({v} - mean)"
+    far = f"CASE WHEN stddev = 0 THEN {away} > {10.0**-DIGITS:.{DIGITS}f}D ELSE {away} > {SIGMAS}D * stddev END"
+    verdict = f"coalesce(n_history >= {MIN_HISTORY} AND {v} IS NOT NULL AND {far}, false)"
+    return scored.selectExpr("*", f"{verdict} AS is_anomaly")
 
 
 def all_buckets(rows: DataFrame, ts: str, period: str) -> DataFrame:
     """Every bucket from the first to the last one with rows, also those without."""
-    ends = rows.agg(F.min(ts).alias("a"), F.max(ts).alias("b"))
-    days = ends.select(
-        F.explode(
-            F.sequence(F.col("a").cast("date"), F.col("b").cast("date"), F.expr("interval 1 day"))
-        ).alias("d"),
-        "a",
-        "b",
-    )
+    ends = rows.selectExpr(f"min({ts}) AS a", f"max({ts}) AS b")
+    days = ends.selectExpr("explode(sequence(cast(a AS date), cast(b AS date), interval 1 day)) AS d", "a", "b")
     if period == "day":
-        return days.select(F.col("d").cast("timestamp_ntz").alias("bucket"))
-    hours = days.select(F.explode(F.sequence(F.lit(0), F.lit(23))).alias("h"), "d", "a", "b").select(
-        plus_hours(F.col("d").cast("timestamp_ntz"), F.col("h")).alias("bucket"), "a", "b"
+        return days.selectExpr("cast(d AS timestamp_ntz) AS bucket")
+    hours = days.selectExpr("explode(sequence(0, 23)) AS h", "d", "a", "b").selectExpr(
+        f"{plus_hours('cast(d AS timestamp_ntz)', 'h')} AS bucket", "a", "b"
     )
-    return hours.filter(
-        (F.col("bucket") >= hour_of(F.col("a"))) & (F.col("bucket") <= hour_of(F.col("b")))
-    ).select("bucket")
+    return hours.filter(f"bucket BETWEEN {hour_of('a')} AND {hour_of('b')}").select("bucket")
+
+
+def _per_bucket(rows: DataFrame, ts: str, period: str, *more: str) -> GroupedData:
+    return rows.selectExpr("*", f"{BUCKETS[period](ts)} AS bucket").groupBy("bucket", *more)
 
 
 def volume_anomalies(rows: DataFrame, ts: str, period: str = "day") -> DataFrame:
     """Rows per bucket; a bucket without rows counts 0."""
-    counts = rows.groupBy(bucket_of(F.col(ts), period).alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
+    counts = _per_bucket(rows, ts, period).agg(F.expr("count(1) AS n"))
     full = all_buckets(rows, ts, period).join(counts, "bucket", "left")
-    return score(full.select("bucket", F.coalesce("n", F.lit(0)).alias("value")))
+    return score(full.selectExpr("bucket", "coalesce(n, 0) AS value"))
 
 
 def dimension_anomalies(rows: DataFrame, ts: str, dimension: str, period: str = "day") -> DataFrame:
     """Rows per bucket and value of a dimension, each value against its own history."""
-    counts = rows.groupBy(bucket_of(F.col(ts), period).alias("bucket"), F.col(dimension)).agg(
-        F.count(F.lit(1)).alias("value")
-    )
+    counts = _per_bucket(rows, ts, period, dimension).agg(F.expr("count(1) AS value"))
     return score(counts, by=[dimension])
 
 
 def freshness_anomalies(rows: DataFrame, ts: str, period: str = "hour") -> DataFrame:
     """Seconds from the newest row so far to the end of each bucket."""
-    newest = rows.groupBy(bucket_of(F.col(ts), period).alias("bucket")).agg(F.max(ts).alias("newest"))
+    newest = _per_bucket(rows, ts, period).agg(F.expr(f"max({ts}) AS newest"))
     full = all_buckets(rows, ts, period).join(newest, "bucket", "left")
-    so_far = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    length = F.lit(1 if period == "hour" else 24)
-    gap = seconds_between(F.max("newest").over(so_far), plus_hours(F.col("bucket"), length))
-    return score(full.select("bucket", gap.cast("double").alias("value")))
+    so_far = "max(newest) OVER (ORDER BY bucket ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    end = plus_hours("bucket", "1" if period == "hour" else "24")
+    return score(full.selectExpr("bucket", f"cast({seconds_between(so_far, end)} AS double) AS value"))
 
 
 def event_freshness_anomalies(rows: DataFrame, event_ts: str, update_ts: str, period: str = "day") -> DataFrame:
     """Longest lag, in seconds, from an event to its update per bucket of updates."""
-    lag = seconds_between(F.col(event_ts), F.col(update_ts)).cast("double")
-    worst = rows.groupBy(bucket_of(F.col(update_ts), period).alias("bucket")).agg(F.max(lag).alias("value"))
-    return score(worst)
+    lag = f"cast({seconds_between(event_ts, update_ts)} AS double)"
+    return score(_per_bucket(rows, update_ts, period).agg(F.expr(f"max({lag}) AS value")))
 
 
 METRICS = {
-    "zero_count": lambda c: F.count_if(c == 0).cast("double"),
-    "null_count": lambda c: F.count_if(c.isNull()).cast("double"),
-    "min": lambda c: F.min(c).cast("double"),
-    "max": lambda c: F.max(c).cast("double"),
+    "zero_count": "cast(count_if({0} = 0) AS double)",
+    "null_count": "cast(count_if({0} IS NULL) AS double)",
+    "min": "cast(min({0}) AS double)",
+    "max": "cast(max({0}) AS double)",
 }
 NULL_ONLY = ["null_count"]
 
@@ -109,16 +101,13 @@ def column_anomalies(
     """
     numeric = {f.name for f in rows.schema.fields if f.dataType.typeName() in NUMERIC}
     wanted = [(c, m) for c in columns for m in metrics if c in numeric or m in NULL_ONLY]
-    wide = rows.groupBy(bucket_of(F.col(ts), period).alias("bucket")).agg(
-        *[METRICS[m](F.col(c)).alias(f"m{i}") for i, (c, m) in enumerate(wanted)]
+    wide = _per_bucket(rows, ts, period).agg(
+        *[F.expr(f"{METRICS[m].format(c)} AS m{i}") for i, (c, m) in enumerate(wanted)]
     )
-    cells = F.array(
-        *[
-            F.struct(F.lit(c).alias("column_name"), F.lit(m).alias("metric"), F.col(f"m{i}").alias("value"))
-            for i, (c, m) in enumerate(wanted)
-        ]
+    cells = ", ".join(
+        f"named_struct('column_name', '{c}', 'metric', '{m}', 'value', m{i})" for i, (c, m) in enumerate(wanted)
     )
-    return score(wide.select("bucket", F.inline(cells)), by=["column_name", "metric"])
+    return score(wide.selectExpr("bucket", f"inline(array({cells}))"), by=["column_name", "metric"])
 
 
 NUMERIC = {"byte", "short", "integer", "long", "float", "double", "decimal"}

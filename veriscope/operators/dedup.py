@@ -4,15 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 
-def latest_per_key(rows: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
-    """The first row of every key in the given order; NULL keys form one group.
+def latest_per_key(rows: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """The first row of every key in the given order, such as ``"t DESC NULLS LAST"``.
 
-    Spark turns the row-number filter into a limit per key that runs in each map task, so a key
-    that holds a large share of all rows sends one row per task into the shuffle.
+    NULL keys form one group.  Spark turns the row-number filter into a limit per key that runs in
+    each map task, so a key that holds a large share of all rows sends one row per task into the
+    shuffle.
     """
-    ranked = rows.withColumn("_rn", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
-    return ranked.filter(F.col("_rn") == 1).drop("_rn")
+    rank = f"row_number() OVER (PARTITION BY {', '.join(keys)} ORDER BY {', '.join(order)})"
+    return rows.selectExpr("*", f"{rank} AS _rn").filter("_rn = 1").drop("_rn")

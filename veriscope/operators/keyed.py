@@ -5,10 +5,10 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.clock import NTZ, hour_of, ntz
+from ..functions.clock import hour_of, ntz
 from ..schemas import OPEN_END
 
 
@@ -50,7 +50,7 @@ def next_in_time(rows: DataFrame, key: str, time: str, name: str) -> DataFrame:
     next non-empty hour, from a table with one row per key and hour.  ``time`` must not be NULL
     and not repeat within a key.
     """
-    by_hour = rows.withColumn("_hour", hour_of(F.col(time)))
+    by_hour = rows.selectExpr("*", f"{hour_of(time)} AS _hour")
     in_hour = Window.partitionBy(key, "_hour").orderBy(time)
     hours = by_hour.groupBy(key, "_hour").agg(F.min(time).alias("_first"))
     hours = hours.withColumn("_next_first", F.lead("_first").over(Window.partitionBy(key).orderBy("_hour"))).drop(
@@ -70,7 +70,7 @@ def scd2_history(log: DataFrame, key: str, change: str) -> DataFrame:
     return versions.select(
         *log.columns,
         F.col(change).alias("valid_from_dttm"),
-        F.coalesce("_until", ntz(OPEN_END)).alias("valid_to_dttm"),
+        F.coalesce("_until", F.expr(ntz(OPEN_END))).alias("valid_to_dttm"),
     )
 
 
@@ -104,15 +104,15 @@ def scd2_changes(
 
 
 def scd2_upsert(
-    target: DataFrame, batch: DataFrame, key: str, change: str, now: dt.datetime | Column
+    target: DataFrame, batch: DataFrame, key: str, change: str, now: dt.datetime
 ) -> DataFrame:
     """All versions after a batch: changed active versions end at ``now``, new ones start there.
 
     ``batch`` has the columns of ``target`` but for the span of validity.  Of several new versions
     of one key only the newest stays in force; the others start and end at ``now``.
     """
-    moment = ntz(now) if isinstance(now, dt.datetime) else now.cast(NTZ)
-    in_force = F.col("valid_to_dttm") == ntz(OPEN_END)
+    moment = F.expr(ntz(now))
+    in_force = F.expr(f"valid_to_dttm = {ntz(OPEN_END)}")
     opened = scd2_changes(target.filter(in_force), batch, key, change)
     replaced = opened.filter("_replaces").select(key, F.lit(True).alias("_closed")).distinct()
     before = (
@@ -126,14 +126,14 @@ def scd2_upsert(
     after = opened.select(
         *batch.columns,
         moment.alias("valid_from_dttm"),
-        F.when(F.col("_is_newest"), ntz(OPEN_END)).otherwise(moment).alias("valid_to_dttm"),
+        F.when(F.col("_is_newest"), F.expr(ntz(OPEN_END))).otherwise(moment).alias("valid_to_dttm"),
     ).select(*target.columns)
     return before.unionByName(after)
 
 
 def scd2_counts(target: DataFrame, batch: DataFrame, key: str, change: str) -> DataFrame:
     """How many batch rows a load inserts and how many it skips."""
-    in_force = target.filter(F.col("valid_to_dttm") == ntz(OPEN_END))
+    in_force = target.filter(f"valid_to_dttm = {ntz(OPEN_END)}")
     opened = scd2_changes(in_force, batch, key, change).agg(F.count(F.lit(1)).alias("inserted"))
     total = batch.agg(F.count(F.lit(1)).alias("_total"))
     return opened.join(total).select("inserted", (F.col("_total") - F.col("inserted")).alias("skipped"))

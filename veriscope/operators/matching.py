@@ -15,54 +15,45 @@ def enrich_city(rows: DataFrame, cities: DataFrame, dedupe_dimension: bool = Fal
     dimension to all executors only below its broadcast threshold; beyond that both sides are
     shuffled on the position, and adaptive execution splits a position that holds too many rows.
     """
-    dimension = cities.select(
-        F.round(exact(F.col("latitude")), 2).alias("_lat"),
-        F.round(exact(F.col("longitude")), 2).alias("_lon"),
-        "city",
-        "country",
-    )
+    place = lambda x: f"round({exact(x)}, 2)"
+    dimension = cities.selectExpr(f"{place('latitude')} AS _lat", f"{place('longitude')} AS _lon", "city", "country")
     if dedupe_dimension:
         dimension = dimension.dropDuplicates(["_lat", "_lon"])
-    same_place = (F.round(exact(rows["latitude"]), 2) == dimension["_lat"]) & (
-        F.round(exact(rows["longitude"]), 2) == dimension["_lon"]
-    )
+    same_place = F.expr(f"{place('latitude')} = _lat AND {place('longitude')} = _lon")
     return rows.join(dimension, same_place, "left").drop("_lat", "_lon")
 
 
 def actual_values(observations: DataFrame) -> DataFrame:
     """What was observed per city and time: the mean over all providers."""
     return observations.groupBy("city", "observation_time").agg(
-        F.avg("temperature_celsius").alias("actual_temperature"),
-        F.avg("humidity_percent").alias("actual_humidity"),
-        F.avg("wind_speed_ms").alias("actual_wind_speed"),
-        F.count_distinct("provider").alias("providers_count"),
+        F.expr("avg(temperature_celsius) AS actual_temperature"),
+        F.expr("avg(humidity_percent) AS actual_humidity"),
+        F.expr("avg(wind_speed_ms) AS actual_wind_speed"),
+        F.expr("count(DISTINCT provider) AS providers_count"),
     )
 
 
 def forecast_errors(forecasts: DataFrame, actuals: DataFrame) -> DataFrame:
     """Forecasts joined on city and exact time with what was observed, and their errors."""
-    f = forecasts.select(
+    f = forecasts.selectExpr(
         "city",
         "provider",
         "hours_ahead_interval",
         "forecast_timestamp",
-        F.col("temperature_celsius").alias("forecast_temperature"),
-        F.col("humidity_percent").alias("forecast_humidity"),
-        F.col("wind_speed_ms").alias("forecast_wind_speed"),
+        "temperature_celsius AS forecast_temperature",
+        "humidity_percent AS forecast_humidity",
+        "wind_speed_ms AS forecast_wind_speed",
     )
     a = actuals.withColumnRenamed("observation_time", "forecast_timestamp").drop("providers_count")
-    temperature = F.col("forecast_temperature") - F.col("actual_temperature")
-    humidity = F.col("forecast_humidity") - F.col("actual_humidity")
-    wind = F.col("forecast_wind_speed") - F.col("actual_wind_speed")
     return (
         f.join(a, ["city", "forecast_timestamp"])
-        .filter(F.col("actual_temperature").isNotNull())
-        .select(
+        .filter("actual_temperature IS NOT NULL")
+        .selectExpr(
             "*",
-            F.abs(temperature).alias("temperature_error_abs"),
-            F.abs(humidity).alias("humidity_error_abs"),
-            F.abs(wind).alias("wind_speed_error_abs"),
-            (temperature * temperature).alias("temperature_squared_error"),
-            (humidity * humidity).alias("humidity_squared_error"),
+            "abs(forecast_temperature - actual_temperature) AS temperature_error_abs",
+            "abs(forecast_humidity - actual_humidity) AS humidity_error_abs",
+            "abs(forecast_wind_speed - actual_wind_speed) AS wind_speed_error_abs",
+            "power(forecast_temperature - actual_temperature, 2) AS temperature_squared_error",
+            "power(forecast_humidity - actual_humidity, 2) AS humidity_squared_error",
         )
     )

@@ -5,7 +5,7 @@ A request has one answer per provider, so each group holds a handful of rows.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..schemas import DEFAULT_HOURS, MAX_HOURS, MIN_HOURS, PROVIDERS
@@ -14,21 +14,15 @@ from ..schemas import DEFAULT_HOURS, MAX_HOURS, MIN_HOURS, PROVIDERS
 ISO_JSON = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
 
 
-def provider_position(provider: Column) -> Column:
-    return F.array_position(F.array(*[F.lit(p) for p in PROVIDERS]), provider)
-
-
-def _in_provider_order(entry: Column) -> Column:
-    """Collects entries and puts them into the fixed order of the providers."""
-    ranked = F.array_sort(
-        F.collect_list(F.struct(provider_position(F.col("provider")).alias("at"), F.to_json(entry, ISO_JSON).alias("e"), entry.alias("entry")).alias("x")),
-        lambda a, b: F.when(a["at"] < b["at"], -1)
-        .when(a["at"] > b["at"], 1)
-        .when(a["e"] < b["e"], -1)
-        .when(a["e"] > b["e"], 1)
-        .otherwise(0),
-    )
-    return F.transform(ranked, lambda x: x["entry"])
+def _in_provider_order(fields: list[str]) -> str:
+    """Collects structs of the fields and puts them into the fixed order of the providers."""
+    position = f"array_position(array({', '.join(repr(p) for p in PROVIDERS)}), provider)"
+    # Text that orders several answers of one provider, which a request does not normally have.
+    settle = f"to_json(named_struct({', '.join(f'{f!r}, {f}' for f in fields)}))"
+    entry = f"named_struct({', '.join(f'{f!r}, {f}' for f in fields)})"
+    before = "CASE WHEN a.at < b.at OR (a.at = b.at AND a.s < b.s) THEN -1 WHEN a.at = b.at AND a.s = b.s THEN 0 ELSE 1 END"
+    collected = f"collect_list(named_struct('at', {position}, 's', {settle}, 'entry', {entry}))"
+    return f"transform(array_sort({collected}, (a, b) -> {before}), x -> x.entry)"
 
 
 def nest_current(samples: DataFrame) -> DataFrame:
@@ -37,18 +31,18 @@ def nest_current(samples: DataFrame) -> DataFrame:
     if "raw" in samples.columns:
         fields.append("raw")
     return samples.groupBy("request_id", "latitude", "longitude").agg(
-        _in_provider_order(F.struct(*fields)).alias("samples"),
-        F.avg("temperature_c").alias("average_temperature_c"),
-        F.avg("humidity").alias("average_humidity"),
-        F.max("fetched_at").alias("fetched_at"),
+        F.expr(f"{_in_provider_order(fields)} AS samples"),
+        F.expr("avg(temperature_c) AS average_temperature_c"),
+        F.expr("avg(humidity) AS average_humidity"),
+        F.expr("max(fetched_at) AS fetched_at"),
     )
 
 
 def nest_forecast(forecasts: DataFrame) -> DataFrame:
     """Per request: the points of each provider, nested twice, without averages."""
     return forecasts.groupBy("request_id", "latitude", "longitude", "hours").agg(
-        _in_provider_order(F.struct("provider", "points")).alias("forecasts"),
-        F.max("fetched_at").alias("fetched_at"),
+        F.expr(f"{_in_provider_order(['provider', 'points'])} AS forecasts"),
+        F.expr("max(fetched_at) AS fetched_at"),
     )
 
 
@@ -79,5 +73,5 @@ def with_default_hours(requests: DataFrame) -> DataFrame:
     return requests.withColumn("hours", F.coalesce(F.col("hours"), F.lit(DEFAULT_HOURS)))
 
 
-def hours_allowed(hours: Column) -> Column:
-    return hours.between(MIN_HOURS, MAX_HOURS)
+def hours_allowed(hours: str) -> str:
+    return f"({hours} BETWEEN {MIN_HOURS} AND {MAX_HOURS})"

@@ -11,7 +11,7 @@ split them, so a bad answer of one provider never stops the others.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.clock import date_and_code, epoch_to_time, iso_time, iso_time_or
@@ -45,6 +45,7 @@ FORECAST_PAYLOAD = """
 POINTS = """array<struct<
     time: timestamp_ntz, temperature_c: double, wind_speed_kph: double, humidity: double,
     bad_number: boolean, no_temperature: boolean>>"""
+IN_METRES_PER_SECOND = "provider IN ('openweathermap', 'weatherbit')"
 # The one provider that keys its days by date instead of listing them.
 DATED_PAYLOAD = """
     forecast map<string, struct<hourly array<struct<
@@ -52,138 +53,114 @@ DATED_PAYLOAD = """
 """
 
 
-def _by_provider(cases: dict[str, Column]) -> Column:
-    branches = F
-    for provider, value in cases.items():
-        branches = branches.when(F.col("provider") == provider, value)
-    return branches.otherwise(F.lit(None))
+def _by_provider(cases: dict[str, str]) -> str:
+    whens = " ".join(f"WHEN '{provider}' THEN {value}" for provider, value in cases.items())
+    return f"CASE provider {whens} END"
 
 
-def _once(value: Column, name: str) -> Column:
+def _once(value: str, name: str) -> str:
     """A costly value that is computed once per row.
 
     Spark moves filters on a plain column below the projection that makes it, and would compute
     (here: parse) it again for the filter.  It does not move them below a generator.
     """
-    return F.explode_outer(F.array(value)).alias(name)
+    return f"explode_outer(array({value})) AS {name}"
 
 
-def _is_object(payload: Column) -> Column:
-    return F.json_object_keys(payload).isNotNull()
+def _from_json(schema: str) -> str:
+    return f"from_json(payload, '{' '.join(schema.split())}')"
 
 
-def _names_error(payload: Column) -> Column:
-    return F.array_contains(F.json_object_keys(payload), "error")
+IS_OBJECT = "json_object_keys(payload) IS NOT NULL"
+NAMES_ERROR = "provider = 'weatherstack' AND array_contains(json_object_keys(payload), 'error')"
+UNKNOWN = f"provider IS NULL OR provider NOT IN ({', '.join(repr(p) for p in PROVIDERS)})"
 
 
-def _unreadable(text: Column) -> Column:
-    return text.isNotNull() & number_or_null(text).isNull()
+def _unreadable(*texts: str) -> str:
+    return " OR ".join(f"({t} IS NOT NULL AND {number_or_null(t)} IS NULL)" for t in texts)
 
 
 def normalize_current(landing: DataFrame, keep_raw: bool = True) -> DataFrame:
     """One normalised sample per landed answer, with the reason if the answer is unusable."""
-    parsed = landing.select("*", _once(F.from_json("payload", CURRENT_PAYLOAD), "p"))
-    first = F.get(F.col("p.data"), F.lit(0))
-
-    texts = parsed.select(
-        "*",
-        _by_provider(
-            {
-                "open_meteo": F.col("p.current_weather.temperature"),
-                "openweathermap": F.col("p.main.temp"),
-                "weatherapi": F.col("p.current.temp_c"),
-                "weatherbit": first["temp"],
-                "weatherstack": F.col("p.current.temperature"),
-            }
-        ).alias("temperature_text"),
-        _by_provider(
-            {
-                "openweathermap": F.col("p.main.humidity"),
-                "weatherapi": F.col("p.current.humidity"),
-                "weatherbit": first["rh"],
-                "weatherstack": F.col("p.current.humidity"),
-            }
-        ).alias("humidity_text"),
-        _by_provider(
-            {
-                "open_meteo": F.col("p.current_weather.windspeed"),
-                "openweathermap": F.col("p.wind.speed"),
-                "weatherapi": F.col("p.current.wind_kph"),
-                "weatherbit": first["wind_spd"],
-                "weatherstack": F.col("p.current.wind_speed"),
-            }
-        ).alias("wind_text"),
-        _by_provider(
-            {
-                "openweathermap": F.get(F.col("p.weather"), F.lit(0))["description"],
-                "weatherapi": F.col("p.current.condition.text"),
-                "weatherbit": first["weather"]["description"],
-                "weatherstack": F.get(F.col("p.current.weather_descriptions"), F.lit(0)),
-            }
-        ).alias("condition"),
-        _by_provider(
-            {
-                "open_meteo": iso_time(F.col("p.current_weather.time")),
-                "openweathermap": epoch_to_time(F.col("p.dt")),
-                "weatherapi": iso_time(F.col("p.current.last_updated")),
-                "weatherbit": iso_time(first["ob_time"]),
-                "weatherstack": iso_time(F.col("p.location.localtime")),
-            }
-        ).alias("observation_time"),
-    )
-    wind = number_or_null(F.col("wind_text"))
-    in_metres_per_second = F.col("provider").isin("openweathermap", "weatherbit")
-    reason = (
-        F.when(~F.col("provider").isin(PROVIDERS) | F.col("provider").isNull(), "unknown_provider")
-        .when(~_is_object(F.col("payload")), "bad_payload")
-        .when((F.col("provider") == "weatherstack") & _names_error(F.col("payload")), "provider_error")
-        .when((F.col("provider") == "weatherbit") & (F.coalesce(F.size("p.data"), F.lit(0)) < 1), "empty_data")
-        .when(
-            _unreadable(F.col("temperature_text"))
-            | _unreadable(F.col("humidity_text"))
-            | _unreadable(F.col("wind_text")),
-            "bad_number",
-        )
-        .when(F.col("temperature_text").isNull(), "missing_temperature")
+    kept = [c for c in landing.columns if c != "payload"]
+    temperature = {
+        "open_meteo": "p.current_weather.temperature",
+        "openweathermap": "p.main.temp",
+        "weatherapi": "p.current.temp_c",
+        "weatherbit": "get(p.data, 0).temp",
+        "weatherstack": "p.current.temperature",
+    }
+    humidity = {
+        "openweathermap": "p.main.humidity",
+        "weatherapi": "p.current.humidity",
+        "weatherbit": "get(p.data, 0).rh",
+        "weatherstack": "p.current.humidity",
+    }
+    wind = {
+        "open_meteo": "p.current_weather.windspeed",
+        "openweathermap": "p.wind.speed",
+        "weatherapi": "p.current.wind_kph",
+        "weatherbit": "get(p.data, 0).wind_spd",
+        "weatherstack": "p.current.wind_speed",
+    }
+    condition = {
+        "openweathermap": "get(p.weather, 0).description",
+        "weatherapi": "p.current.condition.text",
+        "weatherbit": "get(p.data, 0).weather.description",
+        "weatherstack": "get(p.current.weather_descriptions, 0)",
+    }
+    time = {
+        "open_meteo": iso_time("p.current_weather.time"),
+        "openweathermap": epoch_to_time("p.dt"),
+        "weatherapi": iso_time("p.current.last_updated"),
+        "weatherbit": iso_time("get(p.data, 0).ob_time"),
+        "weatherstack": iso_time("p.location.localtime"),
+    }
+    texts = landing.selectExpr("*", _once(_from_json(CURRENT_PAYLOAD), "p")).selectExpr(
+        *kept,
+        "payload",
+        "p",
+        f"{_by_provider(temperature)} AS temperature_text",
+        f"{_by_provider(humidity)} AS humidity_text",
+        f"{_by_provider(wind)} AS wind_text",
+        f"{_by_provider(condition)} AS condition",
+        f"{_by_provider(time)} AS observation_time",
     )
-    raw = [F.try_parse_json("payload").alias("raw")] if keep_raw else []
-    return texts.select(
-        *[c for c in landing.columns if c != "payload"],
-        number_or_null(F.col("temperature_text")).alias("temperature_c"),
-        F.when(in_metres_per_second, ms_to_kph(wind)).otherwise(wind).alias("wind_speed_kph"),
-        number_or_null(F.col("humidity_text")).alias("humidity"),
+    reason = f"""CASE
+        WHEN {UNKNOWN} THEN 'unknown_provider'
+        WHEN NOT ({IS_OBJECT}) THEN 'bad_payload'
+        WHEN {NAMES_ERROR} THEN 'provider_error'
+        WHEN provider = 'weatherbit' AND coalesce(size(p.data), 0) < 1 THEN 'empty_data'
+        WHEN {_unreadable("temperature_text", "humidity_text", "wind_text")} THEN 'bad_number'
+        WHEN temperature_text IS NULL THEN 'missing_temperature' END"""
+    speed = number_or_null("wind_text")
+    return texts.selectExpr(
+        *kept,
+        f"{number_or_null('temperature_text')} AS temperature_c",
+        f"CASE WHEN {IN_METRES_PER_SECOND} THEN {ms_to_kph(speed)} ELSE {speed} END AS wind_speed_kph",
+        f"{number_or_null('humidity_text')} AS humidity",
         "condition",
         "observation_time",
-        *raw,
-        reason.alias("reject_reason"),
+        *(["try_parse_json(payload) AS raw"] if keep_raw else []),
+        f"{reason} AS reject_reason",
     )
 
 
-def _point(time: Column, temp: Column, humidity: Column, wind: Column, in_ms: bool = False) -> Column:
+def _point(time: str, temp: str, humidity: str, wind: str, in_ms: bool = False) -> str:
     kph = number_or_null(wind)
-    return F.struct(
-        time.alias("time"),
-        number_or_null(temp).alias("temperature_c"),
-        (ms_to_kph(kph) if in_ms else kph).alias("wind_speed_kph"),
-        number_or_null(humidity).alias("humidity"),
-        (_unreadable(temp) | _unreadable(humidity) | _unreadable(wind)).alias("bad_number"),
-        temp.isNull().alias("no_temperature"),
-    )
+    return f"""named_struct(
+        'time', {time},
+        'temperature_c', {number_or_null(temp)},
+        'wind_speed_kph', {ms_to_kph(kph) if in_ms else kph},
+        'humidity', {number_or_null(humidity)},
+        'bad_number', {_unreadable(temp, humidity, wind)},
+        'no_temperature', {temp} IS NULL)"""
 
 
-def _or_empty(text: Column) -> Column:
-    """Empty text counts as missing."""
-    return F.nullif(text, F.lit(""))
-
-
-def _nested_or_none(days: Column, field: str) -> Column:
-    """The inner arrays of an array of structs, a missing one counting as empty, as one array."""
-    return F.flatten(
-        F.transform(
-            F.filter(days, lambda day: day[field].isNotNull()),
-            lambda day: day[field],
-        )
-    )
+def _nested(entries: str, inner: str, each: str = "") -> str:
+    """The inner arrays of an array, a missing one counting as empty, as one array."""
+    known = f"filter({entries}, x -> {inner} IS NOT NULL)"
+    return f"flatten(transform({known}, x -> {each or inner}))"
 
 
 def normalize_forecast(landing: DataFrame) -> DataFrame:
@@ -192,118 +169,63 @@ def normalize_forecast(landing: DataFrame) -> DataFrame:
     Three providers lose single points without a temperature; the other two lose the whole answer.
     ``hours`` cuts the list of the two providers that answer in whole days.
     """
-    now = F.col("fetched_at")
-    hours = F.coalesce(F.col("hours"), F.lit(DEFAULT_HOURS))
-    is_dated = F.col("provider") == "weatherstack"
-    parsed = landing.select(
+    hours = f"coalesce(hours, {DEFAULT_HOURS})"
+    now = "fetched_at"
+    parsed = landing.selectExpr(
         "*",
         _once(
-            F.struct(
-                F.when(~is_dated, F.from_json("payload", FORECAST_PAYLOAD)).alias("listed"),
-                F.when(is_dated, F.from_json("payload", DATED_PAYLOAD)).alias("dated"),
-            ),
-            "both",
-        ),
-    ).select(*landing.columns, F.col("both.listed").alias("p"), F.col("both.dated").alias("d"))
-    times, temps = F.col("p.hourly.time"), F.col("p.hourly.temperature_2m")
-    both = F.least(F.size(times), F.size(temps))
-    zipped = F.slice(
-        F.arrays_zip(
-            times.alias("t"),
-            temps.alias("temp"),
-            F.coalesce(F.col("p.hourly.relativehumidity_2m"), F.array().cast("array<string>")).alias("hum"),
-            F.coalesce(F.col("p.hourly.windspeed_10m"), F.array().cast("array<string>")).alias("wind"),
+            f"""named_struct(
+            'listed', CASE WHEN provider <> 'weatherstack' THEN {_from_json(FORECAST_PAYLOAD)} END,
+            'dated', CASE WHEN provider = 'weatherstack' THEN {_from_json(DATED_PAYLOAD)} END)""",
+            "p",
         ),
-        F.lit(1),
-        both,
-    )
-    dated = F.flatten(
-        F.transform(
-            F.filter(F.map_entries("d.forecast"), lambda day: day["value"]["hourly"].isNotNull()),
-            lambda day: F.transform(
-                day["value"]["hourly"],
-                lambda h: F.struct(day["key"].alias("date"), h.alias("h")),
-            ),
-        )
-    )
-    has_temperature = lambda point: ~point["no_temperature"]
-    all_points = _by_provider(
-        {
-            "open_meteo": F.transform(
-                zipped, lambda z: _point(iso_time_or(z["t"], now), z["temp"], z["hum"], z["wind"])
-            ),
-            "openweathermap": F.transform(
-                F.col("p.list"),
-                lambda i: _point(
-                    F.coalesce(epoch_to_time(i["dt"]), now),
-                    i["main"]["temp"],
-                    i["main"]["humidity"],
-                    i["wind"]["speed"],
-                    in_ms=True,
-                ),
-            ),
-            "weatherapi": F.filter(
-                F.transform(
-                    _nested_or_none(F.col("p.forecast.forecastday"), "hour"),
-                    lambda h: _point(iso_time_or(h["time"], now), h["temp_c"], h["humidity"], h["wind_kph"]),
-                ),
-                has_temperature,
-            ),
-            "weatherbit": F.filter(
-                F.transform(
-                    F.col("p.data"),
-                    lambda i: _point(
-                        iso_time_or(
-                            F.coalesce(_or_empty(i["timestamp_local"]), i["timestamp_utc"]), now
-                        ),
-                        i["temp"],
-                        i["rh"],
-                        i["wind_spd"],
-                        in_ms=True,
-                    ),
-                ),
-                has_temperature,
-            ),
-            "weatherstack": F.filter(
-                F.transform(
-                    dated,
-                    lambda x: _point(
-                        date_and_code(x["date"], x["h"]["time"], now),
-                        x["h"]["temperature"],
-                        x["h"]["humidity"],
-                        x["h"]["wind_speed"],
-                    ),
-                ),
-                has_temperature,
-            ),
-        }
     )
-    points = parsed.select(
-        *landing.columns, _once(F.coalesce(all_points, F.array().cast(POINTS)), "all_points")
+    hourly = "p.listed.hourly"
+    # As many points as there are both times and temperatures; the other lists may be shorter.
+    timed = f"slice({hourly}.time, 1, least(size({hourly}.time), size({hourly}.temperature_2m)))"
+    nth = lambda name: f"get({hourly}.{name}, n)"
+    local_or_utc = "coalesce(nullif(i.timestamp_local, ''), i.timestamp_utc)"
+    of_days = _nested("p.listed.forecast.forecastday", "x.hour")
+    of_dates = _nested(
+        "map_entries(p.dated.forecast)",
+        "x.value.hourly",
+        "transform(x.value.hourly, h -> named_struct('date', x.key, 'h', h))",
     )
-    reason = (
-        F.when(~F.col("provider").isin(PROVIDERS) | F.col("provider").isNull(), "unknown_provider")
-        .when(~hours.between(MIN_HOURS, MAX_HOURS), "hours_out_of_range")
-        .when(~_is_object(F.col("payload")), "bad_payload")
-        .when((F.col("provider") == "weatherstack") & _names_error(F.col("payload")), "provider_error")
-        .when(F.exists("all_points", lambda point: point["bad_number"]), "bad_number")
-        .when(F.exists("all_points", lambda point: point["no_temperature"]), "missing_temperature")
-        .when(F.exists("all_points", lambda point: point["time"].isNull()), "bad_time")
+    with_temperature = "q -> NOT q.no_temperature"
+    points = {
+        "open_meteo": f"""transform({timed}, (t, n) -> {_point(
+            iso_time_or('t', now), nth('temperature_2m'), nth('relativehumidity_2m'), nth('windspeed_10m')
+        )})""",
+        "openweathermap": f"""transform(p.listed.list, i -> {_point(
+            f"coalesce({epoch_to_time('i.dt')}, {now})", 'i.main.temp', 'i.main.humidity', 'i.wind.speed', in_ms=True
+        )})""",
+        "weatherapi": f"""filter(transform({of_days}, h -> {_point(
+            iso_time_or('h.time', now), 'h.temp_c', 'h.humidity', 'h.wind_kph'
+        )}), {with_temperature})""",
+        "weatherbit": f"""filter(transform(p.listed.data, i -> {_point(
+            iso_time_or(local_or_utc, now), 'i.temp', 'i.rh', 'i.wind_spd', in_ms=True
+        )}), {with_temperature})""",
+        "weatherstack": f"""filter(transform({of_dates}, y -> {_point(
+            date_and_code('y.date', 'y.h.time', now), 'y.h.temperature', 'y.h.humidity', 'y.h.wind_speed'
+        )}), {with_temperature})""",
+    }
+    listed = parsed.selectExpr(
+        *landing.columns, _once(f"coalesce({_by_provider(points)}, cast(array() AS {POINTS}))", "listed")
     )
-    answers_in_days = F.col("provider").isin("weatherapi", "weatherstack")
-    kept = F.when(answers_in_days, F.slice("all_points", F.lit(1), hours)).otherwise(F.col("all_points"))
-    return points.select(
+    reason = f"""CASE
+        WHEN {UNKNOWN} THEN 'unknown_provider'
+        WHEN NOT ({hours} BETWEEN {MIN_HOURS} AND {MAX_HOURS}) THEN 'hours_out_of_range'
+        WHEN NOT ({IS_OBJECT}) THEN 'bad_payload'
+        WHEN {NAMES_ERROR} THEN 'provider_error'
+        WHEN exists(listed, q -> q.bad_number) THEN 'bad_number'
+        WHEN exists(listed, q -> q.no_temperature) THEN 'missing_temperature'
+        WHEN exists(listed, q -> q.time IS NULL) THEN 'bad_time' END"""
+    cut = f"CASE WHEN provider IN ('weatherapi', 'weatherstack') THEN slice(listed, 1, {hours}) ELSE listed END"
+    fields = ", ".join(f"'{f}', q.{f}" for f in ("time", "temperature_c", "wind_speed_kph", "humidity"))
+    return listed.selectExpr(
         *[c for c in landing.columns if c != "payload"],
-        F.transform(
-            kept,
-            lambda point: F.struct(
-                point["time"].alias("time"),
-                point["temperature_c"].alias("temperature_c"),
-                point["wind_speed_kph"].alias("wind_speed_kph"),
-                point["humidity"].alias("humidity"),
-            ),
-        ).alias("points"),
-        reason.alias("reject_reason"),
+        f"transform({cut}, q -> named_struct({fields})) AS points",
+        f"{reason} AS reject_reason",
     )
 
 
@@ -321,11 +243,11 @@ def rejected(normalized: DataFrame) -> DataFrame:
     return normalized.filter(F.col("reject_reason").isNotNull())
 
 
-def steps_of_three_hours(hours: Column) -> Column:
+def steps_of_three_hours(hours: str) -> str:
     """Number of three-hour points to ask for a horizon, which ends after five days there."""
-    return F.ceil(F.least(hours, F.lit(5 * 24)) / F.lit(3)).cast("int")
+    return f"cast(ceil(least({hours}, {5 * 24}) / 3) AS int)"
 
 
-def days_for(hours: Column) -> Column:
+def days_for(hours: str) -> str:
     """Number of whole days, at least one, to ask for a horizon."""
-    return F.greatest(F.lit(1), F.ceil(hours / F.lit(24)).cast("int"))
+    return f"greatest(1, cast(ceil({hours} / 24) AS int))"

@@ -6,7 +6,7 @@ from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -92,26 +92,22 @@ def failing_feels_like(
 # Suites
 
 
-def _row_condition(check: Check) -> Column | None:
+def _row_condition(check: Check) -> str | None:
     """The condition under which a single row fails, for checks that need one row only."""
     if check.kind == "not_null":
-        return F.col(check.column).isNull()
+        return f"{check.column} IS NULL"
     if check.kind == "expression":
-        failed = F.expr(f"not ({check.column} {check.expression})")
-        return F.expr(check.where) & failed if check.where else failed
+        failed = f"NOT ({check.column} {check.expression})"
+        return f"({check.where}) AND {failed}" if check.where else failed
     return None
 
 
-def _result(check: Check, failures: Column) -> Column:
-    failed = F.lit("error" if check.severity == "error" else "warn")
-    return F.struct(
-        F.lit(check.name).alias("check"),
-        F.lit(check.model).alias("model"),
-        F.lit(check.column).alias("column"),
-        F.lit(check.severity).alias("severity"),
-        failures.cast("bigint").alias("failures"),
-        F.when(failures > 0, failed).otherwise(F.lit("pass")).alias("status"),
-    )
+def _result(check: Check, failures: str) -> str:
+    """One result row of a check whose number of failures is in a column."""
+    failed = "error" if check.severity == "error" else "warn"
+    return f"""named_struct('check', '{check.name}', 'model', '{check.model}', 'column', '{check.column}',
+        'severity', '{check.severity}', 'failures', cast({failures} AS bigint),
+        'status', CASE WHEN {failures} > 0 THEN '{failed}' ELSE 'pass' END)"""
 
 
 def run_checks(models: Mapping[str, DataFrame], checks: Iterable[Check]) -> DataFrame:
@@ -122,18 +118,18 @@ def run_checks(models: Mapping[str, DataFrame], checks: Iterable[Check]) -> Data
     checks = list(checks)
     parts: list[DataFrame] = []
     for model in dict.fromkeys(c.model for c in checks):
-        rows = models[model]
         own = [c for c in checks if c.model == model]
-        single = [(c, _row_condition(c)) for c in own if _row_condition(c) is not None]
+        single = [c for c in own if _row_condition(c)]
         if single:
-            counted = rows.agg(*[F.count_if(condition).alias(f"f{i}") for i, (_, condition) in enumerate(single)])
-            results = F.array(*[_result(c, F.col(f"f{i}")) for i, (c, _) in enumerate(single)])
-            parts.append(counted.select(F.inline(results)))
+            counted = models[model].selectExpr(
+                *[f"count_if({_row_condition(c)}) AS f{i}" for i, c in enumerate(single)]
+            )
+            results = ", ".join(_result(c, f"f{i}") for i, c in enumerate(single))
+            parts.append(counted.selectExpr(f"inline(array({results}))"))
         for check in own:
-            if _row_condition(check) is None:
-                failing = _failing_values(models, check)
-                n = failing.agg(F.count(F.lit(1)).alias("f"))
-                parts.append(n.select(F.inline(F.array(_result(check, F.col("f"))))))
+            if check not in single:
+                counted = _failing_values(models, check).selectExpr("count(1) AS f")
+                parts.append(counted.selectExpr(f"inline(array({_result(check, 'f')}))"))
     return reduce(DataFrame.unionByName, parts)
 
 

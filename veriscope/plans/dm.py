@@ -5,12 +5,12 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.clock import day_of
 from ..functions.metrics import avg_where, mae, pct_within, rmse
-from ..functions.scalar import pg_round, ratio
+from ..functions.scalar import exact, pg_round, ratio
 from ..operators.matching import actual_values, forecast_errors
 from ..operators.medians import grouped_median, is_small
 from ..session import shared_folder
@@ -18,8 +18,11 @@ from ..session import shared_folder
 ACCURACY_KEY = ["provider", "hours_ahead_interval"]
 
 
-def updated_now() -> Column:
-    return F.localtimestamp().alias("dbt_updated_at")
+UPDATED_NOW = "localtimestamp() AS dbt_updated_at"
+
+
+def _aggregates(named: dict[str, str]) -> list[Column]:
+    return [F.expr(f"{expression} AS {name}") for name, expression in named.items()]
 
 
 def _written(rows: DataFrame) -> DataFrame:
@@ -49,36 +52,37 @@ def accuracy_of(errors: DataFrame, small: bool | None = None) -> DataFrame:
                 "humidity_squared_error",
             )
         )
-    temperature, humidity = F.col("temperature_error_abs"), F.col("humidity_error_abs")
-    median = [F.median(temperature).alias("_median")] if small else []
+    temperature, humidity = "temperature_error_abs", "humidity_error_abs"
     metrics = errors.groupBy(*ACCURACY_KEY).agg(
-        F.count(F.lit(1)).alias("total_forecasts"),
-        F.count_distinct("city").alias("cities_count"),
-        mae(temperature).alias("temperature_mae"),
-        rmse(F.col("temperature_squared_error")).alias("temperature_rmse"),
-        pg_round(F.max(temperature), 2).alias("temperature_max_error"),
-        pct_within(temperature, 2).alias("accuracy_within_2deg_pct"),
-        pct_within(temperature, 5).alias("accuracy_within_5deg_pct"),
-        mae(humidity).alias("humidity_mae"),
-        rmse(F.col("humidity_squared_error")).alias("humidity_rmse"),
-        pct_within(humidity, 10).alias("humidity_accuracy_within_10pct"),
-        mae(F.col("wind_speed_error_abs")).alias("wind_speed_mae"),
-        *median,
+        *_aggregates(
+            {
+                "total_forecasts": "count(1)",
+                "cities_count": "count(DISTINCT city)",
+                "temperature_mae": mae(temperature),
+                "temperature_rmse": rmse("temperature_squared_error"),
+                "temperature_max_error": pg_round(f"max({temperature})", 2),
+                "accuracy_within_2deg_pct": pct_within(temperature, 2),
+                "accuracy_within_5deg_pct": pct_within(temperature, 5),
+                "humidity_mae": mae(humidity),
+                "humidity_rmse": rmse("humidity_squared_error"),
+                "humidity_accuracy_within_10pct": pct_within(humidity, 10),
+                "wind_speed_mae": mae("wind_speed_error_abs"),
+                **({"_median": f"median({temperature})"} if small else {}),
+            }
+        )
     )
     if not small:
-        medians = grouped_median(errors, ACCURACY_KEY, "temperature_error_abs", "_median")
-        medians = medians.select(*[F.col(k).alias(f"_{k}") for k in ACCURACY_KEY], "_median")
-        same = F.lit(True)
-        for key in ACCURACY_KEY:
-            same = same & F.col(key).eqNullSafe(F.col(f"_{key}"))
-        metrics = metrics.join(medians, same, "left")
-    return metrics.select(
+        medians = grouped_median(errors, ACCURACY_KEY, temperature, "_median")
+        medians = medians.selectExpr(*[f"{k} AS _{k}" for k in ACCURACY_KEY], "_median")
+        same = " AND ".join(f"{k} <=> _{k}" for k in ACCURACY_KEY)
+        metrics = metrics.join(medians, F.expr(same), "left")
+    return metrics.selectExpr(
         *ACCURACY_KEY,
         "total_forecasts",
         "cities_count",
         "temperature_mae",
         "temperature_rmse",
-        pg_round(F.col("_median"), 2).alias("temperature_median_error"),
+        f"{pg_round('_median', 2)} AS temperature_median_error",
         "temperature_max_error",
         "accuracy_within_2deg_pct",
         "accuracy_within_5deg_pct",
@@ -86,7 +90,7 @@ def accuracy_of(errors: DataFrame, small: bool | None = None) -> DataFrame:
         "humidity_rmse",
         "humidity_accuracy_within_10pct",
         "wind_speed_mae",
-        updated_now(),
+        UPDATED_NOW,
     )
 
 
@@ -99,58 +103,57 @@ def dm_forecast_accuracy(
 
 def provider_rollup(accuracy: DataFrame) -> DataFrame:
     """Per provider: unweighted means over its lead times, also over short and long ones alone."""
-    short, long = F.col("hours_ahead_interval") <= 6, F.col("hours_ahead_interval") >= 12
-    error, share = F.col("temperature_mae"), F.col("accuracy_within_2deg_pct")
+    short, long = "hours_ahead_interval <= 6", "hours_ahead_interval >= 12"
+    error, share = "temperature_mae", "accuracy_within_2deg_pct"
     return accuracy.groupBy("provider").agg(
-        F.avg(error).alias("avg_temperature_mae"),
-        F.avg("temperature_rmse").alias("avg_temperature_rmse"),
-        F.avg(share).alias("avg_accuracy_2deg"),
-        F.avg("accuracy_within_5deg_pct").alias("avg_accuracy_5deg"),
-        F.avg("humidity_mae").alias("avg_humidity_mae"),
-        F.avg("wind_speed_mae").alias("avg_wind_speed_mae"),
-        avg_where(error, short).alias("short_term_temperature_mae"),
-        avg_where(share, short).alias("short_term_accuracy_2deg"),
-        avg_where(error, long).alias("long_term_temperature_mae"),
-        avg_where(share, long).alias("long_term_accuracy_2deg"),
-        F.sum("total_forecasts").alias("total_forecasts_all_intervals"),
+        *_aggregates(
+            {
+                "avg_temperature_mae": f"avg({error})",
+                "avg_temperature_rmse": "avg(temperature_rmse)",
+                "avg_accuracy_2deg": f"avg({share})",
+                "avg_accuracy_5deg": "avg(accuracy_within_5deg_pct)",
+                "avg_humidity_mae": "avg(humidity_mae)",
+                "avg_wind_speed_mae": "avg(wind_speed_mae)",
+                "short_term_temperature_mae": avg_where(error, short),
+                "short_term_accuracy_2deg": avg_where(share, short),
+                "long_term_temperature_mae": avg_where(error, long),
+                "long_term_accuracy_2deg": avg_where(share, long),
+                "total_forecasts_all_intervals": "sum(total_forecasts)",
+            }
+        )
     )
 
 
-def _place(order: Column) -> Column:
+def _place(metric: str, order: str = "ASC NULLS LAST") -> str:
     """Position over all providers, one row each; equal values are settled by name.
 
     Metrics are ranked at nine decimals, so that the last bit of a mean does not decide.
     """
-    return F.row_number().over(Window.orderBy(order, F.col("provider").asc_nulls_last()))
-
-
-def _settled(name: str) -> Column:
-    return F.round(F.col(name).cast("decimal(38,12)"), 9)
+    return f"row_number() OVER (ORDER BY round({exact(metric)}, 9) {order}, provider ASC NULLS LAST)"
 
 
 def rank_providers(rollup: DataFrame) -> DataFrame:
     """Four ranks per provider and the mean of four metric ranks."""
-    error = _place(_settled("avg_temperature_mae").asc_nulls_last())
-    share = _place(_settled("avg_accuracy_2deg").desc_nulls_first())
-    humidity = _place(_settled("avg_humidity_mae").asc_nulls_last())
-    wind = _place(_settled("avg_wind_speed_mae").asc_nulls_last())
-    return rollup.select(
+    error = _place("avg_temperature_mae")
+    # An unknown share comes first, as it does in a plain descending order of the marts' dialect.
+    share = _place("avg_accuracy_2deg", "DESC NULLS FIRST")
+    four = " + ".join([error, share, _place("avg_humidity_mae"), _place("avg_wind_speed_mae")])
+    return rollup.selectExpr(
         "*",
-        error.alias("rank_by_temperature_mae"),
-        share.alias("rank_by_accuracy_2deg"),
-        _place(_settled("short_term_temperature_mae").asc_nulls_last()).alias("rank_short_term"),
-        _place(_settled("long_term_temperature_mae").asc_nulls_last()).alias("rank_long_term"),
-        ((error + share + humidity + wind) / F.lit(4.0)).alias("overall_rank_score"),
+        f"{error} AS rank_by_temperature_mae",
+        f"{share} AS rank_by_accuracy_2deg",
+        f"{_place('short_term_temperature_mae')} AS rank_short_term",
+        f"{_place('long_term_temperature_mae')} AS rank_long_term",
+        f"({four}) / 4.0D AS overall_rank_score",
     )
 
 
 def dm_provider_ranking(accuracy: DataFrame) -> DataFrame:
     """Ranking of the providers over all their metrics: 19 columns."""
-    ranked = rank_providers(provider_rollup(accuracy))
-    rounded = lambda name, digits, alias=None: pg_round(F.col(name), digits).alias(alias or name)
-    return ranked.select(
+    rounded = lambda name, digits, alias=None: f"{pg_round(name, digits)} AS {alias or name}"
+    return rank_providers(provider_rollup(accuracy)).selectExpr(
         "provider",
-        _place(F.col("overall_rank_score").asc_nulls_last()).alias("overall_rank"),
+        f"{_place('overall_rank_score')} AS overall_rank",
         rounded("overall_rank_score", 2),
         rounded("avg_temperature_mae", 2),
         rounded("avg_temperature_rmse", 2),
@@ -167,38 +170,38 @@ def dm_provider_ranking(accuracy: DataFrame) -> DataFrame:
         "rank_short_term",
         "rank_long_term",
         "total_forecasts_all_intervals",
-        updated_now(),
+        UPDATED_NOW,
     )
 
 
 def dm_city_summary(observations: DataFrame) -> DataFrame:
     """History of each city: 23 columns."""
-    t, h, w, p = (
-        F.col(c) for c in ("temperature_celsius", "humidity_percent", "wind_speed_ms", "precipitation_mm")
-    )
+    t, h, w, p = "temperature_celsius", "humidity_percent", "wind_speed_ms", "precipitation_mm"
     stats = observations.groupBy("city", "country").agg(
-        pg_round(F.avg("latitude"), 4).alias("latitude"),
-        pg_round(F.avg("longitude"), 4).alias("longitude"),
-        F.min("observation_time").alias("first_observation"),
-        F.max("observation_time").alias("last_observation"),
-        F.count_distinct(day_of(F.col("observation_time"))).alias("days_tracked"),
-        F.count(F.lit(1)).alias("total_observations"),
-        F.count_distinct("provider").alias("providers_count"),
-        pg_round(F.avg(t), 1).alias("avg_temperature"),
-        pg_round(F.min(t), 1).alias("min_temperature"),
-        pg_round(F.max(t), 1).alias("max_temperature"),
-        pg_round(F.stddev_samp(t), 1).alias("stddev_temperature"),
-        pg_round(F.avg(h), 1).alias("avg_humidity"),
-        pg_round(F.min(h), 1).alias("min_humidity"),
-        pg_round(F.max(h), 1).alias("max_humidity"),
-        pg_round(F.avg(w), 1).alias("avg_wind_speed"),
-        pg_round(F.max(w), 1).alias("max_wind_speed"),
-        pg_round(F.avg(p), 2).alias("avg_precipitation"),
-        pg_round(F.sum(p), 2).alias("total_precipitation"),
+        *_aggregates(
+            {
+                "latitude": pg_round("avg(latitude)", 4),
+                "longitude": pg_round("avg(longitude)", 4),
+                "first_observation": "min(observation_time)",
+                "last_observation": "max(observation_time)",
+                "days_tracked": f"count(DISTINCT {day_of('observation_time')})",
+                "total_observations": "count(1)",
+                "providers_count": "count(DISTINCT provider)",
+                "avg_temperature": pg_round(f"avg({t})", 1),
+                "min_temperature": pg_round(f"min({t})", 1),
+                "max_temperature": pg_round(f"max({t})", 1),
+                "stddev_temperature": pg_round(f"stddev_samp({t})", 1),
+                "avg_humidity": pg_round(f"avg({h})", 1),
+                "min_humidity": pg_round(f"min({h})", 1),
+                "max_humidity": pg_round(f"max({h})", 1),
+                "avg_wind_speed": pg_round(f"avg({w})", 1),
+                "max_wind_speed": pg_round(f"max({w})", 1),
+                "avg_precipitation": pg_round(f"avg({p})", 2),
+                "total_precipitation": pg_round(f"sum({p})", 2),
+            }
+        )
     )
-    per_day = pg_round(ratio(F.col("total_observations"), F.col("days_tracked")), 1)
-    span = pg_round(F.col("max_temperature") - F.col("min_temperature"), 1)
-    return stats.select(
+    return stats.selectExpr(
         "city",
         "country",
         "latitude",
@@ -208,12 +211,12 @@ def dm_city_summary(observations: DataFrame) -> DataFrame:
         "days_tracked",
         "total_observations",
         "providers_count",
-        per_day.alias("avg_observations_per_day"),
+        f"{pg_round(ratio('total_observations', 'days_tracked'), 1)} AS avg_observations_per_day",
         "avg_temperature",
         "min_temperature",
         "max_temperature",
         "stddev_temperature",
-        span.alias("temperature_range"),
+        f"{pg_round('max_temperature - min_temperature', 1)} AS temperature_range",
         "avg_humidity",
         "min_humidity",
         "max_humidity",
@@ -221,7 +224,7 @@ def dm_city_summary(observations: DataFrame) -> DataFrame:
         "max_wind_speed",
         "avg_precipitation",
         "total_precipitation",
-        updated_now(),
+        UPDATED_NOW,
     )
 
 

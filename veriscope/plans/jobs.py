@@ -79,8 +79,8 @@ def _build_stg(warehouse: Warehouse, cities: DataFrame, full: bool) -> None:
 
 def _build_ods(warehouse: Warehouse, full: bool) -> None:
     plans = [
-        ("weather_observations", "stg.weather_current", ods.ods_observations, ods.observation_changed_at, "updated_at", ods.OBSERVATION_KEY, "observation_time"),
-        ("weather_forecasts", "stg.weather_forecast", ods.ods_forecasts, ods.forecast_changed_at, "forecast_created_at", ods.FORECAST_KEY, "forecast_timestamp"),
+        ("weather_observations", "stg.weather_current", ods.ods_observations, ods.OBSERVATION_CHANGED_AT, "updated_at", ods.OBSERVATION_KEY, "observation_time"),
+        ("weather_forecasts", "stg.weather_forecast", ods.ods_forecasts, ods.FORECAST_CHANGED_AT, "forecast_created_at", ods.FORECAST_KEY, "forecast_timestamp"),
     ]
     for name, source, build, changed_at, first, key, day in plans:
         table = f"ods.{name}"
@@ -89,8 +89,8 @@ def _build_ods(warehouse: Warehouse, full: bool) -> None:
         if not fresh:
             since = warehouse.watermark(table) or ODS_EPOCH
             # The first column is what the files know a range of; it lets whole row groups be skipped.
-            rows = rows.filter(F.col(first).isNull() | (F.col(first) >= ntz(since)))
-            rows = rows.filter(changed_at() >= ntz(since))
+            rows = rows.filter(f"{first} IS NULL OR {first} >= {ntz(since)}")
+            rows = rows.filter(f"{changed_at} >= {ntz(since)}")
         if fresh:
             warehouse.overwrite(table, build(rows), day, "source_changed_at")
         else:
@@ -122,6 +122,7 @@ def build(
     for layer in layers:
         if layer not in ("stg", "ods", "dm"):
             raise ValueError(f"unknown layer {layer}")
+    warehouse.recover(MODELS)
     if "stg" in layers:
         _build_stg(warehouse, cities, full_refresh)
     if "ods" in layers:

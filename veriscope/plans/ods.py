@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from ..functions.scalar import bucket_horizon, c_to_f, surrogate_key, wind_cardinal
 from ..operators.dedup import latest_per_key
@@ -25,93 +24,77 @@ WEATHER = [
 ]
 
 
-def processed_now() -> Column:
-    return F.localtimestamp().alias("processed_dttm")
+PROCESSED_NOW = "localtimestamp() AS processed_dttm"
+OBSERVATION_CHANGED_AT = "coalesce(updated_at, created_at, observation_time)"
+FORECAST_CHANGED_AT = "coalesce(forecast_created_at, forecast_timestamp)"
 
 
-def observation_changed_at() -> Column:
-    return F.coalesce("updated_at", "created_at", "observation_time")
-
-
-def forecast_changed_at() -> Column:
-    return F.coalesce("forecast_created_at", "forecast_timestamp")
+def _settled_by(rows: DataFrame) -> list[str]:
+    """What decides between rows with equal stamps: the source row's id, then the warmer value."""
+    return [f"{c} DESC NULLS LAST" for c in ("id", "temperature_celsius") if c in rows.columns]
 
 
 def latest_observations(changed: DataFrame) -> DataFrame:
-    """The last change per city, provider and time; equal stamps are settled by the source row."""
-    order = [
-        F.col("source_changed_at").desc_nulls_first(),
-        F.col("updated_at").desc_nulls_last(),
-        F.col("created_at").desc_nulls_last(),
-    ]
-    if "id" in changed.columns:
-        order.append(F.col("id").desc_nulls_last())
-    order.append(F.col("temperature_celsius").desc_nulls_last())
-    return latest_per_key(changed, OBSERVATION_KEY, order)
+    """The last change per city, provider and time."""
+    order = ["source_changed_at DESC NULLS FIRST", "updated_at DESC NULLS LAST", "created_at DESC NULLS LAST"]
+    return latest_per_key(changed, OBSERVATION_KEY, [*order, *_settled_by(changed)])
 
 
 def latest_forecasts(bucketed: DataFrame) -> DataFrame:
     """The last forecast per city, provider, time and lead time."""
-    order = [F.col("source_changed_at").desc_nulls_first(), F.col("forecast_created_at").desc_nulls_last()]
-    if "id" in bucketed.columns:
-        order.append(F.col("id").desc_nulls_last())
-    order.append(F.col("temperature_celsius").desc_nulls_last())
-    return latest_per_key(bucketed, FORECAST_KEY, order)
+    order = ["source_changed_at DESC NULLS FIRST", "forecast_created_at DESC NULLS LAST"]
+    return latest_per_key(bucketed, FORECAST_KEY, [*order, *_settled_by(bucketed)])
 
 
 def with_lead_time(forecasts: DataFrame) -> DataFrame:
     """Forecasts up to 48 hours ahead that lie at one of the lead times."""
-    near = forecasts.filter((F.col("hours_ahead") >= 0) & (F.col("hours_ahead") <= MAX_LEAD_HOURS))
-    return near.withColumn("hours_ahead_interval", bucket_horizon(F.col("hours_ahead"))).filter(
-        F.col("hours_ahead_interval").isNotNull()
+    near = forecasts.filter(f"hours_ahead >= 0 AND hours_ahead <= {MAX_LEAD_HOURS}")
+    return near.selectExpr("*", f"{bucket_horizon('hours_ahead')} AS hours_ahead_interval").filter(
+        "hours_ahead_interval IS NOT NULL"
     )
 
 
-def _temperatures() -> list[Column | str]:
-    return [
-        "temperature_celsius",
-        "feels_like_celsius",
-        c_to_f(F.col("temperature_celsius")).alias("temperature_fahrenheit"),
-    ]
-
-
-def _direction() -> Column:
-    return wind_cardinal(F.col("wind_direction_degrees")).alias("wind_direction_cardinal")
+TEMPERATURES = [
+    "temperature_celsius",
+    "feels_like_celsius",
+    f"{c_to_f('temperature_celsius')} AS temperature_fahrenheit",
+]
+DIRECTION = f"{wind_cardinal('wind_direction_degrees')} AS wind_direction_cardinal"
 
 
 def ods_observations(stg: DataFrame) -> DataFrame:
     """Deduplicated, enriched observations: 25 columns."""
-    changed = stg.withColumn("source_changed_at", observation_changed_at())
-    return latest_observations(changed).select(
-        surrogate_key(*OBSERVATION_KEY).alias("observation_id"),
+    changed = stg.selectExpr("*", f"{OBSERVATION_CHANGED_AT} AS source_changed_at")
+    return latest_observations(changed).selectExpr(
+        f"{surrogate_key(*OBSERVATION_KEY)} AS observation_id",
         *PLACE,
         "observation_time",
-        *_temperatures(),
+        *TEMPERATURES,
         *WEATHER,
-        _direction(),
+        DIRECTION,
         "weather_condition",
-        F.col("created_at").alias("source_created_at"),
-        F.col("updated_at").alias("source_updated_at"),
+        "created_at AS source_created_at",
+        "updated_at AS source_updated_at",
         "source_changed_at",
-        processed_now(),
+        PROCESSED_NOW,
     )
 
 
 def ods_forecasts(stg: DataFrame) -> DataFrame:
     """Deduplicated, enriched forecasts at the lead times: 27 columns."""
-    changed = stg.withColumn("source_changed_at", forecast_changed_at())
-    return latest_forecasts(with_lead_time(changed)).select(
-        surrogate_key(*FORECAST_KEY).alias("forecast_id"),
+    changed = stg.selectExpr("*", f"{FORECAST_CHANGED_AT} AS source_changed_at")
+    return latest_forecasts(with_lead_time(changed)).selectExpr(
+        f"{surrogate_key(*FORECAST_KEY)} AS forecast_id",
         *PLACE,
         "forecast_timestamp",
         "hours_ahead",
         "hours_ahead_interval",
-        *_temperatures(),
+        *TEMPERATURES,
         *WEATHER,
-        _direction(),
+        DIRECTION,
         "weather_condition",
         "precipitation_probability",
         "forecast_created_at",
         "source_changed_at",
-        processed_now(),
+        PROCESSED_NOW,
     )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.clock import NTZ, ntz
@@ -15,20 +15,20 @@ META = ["status_code", "created_at", "updated_at", "valid_from_dttm", "valid_to_
 
 def in_force(versions: DataFrame) -> DataFrame:
     """Versions that are still valid."""
-    return versions.filter(F.col("valid_to_dttm") == ntz(OPEN_END))
+    return versions.filter(f"valid_to_dttm = {ntz(OPEN_END)}")
 
 
 def successful(versions: DataFrame) -> DataFrame:
     return versions.filter(F.col("status_code") == 200)
 
 
-def provider_reading(output: str, provider: Column, raw: Column) -> Column:
+def provider_reading(output: str, provider: str = "sample.provider", raw: str = "sample.raw") -> str:
     """One extra reading of a sample, found where its provider puts it."""
-    branches = F
+    whens = []
     for name, path in RAW_PATHS[output].items():
         value = number_or_null(at_path(raw, path))
-        branches = branches.when(provider == name, m_to_km(value) if (output, name) in METRES else value)
-    return branches.otherwise(F.lit(None).cast("double"))
+        whens.append(f"WHEN '{name}' THEN {m_to_km(value) if (output, name) in METRES else value}")
+    return f"CASE {provider} {' '.join(whens)} END"
 
 
 def explode_samples(versions: DataFrame) -> DataFrame:
@@ -38,41 +38,38 @@ def explode_samples(versions: DataFrame) -> DataFrame:
     """
     kept = [c for c in versions.columns if c not in ("request", "response")]
     doc = versions.select(*kept, F.from_json("response", CURRENT_RESPONSE).alias("doc"))
-    return doc.select(
+    return doc.selectExpr(
         *kept,
-        F.explode_outer("doc.samples").alias("sample"),
-        number_or_null(F.col("doc.average_temperature_c")).alias("avg_temperature_c"),
-        number_or_null(F.col("doc.average_humidity")).alias("avg_humidity"),
-    ).filter(F.col("sample").isNotNull())
+        "explode_outer(doc.samples) AS sample",
+        f"{number_or_null('doc.average_temperature_c')} AS avg_temperature_c",
+        f"{number_or_null('doc.average_humidity')} AS avg_humidity",
+    ).filter("sample IS NOT NULL")
 
 
 def explode_points(versions: DataFrame) -> DataFrame:
     """One row per ``response.forecasts[].points[]``."""
     kept = [c for c in versions.columns if c not in ("request", "response")]
     doc = versions.select(*kept, F.from_json("response", FORECAST_RESPONSE).alias("doc"))
-    by_provider = doc.select(*kept, F.explode_outer("doc.forecasts").alias("one"))
-    points = by_provider.select(
-        *kept, F.col("one.provider").alias("provider"), F.explode_outer("one.points").alias("point")
-    )
-    return points.filter(F.col("point").isNotNull())
+    by_provider = doc.selectExpr(*kept, "explode_outer(doc.forecasts) AS one")
+    points = by_provider.selectExpr(*kept, "one.provider AS provider", "explode_outer(one.points) AS point")
+    return points.filter("point IS NOT NULL")
 
 
 def parse_samples(exploded: DataFrame) -> DataFrame:
-    s = F.col("sample")
-    wind = number_or_null(s["wind_speed_kph"])
-    return exploded.select(
+    kph = number_or_null("sample.wind_speed_kph")
+    return exploded.selectExpr(
         "id",
         "weather_id",
         "latitude",
         "longitude",
-        s["provider"].alias("provider"),
-        s["observation_time"].try_cast(NTZ).alias("observation_time"),
-        number_or_null(s["temperature_c"]).alias("temperature_celsius"),
-        number_or_null(s["humidity"]).alias("humidity_percent"),
-        kph_to_ms(wind).alias("wind_speed_ms"),
-        wind.alias("wind_speed_kph"),
-        *[provider_reading(o, s["provider"], s["raw"]).alias(o) for o in RAW_PATHS],
-        s["condition"].alias("weather_condition"),
+        "sample.provider AS provider",
+        f"try_cast(sample.observation_time AS {NTZ}) AS observation_time",
+        f"{number_or_null('sample.temperature_c')} AS temperature_celsius",
+        f"{number_or_null('sample.humidity')} AS humidity_percent",
+        f"{kph_to_ms(kph)} AS wind_speed_ms",
+        f"{kph} AS wind_speed_kph",
+        *[f"{provider_reading(output)} AS {output}" for output in RAW_PATHS],
+        "sample.condition AS weather_condition",
         *META,
         "avg_temperature_c",
         "avg_humidity",
@@ -80,24 +77,23 @@ def parse_samples(exploded: DataFrame) -> DataFrame:
 
 
 def parse_points(exploded: DataFrame) -> DataFrame:
-    p = F.col("point")
-    wind = number_or_null(p["wind_speed_kph"])
-    extra = [
-        (p[key] if output == "weather_condition" else number_or_null(p[key])).alias(output)
-        for output, key in POINT_KEYS.items()
-    ]
-    return exploded.select(
+    kph = number_or_null("point.wind_speed_kph")
+    texts = {"weather_condition"}
+    return exploded.selectExpr(
         "id",
         "forecast_id",
         "latitude",
         "longitude",
         "provider",
-        p["time"].try_cast(NTZ).alias("forecast_timestamp"),
-        number_or_null(p["temperature_c"]).alias("temperature_celsius"),
-        number_or_null(p["humidity"]).alias("humidity_percent"),
-        kph_to_ms(wind).alias("wind_speed_ms"),
-        wind.alias("wind_speed_kph"),
-        *extra,
+        f"try_cast(point.time AS {NTZ}) AS forecast_timestamp",
+        f"{number_or_null('point.temperature_c')} AS temperature_celsius",
+        f"{number_or_null('point.humidity')} AS humidity_percent",
+        f"{kph_to_ms(kph)} AS wind_speed_ms",
+        f"{kph} AS wind_speed_kph",
+        *[
+            f"{f'point.{key}' if output in texts else number_or_null(f'point.{key}')} AS {output}"
+            for output, key in POINT_KEYS.items()
+        ],
         *META,
     )
 
@@ -105,7 +101,7 @@ def parse_points(exploded: DataFrame) -> DataFrame:
 def stg_current(raw: DataFrame, cities: DataFrame) -> DataFrame:
     """Samples of valid, successful documents with their city: 28 columns."""
     samples = parse_samples(explode_samples(successful(in_force(raw))))
-    return enrich_city(samples, cities).select(
+    return enrich_city(samples, cities).selectExpr(
         "id",
         "weather_id",
         "latitude",
@@ -129,14 +125,14 @@ def stg_current(raw: DataFrame, cities: DataFrame) -> DataFrame:
         *META,
         "avg_temperature_c",
         "avg_humidity",
-        F.col("updated_at").alias("source_updated_at"),
+        "updated_at AS source_updated_at",
     )
 
 
 def stg_forecast(raw: DataFrame, cities: DataFrame) -> DataFrame:
     """Forecast points of valid, successful documents with city and lead time: 27 columns."""
     points = parse_points(explode_points(successful(in_force(raw))))
-    return enrich_city(points, cities).select(
+    return enrich_city(points, cities).selectExpr(
         "id",
         "forecast_id",
         "latitude",
@@ -145,14 +141,14 @@ def stg_forecast(raw: DataFrame, cities: DataFrame) -> DataFrame:
         "country",
         "provider",
         "forecast_timestamp",
-        lead_hours(F.col("forecast_timestamp"), F.col("created_at")).alias("hours_ahead"),
+        f"{lead_hours('forecast_timestamp', 'created_at')} AS hours_ahead",
         "temperature_celsius",
         "humidity_percent",
         "wind_speed_ms",
         "wind_speed_kph",
         *POINT_KEYS,
         "status_code",
-        F.col("created_at").alias("forecast_created_at"),
+        "created_at AS forecast_created_at",
         "updated_at",
         "valid_from_dttm",
         "valid_to_dttm",

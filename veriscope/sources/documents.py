@@ -18,10 +18,14 @@ def read_documents(spark: SparkSession, path: str, kind: str, fmt: str = "parque
 
 
 def append_documents(documents: DataFrame, path: str, kind: str) -> None:
-    """Adds documents to the store, one folder per day of creation."""
+    """Adds documents to the store, one folder per day of creation.
+
+    The rebalancing brings a day's documents into few files and splits a day with many.
+    """
     columns = document_schema(kind).fieldNames()
     (
         documents.select(*columns, F.col("created_at").cast("date").alias("ingest_date"))
+        .hint("rebalance", "ingest_date")
         .write.mode("append")
         .partitionBy("ingest_date")
         .parquet(path)
@@ -30,15 +34,14 @@ def append_documents(documents: DataFrame, path: str, kind: str) -> None:
 
 def current_documents(documents: DataFrame) -> DataFrame:
     """The present state of every document when its updates were appended as further rows."""
-    return latest_per_key(documents, ["_id"], [F.col("updated_at").desc_nulls_last(), F.col("created_at").desc_nulls_last()])
+    return latest_per_key(documents, ["_id"], ["updated_at DESC NULLS LAST", "created_at DESC NULLS LAST"])
 
 
 def read_since(rows: DataFrame, column: str, watermark: dt.datetime | None, inclusive: bool = False) -> DataFrame:
     """Rows changed after the watermark, all rows without one; a literal, so files can be skipped."""
     if watermark is None:
         return rows
-    bound = ntz(watermark)
-    return rows.filter(F.col(column) >= bound if inclusive else F.col(column) > bound)
+    return rows.filter(f"{column} {'>=' if inclusive else '>'} {ntz(watermark)}")
 
 
 def high_watermark(
@@ -54,8 +57,8 @@ def high_watermark(
 
 def watermark_rows(rows: DataFrame, column: str, lookback_days: int = 1, default: dt.datetime = RAW_EPOCH) -> DataFrame:
     """:func:`high_watermark` as a one-row table."""
-    newest = F.max(column).cast(NTZ) - F.expr(f"interval {int(lookback_days)} days")
-    return rows.agg(F.coalesce(newest, ntz(default)).alias("watermark"))
+    newest = f"cast(max({column}) AS {NTZ}) - interval {int(lookback_days)} days"
+    return rows.selectExpr(f"coalesce({newest}, {ntz(default)}) AS watermark")
 
 
 def ods_watermark(rows: DataFrame, column: str = "source_changed_at") -> dt.datetime:

@@ -13,7 +13,7 @@ import datetime as dt
 import json
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -77,7 +77,6 @@ class Warehouse:
 
     def _stored(self, table: str) -> DataFrame:
         """A table with its day column, if it has one, read with the schema it was made with."""
-        self._finish(table)
         noted = self._noted(table, "schema")
         if noted is None:
             raise ValueError(f"no table {table} in {self.root}")
@@ -106,41 +105,48 @@ class Warehouse:
     def _partitioned(self, rows: DataFrame, day: str | None) -> DataFrame:
         return rows.withColumn(PART, F.col(day).cast("date")) if day else rows
 
-    def _write(self, rows: DataFrame, path: str, day: str | None, mode: str, stamp: str | None, **options: str):
-        """Writes rows and returns the newest ``stamp`` among them, seen on the way."""
-        watch = Observation()
-        newest = F.max(F.col(stamp).cast(NTZ) if stamp else F.lit(None).cast(NTZ)).alias("newest")
-        writer = rows.observe(watch, newest).write.mode(mode).options(**MARKED, **options)
-        (writer.partitionBy(PART) if day else writer).parquet(path)
-        return watch.get.get("newest")
+    def _writer(self, rows: DataFrame, mode: str, **options: str) -> DataFrameWriter:
+        """Rows of a day go to few files: days are brought together, and large ones are split."""
+        if PART not in rows.columns:
+            return rows.write.mode(mode).options(**MARKED, **options)
+        return rows.hint("rebalance", PART).write.mode(mode).options(**MARKED, **options).partitionBy(PART)
+
+    def _newest(self, rows: DataFrame, stamp: str | None) -> dt.datetime | None:
+        return rows.agg(F.max(F.col(stamp).cast(NTZ))).first()[0] if stamp else None
 
     def overwrite(self, table: str, rows: DataFrame, day: str | None = None, stamp: str | None = None) -> None:
         """Rebuilds a table, whatever it held.  ``rows`` must not read the table itself."""
         self._drop(self._beside(table, "staging"))
+        # Without its schema a table does not count as there, so a rebuild cut short is begun again.
+        self._drop(self._beside(table, "schema"))
         rows = self._partitioned(rows, day)
-        newest = self._write(
-            rows, self.path(table), day, "overwrite", stamp, partitionOverwriteMode="static"
-        )
+        self._writer(rows, "overwrite", partitionOverwriteMode="static").parquet(self.path(table))
         self._note(table, "schema", rows.schema.json())
-        self._advance(table, newest, reset=True)
+        self._advance(table, self._newest(self._stored(table), stamp), reset=True)
 
-    def append(self, table: str, rows: DataFrame, day: str | None = None, stamp: str | None = None) -> None:
-        self._finish(table)
-        newest = self._write(self._partitioned(rows, day), self.path(table), day, "append", stamp)
-        self._advance(table, newest)
+    def recover(self, tables: Sequence[str]) -> None:
+        """Finishes what interrupted writes left behind; for the one job that writes, not for readers."""
+        for table in tables:
+            self._finish(table)
 
     def _finish(self, table: str) -> None:
-        """Publishes staged days that an interrupted run left behind."""
         if self._there(f"{self._beside(table, 'staging')}/_SUCCESS"):
             self._publish(table)
 
-    def _publish(self, table: str) -> None:
-        staging = self._beside(table, "staging")
+    def _staged(self, table: str) -> DataFrame:
         schema = T.StructType.fromJson(json.loads(self._noted(table, "schema")))
-        rows = self.spark.read.schema(schema).parquet(staging)
-        writer = rows.write.mode("overwrite").options(**MARKED, partitionOverwriteMode="dynamic")
-        (writer.partitionBy(PART) if PART in rows.columns else writer).parquet(self.path(table))
-        self._drop(staging)
+        return self.spark.read.schema(schema).parquet(self._beside(table, "staging"))
+
+    def _publish(self, table: str) -> None:
+        self._writer(self._staged(table), "overwrite", partitionOverwriteMode="dynamic").parquet(self.path(table))
+        self._drop(self._beside(table, "staging"))
+
+    def _replace(self, table: str, rows: DataFrame, stamp: str | None) -> None:
+        """Replaces the days of some rows, or an undivided table, by way of the staging folder."""
+        self._writer(rows, "overwrite").parquet(self._beside(table, "staging"))
+        newest = self._newest(self._staged(table), stamp)
+        self._publish(table)
+        self._advance(table, newest)
 
     def _days_of(self, rows: DataFrame) -> tuple[list[dt.date], bool]:
         """The days some rows fall on, and whether some have none; grows with the calendar only."""
@@ -179,9 +185,7 @@ class Warehouse:
             if not days and not undated:
                 return
             target = target.filter(self._on(days, undated))
-        newest = self._write(delete_insert(target, batch, keys), self._beside(table, "staging"), day, "overwrite", stamp)
-        self._publish(table)
-        self._advance(table, newest)
+        self._replace(table, delete_insert(target, batch, keys), stamp)
 
     def scd2_load(self, kind: str, documents: DataFrame, now: dt.datetime) -> None:
         """Loads documents into a raw table: see :func:`veriscope.operators.keyed.scd2_upsert`.
@@ -205,7 +209,7 @@ class Warehouse:
             .select(*[c for c in columns if not c.startswith("valid_")], F.col("created_at").cast("date").alias(PART))
         )
         target = self._stored(table).filter(self._on(days, undated))
-        in_force = F.col("valid_to_dttm") == ntz(OPEN_END)
+        in_force = F.expr(f"valid_to_dttm = {ntz(OPEN_END)}")
         # What is new is found once and written; the steps below read that.
         opened_path = self._beside(table, "opened")
         scd2_changes(target.filter(in_force), rows, key, change, one_each=True).write.mode("overwrite").parquet(
@@ -213,24 +217,23 @@ class Warehouse:
         )
         opened = (
             self.spark.read.parquet(opened_path)
-            .withColumn("valid_from_dttm", ntz(now))
-            .withColumn("valid_to_dttm", ntz(OPEN_END))
+            .withColumn("valid_from_dttm", F.expr(ntz(now)))
+            .withColumn("valid_to_dttm", F.expr(ntz(OPEN_END)))
         )
         changed = opened.filter("_replaces")
         changed_days, changed_undated = self._days_of(changed)
         rewritten = F.coalesce(self._on(changed_days, changed_undated), F.lit(False))
         if changed_days or changed_undated:
             closing = changed.select(key, F.lit(True).alias("_closed"))
-            until = F.when(F.col("_closed") & in_force, ntz(now)).otherwise(F.col("valid_to_dttm"))
+            until = F.when(F.col("_closed") & in_force, F.expr(ntz(now))).otherwise(F.col("valid_to_dttm"))
             before = target.filter(rewritten).join(closing, key, "left").withColumn("valid_to_dttm", until)
             after = opened.filter(rewritten)
-            staged = before.select(*columns, PART).unionByName(after.select(*columns, PART))
-            newest = self._write(staged, self._beside(table, "staging"), PART, "overwrite", change)
-            self._publish(table)
-            self._advance(table, newest)
+            self._replace(table, before.select(*columns, PART).unionByName(after.select(*columns, PART)), change)
         appended = opened.filter(~rewritten).select(*columns, PART)
-        newest = self._write(appended, self.path(table), PART, "append", change)
-        self._advance(table, newest)
+        newest = self._newest(appended, change)
+        if newest is not None or appended.take(1):
+            self._writer(appended, "append").parquet(self.path(table))
+            self._advance(table, newest)
 
     def create_raw(self, kind: str) -> None:
         self.create(f"raw.weather_{kind}", raw_schema(kind), "created_at")
