@@ -18,7 +18,8 @@ def _checked(limit: int) -> int:
 
 def most_recent(documents: DataFrame, limit: int = DEFAULT_LIMIT, time: str = "created_at", tie: str = "_id") -> DataFrame:
     """The newest documents; each task keeps only its own ``limit`` newest."""
-    return documents.orderBy(F.col(time).desc_nulls_last(), F.col(tie)).limit(_checked(limit))
+    limit = _checked(limit)
+    return documents.orderBy(F.col(time).desc_nulls_last(), F.col(tie)).limit(limit)
 
 
 def most_recent_at(
