@@ -15,6 +15,7 @@ from ..functions.scalar import kph_to_ms, lead_hours
 from ..operators.nest import nest_current, nest_forecast, to_documents
 from ..operators.normalize import accepted, normalize_current, normalize_forecast
 from ..schemas import OPEN_END, RAW_EPOCH, raw_key
+from ..sources.documents import spread
 
 PROVIDER_OF = {
     "click": "open_meteo",
@@ -232,7 +233,7 @@ def landing_current(spark: SparkSession, sf_dir: str) -> DataFrame:
         WHEN provider = 'weatherbit' THEN {weatherbit}
         WHEN e % 23 = 0 THEN '{{"error": {{"code": 101, "info": "Invalid access key"}}}}'
         ELSE {weatherstack} END"""
-    numbered = events(spark, sf_dir).selectExpr("*", f"floor(e / {ANSWERS_PER_REQUEST}) AS request_id")
+    numbered = spread(events(spark, sf_dir)).selectExpr("*", f"floor(e / {ANSWERS_PER_REQUEST}) AS request_id")
     return numbered.selectExpr(
         "event_id",
         "request_id",

@@ -15,7 +15,7 @@ from ..operators.normalize import (
     forecast_points,
     normalize_current,
     normalize_forecast,
-    rejected,
+    outcomes,
     steps_of_three_hours,
 )
 from ..plans import stg
@@ -61,10 +61,7 @@ for _provider, _name in {
     ),
 )
 def filter_valid_samples(spark, sf_dir):
-    normalized = normalize_current(A.landing_current(spark, sf_dir), keep_raw=False)
-    bad = rejected(normalized).select("provider", "reject_reason")
-    good = accepted(normalized).select("provider", F.lit("accepted").alias("reject_reason"))
-    return bad.unionByName(good).groupBy("provider", "reject_reason").agg(F.count(F.lit(1)).alias("n"))
+    return outcomes(normalize_current(A.landing_current(spark, sf_dir), keep_raw=False))
 
 
 @query("fn_ms_to_kph", sql("SELECT e AS event_id, CAST(e % 37 AS DOUBLE) * 3.6 AS kph FROM ev", "ev"))

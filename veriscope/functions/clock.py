@@ -37,7 +37,7 @@ def plus_hours(ts: str, hours: str) -> str:
 
 def seconds_between(start: str, end: str) -> str:
     """``end - start`` in seconds as an exact decimal."""
-    return f"cast(cast(({end}) - ({start}) AS interval second) AS decimal(24, 6))"
+    return f"cast(cast(({end}) - ({start}) AS interval second) AS decimal(18, 6))"
 
 
 def epoch_to_time(epoch: str) -> str:

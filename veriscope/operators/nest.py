@@ -14,15 +14,16 @@ from ..schemas import DEFAULT_HOURS, MAX_HOURS, MIN_HOURS, PROVIDERS
 ISO_JSON = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
 
 
-def _in_provider_order(fields: list[str]) -> str:
-    """Collects structs of the fields and puts them into the fixed order of the providers."""
+def _in_provider_order(fields: list[str], settle: list[str]) -> str:
+    """Collects structs of the fields in the fixed order of the providers.
+
+    ``settle`` orders several answers of one provider, which a request does not normally have.
+    """
     position = f"array_position(array({', '.join(repr(p) for p in PROVIDERS)}), provider)"
-    # Text that orders several answers of one provider, which a request does not normally have.
-    settle = f"to_json(named_struct({', '.join(f'{f!r}, {f}' for f in fields)}))"
-    entry = f"named_struct({', '.join(f'{f!r}, {f}' for f in fields)})"
-    before = "CASE WHEN a.at < b.at OR (a.at = b.at AND a.s < b.s) THEN -1 WHEN a.at = b.at AND a.s = b.s THEN 0 ELSE 1 END"
-    collected = f"collect_list(named_struct('at', {position}, 's', {settle}, 'entry', {entry}))"
-    return f"transform(array_sort({collected}, (a, b) -> {before}), x -> x.entry)"
+    struct = lambda names: ", ".join(f"{n!r}, {n}" for n in names)
+    entry = f"named_struct('at', named_struct('p', {position}, {struct(settle)}), 'entry', named_struct({struct(fields)}))"
+    before = "CASE WHEN a.at < b.at THEN -1 WHEN a.at > b.at THEN 1 ELSE 0 END"
+    return f"transform(array_sort(collect_list({entry}), (a, b) -> {before}), x -> x.entry)"
 
 
 def nest_current(samples: DataFrame) -> DataFrame:
@@ -30,8 +31,9 @@ def nest_current(samples: DataFrame) -> DataFrame:
     fields = ["provider", "temperature_c", "wind_speed_kph", "humidity", "condition", "observation_time"]
     if "raw" in samples.columns:
         fields.append("raw")
+    settle = ["fetched_at", "temperature_c", "wind_speed_kph"]
     return samples.groupBy("request_id", "latitude", "longitude").agg(
-        F.expr(f"{_in_provider_order(fields)} AS samples"),
+        F.expr(f"{_in_provider_order(fields, settle)} AS samples"),
         F.expr("avg(temperature_c) AS average_temperature_c"),
         F.expr("avg(humidity) AS average_humidity"),
         F.expr("max(fetched_at) AS fetched_at"),
@@ -40,8 +42,9 @@ def nest_current(samples: DataFrame) -> DataFrame:
 
 def nest_forecast(forecasts: DataFrame) -> DataFrame:
     """Per request: the points of each provider, nested twice, without averages."""
+    nested = _in_provider_order(["provider", "points"], ["fetched_at"])
     return forecasts.groupBy("request_id", "latitude", "longitude", "hours").agg(
-        F.expr(f"{_in_provider_order(['provider', 'points'])} AS forecasts"),
+        F.expr(f"{nested} AS forecasts"),
         F.expr("max(fetched_at) AS fetched_at"),
     )
 

@@ -243,6 +243,12 @@ def rejected(normalized: DataFrame) -> DataFrame:
     return normalized.filter(F.col("reject_reason").isNotNull())
 
 
+def outcomes(normalized: DataFrame) -> DataFrame:
+    """How many answers of each provider were accepted, or rejected for which reason, in one pass."""
+    outcome = normalized.selectExpr("provider", "coalesce(reject_reason, 'accepted') AS reject_reason")
+    return outcome.groupBy("provider", "reject_reason").agg(F.expr("count(1) AS n"))
+
+
 def steps_of_three_hours(hours: str) -> str:
     """Number of three-hour points to ask for a horizon, which ends after five days there."""
     return f"cast(ceil(least({hours}, {5 * 24}) / 3) AS int)"

@@ -25,6 +25,7 @@ def build_session(app_name: str = "veriscope", master: str | None = None, **conf
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.ansi.enabled": "true",
+        "spark.sql.codegen.hugeMethodLimit": "8000",
         **conf,
     }
     for key, value in settings.items():
