@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.clock import ntz
 from ..schemas import FORECAST_PROVIDERS, ODS_EPOCH, RAW_EPOCH
-from ..sources.documents import read_documents, read_since
+from ..sources.documents import changed_documents, read_documents, read_since
 from ..sources.warehouse import Warehouse
 from . import dm, ods, stg
 from .checks import check_layers
@@ -42,8 +42,7 @@ def load_kind(
     """Loads documents changed since the newest loaded stamp less ``shift_days``."""
     newest = warehouse.watermark(f"raw.weather_{kind}")
     since = RAW_EPOCH if newest is None else newest - dt.timedelta(days=shift_days)
-    changed = read_since(documents, "updated_at", since)
-    warehouse.scd2_load(kind, changed, now or _utc_now())
+    warehouse.scd2_load(kind, changed_documents(documents, since), now or _utc_now())
 
 
 def ingest(
@@ -68,8 +67,10 @@ def _build_stg(warehouse: Warehouse, cities: DataFrame, full: bool) -> None:
     for kind, build, changed, key, stamp in plans:
         table, day = f"stg.weather_{kind}", key[-1]
         fresh = full or not warehouse.exists(table)
-        raw = warehouse.read(f"raw.weather_{kind}")
         since = None if fresh else warehouse.watermark(table)
+        # The raw tables are divided by day of creation, which bounds one of the two watermarks.
+        from_day = since.date() if since and changed == "created_at" else None
+        raw = warehouse.read(f"raw.weather_{kind}", from_day)
         rows = build(read_since(raw, changed, since), cities)
         if fresh:
             warehouse.overwrite(table, rows, day, stamp)

@@ -11,6 +11,9 @@ from ..functions.clock import NTZ, ntz
 from ..operators.dedup import latest_per_key
 from ..schemas import CITIES, CITY_SCHEMA, ODS_EPOCH, RAW_EPOCH, document_schema
 
+# Partition column of the document store: the day of a document's last change.
+INGEST_DAY = "ingest_date"
+
 
 def read_documents(spark: SparkSession, path: str, kind: str, fmt: str = "parquet") -> DataFrame:
     """Stored documents of one kind, with a declared schema; ``fmt`` is ``parquet`` or ``json``."""
@@ -18,16 +21,17 @@ def read_documents(spark: SparkSession, path: str, kind: str, fmt: str = "parque
 
 
 def append_documents(documents: DataFrame, path: str, kind: str) -> None:
-    """Adds documents to the store, one folder per day of creation.
+    """Adds documents to the store, one folder per day of their last change.
 
-    The rebalancing brings a day's documents into few files and splits a day with many.
+    An incremental read then opens the days since its watermark only.  The rebalancing brings a
+    day's documents into few files and splits a day with many.
     """
     columns = document_schema(kind).fieldNames()
     (
-        documents.select(*columns, F.col("created_at").cast("date").alias("ingest_date"))
-        .hint("rebalance", "ingest_date")
+        documents.select(*columns, F.coalesce("updated_at", "created_at").cast("date").alias(INGEST_DAY))
+        .hint("rebalance", INGEST_DAY)
         .write.mode("append")
-        .partitionBy("ingest_date")
+        .partitionBy(INGEST_DAY)
         .parquet(path)
     )
 
@@ -44,6 +48,13 @@ def read_since(rows: DataFrame, column: str, watermark: dt.datetime | None, incl
     return rows.filter(f"{column} {'>=' if inclusive else '>'} {ntz(watermark)}")
 
 
+def changed_documents(documents: DataFrame, watermark: dt.datetime) -> DataFrame:
+    """Stored documents changed after the watermark; folders of earlier days are not opened."""
+    if INGEST_DAY in documents.columns:
+        documents = documents.filter(F.col(INGEST_DAY) >= watermark.date())
+    return read_since(documents, "updated_at", watermark)
+
+
 def high_watermark(
     rows: DataFrame,
     column: str,

@@ -71,9 +71,12 @@ class Warehouse:
         self._finish(table)
         return self._there(f"{self._beside(table, 'schema')}/_SUCCESS")
 
-    def read(self, table: str) -> DataFrame:
-        """A table of an earlier layer as input of a later one."""
-        return self._stored(table).drop(PART)
+    def read(self, table: str, from_day: dt.date | None = None) -> DataFrame:
+        """A table of an earlier layer as input of a later one; days before ``from_day`` are not opened."""
+        rows = self._stored(table)
+        if from_day is not None:
+            rows = rows.filter(F.col(PART).isNull() | (F.col(PART) >= from_day))
+        return rows.drop(PART)
 
     def _stored(self, table: str) -> DataFrame:
         """A table with its day column, if it has one, read with the schema it was made with."""
@@ -171,21 +174,28 @@ class Warehouse:
         With ``unique`` a key repeated in the batch is an error.  Without ``day`` the whole table is
         rewritten: for marts, whose size is that of their groups.
         """
-        if unique:
-            require_unique(batch, keys)
-        if not self.exists(table):
+        if day and day not in keys:
+            raise ValueError(f"{day} must be a part of the key")
+        if not self.exists(table) and not unique:
             self.overwrite(table, batch, day, stamp)
             return
+        # The batch's model is run once; all steps below read its result.
+        batch_path = self._beside(table, "batch")
         batch = self._partitioned(batch, day)
-        target = self._stored(table)
-        if day:
-            if day not in keys:
-                raise ValueError(f"{day} must be a part of the key")
+        self._writer(batch, "overwrite").parquet(batch_path)
+        batch = self.spark.read.schema(batch.schema).parquet(batch_path)
+        if unique:
+            require_unique(batch, keys)
+        if not self.exists(table):
+            self.overwrite(table, batch.drop(PART), day, stamp)
+        elif not day:
+            self._replace(table, delete_insert(self._stored(table), batch, keys), stamp)
+        else:
             days, undated = self._days_of(batch)
-            if not days and not undated:
-                return
-            target = target.filter(self._on(days, undated))
-        self._replace(table, delete_insert(target, batch, keys), stamp)
+            if days or undated:
+                target = self._stored(table).filter(self._on(days, undated))
+                self._replace(table, delete_insert(target, batch, keys), stamp)
+        self._drop(batch_path)
 
     def scd2_load(self, kind: str, documents: DataFrame, now: dt.datetime) -> None:
         """Loads documents into a raw table: see :func:`veriscope.operators.keyed.scd2_upsert`.
