@@ -10,6 +10,7 @@ from ..functions.scalar import bucket_horizon, c_to_f, pg_round, ratio, surrogat
 from ..operators.matching import actual_values, forecast_errors
 from ..operators.medians import grouped_median, is_small
 from ..plans import dm, ods
+from ..session import written
 from . import adapters as A
 from .duck import ODS_FC_COLUMNS, ODS_OBS_COLUMNS, bucket, cardinal, key, r, sql, within
 from .duck import c_to_f as duck_c_to_f
@@ -324,6 +325,7 @@ def agg_median(spark, sf_dir):
     if is_small(errors):
         medians = errors.groupBy(*dm.ACCURACY_KEY).agg(F.median("temperature_error_abs").alias("median_error"))
     else:
+        errors = written(errors.select(*dm.ACCURACY_KEY, "temperature_error_abs"))
         medians = grouped_median(errors, dm.ACCURACY_KEY, "temperature_error_abs", "median_error")
     return medians.withColumn("median_error", F.expr(pg_round("median_error", 6)))
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -13,7 +12,7 @@ from ..functions.metrics import avg_where, mae, pct_within, rmse
 from ..functions.scalar import exact, pg_round, ratio
 from ..operators.matching import actual_values, forecast_errors
 from ..operators.medians import grouped_median, is_small
-from ..session import shared_folder
+from ..session import written
 
 ACCURACY_KEY = ["provider", "hours_ahead_interval"]
 
@@ -25,13 +24,6 @@ def _aggregates(named: dict[str, str]) -> list[Column]:
     return [F.expr(f"{expression} AS {name}") for name, expression in named.items()]
 
 
-def _written(rows: DataFrame) -> DataFrame:
-    """Rows written to the shared folder, to be read more than once without being made again."""
-    path = f"{shared_folder(rows.sparkSession)}/errors-{uuid.uuid4().hex}"
-    rows.write.parquet(path)
-    return rows.sparkSession.read.schema(rows.schema).parquet(path)
-
-
 def accuracy_of(errors: DataFrame, small: bool | None = None) -> DataFrame:
     """Error metrics per provider and lead time.
 
@@ -41,7 +33,7 @@ def accuracy_of(errors: DataFrame, small: bool | None = None) -> DataFrame:
     """
     small = is_small(errors) if small is None else small
     if not small:
-        errors = _written(
+        errors = written(
             errors.select(
                 *ACCURACY_KEY,
                 "city",

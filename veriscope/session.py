@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
@@ -45,3 +46,10 @@ def shared_folder(spark: SparkSession) -> str:
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError(f"set {CHECKPOINT_DIR} to a folder that all executors share")
     return tempfile.mkdtemp(prefix="veriscope-")
+
+
+def written(rows: DataFrame) -> DataFrame:
+    """Rows written to the shared folder, to be read more than once without being made again."""
+    path = f"{shared_folder(rows.sparkSession)}/veriscope-{uuid.uuid4().hex}"
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
