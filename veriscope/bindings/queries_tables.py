@@ -428,8 +428,8 @@ def _scored(values: str, by: str = "") -> str:
     past = f"({partition}ORDER BY bucket ROWS BETWEEN 14 PRECEDING AND 1 PRECEDING)"
     return f"""SELECT *, coalesce(n_history >= 7 AND value IS NOT NULL AND
             CASE WHEN stddev = 0 THEN abs(value - mean) > 0.000001 ELSE abs(value - mean) > 3.0 * stddev END, false) AS is_anomaly
-        FROM (SELECT *, count(value) OVER {past} AS n_history, {r(f"avg(value) OVER {past}", 6)} AS mean,
-            {r(f"stddev_samp(value) OVER {past}", 6)} AS stddev FROM ({values}))"""
+        FROM (SELECT *, count(value) OVER {past} AS n_history, {r(r(f"avg(value) OVER {past}", 9), 6)} AS mean,
+            {r(r(f"stddev_samp(value) OVER {past}", 9), 6)} AS stddev FROM ({values}))"""
 
 
 _HOURS = "SELECT unnest(generate_series(min(hour), max(hour), INTERVAL 1 HOUR)) AS bucket FROM spiky"

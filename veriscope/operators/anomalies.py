@@ -22,6 +22,11 @@ DIGITS = 6
 BUCKETS = {"hour": hour_of, "day": day_of}
 
 
+def _settled(x: str) -> str:
+    """A statistic without the last bits of its summation, which depend on the order of the rows."""
+    return pg_round(pg_round(x, DIGITS + 3), DIGITS)
+
+
 def score(buckets: DataFrame, value: str = "value", by: Sequence[str] = (), bucket: str = "bucket") -> DataFrame:
     """Adds the history's ``n_history``, ``mean``, ``stddev`` and the verdict ``is_anomaly``."""
     partition = f"PARTITION BY {', '.join(by)} " if by else ""
@@ -30,8 +35,8 @@ def score(buckets: DataFrame, value: str = "value", by: Sequence[str] = (), buck
     scored = buckets.selectExpr(
         "*",
         f"count({v}) {past} AS n_history",
-        f"{pg_round(f'avg({v}) {past}', DIGITS)} AS mean",
-        f"{pg_round(f'stddev_samp({v}) {past}', DIGITS)} AS stddev",
+        f"{_settled(f'avg({v}) {past}')} AS mean",
+        f"{_settled(f'stddev_samp({v}) {past}')} AS stddev",
     )
     away = f"abs({v} - mean)"
     far = f"CASE WHEN stddev = 0 THEN {away} > {10.0**-DIGITS:.{DIGITS}f}D ELSE {away} > {SIGMAS}D * stddev END"
