@@ -80,8 +80,24 @@ def _build_stg(warehouse: Warehouse, cities: DataFrame, full: bool) -> None:
 
 def _build_ods(warehouse: Warehouse, full: bool) -> None:
     plans = [
-        ("weather_observations", "stg.weather_current", ods.ods_observations, ods.OBSERVATION_CHANGED_AT, "updated_at", ods.OBSERVATION_KEY, "observation_time"),
-        ("weather_forecasts", "stg.weather_forecast", ods.ods_forecasts, ods.FORECAST_CHANGED_AT, "forecast_created_at", ods.FORECAST_KEY, "forecast_timestamp"),
+        (
+            "weather_observations",
+            "stg.weather_current",
+            ods.ods_observations,
+            ods.OBSERVATION_CHANGED_AT,
+            "updated_at",
+            ods.OBSERVATION_KEY,
+            "observation_time",
+        ),
+        (
+            "weather_forecasts",
+            "stg.weather_forecast",
+            ods.ods_forecasts,
+            ods.FORECAST_CHANGED_AT,
+            "forecast_created_at",
+            ods.FORECAST_KEY,
+            "forecast_timestamp",
+        ),
     ]
     for name, source, build, changed_at, first, key, day in plans:
         table = f"ods.{name}"
