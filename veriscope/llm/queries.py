@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, fertility, packing
+from . import chat, fertility, packing, secrets, winnowing
 from .tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -64,3 +64,46 @@ def op4_tokeniser_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's pieces with their places in sequences of 4096 tokens."""
     return packing.packed(table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document: base patterns and random tokens."""
+    return secrets.digests(secrets.find(table(spark, sf_dir, "documents")))
+
+
+@query
+def op8_benchmark_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document inside windows of the benchmark."""
+    return winnowing.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+ORACLES["op8_benchmark_winnowing"] = r"""
+WITH doc AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+), item AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
+), item_window AS (
+  SELECT DISTINCT item_id, least(13, len(w)) AS span, w[i : i + least(13, len(w)) - 1] AS g
+  FROM (SELECT item_id, w, unnest(range(1, len(w) - least(13, len(w)) + 2)) AS i FROM item WHERE len(w) > 0)
+), spans AS (
+  SELECT DISTINCT span FROM item_window
+), doc_window AS (
+  SELECT doc_id, i, span, w[i : i + span - 1] AS g
+  FROM (SELECT doc_id, w, span, unnest(range(1, len(w) - span + 2)) AS i FROM doc, spans WHERE len(w) >= span)
+), hit AS (
+  SELECT doc_id, i, span, item_id FROM doc_window JOIN item_window USING (span, g)
+), covered AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit
+  FROM (SELECT doc_id, unnest(range(i, i + span)) AS p FROM (SELECT DISTINCT doc_id, i, span FROM hit)) GROUP BY doc_id
+), named AS (
+  SELECT doc_id, count(*) AS n_items, sha256(string_agg(item, ',' ORDER BY item)) AS items_sha256
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hit) GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       coalesce(items_sha256, sha256('')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM doc LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)
+"""

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,3 +22,8 @@ def ascii_lower(text: Column) -> Column:
     """
     upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
     return F.when(F.octet_length(text) == F.length(text), F.lower(text)).otherwise(F.translate(text, upper, upper.lower()))
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, also where ``body`` uses it inside another lambda."""
+    return F.element_at(F.transform(F.array(value), body), 1)
