@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, fertility, packing, secrets, winnowing
+from . import chat, fertility, near_dup, packing, secrets, winnowing
 from .tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -107,3 +107,35 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, c
        coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM doc LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)
 """
+
+
+@query
+def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The component of near copies of every document."""
+    return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op5_minhash_near_dedup"] = r"""
+WITH RECURSIVE doc AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w FROM documents
+), shingle AS (
+  SELECT DISTINCT doc_id, s FROM (
+    SELECT doc_id, array_to_string(w[i : i + 4], ' ') AS s FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM doc WHERE len(w) >= 5)
+    UNION ALL SELECT doc_id, 'short ' || array_to_string(w, ' ') FROM doc WHERE len(w) BETWEEN 1 AND 4)
+), size AS (
+  SELECT doc_id, count(*) AS n FROM shingle GROUP BY doc_id
+), link AS (
+  SELECT p.a, p.b FROM (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS n
+                        FROM shingle x JOIN shingle y ON x.s = y.s AND x.doc_id <> y.doc_id GROUP BY 1, 2) p
+  JOIN size x ON x.doc_id = p.a JOIN size y ON y.doc_id = p.b WHERE 100 * p.n >= 85 * (x.n + y.n - p.n)
+), reach AS (
+  SELECT doc_id AS node, doc_id AS seen FROM size
+  UNION SELECT reach.node, link.b FROM reach JOIN link ON link.a = reach.seen
+), component AS (
+  SELECT node AS doc_id, min(seen) AS component_id FROM reach GROUP BY node
+)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, coalesce(component_id, doc_id) AS component_id,
+       doc_id = coalesce(component_id, doc_id) AS kept
+FROM doc LEFT JOIN size USING (doc_id) LEFT JOIN component USING (doc_id)
+"""
