@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, fertility, near_dup, packing, secrets, winnowing
+from . import chat, fertility, language, near_dup, packing, secrets, toxicity, winnowing
 from .tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -139,3 +139,15 @@ SELECT doc_id, coalesce(n, 0) AS n_shingles, coalesce(component_id, doc_id) AS c
        doc_id = coalesce(component_id, doc_id) AS kept
 FROM doc LEFT JOIN size USING (doc_id) LEFT JOIN component USING (doc_id)
 """
+
+
+@query
+def op9_weak_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document."""
+    return toxicity.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op10_byte_cnn_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document."""
+    return language.identified(table(spark, sf_dir, "documents"))
