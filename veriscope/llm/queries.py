@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, fertility, language, near_dup, packing, secrets, toxicity, winnowing
+from . import chat, fertility, language, near_dup, packing, secrets, suffixes, toxicity, winnowing
 from .tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -151,3 +151,9 @@ def op9_weak_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_byte_cnn_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predicted language of every document."""
     return language.identified(table(spark, sf_dir, "documents"))
+
+
+@query
+def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without its byte strings of 400 that also start elsewhere."""
+    return suffixes.digests(suffixes.deduplicated(table(spark, sf_dir, "documents")))
