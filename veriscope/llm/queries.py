@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, fertility, language, near_dup, packing, secrets, suffixes, toxicity, winnowing
+from . import chat, fertility, language, near_dup, packing, revisits, secrets, suffixes, toxicity, winnowing
 from .tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -157,3 +157,55 @@ def op10_byte_cnn_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of every document without its byte strings of 400 that also start elsewhere."""
     return suffixes.digests(suffixes.deduplicated(table(spark, sf_dir, "documents")))
+
+
+@query
+def op2_revisit_resolution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every revisit of the pages' crawl with the response it stands for."""
+    found = revisits.resolve(revisits.captures(table(spark, sf_dir, "pages")))
+    return found.withColumn("headers", revisits.listed(F.col("headers")))
+
+
+ORACLES["op2_revisit_resolution"] = r"""
+WITH page AS (
+  SELECT page_id, url, sha256(coalesce(html, '')) AS digest, octet_length(encode(coalesce(html, ''))) AS size FROM pages
+), record AS (
+  SELECT 2 * page_id AS record_id, url, page_id AS moment, true AS is_response, digest AS etag, page_id // 100 AS modified, digest, size, page_id
+  FROM page
+  UNION ALL
+  SELECT 2 * page_id + 1, regexp_replace(url, '^https?://', 'HTTP://www.') || '#again', page_id + 1000, false,
+         CASE WHEN page_id % 7 <> 0 THEN CASE WHEN page_id % 5 = 0 THEN digest || '-new' ELSE digest END END, page_id // 100, NULL, NULL, page_id
+  FROM page
+), plain AS (
+  SELECT *, regexp_replace(regexp_replace(trim(url), '#.*$', ''), '^[A-Za-z][A-Za-z0-9+.-]*://', '') AS u FROM record
+), query AS (
+  SELECT *, split_part(u, '?', 1) AS path,
+         list_filter(string_split(CASE WHEN contains(u, '?') THEN substr(u, strpos(u, '?') + 1) ELSE '' END, '&'),
+                     lambda x: x <> '' AND NOT regexp_full_match(x, '(utm_[^=]*|ref|fbclid|gclid)(=.*)?')) AS kept
+  FROM plain
+), joined AS (
+  SELECT *, path || CASE WHEN len(kept) > 0 THEN '?' || array_to_string(kept, '&') ELSE '' END AS v FROM query
+), record_of AS (
+  SELECT *, regexp_replace(regexp_replace(lower(regexp_extract(v, '^[^/?]*')), ':(80|443)$', ''), '^www\.', '')
+            || regexp_replace(substr(v, length(regexp_extract(v, '^[^/?]*')) + 1), '/+$', '') AS canonical_url
+  FROM joined
+), matched AS (
+  SELECT r.*, s.record_id AS source, s.etag AS source_etag, s.modified AS source_modified, s.digest AS source_digest, s.size AS source_size,
+         s.page_id AS source_page,
+         row_number() OVER (PARTITION BY r.record_id ORDER BY s.moment DESC, s.record_id DESC) AS k
+  FROM (SELECT * FROM record_of WHERE NOT is_response) r
+  LEFT JOIN (SELECT * FROM record_of WHERE is_response) s ON s.canonical_url = r.canonical_url AND s.moment <= r.moment
+), judged AS (
+  SELECT *, CASE WHEN source IS NULL THEN 'missing'
+                 WHEN CASE WHEN etag IS NOT NULL THEN etag = source_etag ELSE modified = source_modified END THEN 'resolved'
+                 ELSE 'mismatch' END AS status
+  FROM matched WHERE k = 1
+)
+SELECT record_id, canonical_url, status,
+       CASE WHEN status = 'resolved' THEN source END AS response_id,
+       CASE WHEN status = 'resolved' THEN source_digest END AS payload,
+       CASE WHEN status = 'resolved' THEN
+         'cache-control: max-age=60' || chr(10) || 'content-length: ' || source_size || chr(10) || 'content-type: text/html' || chr(10)
+         || 'date: later ' || page_id || chr(10) || 'etag: ' || source_digest END AS headers
+FROM judged
+"""
