@@ -1,9 +1,10 @@
 """Near-duplicates: MinHash bands, sequential Bayesian pruning, exact verification, connected components.
 
-Equal texts are one node (digest of the text).  A node has a signature of ``HASHES`` minima; two nodes that agree on a
-whole band of it are candidates.  A band's bucket may hold a very large group, so its pairs are never listed: every
-member is first compared with the bucket's smallest member (a star), components are formed, and only members of a
-bucket that are still in different components are compared with each other, block against block, inside a task.
+Equal texts are one node (digest of the text).  A node has ``HASHES`` minima, of which the last byte is kept as its
+signature, and ``BANDS`` band hashes over the first of them; two nodes with an equal band are candidates.  A band's bucket may
+hold a very large group, so its pairs are never listed: every member is first compared with its most central neighbour
+(the one with the most bucket mates), components are formed, and only members of a bucket that are still in
+different components are compared with each other, block against block, inside a task, in the first band they share.
 
 A candidate's signatures are compared ``BATCH`` hashes at a time.  With a uniform prior, m of n equal hashes give
 P(J >= t | m, n) = P(Bin(n + 1, t) <= m); a pair whose probability falls under ``MISS`` is dropped, every other pair is
@@ -14,7 +15,7 @@ from __future__ import annotations
 
 import functools
 from collections.abc import Iterator
-from math import comb
+from math import exp, lgamma, log
 
 import numpy as np
 import pyarrow as pa
@@ -28,10 +29,10 @@ from .components import components
 
 SHINGLE = 5
 PERCENT = 85
-HASHES = 128
+HASHES = 512
 ROWS, BANDS = 5, 25
-BATCH = 16
-MISS = 1e-5
+BATCH = 32
+MISS = 1e-4
 BLOCK = 256  # members of a bucket that are compared with as many others in one group
 CACHE_WORDS = 300_000  # per worker process
 
@@ -72,25 +73,34 @@ def shingles(text: str | None) -> np.ndarray:
     return np.unique(mixed)
 
 
-def signature(sets: np.ndarray) -> bytes:
+def minima(sets: np.ndarray) -> np.ndarray:
     """``HASHES`` minima of 32 bits each."""
     least = np.full(HASHES, 2**32 - 1, dtype=np.uint32)
-    for at in range(0, len(sets), 2048):
-        part = sets[at : at + 2048, None] * _FACTORS + _ADDENDS
-        least = np.minimum(least, (part >> np.uint64(32)).astype(np.uint32).min(axis=0))
-    return least.tobytes()
+    for at in range(0, len(sets), 512):
+        part = sets[at : at + 512, None] * _FACTORS + _ADDENDS
+        least = np.minimum(least, (part >> np.uint64(32)).min(axis=0).astype(np.uint32))
+    return least
+
+
+def bands_of(least: np.ndarray) -> list[int]:
+    """A 64-bit hash of each band of ``ROWS`` minima."""
+    mixed = np.arange(BANDS, dtype=np.uint64)
+    for row in least[: BANDS * ROWS].reshape(BANDS, ROWS).T:
+        mixed = _mixed(mixed * np.uint64(0x9E3779B97F4A7C15) + row)
+    return mixed.view(np.int64).tolist()
 
 
 @functools.cache
 def least_matches() -> np.ndarray:
     """For n compared hashes the fewest equal ones with P(J >= t | m, n) >= MISS."""
     t = PERCENT / 100
+    t += (1 - t) / 256  # bytes of different minima may be equal
     fewest = np.zeros(HASHES + 1, dtype=np.int64)
     for n in range(1, HASHES + 1):
         below, m = 0.0, -1
         while below < MISS:
             m += 1
-            below += comb(n + 1, m) * t**m * (1 - t) ** (n + 1 - m)
+            below += exp(lgamma(n + 2) - lgamma(m + 1) - lgamma(n + 2 - m) + m * log(t) + (n + 1 - m) * log(1 - t))
         fewest[n] = m
     return fewest
 
@@ -108,27 +118,35 @@ def survivors(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def _signatures(column: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), dtype=np.uint32).reshape(-1, HASHES)
+    return np.frombuffer(b"".join(column.to_pylist()), dtype=np.uint8).reshape(-1, HASHES)
 
 
 def nodes(docs: DataFrame) -> DataFrame:
-    """``doc_id, key, n_shingles, signature`` per document; a text without words has no signature."""
+    """``doc_id, key, n_shingles, signature, bands`` per document; a text without words has no signature."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, signatures = [], []
+            sizes, signatures, bands = [], [], []
             for text in batch.column(2).to_pylist():
                 own = shingles(text)
+                least = minima(own) if len(own) else None
                 sizes.append(len(own))
-                signatures.append(signature(own) if len(own) else None)
+                signatures.append(None if least is None else (least & np.uint32(255)).astype(np.uint8).tobytes())
+                bands.append(None if least is None else bands_of(least))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(signatures, pa.binary())],
-                names=["doc_id", "key", "n_shingles", "signature"],
+                [
+                    batch.column(0),
+                    batch.column(1),
+                    pa.array(sizes, pa.int64()),
+                    pa.array(signatures, pa.binary()),
+                    pa.array(bands, pa.list_(pa.int64())),
+                ],
+                names=["doc_id", "key", "n_shingles", "signature", "bands"],
             )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", _key(), "text").mapInArrow(
-        run, f"doc_id {kind}, key binary, n_shingles long, signature binary"
+        run, f"doc_id {kind}, key binary, n_shingles long, signature binary, bands array<bigint>"
     )
 
 
@@ -207,27 +225,38 @@ def _across(apart: DataFrame, signed: DataFrame) -> DataFrame:
     block = F.struct("spot", "piece")
     one = blocks.select("band", "bucket", block.alias("one"), F.col("lo").alias("lo1"), F.col("hi").alias("hi1"))
     two = blocks.select("band", "bucket", block.alias("two"), F.col("lo").alias("lo2"), F.col("hi").alias("hi2"))
+    # A block with one component need not meet itself, nor another of the same component.
     meet = one.join(two, ["band", "bucket"]).filter("one <= two AND NOT (lo1 = hi1 AND lo2 = hi2 AND lo1 = lo2)")
     meet = meet.select("band", "bucket", "one", "two")
-    own = blocked.select("band", "bucket", block.alias("own"), "key", "label").join(signed.select("key", "signature"), "key")
+    own = blocked.select("band", "bucket", block.alias("own"), "key", "label")
+    own = own.join(signed.select("key", "signature", "bands"), "key")
     sides = meet.select("*", F.explode(F.array_distinct(F.array("one", "two"))).alias("own"))
     rows = sides.join(own, ["band", "bucket", "own"]).select(
-        "band", "bucket", F.to_json("one").alias("one"), F.to_json("two").alias("two"), "key", "label", "signature"
+        "band", "bucket", (F.col("own") == F.col("two")).alias("second"), F.to_json("one").alias("one"), F.to_json("two").alias("two"), "key", "label", "signature", "bands"
     )
 
     def compare(table: pa.Table) -> pa.Table:
         found_a, found_b = [], []
         keys, labels = table.column("key").to_pylist(), np.array(table.column("label").to_pylist(), dtype=object)
         signed = _signatures(table.column("signature"))
+        bands = np.array(table.column("bands").to_pylist(), dtype=np.int64).reshape(-1, BANDS)
+        band = table.column("band")[0].as_py()
+        # Of two blocks only pairs across them are this group's; within a block they are the group's of that block alone.
+        two_blocks = table.column("one")[0] != table.column("two")[0]
+        side = np.array(table.column("second").to_pylist())
         for i in range(len(keys) - 1):
             others = i + 1 + np.flatnonzero(labels[i + 1 :] != labels[i])
+            if two_blocks:
+                others = others[side[others] != side[i]]
+            # A pair is looked at in the first band it shares.
+            others = others[(bands[others] == bands[i]).argmax(axis=1) == band]
             near = survivors(np.broadcast_to(signed[i], (len(others), HASHES)), signed[others])
             for j in others[near]:
                 found_a.append(min(keys[i], keys[j]))
                 found_b.append(max(keys[i], keys[j]))
         return pa.table({"a": pa.array(found_a, pa.binary()), "b": pa.array(found_b, pa.binary())})
 
-    return rows.groupBy("band", "bucket", "one", "two").applyInArrow(compare, "a binary, b binary").distinct()
+    return rows.groupBy("band", "bucket", "one", "two").applyInArrow(compare, "a binary, b binary")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -237,33 +266,25 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     ``doc_id`` count as one document.  A document without ``doc_id`` is kept only if no document of its component has one.
     """
     own = written(nodes(docs))
-    signed = written(
-        own.filter("n_shingles > 0").groupBy("key").agg(F.min("doc_id").alias("first_id"), F.first("signature").alias("signature"))
-    )
-    band = F.explode(F.sequence(F.lit(0), F.lit(BANDS - 1))).alias("band")
-    members = signed.select("key", "signature", band).select(
-        "key", "band", F.xxhash64(F.expr(f"substring(signature, band * {4 * ROWS} + 1, {4 * ROWS})")).alias("bucket")
-    )
-    heads = members.groupBy("band", "bucket").agg(F.min("key").alias("head"), F.count("*").alias("n")).filter("n > 1")
-    members = written(members.join(heads.drop("n"), ["band", "bucket"]))
-    # First only the smallest head of each member, then the others of those that this left apart.
-    stars = members.filter("head <> key").select(F.col("head").alias("a"), F.col("key").alias("b")).distinct()
-    first = written(_pruned(stars.groupBy("b").agg(F.min("a").alias("a")), signed))
+    first = F.first(F.struct("signature", "bands"))
+    signed = own.filter("n_shingles > 0").groupBy("key").agg(F.min("doc_id").alias("first_id"), first.alias("s"))
+    signed = written(signed.select("key", "first_id", "s.*"))
+    members = signed.select("key", F.posexplode("bands").alias("band", "bucket"))
+    mates = members.groupBy("band", "bucket").agg(F.count("*").alias("n")).filter("n > 1")
+    members = written(members.join(mates, ["band", "bucket"]))
+    # The most central member of a bucket is the one with the most mates over all its bands.
+    weighed = members.groupBy("key").agg(F.sum("n").alias("weight"))
+    weighed = written(members.select("band", "bucket", "key").join(weighed, "key"))
+    heads = weighed.groupBy("band", "bucket").agg(F.max(F.struct("weight", "key")).alias("head"))
+    stars = weighed.join(heads, ["band", "bucket"]).groupBy("key").agg(F.max("head").alias("head"))
+    first = written(_pruned(stars.select(F.col("head.key").alias("a"), F.col("key").alias("b")).filter("a <> b"), signed))
     links = _verified(first, docs)
     labels = components(links)
-    rest = _apart(members, labels).filter("head <> key").select(F.col("head").alias("a"), F.col("key").alias("b")).distinct()
-    heads_of = labels.select(F.col("node").alias("a"), F.col("label").alias("la"))
-    tails_of = labels.select(F.col("node").alias("b"), F.col("label").alias("lb"))
-    rest = rest.join(heads_of, "a", "left").join(tails_of, "b", "left").filter("coalesce(la, a) <> coalesce(lb, b)").select("a", "b")
-    second = written(_pruned(rest.join(first, ["a", "b"], "left_anti"), signed))
+    across = _across(_apart(weighed.select("band", "bucket", "key"), labels), signed)
+    tested = first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    second = written(across.join(tested, ["a", "b"], "left_anti"))
     if not second.isEmpty():
-        links = links.union(_verified(second, docs))
-        labels = components(links)
-    across = written(_across(_apart(members.drop("head"), labels), signed))
-    tested = first.union(second)
-    third = written(across.join(tested, ["a", "b"], "left_anti"))
-    if not third.isEmpty():
-        labels = components(links.union(_verified(third, docs)))
+        labels = components(links.union(_verified(second, docs)))
     named = signed.select(F.col("key"), "first_id").join(labels.withColumnRenamed("node", "key"), "key", "left")
     named = written(named.withColumn("label", F.coalesce("label", "key")))
     smallest = named.groupBy("label").agg(F.min("first_id").alias("component_id"))
