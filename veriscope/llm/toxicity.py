@@ -1,7 +1,7 @@
 """Toxicity by weak supervision.
 
-Lexicons are mined from the labelled rows that are not held out: words, and word beginnings, that toxic texts hold far more
-often than others.  They are dealt out to ``LEXICONS`` voters; a public word list and writing patterns vote too.  A
+Lexicons are mined from ``LABELLED_ROWS`` labelled rows that are not held out: words, and word beginnings, that toxic texts
+hold far more often than others.  They are dealt out to ``LEXICONS`` voters; a public word list and writing patterns vote too.  A
 generative model of the votes (two classes, one accuracy per voter and class, fitted by expectation maximisation to the
 histogram of all vote patterns) estimates how good the voters are, and how much they agree beyond their classes;
 correlated voters count for less.  Its posterior labels train a linear classifier over the mined words, whose score is returned.
@@ -32,6 +32,7 @@ LEAST_TEXTS = 3  # labelled toxic texts with a mined word
 CHANCE_WORDS = 0.1  # mined words that are expected to say nothing
 LEAST_ODDS = 3.0  # log odds ratio of a mined word that a voter may use
 TRAIN_ROWS = 8000
+LABELLED_ROWS = 20_000  # labelled rows from which words are mined
 EPOCHS = 300
 # A small public list of insults.
 PUBLIC = "idiot idiots moron morons stupid dumb loser losers pathetic worthless scum trash disgusting clown fool filth vermin".split()
@@ -55,12 +56,18 @@ def tokens(text: Column) -> Column:
 
 
 def mined(docs: DataFrame, labels: DataFrame) -> tuple[dict[str, float], float]:
-    """Log odds ratios of at most ``FEATURES`` tokens, and the share of toxic texts, over all labelled rows not held out."""
+    """Log odds ratios of at most ``FEATURES`` tokens, and the share of toxic texts.
+
+    From a bounded sample of the labelled rows that are not held out: ``LABELLED_ROWS`` of them, by a hash of their ids.
+    """
     labelled = labels.filter("toxic IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    rows = docs.filter(~is_held_out(HELD_OUT_MOD, HELD_OUT_REST)).select("doc_id", "text").join(labelled, "doc_id")
+    labelled = labelled.filter(~is_held_out(HELD_OUT_MOD, HELD_OUT_REST) & F.col("doc_id").isNotNull())
+    sampled = written(labelled.orderBy(F.xxhash64("doc_id"), "doc_id").limit(LABELLED_ROWS))
+    # At most LABELLED_ROWS ids are broadcast, so texts are not shuffled for their labels.
+    rows = docs.select("doc_id", "text").join(F.broadcast(sampled), "doc_id")
     # Equal texts count once.
     rows = rows.groupBy(F.xxhash64("text").alias("digest")).agg(F.max("toxic").alias("toxic"), F.first("text").alias("text"))
-    rows = rows.select("toxic", tokens(F.col("text")).alias("tokens"))
+    rows = written(rows.select("toxic", tokens(F.col("text")).alias("tokens")))
     n_toxic, n_clean = rows.agg(F.count_if(F.col("toxic") == 1), F.count_if(F.col("toxic") != 1)).first()
     if not n_toxic or not n_clean:
         return {}, 0.1
