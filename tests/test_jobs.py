@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from veriscope.bindings import adapters as A
-from veriscope.operators.anomalies import volume_anomalies
+from veriscope.operators.anomalies import dimension_anomalies, volume_anomalies
 from veriscope.operators.history import most_recent
 from veriscope.operators.keyed import DuplicateKeyError
 from veriscope.operators.quality import Check, failing_city_coordinates, run_checks
@@ -106,13 +106,13 @@ def test_checks_report_and_fail(spark, whole):
     assert jobs.check(whole, forecast_providers=PROVIDERS).filter("status = 'error'").count() == 0
 
 
-def test_rows_without_a_city_are_inserted_again(spark, stores, tmp_path):
-    """A NULL key equals no key, so a merge keeps the old row beside the new one."""
+def test_rows_without_a_city_are_one_group(spark, stores, tmp_path):
+    """A rebuilt mart replaces the group without a key as it does any other."""
     warehouse = Warehouse(spark, str(tmp_path))
     jobs.ingest(warehouse, stores["all"], now=NOW)
     for _ in range(2):
         jobs.build(warehouse, A.cities(spark, SF_DIR))
-    assert warehouse.read("dm.city_summary").filter("city IS NULL").count() == 2
+    assert warehouse.read("dm.city_summary").filter("city IS NULL").count() == 1
     results = {r.check: r.status for r in jobs.check(warehouse, raise_on_error=False).collect()}
     assert results["not_null_stg.weather_current_city"] == "error"
 
@@ -139,6 +139,20 @@ def test_each_kind_of_check(spark):
     assert sorted(found) == sorted([(1, "error"), (1, "warn"), (1, "error"), (2, "warn"), (0, "pass"), (1, "warn")])
 
 
+def test_a_quote_in_a_check_is_text(spark):
+    rows = spark.createDataFrame([("1",), ("it's",)], "s string")
+    checks = [Check("t's", "s", "expression", expression="<> '1'"), Check("t's", "s", "accepted_values", values=("it's",))]
+    assert [r.failures for r in run_checks({"t's": rows}, checks).collect()] == [1, 1]
+
+
+def test_a_dimension_that_falls_silent_is_an_anomaly(spark):
+    days = [(dt.datetime(2024, 1, 1) + dt.timedelta(days=d, hours=h), k) for d in range(20) for h in range(8 + d % 2) for k in "ab"]
+    rows = [(t, k) for t, k in days if k == "a" or t.day < 15]
+    scored = dimension_anomalies(spark.createDataFrame(rows, "t timestamp_ntz, k string"), "t", "k").collect()
+    assert min(r.bucket.day for r in scored if r.is_anomaly) == 15
+    assert {r.k for r in scored if r.is_anomaly} == {"b"} and len(scored) == 40
+
+
 def test_a_city_at_two_positions(spark):
     assert [r.city for r in failing_city_coordinates(seed_cities(spark)).collect()] == ["Vladivostok"]
 

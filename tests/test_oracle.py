@@ -8,10 +8,12 @@ from decimal import Decimal
 import pytest
 
 import __spark_entry__ as entry
+from veriscope import bindings
 
 from .conftest import SF_DIR
 
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+# The optional queries are tested beside their package.
+QUERIES, ORACLES = bindings.QUERIES, bindings.ORACLES
 
 
 def text(value) -> str:
@@ -48,6 +50,7 @@ def test_entry_is_the_accuracy_mart(spark):
 
 
 def test_every_oracle_has_a_query():
+    assert set(entry.oracle_sql()) <= set(entry.queries()) and set(QUERIES) <= set(entry.queries())
     assert set(ORACLES) <= set(QUERIES)
     assert set(QUERIES) - set(ORACLES) == {"pipe_test"}
 

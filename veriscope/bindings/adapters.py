@@ -15,7 +15,6 @@ from ..functions.scalar import kph_to_ms, lead_hours
 from ..operators.nest import nest_current, nest_forecast, to_documents
 from ..operators.normalize import accepted, normalize_current, normalize_forecast
 from ..schemas import OPEN_END, RAW_EPOCH, raw_key
-from ..sources.documents import spread
 
 PROVIDER_OF = {
     "click": "open_meteo",
@@ -233,7 +232,7 @@ def landing_current(spark: SparkSession, sf_dir: str) -> DataFrame:
         WHEN provider = 'weatherbit' THEN {weatherbit}
         WHEN e % 23 = 0 THEN '{{"error": {{"code": 101, "info": "Invalid access key"}}}}'
         ELSE {weatherstack} END"""
-    numbered = spread(events(spark, sf_dir)).selectExpr("*", f"floor(e / {ANSWERS_PER_REQUEST}) AS request_id")
+    numbered = events(spark, sf_dir).selectExpr("*", f"floor(e / {ANSWERS_PER_REQUEST}) AS request_id")
     return numbered.selectExpr(
         "event_id",
         "request_id",
@@ -266,7 +265,7 @@ def landing_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     hours = each(_struct(time=_minutes("x.hour"), temp_c="x.temp", humidity="x.hum", wind_kph="x.wind"))
     # Two days in one answer: the first point, then all others.
-    first, rest = _struct(hour=f"slice({hours}, 1, 1)"), _struct(hour=f"slice({hours}, 2, {POINTS_PER_REQUEST})")
+    first, rest = _struct(hour=f"slice({hours}, 1, 1)"), _struct(hour=f"slice({hours}, 2, size(p))")
     data = each(
         _struct(
             temp="x.temp",

@@ -8,7 +8,7 @@ from ..functions.clock import day_of
 from ..functions.metrics import avg_where, mae, pct_within, rmse
 from ..functions.scalar import bucket_horizon, c_to_f, pg_round, ratio, surrogate_key, wind_cardinal
 from ..operators.matching import actual_values, forecast_errors
-from ..operators.medians import grouped_median, is_small
+from ..operators.medians import grouped_median
 from ..plans import dm, ods
 from ..session import written
 from . import adapters as A
@@ -321,12 +321,8 @@ def agg_rmse(spark, sf_dir):
     ),
 )
 def agg_median(spark, sf_dir):
-    errors = _errors(spark, sf_dir)
-    if is_small(errors):
-        medians = errors.groupBy(*dm.ACCURACY_KEY).agg(F.median("temperature_error_abs").alias("median_error"))
-    else:
-        errors = written(errors.select(*dm.ACCURACY_KEY, "temperature_error_abs"))
-        medians = grouped_median(errors, dm.ACCURACY_KEY, "temperature_error_abs", "median_error")
+    errors = written(_errors(spark, sf_dir).select(*dm.ACCURACY_KEY, "temperature_error_abs"))
+    medians = grouped_median(errors, dm.ACCURACY_KEY, "temperature_error_abs", "median_error")
     return medians.withColumn("median_error", F.expr(pg_round("median_error", 6)))
 
 

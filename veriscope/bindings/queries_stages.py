@@ -146,10 +146,11 @@ def fn_hhmm_code(spark, sf_dir):
 
 @query(
     "fn_num_or_null",
-    sql("SELECT e AS event_id, CASE WHEN e % 3 <> 0 THEN value END AS number FROM ev", "ev"),
+    sql("SELECT e AS event_id, CASE WHEN e % 15 = 1 THEN CAST(1e30 AS DOUBLE) WHEN e % 3 <> 0 THEN value END AS number FROM ev", "ev"),
 )
 def fn_num_or_null(spark, sf_dir):
-    text = "CASE WHEN e % 6 = 0 THEN 'none' WHEN e % 3 <> 0 THEN cast(value AS string) END"
+    text = """CASE WHEN e % 6 = 0 THEN 'none' WHEN e % 9 = 0 THEN '12d' WHEN e % 15 = 3 THEN '7F' WHEN e % 15 = 1 THEN '1e30'
+        WHEN e % 3 <> 0 THEN cast(value AS string) END"""
     return A.events(spark, sf_dir).selectExpr("event_id", f"{number_or_null(text)} AS number")
 
 

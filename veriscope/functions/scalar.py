@@ -12,17 +12,23 @@ KEY_NULL = "_dbt_utils_surrogate_key_null_"
 
 
 def exact(x: str) -> str:
-    """A double as a decimal on which rounding is well defined."""
-    return f"cast({x} AS decimal(38, 12))"
+    """A double as a decimal on which rounding is well defined; NULL if it is too large for one."""
+    return f"try_cast({x} AS decimal(38, 12))"
 
 
 def pg_round(x: str, digits: int) -> str:
-    """Round half away from zero on the decimal value, back as a double."""
-    return f"cast(round({exact(x)}, {digits}) AS double)"
+    """Round half away from zero on the decimal value, back as a double.
+
+    A double too large for the decimal has no digits behind the point, so it stays as it is; so do
+    infinity and NaN.
+    """
+    return f"coalesce(cast(round({exact(x)}, {digits}) AS double), cast({x} AS double))"
 
 
 def number_or_null(text: str) -> str:
-    return f"try_cast({text} AS double)"
+    """The number a text spells, else NULL; a letter behind it, as in ``12d``, makes it no number."""
+    spelled = f"rlike(trim({text}), '^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$|^(?i)[+-]?(nan|inf|infinity)$')"
+    return f"CASE WHEN {spelled} THEN try_cast({text} AS double) END"
 
 
 def ms_to_kph(x: str) -> str:

@@ -44,16 +44,19 @@ def score(buckets: DataFrame, value: str = "value", by: Sequence[str] = (), buck
     return scored.selectExpr("*", f"{verdict} AS is_anomaly")
 
 
-def all_buckets(rows: DataFrame, ts: str, period: str) -> DataFrame:
-    """Every bucket from the first to the last one with rows, also those without."""
-    ends = rows.selectExpr(f"min({ts}) AS a", f"max({ts}) AS b")
-    days = ends.selectExpr("explode(sequence(cast(a AS date), cast(b AS date), interval 1 day)) AS d", "a", "b")
+def _fill(ends: DataFrame, period: str) -> DataFrame:
+    """Rows with every bucket from ``a`` to ``b``, their first and last ones."""
+    days = ends.selectExpr("*", "explode(sequence(cast(a AS date), cast(b AS date), interval 1 day)) AS d")
     if period == "day":
-        return days.selectExpr("cast(d AS timestamp_ntz) AS bucket")
-    hours = days.selectExpr("explode(sequence(0, 23)) AS h", "d", "a", "b").selectExpr(
-        f"{plus_hours('cast(d AS timestamp_ntz)', 'h')} AS bucket", "a", "b"
-    )
-    return hours.filter(f"bucket BETWEEN {hour_of('a')} AND {hour_of('b')}").select("bucket")
+        return days.selectExpr("*", "cast(d AS timestamp_ntz) AS bucket").drop("a", "b", "d")
+    hours = days.selectExpr("*", "explode(sequence(0, 23)) AS h")
+    hours = hours.selectExpr("*", f"{plus_hours('cast(d AS timestamp_ntz)', 'h')} AS bucket")
+    return hours.filter("bucket BETWEEN a AND b").drop("a", "b", "d", "h")
+
+
+def all_buckets(per_bucket: DataFrame, period: str) -> DataFrame:
+    """Every bucket from the first to the last one with rows, also those without; reads one row per bucket."""
+    return _fill(per_bucket.agg(F.min("bucket").alias("a"), F.max("bucket").alias("b")), period)
 
 
 def _per_bucket(rows: DataFrame, ts: str, period: str, *more: str) -> GroupedData:
@@ -63,20 +66,28 @@ def _per_bucket(rows: DataFrame, ts: str, period: str, *more: str) -> GroupedDat
 def volume_anomalies(rows: DataFrame, ts: str, period: str = "day") -> DataFrame:
     """Rows per bucket; a bucket without rows counts 0."""
     counts = _per_bucket(rows, ts, period).agg(F.expr("count(1) AS n"))
-    full = all_buckets(rows, ts, period).join(counts, "bucket", "left")
+    full = all_buckets(counts, period).join(counts, "bucket", "left")
     return score(full.selectExpr("bucket", "coalesce(n, 0) AS value"))
 
 
 def dimension_anomalies(rows: DataFrame, ts: str, dimension: str, period: str = "day") -> DataFrame:
-    """Rows per bucket and value of a dimension, each value against its own history."""
-    counts = _per_bucket(rows, ts, period, dimension).agg(F.expr("count(1) AS value"))
-    return score(counts, by=[dimension])
+    """Rows per bucket and value of a dimension, each value against its own history.
+
+    Buckets run from a value's first to the last one of all values, so a value that falls silent counts 0.
+    """
+    counts = _per_bucket(rows, ts, period, dimension).agg(F.expr("count(1) AS n"))
+    last = counts.agg(F.max("bucket")).scalar()
+    spans = counts.groupBy(F.col(dimension).alias("_of")).agg(F.min("bucket").alias("a")).withColumn("b", last)
+    full = _fill(spans, period).withColumnRenamed("bucket", "_at")
+    same = F.col("_of").eqNullSafe(F.col(dimension)) & (F.col("_at") == F.col("bucket"))
+    value = F.coalesce("n", F.lit(0)).alias("value")
+    return score(full.join(counts, same, "left").select(F.col("_at").alias("bucket"), F.col("_of").alias(dimension), value), by=[dimension])
 
 
 def freshness_anomalies(rows: DataFrame, ts: str, period: str = "hour") -> DataFrame:
     """Seconds from the newest row so far to the end of each bucket."""
     newest = _per_bucket(rows, ts, period).agg(F.expr(f"max({ts}) AS newest"))
-    full = all_buckets(rows, ts, period).join(newest, "bucket", "left")
+    full = all_buckets(newest, period).join(newest, "bucket", "left")
     so_far = "max(newest) OVER (ORDER BY bucket ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
     end = plus_hours("bucket", "1" if period == "hour" else "24")
     return score(full.selectExpr("bucket", f"cast({seconds_between(so_far, end)} AS double) AS value"))

@@ -4,22 +4,34 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.clock import hour_of, ntz
 from ..schemas import OPEN_END
+from .dedup import latest_per_key
 
 
 class DuplicateKeyError(ValueError):
     """A batch to be merged holds a key more than once."""
 
 
-def delete_insert(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Target rows whose key is in the batch go, all batch rows come; NULL keys never match."""
+def _same(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
+    """Equal keys, NULL equal to NULL."""
+    return reduce(and_, (left[k].eqNullSafe(right[k]) for k in keys))
+
+
+def delete_insert(target: DataFrame, batch: DataFrame, keys: Sequence[str], null_safe: bool = False) -> DataFrame:
+    """Target rows whose key is in the batch go, all batch rows come.
+
+    A key with a NULL matches none, unless ``null_safe``.
+    """
     stale = batch.select(*keys).distinct()
-    return target.join(stale, list(keys), "left_anti").select(*batch.columns).unionByName(batch)
+    on = _same(target, stale.alias("_stale"), keys) if null_safe else list(keys)
+    return target.join(stale, on, "left_anti").select(*batch.columns).unionByName(batch)
 
 
 def merge_upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str], check: bool = True) -> DataFrame:
@@ -47,26 +59,34 @@ def next_in_time(rows: DataFrame, key: str, time: str, name: str) -> DataFrame:
 
     A window over a key alone would put a key with a third of all rows into one task.  Rows are
     ranked within (key, hour) instead; the last row of an hour takes the first time of the key's
-    next non-empty hour, from a table with one row per key and hour.  ``time`` must not be NULL
-    and not repeat within a key.
+    next non-empty hour, from a table with one row per key and hour.  ``time`` must not repeat
+    within a key.  A NULL key is a key like others; a row without ``time`` is kept and has no next.
     """
     by_hour = rows.selectExpr("*", f"{hour_of(time)} AS _hour")
     in_hour = Window.partitionBy(key, "_hour").orderBy(time)
     hours = by_hour.groupBy(key, "_hour").agg(F.min(time).alias("_first"))
-    hours = hours.withColumn("_next_first", F.lead("_first").over(Window.partitionBy(key).orderBy("_hour"))).drop(
-        "_first"
+    hours = hours.select(
+        F.col(key).alias("_key"),
+        F.col("_hour").alias("_of"),
+        F.lead("_first").over(Window.partitionBy(key).orderBy("_hour")).alias("_next_first"),
     )
+    same = F.col(key).eqNullSafe(F.col("_key")) & F.col("_hour").eqNullSafe(F.col("_of"))
     return (
         by_hour.withColumn("_next", F.lead(time).over(in_hour))
-        .join(hours, [key, "_hour"])
-        .withColumn(name, F.coalesce("_next", "_next_first"))
-        .drop("_hour", "_next", "_next_first")
+        .join(hours, same)
+        .withColumn(name, F.when(F.col(time).isNotNull(), F.coalesce("_next", "_next_first")))
+        .drop("_hour", "_next", "_next_first", "_key", "_of")
     )
 
 
+def one_of_each_version(log: DataFrame, key: str, change: str) -> DataFrame:
+    """One row per key and stamp; of several the one with the largest text counts, so a rerun keeps the same."""
+    return latest_per_key(log, [key, change], ["to_json(struct(*)) DESC"])
+
+
 def scd2_history(log: DataFrame, key: str, change: str) -> DataFrame:
     """Every version in a change log with its span of validity, from one change to the next."""
-    versions = next_in_time(log.dropDuplicates([key, change]), key, change, "_until")
+    versions = next_in_time(one_of_each_version(log, key, change), key, change, "_until")
     return versions.select(
         *log.columns,
         F.col(change).alias("valid_from_dttm"),
@@ -91,7 +111,7 @@ def scd2_changes(
         wanted = F.col("_known").isNull() | ~F.col(change).eqNullSafe(F.col("_active"))
     else:
         newest = batch.groupBy(key).agg(F.max(change).alias("_newest"))
-        rows = batch.dropDuplicates([key, change]).join(newest.join(standing, key, "left"), key)
+        rows = one_of_each_version(batch, key, change).join(newest.join(standing, key, "left"), key)
         is_newest = F.col(change).eqNullSafe(F.col("_newest"))
         later = F.coalesce(F.col(change) > F.col("_active"), F.lit(False)) | (
             F.col("_active").isNull() & F.col(change).isNotNull()
@@ -134,6 +154,7 @@ def scd2_upsert(
 def scd2_counts(target: DataFrame, batch: DataFrame, key: str, change: str) -> DataFrame:
     """How many batch rows a load inserts and how many it skips."""
     in_force = target.filter(f"valid_to_dttm = {ntz(OPEN_END)}")
-    opened = scd2_changes(in_force, batch, key, change).agg(F.count(F.lit(1)).alias("inserted"))
-    total = batch.agg(F.count(F.lit(1)).alias("_total"))
-    return opened.join(total).select("inserted", (F.col("_total") - F.col("inserted")).alias("skipped"))
+    opened = scd2_changes(in_force, batch, key, change).select(F.lit(1).alias("opened"), F.lit(0).alias("given"))
+    both = opened.unionAll(batch.select(F.lit(0), F.lit(1)))
+    inserted, given = (F.coalesce(F.sum(c), F.lit(0)) for c in ("opened", "given"))
+    return both.agg(inserted.alias("inserted"), (given - inserted).alias("skipped"))

@@ -7,22 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# Up to this many bytes of input, Spark's own exact percentile (one map of values per group) is safe.
-SMALL_INPUT_BYTES = 256 << 20
 # The sketch that brackets a median errs by at most 1 / SKETCH_ACCURACY of the group's rows.
 SKETCH_ACCURACY = 100_000
-# Up to this many groups, their brackets are handed to every task.
-FEW_GROUPS = 50_000
-
-
-def input_bytes(df: DataFrame) -> int:
-    """Bytes of all tables under a plan, as Spark knows them; nothing is run."""
-    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
-
-
-def is_small(df: DataFrame) -> bool:
-    return input_bytes(df) <= SMALL_INPUT_BYTES
 
 
 def grouped_median(
@@ -32,8 +18,9 @@ def grouped_median(
 
     A mergeable sketch brackets the median of every group; its rank error is bounded, so the exact
     middle values lie inside the bracket.  A second pass counts what lies below the bracket and
-    ranks only the distinct values inside it, a few in a hundred thousand of the group.  ``rows``
-    is read twice, so a caller with a costly plan should write it to a table first.
+    ranks only the distinct values inside it, a few in a hundred thousand of the group; it fails if
+    the middle is not inside.  ``rows`` is read twice, so a caller with a costly plan should write it
+    to a table first.  The brackets are one row per group, and Spark decides how they are joined.
     """
     known = rows.select(*keys, value).filter(F.col(value).isNotNull())
     # Three times the guaranteed rank error on either side of the middle.
@@ -55,10 +42,6 @@ def grouped_median(
             F.ceil((F.col("_n") - 1) / 2).alias("_rank_hi"),
         )
     )
-    few = brackets.limit(FEW_GROUPS + 1).collect()
-    if len(few) <= FEW_GROUPS:
-        # A local table of checked size: Spark broadcasts it, and the large side is not shuffled.
-        brackets = rows.sparkSession.createDataFrame(few, brackets.schema)
     same = F.lit(True)
     for key in keys:
         same = same & F.col(key).eqNullSafe(F.col(f"_k_{key}"))
@@ -76,7 +59,10 @@ def grouped_median(
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     ranked = counted.withColumn("_end", F.sum("_c").over(upto))
-    hit = lambda rank: F.min(F.when(F.col("_end") > F.col(rank), F.col("_v")))
-    return ranked.groupBy(*keys).agg(
-        (hit("_rank_lo") * F.lit(0.5) + hit("_rank_hi") * F.lit(0.5)).alias(name)
-    )
+    hit = lambda rank: F.min(F.when(F.col("_v").isNotNull() & (F.col("_end") > F.col(rank)), F.col("_v")))
+    # The counts prove that both middle ranks lie inside the bracket.
+    below = F.coalesce(F.sum(F.when(F.col("_v").isNull(), F.col("_c"))), F.lit(0))
+    inside = (below <= F.first("_rank_lo")) & (F.max("_end") > F.first("_rank_hi"))
+    middle = hit("_rank_lo") * F.lit(0.5) + hit("_rank_hi") * F.lit(0.5)
+    missed = F.raise_error(F.lit("the sketch of a median missed its middle")).cast("double")
+    return ranked.groupBy(*keys).agg(F.when(inside, middle).otherwise(missed).alias(name))

@@ -6,7 +6,7 @@ from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -102,12 +102,17 @@ def _row_condition(check: Check) -> str | None:
     return None
 
 
-def _result(check: Check, failures: str) -> str:
+def _result(check: Check, failures: str) -> Column:
     """One result row of a check whose number of failures is in a column."""
-    failed = "error" if check.severity == "error" else "warn"
-    return f"""named_struct('check', '{check.name}', 'model', '{check.model}', 'column', '{check.column}',
-        'severity', '{check.severity}', 'failures', cast({failures} AS bigint),
-        'status', CASE WHEN {failures} > 0 THEN '{failed}' ELSE 'pass' END)"""
+    count = F.col(failures).cast("bigint")
+    return F.struct(
+        F.lit(check.name).alias("check"),
+        F.lit(check.model).alias("model"),
+        F.lit(check.column).alias("column"),
+        F.lit(check.severity).alias("severity"),
+        count.alias("failures"),
+        F.when(count > 0, "error" if check.severity == "error" else "warn").otherwise("pass").alias("status"),
+    )
 
 
 def run_checks(models: Mapping[str, DataFrame], checks: Iterable[Check]) -> DataFrame:
@@ -121,15 +126,14 @@ def run_checks(models: Mapping[str, DataFrame], checks: Iterable[Check]) -> Data
         own = [c for c in checks if c.model == model]
         single = [c for c in own if _row_condition(c)]
         if single:
-            counted = models[model].selectExpr(
-                *[f"count_if({_row_condition(c)}) AS f{i}" for i, c in enumerate(single)]
+            counted = models[model].agg(
+                *[F.count_if(F.expr(_row_condition(c))).alias(f"f{i}") for i, c in enumerate(single)]
             )
-            results = ", ".join(_result(c, f"f{i}") for i, c in enumerate(single))
-            parts.append(counted.selectExpr(f"inline(array({results}))"))
+            parts.append(counted.select(F.inline(F.array(*[_result(c, f"f{i}") for i, c in enumerate(single)]))))
         for check in own:
             if check not in single:
-                counted = _failing_values(models, check).selectExpr("count(1) AS f")
-                parts.append(counted.selectExpr(f"inline(array({_result(check, 'f')}))"))
+                counted = _failing_values(models, check).agg(F.count(F.lit(1)).alias("f"))
+                parts.append(counted.select(F.inline(F.array(_result(check, "f")))))
     return reduce(DataFrame.unionByName, parts)
 
 

@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 from ..functions.clock import day_of
 from ..functions.metrics import avg_where, mae, pct_within, rmse
-from ..functions.scalar import exact, pg_round, ratio
+from ..functions.scalar import pg_round, ratio
 from ..operators.matching import actual_values, forecast_errors
-from ..operators.medians import grouped_median, is_small
+from ..operators.medians import grouped_median
 from ..session import written
 
 ACCURACY_KEY = ["provider", "hours_ahead_interval"]
@@ -24,26 +24,23 @@ def _aggregates(named: dict[str, str]) -> list[Column]:
     return [F.expr(f"{expression} AS {name}") for name, expression in named.items()]
 
 
-def accuracy_of(errors: DataFrame, small: bool | None = None) -> DataFrame:
+def accuracy_of(errors: DataFrame) -> DataFrame:
     """Error metrics per provider and lead time.
 
-    Over inputs of a proven small size the median is Spark's exact percentile.  Beyond it, whose
-    state grows with the number of distinct errors, the errors are written once and the median is
-    found in two passes; the other metrics are plain partial aggregates either way.
+    The errors are written once: the median is found in two passes over them, and all other
+    metrics are plain partial aggregates.
     """
-    small = is_small(errors) if small is None else small
-    if not small:
-        errors = written(
-            errors.select(
-                *ACCURACY_KEY,
-                "city",
-                "temperature_error_abs",
-                "humidity_error_abs",
-                "wind_speed_error_abs",
-                "temperature_squared_error",
-                "humidity_squared_error",
-            )
+    errors = written(
+        errors.select(
+            *ACCURACY_KEY,
+            "city",
+            "temperature_error_abs",
+            "humidity_error_abs",
+            "wind_speed_error_abs",
+            "temperature_squared_error",
+            "humidity_squared_error",
         )
+    )
     temperature, humidity = "temperature_error_abs", "humidity_error_abs"
     metrics = errors.groupBy(*ACCURACY_KEY).agg(
         *_aggregates(
@@ -59,15 +56,13 @@ def accuracy_of(errors: DataFrame, small: bool | None = None) -> DataFrame:
                 "humidity_rmse": rmse("humidity_squared_error"),
                 "humidity_accuracy_within_10pct": pct_within(humidity, 10),
                 "wind_speed_mae": mae("wind_speed_error_abs"),
-                **({"_median": f"median({temperature})"} if small else {}),
             }
         )
     )
-    if not small:
-        medians = grouped_median(errors, ACCURACY_KEY, temperature, "_median")
-        medians = medians.selectExpr(*[f"{k} AS _{k}" for k in ACCURACY_KEY], "_median")
-        same = " AND ".join(f"{k} <=> _{k}" for k in ACCURACY_KEY)
-        metrics = metrics.join(medians, F.expr(same), "left")
+    medians = grouped_median(errors, ACCURACY_KEY, temperature, "_median")
+    medians = medians.selectExpr(*[f"{k} AS _{k}" for k in ACCURACY_KEY], "_median")
+    same = " AND ".join(f"{k} <=> _{k}" for k in ACCURACY_KEY)
+    metrics = metrics.join(medians, F.expr(same), "left")
     return metrics.selectExpr(
         *ACCURACY_KEY,
         "total_forecasts",
@@ -86,11 +81,9 @@ def accuracy_of(errors: DataFrame, small: bool | None = None) -> DataFrame:
     )
 
 
-def dm_forecast_accuracy(
-    observations: DataFrame, forecasts: DataFrame, small: bool | None = None
-) -> DataFrame:
+def dm_forecast_accuracy(observations: DataFrame, forecasts: DataFrame) -> DataFrame:
     """Accuracy of each provider at each lead time: 15 columns."""
-    return accuracy_of(forecast_errors(forecasts, actual_values(observations)), small)
+    return accuracy_of(forecast_errors(forecasts, actual_values(observations)))
 
 
 def provider_rollup(accuracy: DataFrame) -> DataFrame:
@@ -121,7 +114,7 @@ def _place(metric: str, order: str = "ASC NULLS LAST") -> str:
 
     Metrics are ranked at nine decimals, so that the last bit of a mean does not decide.
     """
-    return f"row_number() OVER (ORDER BY round({exact(metric)}, 9) {order}, provider ASC NULLS LAST)"
+    return f"row_number() OVER (ORDER BY {pg_round(metric, 9)} {order}, provider ASC NULLS LAST)"
 
 
 def rank_providers(rollup: DataFrame) -> DataFrame:
@@ -167,8 +160,17 @@ def dm_provider_ranking(accuracy: DataFrame) -> DataFrame:
 
 
 def dm_city_summary(observations: DataFrame) -> DataFrame:
-    """History of each city: 23 columns."""
+    """History of each city: 23 columns.
+
+    Days and providers are counted over one row per city, provider and day, so no row is read more than
+    once for the two distinct counts.
+    """
     t, h, w, p = "temperature_celsius", "humidity_percent", "wind_speed_ms", "precipitation_mm"
+    seen = observations.groupBy("city", "country", "provider", F.expr(f"{day_of('observation_time')} AS _day")).agg(F.lit(1))
+    counts = seen.groupBy(F.col("city").alias("_city"), F.col("country").alias("_country")).agg(
+        F.size(F.collect_set("_day")).cast("bigint").alias("days_tracked"),
+        F.size(F.collect_set("provider")).cast("bigint").alias("providers_count"),
+    )
     stats = observations.groupBy("city", "country").agg(
         *_aggregates(
             {
@@ -176,9 +178,7 @@ def dm_city_summary(observations: DataFrame) -> DataFrame:
                 "longitude": pg_round("avg(longitude)", 4),
                 "first_observation": "min(observation_time)",
                 "last_observation": "max(observation_time)",
-                "days_tracked": f"count(DISTINCT {day_of('observation_time')})",
                 "total_observations": "count(1)",
-                "providers_count": "count(DISTINCT provider)",
                 "avg_temperature": pg_round(f"avg({t})", 1),
                 "min_temperature": pg_round(f"min({t})", 1),
                 "max_temperature": pg_round(f"max({t})", 1),
@@ -193,6 +193,7 @@ def dm_city_summary(observations: DataFrame) -> DataFrame:
             }
         )
     )
+    stats = stats.join(counts, F.expr("city <=> _city AND country <=> _country"))
     return stats.selectExpr(
         "city",
         "country",

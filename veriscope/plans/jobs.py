@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..functions.clock import ntz
 from ..schemas import FORECAST_PROVIDERS, ODS_EPOCH, RAW_EPOCH
 from ..sources.documents import changed_documents, read_documents, read_since
-from ..sources.warehouse import Warehouse
+from ..sources.warehouse import LoadCounts, Warehouse
 from . import dm, ods, stg
 from .checks import check_layers
 
@@ -38,19 +38,21 @@ def _utc_now() -> dt.datetime:
 
 def load_kind(
     warehouse: Warehouse, kind: str, documents: DataFrame, now: dt.datetime | None = None, shift_days: int = 1
-) -> None:
+) -> LoadCounts:
     """Loads documents changed since the newest loaded stamp less ``shift_days``."""
     newest = warehouse.watermark(f"raw.weather_{kind}")
     since = RAW_EPOCH if newest is None else newest - dt.timedelta(days=shift_days)
-    warehouse.scd2_load(kind, changed_documents(documents, since), now or _utc_now())
+    return warehouse.scd2_load(kind, changed_documents(documents, since), now or _utc_now())
 
 
 def ingest(
     warehouse: Warehouse, documents: dict[str, str], fmt: str = "parquet", now: dt.datetime | None = None
-) -> None:
-    """Loads the document folders of both kinds into the raw tables."""
-    for kind in ("current", "forecast"):
-        load_kind(warehouse, kind, read_documents(warehouse.spark, documents[kind], kind, fmt), now)
+) -> dict[str, LoadCounts]:
+    """Loads the document folders of both kinds into the raw tables; how many were inserted and skipped, by kind."""
+    return {
+        kind: load_kind(warehouse, kind, read_documents(warehouse.spark, documents[kind], kind, fmt), now)
+        for kind in ("current", "forecast")
+    }
 
 
 def _build_stg(warehouse: Warehouse, cities: DataFrame, full: bool) -> None:
@@ -158,7 +160,7 @@ def check(
     results = warehouse.read("quality.results")
     failed = results.filter(F.col("status") == "error").select("check", "failures")
     if raise_on_error:
-        shown = failed.orderBy("check").take(20)
+        shown = failed.orderBy("check").collect()  # at most one row per declared check
         if shown:
             raise ChecksFailed("; ".join(f"{r['check']}: {r['failures']}" for r in shown))
     return results

@@ -76,15 +76,6 @@ def ods_watermark(rows: DataFrame, column: str = "source_changed_at") -> dt.date
     return high_watermark(rows, column, dt.timedelta(0), ODS_EPOCH)
 
 
-def spread(rows: DataFrame) -> DataFrame:
-    """Rows of a source that comes in fewer pieces than there are cores, dealt out to all of them.
-
-    For small sources ahead of costly parsing; anything in enough pieces is left as it is.
-    """
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
-
-
 def read_cities(spark: SparkSession, path: str) -> DataFrame:
     """A city dimension from CSV with a header."""
     return spark.read.csv(path, header=True, schema=CITY_SCHEMA, enforceSchema=False)

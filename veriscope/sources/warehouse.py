@@ -12,6 +12,7 @@ from __future__ import annotations
 import datetime as dt
 import json
 from collections.abc import Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
@@ -28,6 +29,11 @@ MARKED = {"mapreduce.fileoutputcommitter.marksuccessfuljobs": "true"}
 LAYERS = ["raw", "stg", "ods", "dm", "quality"]
 
 
+class LoadCounts(NamedTuple):
+    inserted: int
+    skipped: int
+
+
 class Warehouse:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -189,7 +195,8 @@ class Warehouse:
         if not self.exists(table):
             self.overwrite(table, batch.drop(PART), day, stamp)
         elif not day:
-            self._replace(table, delete_insert(self._stored(table), batch, keys), stamp)
+            # A mart holds one row per group, also for the group without a key.
+            self._replace(table, delete_insert(self._stored(table), batch, keys, null_safe=True), stamp)
         else:
             days, undated = self._days_of(batch)
             if days or undated:
@@ -197,9 +204,12 @@ class Warehouse:
                 self._replace(table, delete_insert(target, batch, keys), stamp)
         self._drop(batch_path)
 
-    def scd2_load(self, kind: str, documents: DataFrame, now: dt.datetime) -> None:
+    def scd2_load(self, kind: str, documents: DataFrame, now: dt.datetime) -> LoadCounts:
         """Loads documents into a raw table: see :func:`veriscope.operators.keyed.scd2_upsert`.
 
+        Returns how many documents opened a version and how many were skipped.  The watermark advances
+        once, after all writes, so a load that was cut short is simply run again.
+
         Of several states of a document the latest counts.  The table is partitioned by a
         document's day of creation, which never changes.  New documents are appended.  Only days
         with a changed document are rewritten.  Ids are digests of key and version, so that a task
@@ -210,7 +220,7 @@ class Warehouse:
         self.create_raw(kind)
         days, undated = self._days_of(documents.select(F.col("created_at").cast("date").alias(PART)))
         if not days and not undated:
-            return
+            return LoadCounts(0, 0)
         version = F.concat_ws("|", F.col(key), F.coalesce(F.col(change).cast("string"), F.lit("")))
         rows = (
             current_documents(documents)
@@ -238,12 +248,14 @@ class Warehouse:
             until = F.when(F.col("_closed") & in_force, F.expr(ntz(now))).otherwise(F.col("valid_to_dttm"))
             before = target.filter(rewritten).join(closing, key, "left").withColumn("valid_to_dttm", until)
             after = opened.filter(rewritten)
-            self._replace(table, before.select(*columns, PART).unionByName(after.select(*columns, PART)), change)
+            self._replace(table, before.select(*columns, PART).unionByName(after.select(*columns, PART)), None)
         appended = opened.filter(~rewritten).select(*columns, PART)
-        newest = self._newest(appended, change)
-        if newest is not None or appended.take(1):
+        if appended.take(1):
             self._writer(appended, "append").parquet(self.path(table))
-            self._advance(table, newest)
+        given, newest = rows.agg(F.count(F.lit(1)), F.max(F.col(change).cast(NTZ))).first()
+        self._advance(table, newest)
+        inserted = opened.count()
+        return LoadCounts(inserted, given - inserted)
 
     def create_raw(self, kind: str) -> None:
         self.create(f"raw.weather_{kind}", raw_schema(kind), "created_at")
