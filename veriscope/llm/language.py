@@ -28,6 +28,7 @@ BATCH = 64
 RATE = 0.01
 HELD_OUT_MOD, HELD_OUT_REST = 4, 2
 SPAN = max(WIDTHS)
+SALTS = 16
 
 
 @dataclass
@@ -150,8 +151,11 @@ def sample(docs: DataFrame) -> tuple[list[bytes], list[str]]:
         .select("lang", F.xxhash64("text").alias("pick"), picks.alias("windows"))
         .dropDuplicates(["lang", "pick"])
     )
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy("pick"))
-    kept = rows.withColumn("rank", rank).filter(F.col("rank") <= PER_LANGUAGE).orderBy("lang", "pick").collect()
+    # Twice: the second window sees at most SALTS * PER_LANGUAGE rows of a language, however many tasks there are.
+    for parts in (["lang", F.pmod("pick", F.lit(SALTS))], ["lang"]):
+        rank = F.row_number().over(Window.partitionBy(*parts).orderBy("pick"))
+        rows = rows.withColumn("rank", rank).filter(F.col("rank") <= PER_LANGUAGE).drop("rank")
+    kept = rows.orderBy("lang", "pick").collect()
     return [bytes(w) for r in kept for w in r["windows"]], [r["lang"] for r in kept for _ in r["windows"]]
 
 

@@ -217,7 +217,8 @@ def repeated_spans(rows: DataFrame) -> DataFrame:
     own = written(runs(rows))
     # Per anchor: does it occur again, and with different runs?
     kinds = own.groupBy("anchor").agg(F.count("*").alias("n"), F.min("run").alias("lo"), F.max("run").alias("hi"))
-    kinds = kinds.filter("n > 1").select("anchor", (F.col("lo") != F.col("hi")).alias("mixed"))
+    # A table of its own, so that Spark may split the runs of a very frequent anchor in the join.
+    kinds = written(kinds.filter("n > 1").select("anchor", (F.col("lo") != F.col("hi")).alias("mixed")))
     again = written(own.join(kinds, "anchor"))
     whole = [F.col("start"), (F.col("start") + F.col("strings") - 1 + LENGTH).alias("end")]
     mixed = again.filter("mixed")
