@@ -2,9 +2,29 @@
 
 from __future__ import annotations
 
-from ..functions.scalar import KEY_NULL
-from ..schemas import COMPASS, LEAD_HOURS
-from .adapters import LEADS, PROVIDER_OF
+# Fixed values, written out here so that an error in the models' own constants shows.
+KEY_NULL = "_dbt_utils_surrogate_key_null_"
+COMPASS = [
+    (0, 22.5, "N"),
+    (22.5, 67.5, "NE"),
+    (67.5, 112.5, "E"),
+    (112.5, 157.5, "SE"),
+    (157.5, 202.5, "S"),
+    (202.5, 247.5, "SW"),
+    (247.5, 292.5, "W"),
+    (292.5, 337.5, "NW"),
+    (337.5, 360, "N"),
+]
+LEAD_HOURS = [1, 3, 6, 12, 24, 48]
+# The adapters' choices, likewise.
+LEADS = [1, 3, 6, 12, 24, 48, 2, 72]
+PROVIDER_OF = {
+    "click": "open_meteo",
+    "error": "openweathermap",
+    "purchase": "weatherapi",
+    "signup": "weatherbit",
+    "view": "weatherstack",
+}
 
 
 def r(x: str, digits: int) -> str:
