@@ -169,16 +169,21 @@ def _pruned(pairs: DataFrame, signed: DataFrame) -> DataFrame:
     return pairs.select("a", "b").join(one, "a").join(two, "b").mapInArrow(run, "a binary, b binary")
 
 
-def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """Pairs ``a, b`` whose full shingle sets are similar enough."""
-    wanted = written(pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct())
-    texts = docs.select(_key(), "text").join(wanted, "key", "left_semi").groupBy("key").agg(F.first("text").alias("text"))
+def _shingle_sets(docs: DataFrame, keys: DataFrame) -> DataFrame:
+    """``key, shingles`` of every text of ``keys``, written; the one place where texts are shuffled."""
+    texts = docs.select(_key(), "text").join(keys, "key", "left_semi").groupBy("key").agg(F.first("text").alias("text"))
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             own = [shingles(text).tobytes() for text in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(own, pa.binary())], names=["key", "shingles"])
 
+    return written(texts.mapInArrow(sets, "key binary, shingles binary"))
+
+
+def _verified(pairs: DataFrame, full: DataFrame) -> DataFrame:
+    """Pairs ``a, b`` whose full shingle sets are similar enough."""
+
     def similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             a, b, one, two = (batch.column(batch.schema.get_field_index(c)) for c in ("a", "b", "one", "two"))
@@ -191,7 +196,6 @@ def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
             left = pa.array(left, pa.int64())
             yield pa.RecordBatch.from_arrays([a.take(left), b.take(left)], names=["a", "b"])
 
-    full = written(texts.mapInArrow(sets, "key binary, shingles binary"))
     one = full.select(F.col("key").alias("a"), F.col("shingles").alias("one"))
     two = full.select(F.col("key").alias("b"), F.col("shingles").alias("two"))
     return written(pairs.join(one, "a").join(two, "b").mapInArrow(similar, "a binary, b binary"))
@@ -278,13 +282,14 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     heads = weighed.groupBy("band", "bucket").agg(F.max(F.struct("weight", "key")).alias("head"))
     stars = weighed.join(heads, ["band", "bucket"]).groupBy("key").agg(F.max("head").alias("head"))
     first = written(_pruned(stars.select(F.col("head.key").alias("a"), F.col("key").alias("b")).filter("a <> b"), signed))
-    links = _verified(first, docs)
+    full = _shingle_sets(docs, written(weighed.select("key").distinct()))
+    links = _verified(first, full)
     labels = components(links)
     across = _across(_apart(weighed.select("band", "bucket", "key"), labels), signed)
     tested = first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     second = written(across.join(tested, ["a", "b"], "left_anti"))
     if not second.isEmpty():
-        labels = components(links.union(_verified(second, docs)))
+        labels = components(links.union(_verified(second, full)))
     named = signed.select(F.col("key"), "first_id").join(labels.withColumnRenamed("node", "key"), "key", "left")
     named = written(named.withColumn("label", F.coalesce("label", "key")))
     smallest = named.groupBy("label").agg(F.min("first_id").alias("component_id"))
