@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from veriscope.bindings import adapters as A
-from veriscope.operators.anomalies import dimension_anomalies, volume_anomalies
+from veriscope.operators.anomalies import dimension_anomalies, run_anomalies, run_metrics, volume_anomalies
 from veriscope.operators.history import most_recent
 from veriscope.operators.keyed import DuplicateKeyError
 from veriscope.operators.quality import Check, failing_city_coordinates, run_checks
@@ -153,6 +153,21 @@ def test_a_dimension_that_falls_silent_is_an_anomaly(spark):
     assert {r.k for r in scored if r.is_anomaly} == {"b"} and len(scored) == 40
 
 
+def test_a_mart_that_changes_after_eight_runs_is_an_anomaly(spark, tmp_path):
+    """Metrics are kept run by run; the newest run is compared with those before it."""
+    warehouse = Warehouse(spark, str(tmp_path))
+    start = dt.datetime(2024, 1, 1)
+    for run in range(9):
+        built = start + dt.timedelta(hours=run)
+        value = 5.0 + run % 2 if run < 8 else 500.0
+        rows = spark.createDataFrame([("p", value, built)], "provider string, mae double, dbt_updated_at timestamp_ntz")
+        lag = 60 + run % 2 if run < 8 else 7200
+        warehouse.append("quality.mart_metrics", run_metrics(rows, built + dt.timedelta(seconds=lag), "dbt_updated_at"))
+        found = run_anomalies(warehouse.read("quality.mart_metrics")).filter("is_anomaly").collect()
+        strange = {(r.column_name, r.metric) for r in found}
+        assert strange == (set() if run < 8 else {("mae", "min"), ("mae", "max"), ("dbt_updated_at", "lag")})
+
+
 def test_a_city_at_two_positions(spark):
     assert [r.city for r in failing_city_coordinates(seed_cities(spark)).collect()] == ["Vladivostok"]
 

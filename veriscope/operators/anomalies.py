@@ -7,19 +7,20 @@ aggregated to buckets first, so the window sees one row per bucket (and dimensio
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, GroupedData
 from pyspark.sql import functions as F
 
-from ..functions.clock import day_of, hour_of, plus_hours, seconds_between
+from ..functions.clock import day_of, hour_of, ntz, plus_hours, seconds_between
 from ..functions.scalar import pg_round
 
 HISTORY, MIN_HISTORY, SIGMAS = 14, 7, 3.0
 DIGITS = 6
 
 
-BUCKETS = {"hour": hour_of, "day": day_of}
+BUCKETS = {"hour": hour_of, "day": day_of, "run": lambda ts: ts}
 
 
 def _settled(x: str) -> str:
@@ -133,3 +134,27 @@ def all_columns_anomalies(rows: DataFrame, ts: str, exclude_prefix: str = "dbt_"
     """:func:`column_anomalies` over every column but the time column and those with the prefix."""
     columns = [c for c in rows.columns if c != ts and not c.startswith(exclude_prefix)]
     return column_anomalies(rows, ts, columns, period=period)
+
+
+RUN_METRICS = "bucket timestamp_ntz, column_name string, metric string, value double"
+
+
+def run_metrics(rows: DataFrame, at: dt.datetime, update_ts: str | None = None, exclude_prefix: str = "dbt_") -> DataFrame:
+    """Metrics of a table at one run, to be kept: a row (``bucket`` is the time of the run) per column and metric.
+
+    With ``update_ts`` also the seconds from its newest value to the run, as the metric ``lag`` of that column.
+    """
+    moment = ntz(at)
+    kept = [c for c in rows.columns if c != update_ts and not c.startswith(exclude_prefix)]
+    metrics = column_anomalies(rows.select(*kept).withColumn("_run", F.expr(moment)), "_run", kept, period="run")
+    metrics = metrics.selectExpr("bucket", "column_name", "metric", "value")
+    if update_ts is None:
+        return metrics
+    lag = f"cast({seconds_between(f'max({update_ts})', moment)} AS double)"
+    return metrics.unionByName(rows.selectExpr(f"{moment} AS bucket", f"'{update_ts}' AS column_name", "'lag' AS metric", f"{lag} AS value"))
+
+
+def run_anomalies(history: DataFrame) -> DataFrame:
+    """The newest run's metrics against those of the runs before it; reads a row per run and metric."""
+    newest = history.agg(F.max("bucket")).scalar()
+    return score(history, by=["column_name", "metric"]).filter(F.col("bucket") == newest)

@@ -8,11 +8,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.anomalies import (
-    all_columns_anomalies,
     column_anomalies,
     dimension_anomalies,
-    event_freshness_anomalies,
     freshness_anomalies,
+    run_anomalies,
     volume_anomalies,
 )
 from ..operators.quality import Check, run_checks
@@ -108,9 +107,13 @@ def all_checks(forecast_providers=FORECAST_PROVIDERS) -> list[Check]:
     return [*raw_checks(), *stg_checks(forecast_providers), *ods_checks(forecast_providers), *dm_checks()]
 
 
-def anomaly_results(models: Mapping[str, DataFrame]) -> DataFrame:
-    """The declared anomaly checks as result rows like those of :func:`run_checks`; they only warn."""
-    seen, accuracy = models["ods.weather_observations"], models["dm.forecast_accuracy"]
+def anomaly_results(models: Mapping[str, DataFrame], history: DataFrame) -> DataFrame:
+    """The declared anomaly checks as result rows like those of :func:`run_checks`; they only warn.
+
+    A mart carries the stamp of its last build alone, so its metrics are compared over the runs in ``history``.
+    """
+    seen = models["ods.weather_observations"]
+    runs = run_anomalies(history)
     # A row without a time has no bucket.
     seen = seen.filter(F.col("observation_time").isNotNull())
     named = [
@@ -122,12 +125,8 @@ def anomaly_results(models: Mapping[str, DataFrame]) -> DataFrame:
             "ods.weather_observations",
             column_anomalies(seen, "observation_time", ["temperature_celsius"]),
         ),
-        ("all_columns_anomalies", "dm.forecast_accuracy", all_columns_anomalies(accuracy, "dbt_updated_at")),
-        (
-            "event_freshness_anomalies",
-            "dm.forecast_accuracy",
-            event_freshness_anomalies(accuracy, "dbt_updated_at", "dbt_updated_at"),
-        ),
+        ("all_columns_anomalies", "dm.forecast_accuracy", runs.filter("metric <> 'lag'")),
+        ("event_freshness_anomalies", "dm.forecast_accuracy", runs.filter("metric = 'lag'")),
     ]
     results = None
     for kind, model, scored in named:
@@ -144,5 +143,5 @@ def anomaly_results(models: Mapping[str, DataFrame]) -> DataFrame:
     return results
 
 
-def check_layers(models: Mapping[str, DataFrame], forecast_providers=FORECAST_PROVIDERS) -> DataFrame:
-    return run_checks(models, all_checks(forecast_providers)).unionByName(anomaly_results(models))
+def check_layers(models: Mapping[str, DataFrame], history: DataFrame, forecast_providers=FORECAST_PROVIDERS) -> DataFrame:
+    return run_checks(models, all_checks(forecast_providers)).unionByName(anomaly_results(models, history))

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.clock import ntz
+from ..operators.anomalies import run_metrics
 from ..schemas import FORECAST_PROVIDERS, ODS_EPOCH, RAW_EPOCH
 from ..sources.documents import changed_documents, read_documents, read_since
 from ..sources.warehouse import LoadCounts, Warehouse
@@ -151,13 +152,21 @@ def build(
 
 
 def check(
-    warehouse: Warehouse, forecast_providers: Sequence[str] = tuple(FORECAST_PROVIDERS), raise_on_error: bool = True
+    warehouse: Warehouse,
+    forecast_providers: Sequence[str] = tuple(FORECAST_PROVIDERS),
+    raise_on_error: bool = True,
+    now: dt.datetime | None = None,
 ) -> DataFrame:
-    """Runs every check over the built layers, keeps the results, and fails on errors."""
+    """Runs every check over the built layers, keeps results and mart metrics of every run, and fails on errors.
+
+    Returns the results of this run.
+    """
+    now = now or _utc_now()
     models = {name: warehouse.read(name) for name in MODELS}
-    results = check_layers(models, forecast_providers).withColumn("checked_at", F.localtimestamp())
-    warehouse.overwrite("quality.results", results)
-    results = warehouse.read("quality.results")
+    warehouse.append("quality.mart_metrics", run_metrics(models["dm.forecast_accuracy"], now, "dbt_updated_at"))
+    results = check_layers(models, warehouse.read("quality.mart_metrics"), forecast_providers)
+    warehouse.append("quality.results", results.withColumn("checked_at", F.expr(ntz(now))))
+    results = warehouse.read("quality.results").filter(f"checked_at = {ntz(now)}")
     failed = results.filter(F.col("status") == "error").select("check", "failures")
     if raise_on_error:
         shown = failed.orderBy("check").collect()  # at most one row per declared check

@@ -133,6 +133,11 @@ class Warehouse:
         self._note(table, "schema", rows.schema.json())
         self._advance(table, self._newest(self._stored(table), stamp), reset=True)
 
+    def append(self, table: str, rows: DataFrame) -> None:
+        """Adds rows to an undivided table, which is made if there is none; for what is kept of every run."""
+        self.create(table, rows.schema)
+        rows.write.mode("append").options(**MARKED).parquet(self.path(table))
+
     def recover(self, tables: Sequence[str]) -> None:
         """Finishes what interrupted writes left behind; for the one job that writes, not for readers."""
         for table in tables:
