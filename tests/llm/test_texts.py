@@ -87,6 +87,34 @@ def test_suffixes_blocks_of_a_long_text(monkeypatch):
     assert (left >= strings - 1).all() and (left <= suffixes.LENGTH - suffixes.GRAM).all()
 
 
+def test_suffixes_of_an_anchor_with_many_surroundings(spark, monkeypatch):
+    """A passage in ever other surroundings never is one group, and what is found is the same."""
+    footer = prose(31, 60)[:260]
+    shared = [prose(300 + i, 30)[:150] for i in range(7)]
+    texts = [(i, prose(400 + i, 40) + shared[i % 7] + footer + shared[i % 5] + prose(700 + i, 40)) for i in range(120)]
+    texts += [(200, texts[3][1]), (200, texts[3][1])]
+    most = []
+
+    def watched(suffixes_, compared=suffixes.compared):
+        most.append(max((r["count"] for r in suffixes_.groupBy("anchor").count().collect()), default=0))
+        return compared(suffixes_)
+
+    monkeypatch.setattr(suffixes, "compared", watched)
+    monkeypatch.setattr(suffixes, "HOT_RUNS", 20, raising=False)
+    found = suffixes.digests(suffixes.deduplicated(spark.createDataFrame(texts, "doc_id long, text string"))).collect()
+    starts = Counter(t.encode()[i : i + 400] for _, t in texts for i in range(len(t) - 399))
+    expected = Counter()
+    for doc_id, t in texts:
+        covered = np.zeros(len(t) + 2, dtype=np.int8)
+        for i in range(len(t) - 399):
+            if starts[t.encode()[i : i + 400]] > 1:
+                covered[i + 1 : i + 401] = 1
+        kept = bytes(np.frombuffer(t.encode(), np.uint8)[covered[1:-1] == 0])
+        expected[doc_id, len(t), int(covered.sum()), int((np.diff(covered) == 1).sum()), hashlib.sha256(kept).hexdigest()] += 1
+    assert Counter(map(tuple, found)) == expected and sum(k[2] > 0 for k in expected) > 50
+    assert most and max(most) <= 20
+
+
 def test_multikey_sort_orders_and_measures():
     rng = np.random.default_rng(3)
     data = sorted({bytes(rng.integers(97, 99, rng.integers(1, 30))) for _ in range(300)})

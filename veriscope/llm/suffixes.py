@@ -13,13 +13,17 @@ equal anchors.  Neighbouring strings mostly share an anchor; such a *run* of str
    boundary.  A bucket is sorted by multikey quicksort, one 8-byte token at a time, and so are the reversed bytes
    before the anchors.  A string that starts o bytes before its anchor repeats if another suffix of its group agrees on
    LENGTH - o bytes to the right and on o bytes to the left, which neighbours' common prefixes tell.
-4. Spans go back to their documents.
+4. An anchor with more than ``HOT_RUNS`` different runs (a licence line, each time in other surroundings) would be one
+   group in one task.  Its runs are cut into their strings instead, and 128-bit digests of those are counted before and
+   after a shuffle, so that no task holds the anchor.
+5. Spans go back to their documents.
 
 Rows with the same runs (copies) are only counted, never compared; what is compared at one anchor are different runs.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,6 +38,8 @@ GRAM = 200  # bytes hashed at an anchor
 BLOCK = 1 << 18  # bytes of a text that are cut into runs at a time
 LEADING = 64  # bytes by which suffixes are dealt out
 BATCH_RUNS = 4000  # runs compared at a time; a whole group at least
+HOT_RUNS = 4000  # different runs at one anchor that are compared in one group
+CUT_RUNS = 500  # runs cut into strings at a time
 
 _PLACE_BITS = np.uint64(20)
 _PLACES = np.uint64((1 << 20) - 1)
@@ -178,7 +184,7 @@ def repeated(anchor: np.ndarray, data: list[bytes], left: np.ndarray, strings: n
 def compared(suffixes: DataFrame) -> DataFrame:
     """Repeated spans ``row, start, end`` of runs that occur once, from runs dealt out and sorted by suffix.
 
-    The task keeps whole anchors together and holds ``BATCH_RUNS`` runs, or one anchor's different runs, at a time.
+    The task keeps whole anchors together and holds fewer than ``BATCH_RUNS`` runs and one anchor's different runs at a time.
     """
     names = ["row", "start", "strings", "left", "anchor", "copies", "data"]
 
@@ -212,6 +218,52 @@ def compared(suffixes: DataFrame) -> DataFrame:
     return suffixes.select(*names).mapInArrow(run, "row binary, start long, end long")
 
 
+def counted(suffixes: DataFrame) -> DataFrame:
+    """What :func:`compared` finds, by counts of the runs' strings: no task holds an anchor, however many runs it has."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, whole.num_rows, CUT_RUNS):
+                batch = whole.slice(at, CUT_RUNS)
+                starts, counts, copies, data = (batch.column(batch.schema.get_field_index(n)).to_pylist() for n in ("start", "strings", "copies", "data"))
+                digests = [hashlib.blake2b(d[o : o + LENGTH], digest_size=16).digest() for d, n in zip(data, counts, strict=True) for o in range(n)]
+                owner = np.repeat(np.arange(len(counts)), counts)
+                place = np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column(batch.schema.get_field_index("row")).take(pa.array(owner)),
+                        pa.array(np.array(starts)[owner]),
+                        pa.array(place.astype(np.int32)),
+                        pa.array(np.array(copies)[owner] > 1),
+                        pa.array(digests, pa.binary()),
+                    ],
+                    names=["row", "run_start", "place", "settled", "digest"],
+                )
+
+    def spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, starts, ends = [], [], []
+            for key, start, places in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                hit = np.unique(places)
+                breaks = np.flatnonzero(np.diff(hit) > 1)
+                for a, b in zip(hit[np.append(0, breaks + 1)], hit[np.append(breaks, len(hit) - 1)], strict=True):
+                    rows.append(key)
+                    starts.append(start + int(a))
+                    ends.append(start + int(b) + LENGTH)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(rows, pa.binary()), pa.array(starts, pa.int64()), pa.array(ends, pa.int64())], names=["row", "start", "end"]
+            )
+
+    own = ["row", "start", "strings", "copies", "data"]
+    strings = suffixes.select(*own).mapInArrow(cut, "row binary, run_start long, place int, settled boolean, digest binary")
+    strings = written(strings)
+    # A table of its own, so that Spark may split the places of a very frequent string in the join.
+    again = written(strings.groupBy("digest").agg(F.count("*").alias("n")).filter("n > 1").select("digest"))
+    found = strings.filter("NOT settled").join(again, "digest", "left_semi")
+    found = found.groupBy("row", "run_start").agg(F.collect_list("place").alias("places"))
+    return found.mapInArrow(spans, "row binary, start long, end long")
+
+
 def repeated_spans(rows: DataFrame) -> DataFrame:
     """Spans ``row, start, end`` (bytes, end exclusive; they overlap) of ``row, doc_id, text`` that repeat somewhere."""
     own = written(runs(rows))
@@ -230,12 +282,20 @@ def repeated_spans(rows: DataFrame) -> DataFrame:
     size = (F.col("strings") - 1 + LENGTH).cast("int")
     data = F.substring(F.encode("text", "UTF-8"), (F.col("start") + 1).cast("int"), size)
     # Repeated rows have equal keys, and bring a run more than once: those runs count as copies already.
-    suffixes = rows.join(wanted, "row").select("row", "start", "strings", "left", "anchor", "copies", data.alias("data"))
+    bring = ["row", "start", "strings", "left", "anchor", "copies"]
+
+    def suffixes(runs: DataFrame) -> DataFrame:
+        return rows.join(runs.select(*bring), "row").select(*bring, data.alias("data"))
+
+    hot = written(wanted.groupBy("anchor").agg(F.count("*").alias("n")).filter(F.col("n") > HOT_RUNS).select("anchor"))
+    found = again.filter("NOT mixed").select("row", *whole).union(equal.select("row", *whole))
+    if not hot.isEmpty():
+        found = found.union(counted(suffixes(wanted.join(hot, "anchor", "left_semi"))))
+        wanted = wanted.join(hot, "anchor", "left_anti")
     leading = F.substring(F.col("data"), F.col("left") + 1, F.lit(LEADING))
-    dealt = suffixes.withColumn("leading", leading).repartitionByRange("leading").sortWithinPartitions("leading", "anchor")
-    return (
-        again.filter("NOT mixed").select("row", *whole).union(equal.select("row", *whole)).union(compared(dealt))
-    )
+    # The anchor too, so that many anchors with the same leading bytes are not one task's.
+    dealt = suffixes(wanted).withColumn("leading", leading).repartitionByRange("leading", "anchor")
+    return found.union(compared(dealt.sortWithinPartitions("leading", "anchor")))
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
