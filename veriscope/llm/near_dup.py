@@ -7,8 +7,9 @@ hold a very large group, so its pairs are never listed: every member is first co
 different components are compared with each other, block against block, inside a task, in the first band they share.
 
 A candidate's signatures are compared ``BATCH`` hashes at a time.  With a uniform prior, m of n equal hashes give
-P(J >= t | m, n) = P(Bin(n + 1, t) <= m); a pair whose probability falls under ``MISS`` is dropped, every other pair is
-verified on the full shingle sets.  A pair of similarity 0.85 shares no band with a probability of 4e-7.
+P(J >= t | m, n) = P(Bin(n + 1, t) <= m); a pair whose probability falls under its share of ``MISS`` is dropped, every other
+pair is verified on the full shingle sets.  Losses of the looks add up, so each of the ``HASHES / BATCH`` looks has an equal
+share: over all looks a pair of similarity 0.85 is dropped with a probability of 7.3e-6.  A pair of similarity 0.85 shares no band with a probability of 4e-7.
 """
 
 from __future__ import annotations
@@ -32,7 +33,7 @@ PERCENT = 85
 HASHES = 512
 ROWS, BANDS = 5, 25
 BATCH = 32
-MISS = 1e-4
+MISS = 1e-5  # over all looks at a pair
 BLOCK = 256  # members of a bucket that are compared with as many others in one group
 CACHE_WORDS = 300_000  # per worker process
 
@@ -92,13 +93,13 @@ def bands_of(least: np.ndarray) -> list[int]:
 
 @functools.cache
 def least_matches() -> np.ndarray:
-    """For n compared hashes the fewest equal ones with P(J >= t | m, n) >= MISS."""
+    """For n compared hashes the fewest equal ones with P(J >= t | m, n) of at least a look's share of MISS."""
     t = PERCENT / 100
     t += (1 - t) / 256  # bytes of different minima may be equal
     fewest = np.zeros(HASHES + 1, dtype=np.int64)
     for n in range(1, HASHES + 1):
         below, m = 0.0, -1
-        while below < MISS:
+        while below < MISS * BATCH / HASHES:
             m += 1
             below += exp(lgamma(n + 2) - lgamma(m + 1) - lgamma(n + 2 - m) + m * log(t) + (n + 1 - m) * log(1 - t))
         fewest[n] = m
