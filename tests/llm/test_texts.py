@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+import random
 import re
 import zlib
 from collections import Counter
@@ -50,6 +51,19 @@ def test_fertility_bands_reject_what_is_no_text():
     assert not fertility.measure(one, vocabulary)[6]
 
 
+def test_fertility_bands_follow_the_documents(spark):
+    """Letters drawn at random lie inside the outer band, and outside what thousands of texts look like."""
+    rng = random.Random(50)
+    rows = [(i, prose(2000 + i, 60)) for i in range(3000)]
+    rows += [(-1 - i, " ".join("".join(rng.choices("bcdfghjklmnpqrstvwxz", k=7)) for _ in range(200))) for i in range(2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    found = fertility.fertility(docs)
+    rejected = {r.doc_id for r in found.filter("NOT base_failed AND NOT kept").collect()}
+    assert {-1, -2} <= rejected and len(rejected) <= 0.001 * 6 * len(rows)
+    report = fertility.rejections(found).collect()
+    assert [(r.script, r.documents, r.rejected_by_bands) for r in report] == [("latin", len(rows), len(rejected))]
+
+
 def test_suffixes_remove_what_repeats(spark, messy, nothing):
     long = prose(20, 400)
     extra = spark.createDataFrame(

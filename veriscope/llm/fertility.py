@@ -4,6 +4,10 @@ Each white-space separated word is tokenised on its own, so a worker keeps the t
 number of them).  Measured per text: characters per token under a piece vocabulary with byte fallback and under a
 byte-level vocabulary, the share of tokens that are byte fallbacks, and the entropy of the tokens relative to the
 largest value for so many tokens (of at most 512).  A text outside the band of its script is rejected.
+
+There are two bands per script: the fixed outer ``BANDS``, and inside them limits that histograms of the measures over all
+texts give, of those that the base rules and the outer band keep.  At each limit a share of ``LOW_QUANTILE`` or
+``HIGH_QUANTILE`` of the script's texts at most lies outside; with fewer texts than one for that share, none does.
 """
 
 from __future__ import annotations
@@ -14,13 +18,19 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from veriscope.session import written
 
 SPACE = " \t\n\v\f\r"
 SYMBOLS = "#*$%&|<>"  # counted by the base rules
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 CACHE_WORDS = 300_000  # per worker process
+LOW_QUANTILE = 0.001  # share of a script's texts under a lower limit, at most
+HIGH_QUANTILE = 0.001  # share of a script's texts over an upper limit, at most
+BINS = 256  # of a histogram for each unit of a measure
 ENTROPY_TOKENS = 512  # a longer text is not asked for more entropy
 
 
@@ -34,7 +44,7 @@ class Band:
     min_entropy: float
 
 
-#: By script.  Wide on purpose: they reject what no running text of the script looks like.
+#: By script, the outer limits.  Wide on purpose: they reject what no running text of the script looks like.
 BANDS = {
     "latin": Band(1.15, 12.0, 0.25, 0.35),
     "greek": Band(0.6, 8.0, 0.6, 0.35),
@@ -44,6 +54,9 @@ BANDS = {
     "east_asian": Band(0.25, 6.0, 0.95, 0.3),
     "other": Band(0.2, 20.0, 1.0, 0.3),
 }
+#: Measures with a lower limit from the data, and those with an upper one.
+LOW = ("chars_per_token", "chars_per_byte_token", "token_entropy")
+HIGH = ("chars_per_token", "chars_per_byte_token", "fallback_share")
 #: Lead bytes of UTF-8 by script.
 LEAD_BYTES = {
     "latin": [*range(0x41, 0x5B), *range(0x61, 0x7B), *range(0xC3, 0xCA)],
@@ -174,12 +187,10 @@ def measure(text: str | None, vocabulary: Words, bands: dict[str, Band] = BANDS)
     )
 
 
-def fertility(docs: DataFrame, carry: tuple[str, ...] = ("doc_id",), files: tuple[str, str, str] | None = None) -> DataFrame:
-    """The columns ``carry`` of every document with its measures and verdict.
+def measured(docs: DataFrame, carry: tuple[str, ...] = ("doc_id",), files: tuple[str, str, str] | None = None) -> DataFrame:
+    """The columns ``carry`` of every document with its measures, ``kept`` by the base rules and the outer bands alone.
 
-    A narrow map over whole texts: no shuffle, one text at a time.  NULL and empty texts have no words: measures are
-    NULL, the script is ``other``, and they fail the base rules.  Rows are judged one by one, so repeated rows get equal
-    verdicts.  Columns outside ``carry`` are not read.
+    A narrow map over whole texts: no shuffle, one text at a time.
     """
     files = files or vocabularies()
     kinds = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in carry)
@@ -194,3 +205,58 @@ def fertility(docs: DataFrame, carry: tuple[str, ...] = ("doc_id",), files: tupl
             yield pa.RecordBatch.from_arrays([*carried, *values], names=[*carry, *COLUMNS])
 
     return docs.select(docs["text"].alias("_text"), *(docs[c] for c in carry)).mapInArrow(run, schema)
+
+
+def _bin(measure: str) -> Column:
+    return F.floor(F.col(measure) * BINS)
+
+
+def limits(rows: DataFrame) -> dict[str, list[tuple[str, int | None, int | None]]]:
+    """For each script the measures with their least and largest accepted bin, from histograms over all of ``rows``.
+
+    The driver gets one row for each script, measure and bin that occurs.
+    """
+    names = tuple(dict.fromkeys(LOW + HIGH))
+    each = F.explode(F.array(*(F.struct(F.lit(m).alias("measure"), _bin(m).alias("bin")) for m in names))).alias("m")
+    counts: dict[tuple[str, str], list[tuple[int, int]]] = {}
+    for r in rows.filter("kept").select("script", each).groupBy("script", "m.measure", "m.bin").count().collect():
+        counts.setdefault((r["script"], r["measure"]), []).append((r["bin"], r["count"]))
+    found: dict[str, list[tuple[str, int | None, int | None]]] = {}
+    for (script, name), seen in sorted(counts.items()):
+        n = sum(k for _, k in seen)
+        low = _first_over(sorted(seen), LOW_QUANTILE * n) if name in LOW else None
+        high = _first_over(sorted(seen, reverse=True), HIGH_QUANTILE * n) if name in HIGH else None
+        found.setdefault(script, []).append((name, low, high))
+    return found
+
+
+def _first_over(seen: list[tuple[int, int]], most: float) -> int:
+    """The first bin that must be accepted so that no more than ``most`` texts lie before it."""
+    before = 0
+    for at, n in seen:
+        before += n
+        if before > most:
+            break
+    return at
+
+
+def fertility(docs: DataFrame, carry: tuple[str, ...] = ("doc_id",), files: tuple[str, str, str] | None = None) -> DataFrame:
+    """The columns ``carry`` of every document with its measures and verdict.
+
+    Measures are written once, then judged by limits from all of them.  NULL and empty texts have no words: measures are
+    NULL, the script is ``other``, and they fail the base rules.  Equal texts get equal verdicts.  Columns outside ``carry``
+    are not read.
+    """
+    rows = written(measured(docs, carry, files))
+    inside = F.lit(True)
+    for script, own in limits(rows).items():
+        for name, low, high in own:
+            ok = (_bin(name) >= low if low is not None else F.lit(True)) & (_bin(name) <= high if high is not None else F.lit(True))
+            inside = inside & ((F.col("script") != script) | F.coalesce(ok, F.lit(True)))
+    return rows.withColumn("kept", F.col("kept") & inside).select(*carry, *COLUMNS)
+
+
+def rejections(found: DataFrame) -> DataFrame:
+    """Per script of what :func:`fertility` gives: documents, and how many the bands alone reject."""
+    alone = F.count_if(~F.col("base_failed") & ~F.col("kept"))
+    return found.groupBy("script").agg(F.count("*").alias("documents"), alone.alias("rejected_by_bands"))
