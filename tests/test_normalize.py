@@ -248,7 +248,7 @@ def test_nesting_and_exploding_gives_the_samples_back(spark):
     docs = to_documents(nest_current(samples), "current")
     body = json.loads(docs.first()["response"])
     assert body["samples"][1]["raw"]["main"]["temp"] == 31.75
-    assert body["samples"][0]["observation_time"] == "2025-12-01T10:00:00.000000"
+    assert body["samples"][0]["observation_time"] == GOLDEN[0][2][4].isoformat(timespec="microseconds")
     exploded = explode_samples(docs.withColumnRenamed("_id", "weather_id"))
     found = {r[0]: float(r[1]) for r in exploded.select("sample.provider", "sample.temperature_c").collect()}
     assert found == {r.provider: r.temperature_c for r in samples.collect()}
