@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, fertility, language, near_dup, packing, revisits, secrets, suffixes, toxicity, winnowing
+from . import (
+    chat,
+    fertility,
+    language,
+    mixing,
+    near_dup,
+    packing,
+    revisits,
+    secrets,
+    spelling,
+    suffixes,
+    toxicity,
+    whitening,
+    winnowing,
+)
 from .tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -209,3 +223,71 @@ SELECT record_id, canonical_url, status,
          || 'date: later ' || page_id || chr(10) || 'etag: ' || source_digest END AS headers
 FROM judged
 """
+
+
+@query
+def op11_cube_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many words of every document the mixture takes."""
+    return mixing.mixed(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "copies")
+
+
+@query
+def op12_pivotal_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every word of the documents with its frequent form."""
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op12_pivotal_spelling"] = r"""
+WITH RECURSIVE step(v, k, c) AS (
+  SELECT CAST(range AS UBIGINT), 0, CAST(range AS UBIGINT) FROM range(256)
+  UNION ALL
+  SELECT v, k + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, CAST(3988292384 AS UBIGINT)) ELSE c >> 1 END FROM step WHERE k < 8
+), crc_table AS (
+  SELECT list(c ORDER BY v) AS t FROM step WHERE k = 8
+), run AS (
+  SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS owner,
+         unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                   '[a-z\x{C0}-\x{FF}]+')) AS r
+  FROM documents
+), counted_run AS (
+  SELECT owner, r, count(*) AS n, hex(encode(owner || ':' || r)) AS h FROM run WHERE length(r) >= 7 GROUP BY owner, r
+), hashed AS (
+  SELECT r, n, xor(list_reduce([CAST('0x' || substr(h, 2 * i + 1, 2) AS UBIGINT) for i in range(length(h) // 2)],
+                               lambda c, b: xor(c >> 8, t[CAST(xor(c, b) & 255 AS INTEGER) + 1]), CAST(4294967295 AS UBIGINT)),
+                   CAST(4294967295 AS UBIGINT)) AS crc
+  FROM counted_run, crc_table
+), changed AS (
+  SELECT CASE WHEN crc % 31 = 0 THEN substr(r, 1, CAST(crc % length(r) AS INTEGER)) || substr(r, CAST(crc % length(r) AS INTEGER) + 2) ELSE r END AS word, n
+  FROM hashed
+), word AS (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n FROM changed WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2
+), cut AS (
+  SELECT word, n, i, substr(word, 1, i) || substr(word, i + 2) AS rest
+  FROM (SELECT word, n, unnest(range(length(word))) AS i FROM word)
+), near AS (
+  SELECT DISTINCT a.word, a.n, b.word AS other, b.n AS other_n FROM cut a JOIN cut b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+  UNION SELECT a.word, a.n, b.word, b.n FROM cut a JOIN word b ON a.rest = b.word
+  UNION SELECT b.word, b.n, a.word, a.n FROM cut a JOIN word b ON a.rest = b.word
+), best AS (
+  SELECT word, n, other, other_n, count(*) OVER (PARTITION BY word) AS n_near,
+         row_number() OVER (PARTITION BY word ORDER BY other_n DESC, encode(other)) AS k
+  FROM near
+), judged AS (
+  SELECT w.word, w.n, coalesce(b.n_near, 0) AS n_near, CASE WHEN other_n >= 10 * w.n THEN other END AS form,
+         CASE WHEN other_n >= 10 * w.n THEN other_n END AS form_n
+  FROM word w LEFT JOIN best b ON b.word = w.word AND b.k = 1
+), follow(word, here, depth) AS (
+  SELECT word, form, 1 FROM judged WHERE form IS NOT NULL
+  UNION ALL
+  SELECT f.word, j.form, depth + 1 FROM follow f JOIN judged j ON j.word = f.here WHERE j.form IS NOT NULL
+), root AS (
+  SELECT word, max_by(here, depth) AS root FROM follow GROUP BY word
+)
+SELECT j.word, j.form, coalesce(r.root, j.word) AS root, j.n, j.n_near, j.form_n FROM judged j LEFT JOIN root r ON r.word = j.word
+"""
+
+
+@query
+def op13_block_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whitened coordinates of every embedding."""
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
