@@ -160,9 +160,14 @@ def _minutes(ts: str) -> str:
     return f"substring(cast({ts} AS string), 1, 16)"
 
 
-def landing_current(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One answer per event in the shape of its provider, some of them unusable."""
-    number = "CASE WHEN e % 31 <> 0 THEN CASE WHEN e % 37 = 0 THEN 'n/a' ELSE cast(value AS string) END END"
+def landing_current(spark: SparkSession, sf_dir: str, broken: bool = True) -> DataFrame:
+    """One answer per event in the shape of its provider; with ``broken`` some of them are unusable.
+
+    Without, every answer is whole, a provider may answer a request several times, and every 47th answer belongs to none.
+    """
+    number = "cast(value AS string)"
+    if broken:
+        number = f"CASE WHEN e % 31 <> 0 THEN CASE WHEN e % 37 = 0 THEN 'n/a' ELSE {number} END END"
     humidity, wind, condition = "e % 101", "e % 37", "concat('W', e % 4)"
     degrees, felt, pressure = "(e * 7) % 400", "value - (e % 5)", "e % 40 + 990"
     open_meteo = _json(
@@ -224,32 +229,43 @@ def landing_current(spark: SparkSession, sf_dir: str) -> DataFrame:
         ),
     )
     payload = f"""CASE
-        WHEN e % 29 = 0 THEN '{{broken'
         WHEN provider = 'open_meteo' THEN {open_meteo}
         WHEN provider = 'openweathermap' THEN {openweather}
         WHEN provider = 'weatherapi' THEN {weatherapi}
-        WHEN provider = 'weatherbit' AND e % 19 = 0 THEN '{{"data": []}}'
         WHEN provider = 'weatherbit' THEN {weatherbit}
-        WHEN e % 23 = 0 THEN '{{"error": {{"code": 101, "info": "Invalid access key"}}}}'
         ELSE {weatherstack} END"""
-    numbered = events(spark, sf_dir).selectExpr("*", f"floor(e / {ANSWERS_PER_REQUEST}) AS request_id")
+    if broken:
+        payload = f"""CASE
+            WHEN e % 29 = 0 THEN '{{broken'
+            WHEN provider = 'weatherbit' AND e % 19 = 0 THEN '{{"data": []}}'
+            WHEN provider = 'weatherstack' AND e % 23 = 0 THEN '{{"error": {{"code": 101, "info": "Invalid access key"}}}}'
+            ELSE {payload} END"""
+    request = f"floor(e / {ANSWERS_PER_REQUEST})"
+    numbered = events(spark, sf_dir).selectExpr("*", f"{request} AS nth")
     return numbered.selectExpr(
         "event_id",
-        "request_id",
+        "nth AS request_id" if broken else "CASE WHEN e % 47 <> 0 THEN nth END AS request_id",
         "provider",
-        *_at("request_id"),
+        *_at("nth"),
         "ts AS fetched_at",
         f"{payload} AS payload",
     )
 
 
-def landing_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One answer per request and provider with up to ``POINTS_PER_REQUEST`` points."""
-    point = _struct(
-        e="e", hour="hour", temp="CASE WHEN e % 41 <> 0 THEN value END", hum="e % 101", wind="e % 37", ts="ts"
-    )
+def landing_forecast(spark: SparkSession, sf_dir: str, broken: bool = True) -> DataFrame:
+    """One answer per request and provider with up to ``POINTS_PER_REQUEST`` points; with ``broken`` some are unusable.
+
+    Without, every answer is whole, every seventh request was answered before with the first point alone, and every 23rd answer
+    belongs to no request.
+    """
+    temperature = unless(41, "value") if broken else "value"
+    point = _struct(e="e", hour="hour", temp=temperature, hum="e % 101", wind="e % 37", ts="ts")
     numbered = events(spark, sf_dir).selectExpr("*", f"floor(e / {POINTS_PER_REQUEST}) AS request_id")
     grouped = numbered.groupBy("request_id", "provider").agg(F.expr(f"array_sort(collect_list({point})) AS p"))
+    grouped = grouped.withColumn("again", F.lit(0))
+    if not broken:
+        before = F.expr("CASE WHEN request_id % 7 = 0 THEN array(0, 1) ELSE array(0) END")
+        grouped = grouped.withColumn("again", F.explode(before)).withColumn("p", F.expr("IF(again = 1, slice(p, 1, 1), p)"))
 
     def each(make: str) -> str:
         return f"transform(p, x -> {make})"
@@ -282,16 +298,16 @@ def landing_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
     date = f"cast(date_add(date'2024-01-01', cast(x.e % {POINTS_PER_REQUEST} AS int)) AS string)"
     by_date = f"map_from_entries({each(_struct(key=date, value=_struct(hourly=f'array({code})')))})"
     payload = f"""CASE
-        WHEN request_id % 17 = 0 THEN '{{broken'
+        WHEN {str(broken).lower()} AND request_id % 17 = 0 THEN '{{broken'
         WHEN provider = 'open_meteo' THEN {_json(hourly=hourly)}
         WHEN provider = 'openweathermap' THEN {_json(list=listed)}
         WHEN provider = 'weatherapi' THEN {_json(forecast=_struct(forecastday=f"array({first}, {rest})"))}
         WHEN provider = 'weatherbit' THEN {_json(data=data)}
         ELSE {_json(forecast=by_date)} END"""
     # Asked for some hours before the first of its events.
-    fetched = plus_seconds("get(p, 0).ts", f"-{lead_of('request_id')} * 3600")
+    fetched = plus_seconds("get(p, 0).ts", f"-({lead_of('request_id')} + again) * 3600")
     return grouped.selectExpr(
-        "request_id",
+        "request_id" if broken else "CASE WHEN request_id % 23 <> 0 THEN request_id END AS request_id",
         "provider",
         *_at("request_id"),
         "cast(request_id % 3 + 1 AS int) AS hours",
@@ -303,12 +319,35 @@ def landing_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Documents and raw versions
 
 
+# Readings of a forecast point beyond those that every provider gives.
+EXTRA = {
+    "pressure_mb": "q.wind_speed_kph + 990.0D",
+    "precip_mm": "q.wind_speed_kph / 8.0D",
+    "cloud_cover": "q.humidity",
+    "visibility_km": "q.wind_speed_kph / 4.0D",
+    "uv_index": "q.wind_speed_kph / 16.0D",
+    "feels_like_c": "q.temperature_c - 2.5D",
+    "wind_degree": "q.wind_speed_kph * 2.0D",
+    "condition": "concat('W', hour(q.time) % 4)",
+    "precip_probability": "q.humidity / 2.0D",
+}
+
+
+def with_extra_readings(nested: DataFrame) -> DataFrame:
+    """Nested forecasts whose points carry all readings that staging knows."""
+    more = ", ".join(f"'{name}', {value}" for name, value in EXTRA.items())
+    kept = ", ".join(f"'{f}', q.{f}" for f in ("time", "temperature_c", "wind_speed_kph", "humidity"))
+    points = f"transform(x.points, q -> named_struct({kept}, {more}))"
+    return nested.withColumn("forecasts", F.expr(f"transform(forecasts, x -> named_struct('provider', x.provider, 'points', {points}))"))
+
+
 def documents(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
-    """Answers normalised and nested into stored documents."""
+    """Whole answers normalised and nested into stored documents."""
     if kind == "current":
-        nested = nest_current(accepted(normalize_current(landing_current(spark, sf_dir))))
+        nested = nest_current(accepted(normalize_current(landing_current(spark, sf_dir, broken=False))))
     else:
-        nested = nest_forecast(accepted(normalize_forecast(landing_forecast(spark, sf_dir))))
+        nested = nest_forecast(accepted(normalize_forecast(landing_forecast(spark, sf_dir, broken=False))))
+        nested = with_extra_readings(nested)
     status = F.expr("CASE WHEN cast(_id AS bigint) % 19 = 0 THEN 500 ELSE 200 END")
     return to_documents(nested, kind).withColumn("status_code", status)
 

@@ -286,16 +286,23 @@ cte(
              WHEN e % 31 = 0 THEN 'missing_temperature'
              WHEN e % 37 = 0 THEN 'bad_number' END AS reject_reason FROM ev""",
 )
-cte(
-    "samples",
-    ["answers"],
-    """SELECT e AS event_id, request_id, provider, CAST(request_id % 30 AS DOUBLE) + 0.004 AS latitude,
+def _samples(source: str) -> str:
+    return f"""SELECT e AS event_id, request_id, provider, CAST(request_id % 30 AS DOUBLE) + 0.004 AS latitude,
         CAST(request_id % 30 AS DOUBLE) + 0.504 AS longitude, fetched_at, value AS temperature_c,
         CASE WHEN provider IN ('openweathermap', 'weatherbit') THEN CAST(e % 37 AS DOUBLE) * 3.6
              ELSE CAST(e % 37 AS DOUBLE) END AS wind_speed_kph,
         CASE WHEN provider <> 'open_meteo' THEN CAST(e % 101 AS DOUBLE) END AS humidity,
         CASE WHEN provider <> 'open_meteo' THEN 'W' || (e % 4) END AS condition,
-        hour AS observation_time FROM answers WHERE reject_reason IS NULL""",
+        hour AS observation_time FROM answers WHERE {source}"""
+
+
+# Answers some of which are broken, and whole answers, of which a request keeps each provider's latest.
+cte("accepted_samples", ["answers"], _samples("reject_reason IS NULL"))
+cte(
+    "samples",
+    ["answers"],
+    f"""{_samples("e % 47 <> 0")} QUALIFY row_number() OVER (PARTITION BY request_id, provider
+        ORDER BY fetched_at DESC, temperature_c DESC, wind_speed_kph DESC) = 1""",
 )
 cte(
     "docs_current",
@@ -335,28 +342,30 @@ cte(
     f"""SELECT *, row_number() OVER (PARTITION BY request_id, provider ORDER BY e) AS pos,
         first_value(ts) OVER (PARTITION BY request_id, provider ORDER BY e) - to_seconds({lead("request_id")} * 3600) AS fetched_at,
         max(CASE WHEN temp IS NULL THEN 1 ELSE 0 END) OVER (PARTITION BY request_id, provider) AS gap
-        FROM (SELECT e, CAST(floor(e / 20) AS BIGINT) AS request_id, provider, ts, hour,
+        FROM (SELECT e, CAST(floor(e / 20) AS BIGINT) AS request_id, provider, ts, hour, value,
             {unless(41, "value")} AS temp FROM ev)""",
 )
-cte(
-    "points",
-    ["all_points"],
-    """SELECT e, request_id, provider, CAST(request_id % 30 AS DOUBLE) + 0.004 AS latitude,
+
+
+def _points(temp: str, order: str, valid: str) -> str:
+    return f"""SELECT e, request_id, provider, CAST(request_id % 30 AS DOUBLE) + 0.004 AS latitude,
         CAST(request_id % 30 AS DOUBLE) + 0.504 AS longitude, hours, fetched_at,
         CASE WHEN provider = 'weatherstack'
              THEN TIMESTAMP '2024-01-01 00:00:00' + to_days(CAST(e % 20 AS INT)) + to_hours(CAST(date_part('hour', hour) AS INT))
              ELSE hour END AS time,
-        temp AS temperature_c,
+        {temp} AS temperature_c,
         CASE WHEN provider IN ('openweathermap', 'weatherbit') THEN CAST(e % 37 AS DOUBLE) * 3.6
              ELSE CAST(e % 37 AS DOUBLE) END AS wind_speed_kph,
         CASE WHEN provider = 'open_meteo' AND pos > 2 THEN NULL ELSE CAST(e % 101 AS DOUBLE) END AS humidity
         FROM (SELECT *, CAST(request_id % 3 + 1 AS INT) AS hours,
-                row_number() OVER (PARTITION BY request_id, provider ORDER BY temp IS NULL, e) AS kept FROM all_points)
-        WHERE request_id % 17 <> 0 AND temp IS NOT NULL
-          AND NOT (provider IN ('open_meteo', 'openweathermap') AND gap = 1)
-          AND NOT (provider IN ('weatherapi', 'weatherstack') AND kept > hours)""",
-)
-# A provider whose points were all dropped still answers, with no points.
+                row_number() OVER (PARTITION BY request_id, provider ORDER BY {order}e) AS kept FROM all_points)
+        WHERE {valid} AND NOT (provider IN ('weatherapi', 'weatherstack') AND kept > hours)"""
+
+
+_UNBROKEN = "request_id % 17 <> 0 AND temp IS NOT NULL AND NOT (provider IN ('open_meteo', 'openweathermap') AND gap = 1)"
+cte("accepted_points", ["all_points"], _points("temp", "temp IS NULL, ", _UNBROKEN))
+# Whole answers; of a request that was answered before, only the latest answer counts.
+cte("points", ["all_points"], _points("value", "", "request_id % 23 <> 0"))
 cte(
     "docs_forecast",
     ["all_points"],
@@ -364,10 +373,7 @@ cte(
         CAST(request_id % 30 AS DOUBLE) + 0.504 AS longitude, CAST(request_id % 3 + 1 AS INT) AS hours,
         CASE WHEN request_id % 19 = 0 THEN 500 ELSE 200 END AS status_code,
         max(fetched_at) AS created_at, max(fetched_at) AS updated_at, count(DISTINCT provider) AS providers_count
-        FROM (SELECT request_id, provider, min(fetched_at) AS fetched_at, max(gap) AS gap FROM all_points
-              GROUP BY request_id, provider)
-        WHERE request_id % 17 <> 0 AND NOT (provider IN ('open_meteo', 'openweathermap') AND gap = 1)
-        GROUP BY request_id""",
+        FROM all_points WHERE request_id % 23 <> 0 GROUP BY request_id""",
 )
 
 
@@ -377,11 +383,11 @@ def stg_forecast(valid: str) -> str:
         {HOURS_BETWEEN.format(a="d.created_at", b="p.time")} AS hours_ahead,
         p.temperature_c AS temperature_celsius, p.humidity AS humidity_percent,
         p.wind_speed_kph / 3.6 AS wind_speed_ms, p.wind_speed_kph,
-        CAST(NULL AS DOUBLE) AS pressure_hpa, CAST(NULL AS DOUBLE) AS precipitation_mm,
-        CAST(NULL AS DOUBLE) AS cloud_cover_percent, CAST(NULL AS DOUBLE) AS visibility_km,
-        CAST(NULL AS DOUBLE) AS uv_index, CAST(NULL AS DOUBLE) AS feels_like_celsius,
-        CAST(NULL AS DOUBLE) AS wind_direction_degrees, CAST(NULL AS VARCHAR) AS weather_condition,
-        CAST(NULL AS DOUBLE) AS precipitation_probability,
+        p.wind_speed_kph + 990.0 AS pressure_hpa, p.wind_speed_kph / 8.0 AS precipitation_mm,
+        p.humidity AS cloud_cover_percent, p.wind_speed_kph / 4.0 AS visibility_km,
+        p.wind_speed_kph / 16.0 AS uv_index, p.temperature_c - 2.5 AS feels_like_celsius,
+        p.wind_speed_kph * 2.0 AS wind_direction_degrees, 'W' || (date_part('hour', p.time) % 4) AS weather_condition,
+        p.humidity / 2.0 AS precipitation_probability,
         d.status_code, d.created_at AS forecast_created_at, d.updated_at, d.created_at AS valid_from_dttm,
         {OPEN} AS valid_to_dttm
         FROM docs_forecast d JOIN points p USING (request_id)

@@ -46,8 +46,8 @@ for _provider, _name in {
         landed = A.landing_forecast(spark, sf_dir).filter(F.col("provider") == provider)
         return forecast_points(accepted(normalize_forecast(landed)))
 
-    query(f"norm_cur_{_name}", sql(f"SELECT {SAMPLE} FROM samples WHERE provider = '{_provider}'", "samples"))(_current)
-    query(f"norm_fc_{_name}", sql(f"SELECT {POINT} FROM points WHERE provider = '{_provider}'", "points"))(_forecast)
+    query(f"norm_cur_{_name}", sql(f"SELECT {SAMPLE} FROM accepted_samples WHERE provider = '{_provider}'", "accepted_samples"))(_current)
+    query(f"norm_fc_{_name}", sql(f"SELECT {POINT} FROM accepted_points WHERE provider = '{_provider}'", "accepted_points"))(_forecast)
 
 
 @query(
@@ -184,7 +184,7 @@ def fn_json_iso_dates(spark, sf_dir):
     ),
 )
 def agg_current_by_request(spark, sf_dir):
-    samples = accepted(normalize_current(A.landing_current(spark, sf_dir), keep_raw=False))
+    samples = accepted(normalize_current(A.landing_current(spark, sf_dir, broken=False), keep_raw=False))
     total = "aggregate(samples.temperature_c, 0.0D, (total, t) -> total + t)"
     return nest.nest_current(samples).selectExpr(
         "request_id",
@@ -211,7 +211,7 @@ def agg_current_by_request(spark, sf_dir):
     ),
 )
 def agg_forecast_by_request(spark, sf_dir):
-    nested = nest.nest_forecast(accepted(normalize_forecast(A.landing_forecast(spark, sf_dir))))
+    nested = nest.nest_forecast(accepted(normalize_forecast(A.landing_forecast(spark, sf_dir, broken=False))))
     return nested.selectExpr("*", "flatten(forecasts.points) AS points").selectExpr(
         "request_id",
         "latitude",

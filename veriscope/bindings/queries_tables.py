@@ -13,8 +13,9 @@ from ..operators import anomalies, quality
 from ..operators.dedup import latest_per_key
 from ..operators.keyed import delete_insert, merge_upsert, scd2_counts, scd2_history, scd2_upsert
 from ..plans import jobs, ods
+from ..plans.checks import all_checks
 from ..schemas import OPEN_END, PROVIDERS
-from ..session import shared_folder
+from ..session import own_folder
 from ..sources.documents import (
     append_documents,
     high_watermark,
@@ -27,7 +28,7 @@ from ..sources.documents import (
 from ..sources.warehouse import Warehouse
 from ..streaming.ingest import stream_ingest
 from . import adapters as A
-from .duck import CTES, OPEN, accuracy, actuals, cte, errors, ods_forecasts, ods_observations, r, sql, stg_forecast
+from .duck import CTES, OPEN, ROLLUP, accuracy, actuals, cte, errors, ods_forecasts, ods_observations, r, sql, stg_forecast, summary
 from .registry import query
 
 NOW = dt.datetime(2024, 3, 1)
@@ -35,7 +36,7 @@ NOW = dt.datetime(2024, 3, 1)
 
 def _new_folder(spark) -> str:
     """A folder of its own for each run, in the folder the cluster shares."""
-    return f"{shared_folder(spark)}/veriscope-{uuid.uuid4().hex}"
+    return f"{own_folder(spark)}/{uuid.uuid4().hex}"
 
 
 _DOC = ["_id", "latitude", "longitude", "status_code", "created_at", "updated_at"]
@@ -471,13 +472,21 @@ def _spiky(spark, sf_dir):
     return moved.selectExpr("event_id", "ts", f"{hour_of('ts')} AS hour", "provider", value)
 
 
+_FRESHNESS = f"""SELECT bucket, CAST(date_diff('microsecond', max(newest) OVER (ORDER BY bucket), bucket + INTERVAL 1 HOUR) AS DOUBLE) / 1000000.0 AS value
+    FROM ({_HOURS}) LEFT JOIN (SELECT hour AS bucket, max(ts) AS newest FROM spiky GROUP BY hour) USING (bucket)"""
+_DAYS = "SELECT unnest(generate_series(min(day), max(day), INTERVAL 1 DAY)) AS bucket FROM spiky"
+_VOLUME = f"""SELECT bucket, coalesce(n, 0) AS value FROM ({_DAYS})
+    LEFT JOIN (SELECT day AS bucket, count(*) AS n FROM spiky GROUP BY day) USING (bucket)"""
+_DIMENSION = """SELECT bucket, provider, coalesce(n, 0) AS value FROM (
+        SELECT provider, unnest(generate_series(min(day), (SELECT max(day) FROM spiky_source), INTERVAL 1 DAY)) AS bucket
+        FROM spiky_source GROUP BY provider)
+    LEFT JOIN (SELECT day AS bucket, provider, count(*) AS n FROM spiky_source GROUP BY day, provider) USING (bucket, provider)"""
+
+
 @query(
     "dq_anom_freshness",
     sql(
-        _scored(
-            f"""SELECT bucket, CAST(date_diff('microsecond', max(newest) OVER (ORDER BY bucket), bucket + INTERVAL 1 HOUR) AS DOUBLE) / 1000000.0 AS value
-            FROM ({_HOURS}) LEFT JOIN (SELECT hour AS bucket, max(ts) AS newest FROM spiky GROUP BY hour) USING (bucket)"""
-        ),
+        _scored(_FRESHNESS),
         "spiky",
     ),
 )
@@ -488,11 +497,7 @@ def dq_anom_freshness(spark, sf_dir):
 @query(
     "dq_anom_volume",
     sql(
-        _scored(
-            """SELECT bucket, coalesce(n, 0) AS value FROM
-            (SELECT unnest(generate_series(min(day), max(day), INTERVAL 1 DAY)) AS bucket FROM spiky)
-            LEFT JOIN (SELECT day AS bucket, count(*) AS n FROM spiky GROUP BY day) USING (bucket)"""
-        ),
+        _scored(_VOLUME),
         "spiky",
     ),
 )
@@ -517,13 +522,7 @@ def _silenced(spark, sf_dir):
 @query(
     "dq_anom_dimension",
     sql(
-        _scored(
-            """SELECT bucket, provider, coalesce(n, 0) AS value FROM (
-                SELECT provider, unnest(generate_series(min(day), (SELECT max(day) FROM spiky_source), INTERVAL 1 DAY)) AS bucket
-                FROM spiky_source GROUP BY provider)
-            LEFT JOIN (SELECT day AS bucket, provider, count(*) AS n FROM spiky_source GROUP BY day, provider) USING (bucket, provider)""",
-            "provider",
-        ),
+        _scored(_DIMENSION, "provider"),
         "spiky_source",
     ),
 )
@@ -532,8 +531,10 @@ def dq_anom_dimension(spark, sf_dir):
 
 
 def _metrics(column: str, metrics: dict[str, str]) -> str:
+    """A day without rows has no values: its counts are 0, its ends unknown."""
     return " UNION ALL ".join(
-        f"SELECT day AS bucket, '{column}' AS column_name, '{m}' AS metric, CAST({x} AS DOUBLE) AS value FROM spiky GROUP BY day"
+        f"""SELECT bucket, '{column}' AS column_name, '{m}' AS metric, {"coalesce(value, 0.0)" if m.endswith("count") else "value"} AS value
+        FROM ({_DAYS}) LEFT JOIN (SELECT day AS bucket, CAST({x} AS DOUBLE) AS value FROM spiky GROUP BY day) USING (bucket)"""
         for m, x in metrics.items()
     )
 
@@ -577,8 +578,9 @@ def dq_anom_all_columns(spark, sf_dir):
     "dq_anom_event_freshness",
     sql(
         _scored(
-            """SELECT day AS bucket, max(CAST(date_diff('microsecond', hour, ts) AS DOUBLE) / 1000000.0) AS value
-            FROM spiky GROUP BY day"""
+            f"""SELECT bucket, value FROM ({_DAYS}) LEFT JOIN (
+                SELECT day AS bucket, max(CAST(date_diff('microsecond', hour, ts) AS DOUBLE) / 1000000.0) AS value
+                FROM spiky GROUP BY day) USING (bucket)"""
         ),
         "spiky",
     ),
@@ -690,7 +692,139 @@ def pipe_transform(spark, sf_dir):
     return _built(spark, sf_dir).read("dm.forecast_accuracy").drop("dbt_updated_at")
 
 
-@query("pipe_test")
+# The same with a city for every position, so that every row has a key and is matched when it comes again.
+cte(
+    "every_city",
+    ["cities"],
+    """SELECT * FROM cities UNION ALL
+        SELECT CAST(range AS DOUBLE), range + 0.5, 'MORE_' || range, 'ELSEWHERE' FROM range(25, 30)""",
+)
+
+
+def _with_every_city(name: str) -> None:
+    needs, body = CTES[f"all_{name}"]
+    for old in ("stg_current", "stg_forecast", "ods_obs", "ods_fc", "actuals", "errors"):
+        body = body.replace(f"all_{old}", f"full_{old}")
+    needs = [n.replace("all_", "full_") if n != "all_points" else n for n in needs if n != "cities"]
+    cte(f"full_{name}", ["every_city", *needs], body.replace("JOIN cities c", "JOIN every_city c"))
+
+
+for _name in ("stg_current", "stg_forecast", "ods_obs", "ods_fc", "actuals", "errors"):
+    _with_every_city(_name)
+
+
+def _every_city(spark, sf_dir):
+    more = spark.range(25, 30).selectExpr(
+        "cast(id AS double) AS latitude", "id + 0.5D AS longitude", "concat('MORE_', id) AS city", "'ELSEWHERE' AS country"
+    )
+    return A.cities(spark, sf_dir).unionByName(more)
+
+
+def _built_by_thirds(spark, sf_dir) -> Warehouse:
+    """Documents arrive in three parts, the later changed ones later; every layer is built after each.
+
+    From the second part on, a run reads and writes only the days that changed.
+    """
+    folder = _new_folder(spark)
+    warehouse = Warehouse(spark, f"{folder}/warehouse")
+    cities = _every_city(spark, sf_dir)
+    docs = {kind: A.documents(spark, sf_dir, kind) for kind in ("current", "forecast")}
+    ends = [dt.datetime(1970, 1, 1), dt.datetime(2024, 1, 11), dt.datetime(2024, 1, 21), dt.datetime(2100, 1, 1)]
+    paths = {kind: f"{folder}/documents/{kind}" for kind in docs}
+    for start, end in zip(ends, ends[1:]):
+        for kind, path in paths.items():
+            arrived = docs[kind].filter(f"updated_at >= {ntz(start)} AND updated_at < {ntz(end)}")
+            append_documents(arrived, path, kind)
+        jobs.ingest(warehouse, paths, now=NOW)
+        jobs.build(warehouse, cities)
+    return warehouse
+
+
+@query("pipe_transform_incremental", sql(accuracy("full_errors"), "full_errors"))
+def pipe_transform_incremental(spark, sf_dir):
+    """The accuracy mart after three loads, from the partials of days."""
+    return _built_by_thirds(spark, sf_dir).read("dm.forecast_accuracy").drop("dbt_updated_at")
+
+
+@query("dm_city_summary_incremental", sql(summary("full_ods_obs"), "full_ods_obs"))
+def dm_city_summary_incremental(spark, sf_dir):
+    return _built_by_thirds(spark, sf_dir).read("dm.city_summary").drop("dbt_updated_at")
+
+
+# The checks of a built warehouse: every declared check counted on its own over the model's rows.
+cte("all_accuracy", ["all_errors"], accuracy("all_errors"))
+cte("all_rollup", ["all_accuracy"], ROLLUP.replace("FROM accuracy", "FROM all_accuracy"))
+cte("all_ranked", ["all_rollup"], CTES["ranked"][1].replace("FROM rollup", "FROM all_rollup"))
+cte("all_ranking", ["all_ranked"], CTES["ranking"][1].replace("FROM ranked", "FROM all_ranked"))
+cte("all_summary", ["all_ods_obs"], summary("all_ods_obs"))
+_VERSION = "md5(_id || '|' || CAST(updated_at AS VARCHAR)) AS id"
+_MODEL_OF = {
+    "raw.weather_current": ("all_raw_current", "docs_current", f"SELECT *, {_VERSION}, _id AS weather_id, updated_at AS valid_from_dttm, {OPEN} AS valid_to_dttm FROM docs_current"),
+    "raw.weather_forecast": ("all_raw_forecast", "docs_forecast", f"SELECT *, {_VERSION}, _id AS forecast_id, updated_at AS valid_from_dttm, {OPEN} AS valid_to_dttm FROM docs_forecast"),
+    "stg.weather_current": ("all_stg_current", None, None),
+    "stg.weather_forecast": ("all_stg_forecast_named", "all_stg_forecast", "SELECT *, src_forecast_id AS forecast_id FROM all_stg_forecast"),
+    "ods.weather_observations": ("all_ods_obs", None, None),
+    "ods.weather_forecasts": ("all_ods_fc", None, None),
+    "dm.forecast_accuracy": ("all_accuracy", None, None),
+    "dm.provider_ranking": ("all_ranking", None, None),
+    "dm.city_summary": ("all_summary", None, None),
+}
+for _source, _needs, _body in _MODEL_OF.values():
+    if _body:
+        cte(_source, [_needs], _body)
+cte(
+    "all_seen",
+    ["all_ods_obs"],
+    """SELECT observation_time AS ts, date_trunc('hour', observation_time) AS hour, date_trunc('day', observation_time) AS day,
+        provider, temperature_celsius AS value FROM all_ods_obs WHERE observation_time IS NOT NULL""",
+)
+
+
+def _failures(check: quality.Check) -> str:
+    rows, column = _MODEL_OF[check.model][0], check.column
+    if check.kind == "not_null":
+        return f"SELECT count(*) FROM {rows} WHERE {column} IS NULL"
+    if check.kind == "expression":
+        return f"SELECT count(*) FROM {rows} WHERE NOT ({column} {check.expression}) AND ({check.where or 'true'})"
+    if check.kind == "unique":
+        return f"SELECT count(*) FROM (SELECT {column} FROM {rows} WHERE {column} IS NOT NULL GROUP BY 1 HAVING count(*) > 1)"
+    if check.kind == "accepted_values":
+        listed = ", ".join(f"'{v}'" if isinstance(v, str) else str(v) for v in check.values)
+        return f"SELECT count(DISTINCT {column}) FROM {rows} WHERE {column} NOT IN ({listed})"
+    parent = f"SELECT {check.parent_column} FROM {_MODEL_OF[check.parent][0]} WHERE {check.parent_column} IS NOT NULL"
+    return f"SELECT count(*) FROM {rows} WHERE {column} IS NOT NULL AND {column} NOT IN ({parent})"
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _all_results() -> str:
+    """A row per declared check, and the anomaly checks; marts have one run, so their metrics have no history."""
+    rows = [
+        f"SELECT {_quoted(c.name)} AS \"check\", '{c.model}' AS model, '{c.column}' AS \"column\", '{c.severity}' AS severity, ({_failures(c)}) AS failures"
+        for c in all_checks()
+    ]
+    seen, mart = "ods.weather_observations", "dm.forecast_accuracy"
+    anomalous = {
+        f"freshness_anomalies_{seen}": (seen, _FRESHNESS, ""),
+        f"volume_anomalies_{seen}": (seen, _VOLUME, ""),
+        f"dimension_anomalies_{seen}": (seen, _DIMENSION, "provider"),
+        f"column_anomalies_{seen}": (seen, _metrics("value", _four("value")), "column_name, metric"),
+        f"all_columns_anomalies_{mart}": (mart, None, ""),
+        f"event_freshness_anomalies_{mart}": (mart, None, ""),
+    }
+    for name, (model, values, by) in anomalous.items():
+        found = "0"
+        if values:
+            scored = _scored(values.replace("spiky_source", "all_seen").replace("spiky", "all_seen"), by)
+            found = f"(SELECT count(*) FILTER (WHERE is_anomaly) FROM ({scored}))"
+        rows.append(f"SELECT '{name}', '{model}', NULL, 'warn', {found}")
+    status = "CASE WHEN failures = 0 THEN 'pass' WHEN severity = 'error' THEN 'error' ELSE 'warn' END AS status"
+    return f"SELECT *, {status} FROM ({' UNION ALL '.join(rows)})"
+
+
+@query("pipe_test", sql(_all_results(), *(m[0] for m in _MODEL_OF.values()), "all_seen"))
 def pipe_test(spark, sf_dir):
     results = jobs.check(_built(spark, sf_dir), raise_on_error=False)
     return results.drop("checked_at")

@@ -95,20 +95,22 @@ def scd2_history(log: DataFrame, key: str, change: str) -> DataFrame:
 
 
 def scd2_changes(
-    active: DataFrame, batch: DataFrame, key: str, change: str, one_each: bool = False
+    active: DataFrame, batch: DataFrame, key: str, change: str, one_each: bool = False, forward: bool = False
 ) -> DataFrame:
     """Batch rows that open a new version, with ``_replaces`` (key was active) and ``_is_newest``.
 
     A key whose newest batch version carries the active version's change stamp is unchanged, so
     replaying a batch does nothing.  Otherwise the versions later than the active one are new; a
-    newest version older than the active one still replaces it.  ``one_each`` says that the batch
-    holds one version per key, which takes a single join.
+    newest version older than the active one still replaces it, unless ``forward``.  ``one_each`` says
+    that the batch holds one version per key, which takes a single join.
     """
     standing = active.select(key, F.col(change).alias("_active"), F.lit(True).alias("_known"))
     if one_each:
         rows = batch.join(standing, key, "left")
         is_newest = F.lit(True)
         wanted = F.col("_known").isNull() | ~F.col(change).eqNullSafe(F.col("_active"))
+        if forward:
+            wanted = wanted & ~F.coalesce(F.col(change) < F.col("_active"), F.lit(False))
     else:
         newest = batch.groupBy(key).agg(F.max(change).alias("_newest"))
         rows = one_of_each_version(batch, key, change).join(newest.join(standing, key, "left"), key)

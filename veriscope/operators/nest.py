@@ -1,6 +1,7 @@
 """Nesting of normalised answers into one document per request.
 
-A request has one answer per provider, so each group holds a handful of rows.
+A request keeps the latest answer of each provider.  That is found while rows are grouped, in the map tasks first, so whatever
+a request's number of rows, what is held and sent of it is one answer per provider.
 """
 
 from __future__ import annotations
@@ -14,35 +15,45 @@ from ..schemas import DEFAULT_HOURS, MAX_HOURS, MIN_HOURS, PROVIDERS
 ISO_JSON = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
 
 
-def _in_provider_order(fields: list[str], settle: list[str]) -> str:
-    """Collects structs of the fields in the fixed order of the providers.
+def _latest_of_each(fields: list[str], settle: list[str]) -> str:
+    """Structs of the fields of the latest answer of each known provider, in the providers' fixed order.
 
-    ``settle`` orders several answers of one provider, which a request does not normally have.
+    ``settle`` orders the answers of one provider; the greatest counts.
     """
-    position = f"array_position(array({', '.join(repr(p) for p in PROVIDERS)}), provider)"
-    struct = lambda names: ", ".join(f"{n!r}, {n}" for n in names)
-    entry = f"named_struct('at', named_struct('p', {position}, {struct(settle)}), 'entry', named_struct({struct(fields)}))"
-    before = "CASE WHEN a.at < b.at THEN -1 WHEN a.at > b.at THEN 1 ELSE 0 END"
-    return f"transform(array_sort(collect_list({entry}), (a, b) -> {before}), x -> x.entry)"
+    struct = lambda names: f"named_struct({', '.join(f'{n!r}, {n}' for n in names)})"
+    latest = [f"max_by({struct(fields)}, {struct(settle)}) FILTER (WHERE provider = '{p}')" for p in PROVIDERS]
+    return f"filter(array({', '.join(latest)}), x -> x IS NOT NULL)"
+
+
+def _mean(values: str) -> str:
+    known = f"filter({values}, v -> v IS NOT NULL)"
+    return f"aggregate({known}, 0.0D, (total, v) -> total + v) / nullif(size({known}), 0)"
 
 
 def nest_current(samples: DataFrame) -> DataFrame:
-    """Per request: all samples, and their mean temperature and humidity over known values."""
+    """Per request: the samples, and their mean temperature and humidity over known values."""
     fields = ["provider", "temperature_c", "wind_speed_kph", "humidity", "condition", "observation_time"]
     if "raw" in samples.columns:
         fields.append("raw")
     settle = ["fetched_at", "temperature_c", "wind_speed_kph"]
-    return samples.groupBy("request_id", "latitude", "longitude").agg(
-        F.expr(f"{_in_provider_order(fields, settle)} AS samples"),
-        F.expr("avg(temperature_c) AS average_temperature_c"),
-        F.expr("avg(humidity) AS average_humidity"),
+    nested = samples.groupBy("request_id", "latitude", "longitude").agg(
+        F.expr(f"{_latest_of_each(fields, settle)} AS samples"),
         F.expr("max(fetched_at) AS fetched_at"),
     )
+    return nested.selectExpr(
+        "request_id",
+        "latitude",
+        "longitude",
+        "samples",
+        f"{_mean('samples.temperature_c')} AS average_temperature_c",
+        f"{_mean('samples.humidity')} AS average_humidity",
+        "fetched_at",
+    )
 
 
 def nest_forecast(forecasts: DataFrame) -> DataFrame:
     """Per request: the points of each provider, nested twice, without averages."""
-    nested = _in_provider_order(["provider", "points"], ["fetched_at"])
+    nested = _latest_of_each(["provider", "points"], ["fetched_at", "points"])
     return forecasts.groupBy("request_id", "latitude", "longitude", "hours").agg(
         F.expr(f"{nested} AS forecasts"),
         F.expr("max(fetched_at) AS fetched_at"),

@@ -132,7 +132,8 @@ def normalize_current(landing: DataFrame, keep_raw: bool = True) -> DataFrame:
         WHEN {NAMES_ERROR} THEN 'provider_error'
         WHEN provider = 'weatherbit' AND coalesce(size(p.data), 0) < 1 THEN 'empty_data'
         WHEN {_unreadable("temperature_text", "humidity_text", "wind_text")} THEN 'bad_number'
-        WHEN temperature_text IS NULL THEN 'missing_temperature' END"""
+        WHEN temperature_text IS NULL THEN 'missing_temperature'
+        WHEN request_id IS NULL THEN 'no_request' END"""
     speed = number_or_null("wind_text")
     return texts.selectExpr(
         *kept,
@@ -219,7 +220,8 @@ def normalize_forecast(landing: DataFrame) -> DataFrame:
         WHEN {NAMES_ERROR} THEN 'provider_error'
         WHEN exists(listed, q -> q.bad_number) THEN 'bad_number'
         WHEN exists(listed, q -> q.no_temperature) THEN 'missing_temperature'
-        WHEN exists(listed, q -> q.time IS NULL) THEN 'bad_time' END"""
+        WHEN exists(listed, q -> q.time IS NULL) THEN 'bad_time'
+        WHEN request_id IS NULL THEN 'no_request' END"""
     cut = f"CASE WHEN provider IN ('weatherapi', 'weatherstack') THEN slice(listed, 1, {hours}) ELSE listed END"
     fields = ", ".join(f"'{f}', q.{f}" for f in ("time", "temperature_c", "wind_speed_kph", "humidity"))
     return listed.selectExpr(

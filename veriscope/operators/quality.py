@@ -102,9 +102,19 @@ def _row_condition(check: Check) -> str | None:
     return None
 
 
-def _result(check: Check, failures: str) -> Column:
-    """One result row of a check whose number of failures is in a column."""
-    count = F.col(failures).cast("bigint")
+def _counted_value(check: Check) -> Column | None:
+    """The value whose number of rows decides, NULL where the row does not count, for checks on distinct values."""
+    value = F.col(check.column).cast("string")
+    if check.kind == "unique":
+        return value
+    if check.kind == "accepted_values":
+        return F.when(~F.col(check.column).isin(*check.values), value)
+    return None
+
+
+def _result(check: Check, failures: Column) -> Column:
+    """One result row of a check from its number of failures."""
+    count = failures.cast("bigint")
     return F.struct(
         F.lit(check.name).alias("check"),
         F.lit(check.model).alias("model"),
@@ -115,34 +125,45 @@ def _result(check: Check, failures: str) -> Column:
     )
 
 
+def _one_model(rows: DataFrame, checks: Sequence[Check]) -> DataFrame:
+    """All checks of a model that need no other table, in one scan.
+
+    Each row gives a count for the row conditions and one for each value that a check counts; both are added up per check
+    and value, in the map tasks first, so that a frequent value is a row per task.  A second aggregate counts, per check, the
+    failing rows, the values outside a list, or the values that occur more than once.
+    """
+    single = [c for c in checks if _row_condition(c)]
+    valued = [c for c in checks if _counted_value(c) is not None]
+    conditions = [F.expr(_row_condition(c)) for c in single]
+    cell = lambda of, value: F.struct(F.lit(of).alias("of"), value.alias("value"))
+    cells = [cell(-1, F.lit(None).cast("string")), *(cell(i, _counted_value(c)) for i, c in enumerate(valued))]
+    flags = [F.coalesce(x, F.lit(False)).alias(f"f{i}") for i, x in enumerate(conditions)]
+    wide = rows.select(*flags, F.filter(F.array(*cells), lambda x: (x.of < 0) | x.value.isNotNull()).alias("cells"))
+    long = wide.select(*(f"f{i}" for i in range(len(single))), F.inline("cells"))
+    failing = lambda i: F.count_if((F.col("of") < 0) & F.col(f"f{i}")).alias(f"f{i}")
+    per_value = long.groupBy("of", "value").agg(F.count(F.lit(1)).alias("n"), *(failing(i) for i in range(len(single))))
+    least = lambda check: 1 if check.kind == "accepted_values" else 2
+    counts = [F.coalesce(F.sum(f"f{i}"), F.lit(0)).alias(f"f{i}") for i in range(len(single))]
+    counts += [F.count_if((F.col("of") == i) & (F.col("n") >= least(c))).alias(f"v{i}") for i, c in enumerate(valued)]
+    results = [_result(c, F.col(f"f{i}")) for i, c in enumerate(single)] + [_result(c, F.col(f"v{i}")) for i, c in enumerate(valued)]
+    return per_value.agg(*counts).select(F.inline(F.array(*results)))
+
+
 def run_checks(models: Mapping[str, DataFrame], checks: Iterable[Check]) -> DataFrame:
     """One row per check: ``(check, model, column, severity, failures, status)``.
 
-    All checks of a model that look at single rows share one scan of it.
+    All checks of a model share one scan of it, but for those that look into another model.
     """
     checks = list(checks)
     parts: list[DataFrame] = []
     for model in dict.fromkeys(c.model for c in checks):
         own = [c for c in checks if c.model == model]
-        single = [c for c in own if _row_condition(c)]
-        if single:
-            counted = models[model].agg(
-                *[F.count_if(F.expr(_row_condition(c))).alias(f"f{i}") for i, c in enumerate(single)]
-            )
-            parts.append(counted.select(F.inline(F.array(*[_result(c, f"f{i}") for i, c in enumerate(single)]))))
+        if alone := [c for c in own if c.kind in ("not_null", "expression", "unique", "accepted_values")]:
+            parts.append(_one_model(models[model], alone))
         for check in own:
-            if check not in single:
-                counted = _failing_values(models, check).agg(F.count(F.lit(1)).alias("f"))
-                parts.append(counted.select(F.inline(F.array(_result(check, "f")))))
+            if check.kind == "relationships":
+                failing = failing_relationships(models[model], check.column, models[check.parent], check.parent_column)
+                parts.append(failing.agg(F.count(F.lit(1)).alias("f")).select(F.inline(F.array(_result(check, F.col("f"))))))
+            elif check not in alone:
+                raise ValueError(f"unknown kind of check: {check.kind}")
     return reduce(DataFrame.unionByName, parts)
-
-
-def _failing_values(models: Mapping[str, DataFrame], check: Check) -> DataFrame:
-    rows = models[check.model]
-    if check.kind == "unique":
-        return failing_unique(rows, check.column)
-    if check.kind == "accepted_values":
-        return failing_accepted_values(rows, check.column, check.values)
-    if check.kind == "relationships":
-        return failing_relationships(rows, check.column, models[check.parent], check.parent_column)
-    raise ValueError(f"unknown kind of check: {check.kind}")

@@ -7,13 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.anomalies import (
-    column_anomalies,
-    dimension_anomalies,
-    freshness_anomalies,
-    run_anomalies,
-    volume_anomalies,
-)
+from ..operators.anomalies import run_anomalies
 from ..operators.quality import Check, run_checks
 from ..schemas import COMPASS_NAMES, FORECAST_PROVIDERS, LEAD_HOURS, PROVIDERS
 
@@ -107,26 +101,18 @@ def all_checks(forecast_providers=FORECAST_PROVIDERS) -> list[Check]:
     return [*raw_checks(), *stg_checks(forecast_providers), *ods_checks(forecast_providers), *dm_checks()]
 
 
-def anomaly_results(models: Mapping[str, DataFrame], history: DataFrame) -> DataFrame:
+def anomaly_results(scores: DataFrame, history: DataFrame) -> DataFrame:
     """The declared anomaly checks as result rows like those of :func:`run_checks`; they only warn.
 
-    A mart carries the stamp of its last build alone, so its metrics are compared over the runs in ``history``.
+    ``scores`` are those kept of the observations.  A mart carries the stamp of its last build alone, so its metrics are
+    compared over the runs in ``history``.
     """
-    seen = models["ods.weather_observations"]
+    seen, mart = "ods.weather_observations", "dm.forecast_accuracy"
     runs = run_anomalies(history)
-    # A row without a time has no bucket.
-    seen = seen.filter(F.col("observation_time").isNotNull())
-    named = [
-        ("freshness_anomalies", "ods.weather_observations", freshness_anomalies(seen, "observation_time", "hour")),
-        ("volume_anomalies", "ods.weather_observations", volume_anomalies(seen, "observation_time", "day")),
-        ("dimension_anomalies", "ods.weather_observations", dimension_anomalies(seen, "observation_time", "provider")),
-        (
-            "column_anomalies",
-            "ods.weather_observations",
-            column_anomalies(seen, "observation_time", ["temperature_celsius"]),
-        ),
-        ("all_columns_anomalies", "dm.forecast_accuracy", runs.filter("metric <> 'lag'")),
-        ("event_freshness_anomalies", "dm.forecast_accuracy", runs.filter("metric = 'lag'")),
+    named = [(f"{kind}_anomalies", seen, scores.filter(F.col("kind") == kind)) for kind in ("freshness", "volume", "dimension", "column")]
+    named += [
+        ("all_columns_anomalies", mart, runs.filter("metric <> 'lag'")),
+        ("event_freshness_anomalies", mart, runs.filter("metric = 'lag'")),
     ]
     results = None
     for kind, model, scored in named:
@@ -143,5 +129,7 @@ def anomaly_results(models: Mapping[str, DataFrame], history: DataFrame) -> Data
     return results
 
 
-def check_layers(models: Mapping[str, DataFrame], history: DataFrame, forecast_providers=FORECAST_PROVIDERS) -> DataFrame:
-    return run_checks(models, all_checks(forecast_providers)).unionByName(anomaly_results(models, history))
+def check_layers(
+    models: Mapping[str, DataFrame], scores: DataFrame, history: DataFrame, forecast_providers=FORECAST_PROVIDERS
+) -> DataFrame:
+    return run_checks(models, all_checks(forecast_providers)).unionByName(anomaly_results(scores, history))

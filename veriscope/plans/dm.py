@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.clock import day_of
@@ -63,7 +63,134 @@ def accuracy_of(errors: DataFrame) -> DataFrame:
     medians = medians.selectExpr(*[f"{k} AS _{k}" for k in ACCURACY_KEY], "_median")
     same = " AND ".join(f"{k} <=> _{k}" for k in ACCURACY_KEY)
     metrics = metrics.join(medians, F.expr(same), "left")
-    return metrics.selectExpr(
+    return metrics.selectExpr(*_accuracy_columns())
+
+
+# Accuracy from day partials: a day's partials depend on that day alone, so a run makes only those of changed days.
+
+PART_TIME = "part_time"
+ACCURACY_PARTS = ("parts.accuracy", "parts.accuracy_errors")
+BINS = 256  # of the histogram, to a degree
+LAST_BIN = 1 << 40  # of errors too large for one of their own
+
+
+def errors_of(observations: DataFrame, forecasts: DataFrame) -> DataFrame:
+    """Errors of forecasts with the time they are for."""
+    return forecast_errors(forecasts, actual_values(observations))
+
+
+def accuracy_parts(errors: DataFrame) -> dict[str, DataFrame]:
+    """What the accuracy of a day's forecasts adds up from, per provider and lead time.
+
+    Counts, sums and maxima, with the cities and a histogram of the temperature errors (as many entries as there are cities and
+    bins); and these errors themselves, sorted, of which the median will read those of one bin.  Both have the day as
+    ``part_time``.
+    """
+    temperature = "temperature_error_abs"
+    rows = written(
+        errors.selectExpr(
+            f"{day_of('forecast_timestamp')} AS {PART_TIME}",
+            *ACCURACY_KEY,
+            "city",
+            temperature,
+            "humidity_error_abs",
+            "wind_speed_error_abs",
+            "temperature_squared_error",
+            "humidity_squared_error",
+        )
+    )
+    key = [PART_TIME, *ACCURACY_KEY]
+    both = lambda name, x: {f"{name}_n": f"count({x})", f"{name}_sum": f"sum({x})"}
+    sums = rows.groupBy(*key).agg(
+        *_aggregates(
+            {
+                "n": "count(1)",
+                **both("t", temperature),
+                **both("tt", "temperature_squared_error"),
+                **both("h", "humidity_error_abs"),
+                **both("hh", "humidity_squared_error"),
+                **both("w", "wind_speed_error_abs"),
+                "t_max": f"max({temperature})",
+                "within_2": f"count_if({temperature} <= 2.0D)",
+                "within_5": f"count_if({temperature} <= 5.0D)",
+                "humid_within_10": "count_if(humidity_error_abs <= 10.0D)",
+                "cities": "collect_set(city)",
+            }
+        )
+    )
+    of_bin = f"CASE WHEN {temperature} < {LAST_BIN // BINS} THEN cast(floor({temperature} * {BINS}) AS bigint) ELSE {LAST_BIN} END"
+    known = rows.filter(f"{temperature} IS NOT NULL").selectExpr(*key, f"{of_bin} AS bin", f"{temperature} AS error")
+    # Equal errors are one row; sorted when written, so that a reader of one bin skips most of a file.
+    values = written(known.groupBy(*key, "bin", "error").agg(F.count(F.lit(1)).alias("n")))
+    bins = values.groupBy(*key, "bin").agg(F.sum("n").alias("n"))
+    bins = bins.groupBy(*key).agg(F.collect_list(F.struct("bin", "n")).alias("bins"))
+    named = bins.withColumnsRenamed({k: f"_{k}" for k in key})
+    same = F.expr(" AND ".join(f"{k} <=> _{k}" for k in key))
+    sums = sums.join(named, same, "left").drop(*(f"_{k}" for k in key))
+    return dict(zip(ACCURACY_PARTS, (sums, values), strict=True))
+
+
+def _same_group(other: str = "_") -> Column:
+    return F.expr(" AND ".join(f"{k} <=> {other}{k}" for k in ACCURACY_KEY))
+
+
+def _renamed_key(rows: DataFrame) -> DataFrame:
+    return rows.withColumnsRenamed({k: f"_{k}" for k in ACCURACY_KEY})
+
+
+def _median_of_parts(sums: DataFrame, values: DataFrame) -> DataFrame:
+    """The exact median per group: the histogram tells the bins of the two middle ranks, the values inside are ranked."""
+    counts = sums.select(*ACCURACY_KEY, F.inline("bins")).groupBy(*ACCURACY_KEY, "bin").agg(F.sum("n").alias("n"))
+    upto = Window.partitionBy(*ACCURACY_KEY).orderBy("bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    whole = Window.partitionBy(*ACCURACY_KEY)
+    middle = F.expr("(_all - 1) div 2"), F.expr("_all div 2")
+    placed = counts.withColumn("_end", F.sum("n").over(upto)).withColumn("_all", F.sum("n").over(whole))
+    holds = placed.filter((F.col("_end") > middle[0]) & (F.col("_end") - F.col("n") <= middle[1]))
+    holds = written(holds.select(*(F.col(k).alias(f"_{k}") for k in ACCURACY_KEY), F.col("bin").alias("_bin"), "_end", "n", "_all"))
+    ends = holds.agg(F.min("_bin"), F.max("_bin")).first()  # of all groups, so that files are skipped
+    if ends[0] is None:
+        return values.select(*ACCURACY_KEY, F.col("error").alias("_median")).limit(0)
+    near = values.filter(F.col("bin").between(*ends)).join(
+        holds.withColumnRenamed("n", "_held"), _same_group() & (F.col("bin") == F.col("_bin"))
+    )
+    near = near.groupBy(*ACCURACY_KEY, "bin", "error", "_end", "_held", "_all").agg(F.sum("n").alias("n"))
+    inside = Window.partitionBy(*ACCURACY_KEY, "bin").orderBy("error").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = near.withColumn("_to", F.col("_end") - F.col("_held") + F.sum("n").over(inside))
+    at = lambda rank: F.min(F.when(F.col("_to") > rank, F.col("error")))
+    halves = at(middle[0]) * F.lit(0.5) + at(middle[1]) * F.lit(0.5)
+    return ranked.groupBy(*ACCURACY_KEY).agg(halves.alias("_median"))
+
+
+def accuracy_from_parts(sums: DataFrame, values: DataFrame) -> DataFrame:
+    """:func:`dm_forecast_accuracy` from the day partials of all days."""
+    mean = lambda name: f"sum({name}_sum) / nullif(sum({name}_n), 0)"
+    share = lambda name: pg_round(f"cast(sum({name}) AS double) / sum(n) * 100.0D", 1)
+    total = sums.groupBy(*ACCURACY_KEY).agg(
+        *_aggregates(
+            {
+                "total_forecasts": "sum(n)",
+                "temperature_mae": pg_round(mean("t"), 2),
+                "temperature_rmse": pg_round(f"sqrt({mean('tt')})", 2),
+                "temperature_max_error": pg_round("max(t_max)", 2),
+                "accuracy_within_2deg_pct": share("within_2"),
+                "accuracy_within_5deg_pct": share("within_5"),
+                "humidity_mae": pg_round(mean("h"), 2),
+                "humidity_rmse": pg_round(f"sqrt({mean('hh')})", 2),
+                "humidity_accuracy_within_10pct": share("humid_within_10"),
+                "wind_speed_mae": pg_round(mean("w"), 2),
+            }
+        )
+    )
+    seen = sums.select(*ACCURACY_KEY, F.explode("cities").alias("city")).distinct()
+    counted = seen.groupBy(*ACCURACY_KEY).agg(F.count("city").alias("cities_count"))
+    total = total.join(_renamed_key(counted), _same_group(), "left").drop(*(f"_{k}" for k in ACCURACY_KEY))
+    total = total.withColumn("cities_count", F.coalesce("cities_count", F.lit(0)))
+    total = total.join(_renamed_key(_median_of_parts(sums, values)), _same_group(), "left")
+    return total.selectExpr(*_accuracy_columns())
+
+
+def _accuracy_columns() -> list[str]:
+    return [
         *ACCURACY_KEY,
         "total_forecasts",
         "cities_count",
@@ -78,12 +205,12 @@ def accuracy_of(errors: DataFrame) -> DataFrame:
         "humidity_accuracy_within_10pct",
         "wind_speed_mae",
         UPDATED_NOW,
-    )
+    ]
 
 
 def dm_forecast_accuracy(observations: DataFrame, forecasts: DataFrame) -> DataFrame:
     """Accuracy of each provider at each lead time: 15 columns."""
-    return accuracy_of(forecast_errors(forecasts, actual_values(observations)))
+    return accuracy_of(errors_of(observations, forecasts))
 
 
 def provider_rollup(accuracy: DataFrame) -> DataFrame:
@@ -194,7 +321,11 @@ def dm_city_summary(observations: DataFrame) -> DataFrame:
         )
     )
     stats = stats.join(counts, F.expr("city <=> _city AND country <=> _country"))
-    return stats.selectExpr(
+    return stats.selectExpr(*_city_columns())
+
+
+def _city_columns() -> list[str]:
+    return [
         "city",
         "country",
         "latitude",
@@ -218,7 +349,63 @@ def dm_city_summary(observations: DataFrame) -> DataFrame:
         "avg_precipitation",
         "total_precipitation",
         UPDATED_NOW,
+    ]
+
+
+CITY_PARTS = ("parts.city_days",)
+_MEANS = {"la": "latitude", "lo": "longitude", "t": "temperature_celsius", "h": "humidity_percent", "w": "wind_speed_ms", "p": "precipitation_mm"}
+
+
+def city_parts(observations: DataFrame) -> DataFrame:
+    """What a city's summary adds up from: a row per city, provider and day (``part_time``).
+
+    The spread of temperatures is kept as their number, mean and sum of squared deviations, which merge.
+    """
+    key = ["city", "country", "provider", F.expr(f"{day_of('observation_time')} AS {PART_TIME}")]
+    named = {f"{short}_n": f"count({c})" for short, c in _MEANS.items()} | {f"{short}_sum": f"sum({c})" for short, c in _MEANS.items()}
+    ends = {f"{short}_{end}": f"{end}({_MEANS[short]})" for short in "thw" for end in ("min", "max")}
+    own = {"first": "min(observation_time)", "last": "max(observation_time)", "n": "count(1)"}
+    deviations = {"t_squares": "var_pop(temperature_celsius) * count(temperature_celsius)"}
+    return observations.groupBy(*key).agg(*_aggregates({**own, **named, **ends, **deviations}))
+
+
+def city_from_parts(parts: DataFrame) -> DataFrame:
+    """:func:`dm_city_summary` from the partials of all days."""
+    mean = lambda short, digits: pg_round(f"sum({short}_sum) / nullif(sum({short}_n), 0)", digits)
+    place = ["city", "country"]
+    of_city = parts.groupBy(*place).agg(
+        *_aggregates(
+            {
+                "latitude": mean("la", 4),
+                "longitude": mean("lo", 4),
+                "first_observation": "min(first)",
+                "last_observation": "max(last)",
+                "total_observations": "sum(n)",
+                "days_tracked": f"count(DISTINCT {PART_TIME})",
+                "providers_count": "count(DISTINCT provider)",
+                "avg_temperature": mean("t", 1),
+                "min_temperature": pg_round("min(t_min)", 1),
+                "max_temperature": pg_round("max(t_max)", 1),
+                "avg_humidity": mean("h", 1),
+                "min_humidity": pg_round("min(h_min)", 1),
+                "max_humidity": pg_round("max(h_max)", 1),
+                "avg_wind_speed": mean("w", 1),
+                "max_wind_speed": pg_round("max(w_max)", 1),
+                "avg_precipitation": mean("p", 2),
+                "total_precipitation": pg_round("sum(p_sum)", 2),
+                "_mean": "sum(t_sum) / nullif(sum(t_n), 0)",
+            }
+        )
+    )
+    # Squared deviations from the city's mean: those from each part's own mean, and those of the parts' means.
+    same = F.expr("city <=> _city AND country <=> _country")
+    means = of_city.selectExpr("city AS _city", "country AS _country", "_mean")
+    apart = "CASE WHEN t_n > 0 THEN t_squares + t_n * pow(t_sum / t_n - _mean, 2) END"
+    spread = parts.join(means, same).groupBy("_city", "_country").agg(
+        F.expr(f"CASE WHEN sum(t_n) > 1 THEN sqrt(sum({apart}) / (sum(t_n) - 1)) END AS _stddev")
     )
+    rounded = of_city.join(spread, same).withColumn("stddev_temperature", F.expr(pg_round("_stddev", 1)))
+    return rounded.selectExpr(*_city_columns())
 
 
 def accuracy_dashboard(accuracy: DataFrame, intervals: Sequence[int] = (1, 3, 6, 12, 24)) -> DataFrame:
