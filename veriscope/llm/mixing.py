@@ -6,9 +6,9 @@ moves the probabilities of three documents at a time along the one direction tha
 their sum of sizes (tokens), one way or the other at random so that each keeps its mean, until one of them is 0 or 1; it goes
 on with the next document in its place.  So all but two documents of any group are settled with both totals kept.
 
-Groups of at most about ``GROUP`` documents of one source fly in parallel; what they leave (two each) is merged into groups of
-the next level, until a source has one group.  There a landing problem of at most ``LANDING`` documents remains, whose
-combinations are all looked at: the one nearest to both totals is taken.
+Groups of at most about ``GROUP`` documents of one source fly in parallel; what they leave (``LEFT`` each, of which all but two
+did not fly) is merged into groups of the next level, until a source has one group.  There a landing problem of at most
+``LANDING`` documents remains, whose combinations are all looked at: the one nearest to both totals is taken.
 """
 
 from __future__ import annotations
@@ -27,7 +27,9 @@ WEIGHTS = (3, 1, 2)
 SHARE = 1.5  # of all sizes
 MOST = 2  # times that a document is taken
 GROUP = 1024
+LEFT = 6  # documents that a group leaves to the next level
 LANDING = 14  # documents, 2^14 combinations
+DOCUMENT = 0.01  # mean sizes that one document too many or too few counts as
 SEED = 20211
 NEAR = 1e-9  # of 0 or 1
 
@@ -94,20 +96,20 @@ def flown(sizes: list[float], chance: list[float], draw: random.Random, free: li
 def landed(sizes: np.ndarray, chance: np.ndarray) -> np.ndarray:
     """0 or 1 for each of a few documents: of all combinations the one nearest to the expected tokens and documents.
 
-    A token's error counts in mean sizes, a document's for a tenth of that.
+    Errors in tokens count in mean sizes, and decide but for small differences.
     """
     n = len(sizes)
     takes = (np.arange(1 << n)[:, None] >> np.arange(n) & 1).astype(float)
     mean = max(1.0, float(sizes.mean()))
-    cost = np.abs(takes @ sizes - chance @ sizes) / mean + 0.1 * np.abs(takes.sum(axis=1) - chance.sum())
+    cost = np.abs(takes @ sizes - chance @ sizes) / mean + DOCUMENT * np.abs(takes.sum(axis=1) - chance.sum())
     return takes[int(cost.argmin())]
 
 
 def settled(rows: pd.DataFrame, level: int) -> pd.DataFrame:
-    """One group's documents with ``chance`` 0 or 1 for all but two, or for all if it is its source's only group.
+    """One group's documents with ``chance`` 0 or 1 for all but ``LEFT``, or for all if it is its source's only group.
 
     The order depends on the rows' contents alone: by size, from large to small, so that the small ones even out what the large
-    ones leave.  In the last group, documents of evenly spread sizes are kept from the flight for the landing.
+    ones leave.  Documents of evenly spread sizes are kept from the flight for what comes after it.
     """
     rows = rows.sort_values(["size", "key", "chance"], ascending=[False, True, True], kind="stable").reset_index(drop=True)
     first = rows.iloc[0]
@@ -115,7 +117,8 @@ def settled(rows: pd.DataFrame, level: int) -> pd.DataFrame:
     sizes, chance = rows["size"].astype(float).tolist(), rows["chance"].tolist()
     free = [i for i, p in enumerate(chance) if 0 < p < 1]
     last = int(first["groups"]) == 1
-    kept = sorted({free[int(p)] for p in np.linspace(0, len(free) - 1, min(len(free), LANDING - 2))}) if last and free else []
+    spread = np.linspace(0, len(free) - 1, min(len(free), (LANDING if last else LEFT) - 2)) if free else []
+    kept = sorted({free[int(p)] for p in spread})
     left = flown(sizes, chance, draw, [i for i in free if i not in set(kept)])
     if last and (rest := sorted([*left, *kept])):
         for i, take in zip(rest, landed(np.array([sizes[i] for i in rest]), np.array([chance[i] for i in rest])), strict=True):
@@ -134,7 +137,7 @@ def balanced(units: DataFrame) -> DataFrame:
     """``rank, key, size, chance`` (and other columns) with every ``chance`` moved to 0 or 1.
 
     ``units`` also has ``docs``, how many there are of its rank.  ``key`` (a long) orders and deals the rows: rows with one key
-    are in one group.  Level by level, each a written table; three levels do for 10^8 rows of a rank.
+    are in one group.  Level by level, each a written table; three levels do for 10^7 rows of a rank.
     """
     schema = units.withColumns({"groups": F.lit(1).cast("long"), "group": F.lit(1).cast("long")}).schema
     groups = F.ceil(F.col("docs") / GROUP).cast("long")
@@ -148,8 +151,7 @@ def balanced(units: DataFrame) -> DataFrame:
         left = flew.filter("chance > 0 AND chance < 1")
         if left.isEmpty():
             break
-        # Two are left of each group, so GROUP / 2 groups make one of the next level.
-        merged = GROUP // 2
+        merged = GROUP // LEFT  # groups make one of the next level
         left = left.withColumn("group", F.floor(F.col("group") / merged)).withColumn("groups", F.ceil(F.col("groups") / merged))
         level += 1
     result = done[0]
