@@ -22,7 +22,7 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # The control strings of the template.
@@ -163,26 +163,53 @@ def render(messages: DataFrame, trained_role: str = "assistant") -> DataFrame:
     )
 
 
-def parse(formatted: str) -> tuple[str, str]:
-    """Role and text of a rendered message."""
-    if not (formatted.startswith(TURN_START) and formatted.endswith(TURN_END + "\n")):
-        raise ValueError("not a rendered message")
-    role, _, text = formatted[len(TURN_START) : -len(TURN_END) - 1].partition("\n")
-    return unescape(role), unescape(text)
+class Reader:
+    """Finds the turns of a conversation in its formatted text, which it is fed in pieces cut anywhere.
+
+    It knows the template's control strings alone, so a text in which one stands unescaped is read as more turns.  Only what
+    is not yet a whole turn is kept.
+    """
+
+    def __init__(self) -> None:
+        self.rest = ""
+
+    def feed(self, piece: str) -> Iterator[tuple[str, str]]:
+        """Role and text of every turn that the piece completes."""
+        self.rest += piece
+        while True:
+            start = self.rest.find(TURN_START)
+            end = self.rest.find(TURN_END, start + len(TURN_START)) if start >= 0 else -1
+            if end < 0:
+                return
+            role, _, text = self.rest[start + len(TURN_START) : end].partition("\n")
+            yield unescape(role), unescape(text)
+            self.rest = self.rest[end + len(TURN_END) :]
+
+
+def placed(rendered: DataFrame) -> DataFrame:
+    """Rendered messages with ``at``, where each begins in its conversation's text, and the mask in that text's code points.
+
+    The messages' parts, put together in order, are the conversation's text; it is never one value.
+    """
+    before = Window.partitionBy("conv_id").orderBy("message").rowsBetween(Window.unboundedPreceding, -1)
+    at = F.coalesce(F.sum(F.length("formatted")).over(before), F.lit(0)).cast("long")
+    rows = rendered.withColumn("at", at)
+    return rows.withColumns({c: (F.col(c) + F.col("at")).cast("long") for c in ("loss_start", "loss_end")})
 
 
 def digests(rendered: DataFrame) -> DataFrame:
-    """Per conversation, what can be read back from its rendered messages.
+    """Per conversation, what can be read back from its formatted text and the mask over it.
 
-    A digest runs over the messages in order, so those of one conversation stream through one task; the task keeps three
-    running values.  A NULL ``conv_id`` is a conversation of its own.
+    The text is read as it runs on, so the parts of one conversation stream through one task, which keeps two digests, a few
+    counts and the turn being read.  Turns, roles and texts are found by :class:`Reader`; the mask's spans are cut from the
+    running text by their places in it.  A NULL ``conv_id`` is a conversation of its own.
     """
     kind = rendered.schema["conv_id"].dataType.simpleString()
-    ordered = rendered.repartition("conv_id").sortWithinPartitions("conv_id", "message")
+    ordered = placed(rendered.repartition("conv_id")).sortWithinPartitions("conv_id", "at", "message")
     schema = f"conv_id {kind}, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, state, out = None, None, None
+        key, state, reader, out = None, None, None, None
 
         def row():
             turns, n, loss, chars, size = state
@@ -206,12 +233,12 @@ def digests(rendered: DataFrame) -> DataFrame:
                 if state is None or conv != key:
                     if state is not None:
                         done.append(row())
-                    key, state = conv, [hashlib.sha256(), 0, hashlib.sha256(), 0, 0]
-                role, text = parse(formatted)
-                state[0].update(f"{role}\n{text}\n".encode())
-                state[1] += 1
+                    key, state, reader = conv, [hashlib.sha256(), 0, hashlib.sha256(), 0, 0], Reader()
+                for role, text in reader.feed(formatted):
+                    state[0].update(f"{role}\n{text}\n".encode())
+                    state[1] += 1
                 if start is not None:
-                    learned = unescape(formatted[start:end])
+                    learned = unescape(formatted[start - state[4] : end - state[4]])
                     state[2].update(learned.encode())
                     state[3] += len(learned)
                 state[4] += len(formatted)
