@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 
 import __spark_entry__ as entry
@@ -24,6 +25,8 @@ WITHOUT_SQL = {
     "op7_pattern_packing",
     "op9_weak_toxicity",
     "op10_byte_cnn_language",
+    "op11_cube_mixing",
+    "op13_block_whitening",
 }
 
 
@@ -36,9 +39,9 @@ def test_query_matches_sql(spark, duck, name):
     assert table(result.columns, rows) == table(expected.columns, expected.fetchall())
 
 
-def test_ten_operators_and_the_pipeline_are_registered():
+def test_all_operators_and_the_pipeline_are_registered():
     names = set(entry.queries())
-    assert [sum(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)] == [1] * 10 and "pipeline" in names
+    assert [sum(n.startswith(f"op{k}_") for n in names) for k in range(1, 14)] == [1] * 13 and "pipeline" in names
     assert set(llm.QUERIES) - set(llm.ORACLES) == WITHOUT_SQL
 
 
@@ -60,7 +63,17 @@ def test_pipeline_stages(spark):
 
     docs, rows = step("quality_rules", docs)
     vocabulary = fertility.words_of(*fertility.vocabularies())
-    assert {r.doc_id for r in rows} == {i for i, r in before.items() if fertility.measure(r.text, vocabulary)[6]}
+    measured = {i: fertility.measure(r.text, vocabulary) for i, r in before.items()}
+    eligible = {i: dict(zip(fertility.COLUMNS, m)) for i, m in measured.items() if m[6]}
+    low = {}
+    for lang in {before[i].lang for i in eligible}:
+        for name in fertility.FOLLOWED:
+            lengths = {(m["n_words"], m["word_chars"]): m[name] for i, m in eligible.items() if before[i].lang == lang}
+            bins = Counter(int(v * fertility.BINS) for v in lengths.values())
+            low[lang, name] = fertility.lower_limit(np.array(sorted(bins)), np.array([bins[b] for b in sorted(bins)]))
+    fits = lambda i, m: all(m[name] >= low[before[i].lang, name] for name in fertility.FOLLOWED)
+    assert all(before[i].lang for i in eligible) and {m["script"] for m in eligible.values()} == {"latin"}
+    assert {r.doc_id for r in rows} == {i for i, m in eligible.items() if fits(i, m)}
     assert all(r == before[r.doc_id] for r in rows)
 
     sets = {}

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from veriscope.llm import fertility, near_dup, packing, secrets, suffixes, winnowing
 
-from .conftest import BASE, TEXTS, prose
+from .conftest import BASE, TEXTS, changed, prose
 
 
 def word_list(text):
@@ -51,17 +51,49 @@ def test_fertility_bands_reject_what_is_no_text():
     assert not fertility.measure(one, vocabulary)[6]
 
 
+LETTERS = {"letters": "abcdefghijklmnopqrstuvwxyz", "consonants": "bcdfghjklmnpqrstvwxz", "base64": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"}
+
+
+def noise(kind, seed):
+    rng = random.Random(seed)
+    return " ".join("".join(rng.choices(LETTERS[kind], k=rng.randint(4, 9))) for _ in range(rng.randint(60, 260)))
+
+
 def test_fertility_bands_follow_the_documents(spark):
-    """Letters drawn at random lie inside the outer band, and outside what thousands of texts look like."""
-    rng = random.Random(50)
-    rows = [(i, prose(2000 + i, 60)) for i in range(3000)]
-    rows += [(-1 - i, " ".join("".join(rng.choices("bcdfghjklmnpqrstvwxz", k=7)) for _ in range(200))) for i in range(2)]
-    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
-    found = fertility.fertility(docs)
-    rejected = {r.doc_id for r in found.filter("NOT base_failed AND NOT kept").collect()}
-    assert {-1, -2} <= rejected and len(rejected) <= 0.001 * 6 * len(rows)
-    report = fertility.rejections(found).collect()
-    assert [(r.script, r.documents, r.rejected_by_bands) for r in report] == [("latin", len(rows), len(rejected))]
+    """Letters drawn at random lie inside the outer band, and outside what texts look like, whatever their share."""
+    good = {lang: [(f"{lang}{i}", lang, prose(7000 * n + i, 60 + 3 * (i % 90))) for i in range(240)] for n, lang in enumerate("xy")}
+    for share in (0.0, 0.05, 0.2, 0.4):
+        junk = int(240 * share / (1 - share))
+        rows = [r for own in good.values() for r in own]
+        rows += [(f"-{kind}{lang}{i}", lang, noise(kind, i)) for lang in "xy" for i in range(junk // 3) for kind in LETTERS]
+        rows += [(f"-null{i}", None, noise("letters", 9000 + i)) for i in range(10)] + [(f"null{i}", None, prose(90_000 + i, 100)) for i in range(10)]
+        found = fertility.fertility(spark.createDataFrame(rows, "doc_id string, lang string, text string").repartition(4))
+        rejected = {r.doc_id for r in found.filter("NOT base_failed AND NOT kept").collect()}
+        bad = {r[0] for r in rows if r[0][0] == "-"}
+        assert len(bad - rejected) <= 0.02 * len(bad) and len(rejected - bad) <= 0.01 * (len(rows) - len(bad))
+        report = fertility.rejections(found).collect()
+        assert [(r.script, r.documents, r.rejected_by_bands) for r in report] == [("latin", len(rows), len(rejected))]
+
+
+def test_many_copies_do_not_pass_for_the_bulk(spark):
+    """Nine tenths of all documents are copies or near copies of one that is easier than others."""
+    easy = prose(1, 400).replace("r", "e")
+    rows = [(i, prose(500 + i, 60 + i)) for i in range(150)] + [(1000 + i, changed(easy, i % 7)) for i in range(1350)]
+    found = fertility.fertility(spark.createDataFrame(rows, "doc_id long, text string").repartition(4))
+    assert found.filter("NOT kept").count() <= 2
+
+
+def test_the_bulk_of_a_histogram():
+    rng = np.random.default_rng(1)
+    histogram = lambda x: np.unique(np.floor(x).astype(int), return_counts=True)
+    normal = rng.normal(2000, 40, 20_000)
+    middle, spread = fertility.bulk(*histogram(normal))
+    assert abs(middle - 2000) < 15 and 34 < spread < 50
+    for share, at, width in ((0.4, 1500, 10), (0.4, 1500, 60), (0.2, 1000, 1), (0.05, 1900, 5)):
+        junk = rng.normal(at, width, int(20_000 * share / (1 - share)))
+        middle, spread = fertility.bulk(*histogram(np.concatenate([normal, junk])))
+        assert abs(middle - 2000) < 30 and 30 < spread < 90
+    assert fertility.bulk(np.array([7]), np.array([1]))[0] == 7.5
 
 
 def test_suffixes_remove_what_repeats(spark, messy, nothing):

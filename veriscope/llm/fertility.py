@@ -3,11 +3,15 @@
 Each white-space separated word is tokenised on its own, so a worker keeps the tokens of words it has seen (a bounded
 number of them).  Measured per text: characters per token under a piece vocabulary with byte fallback and under a
 byte-level vocabulary, the share of tokens that are byte fallbacks, and the entropy of the tokens relative to the
-largest value for so many tokens (of at most 512).  A text outside the band of its script is rejected.
-
-There are two bands per script: the fixed outer ``BANDS``, and inside them limits that histograms of the measures over all
-texts give, of those that the base rules and the outer band keep.  At each limit a share of ``LOW_QUANTILE`` or
-``HIGH_QUANTILE`` of the script's texts at most lies outside; with fewer texts than one for that share, none does.
+largest value for so many tokens (of at most 512).
+
+There are two bands.  The fixed outer ``BANDS``, per script, reject what no running text looks like.  Inside them, lower limits
+per script and language follow the bulk of the documents: what is no text breaks into more and odder tokens than that.
+The bulk is the shortest interval of a measure's histogram that holds ``CORE`` of the documents; where two such intervals
+lie apart, with few documents between them, the upper one counts, so the bulk is found while junk is less than half of all.
+Its width, as that of a normal distribution, gives the spread; the limit lies ``SPREADS`` spreads below its middle.  The fewer
+the documents, the wider: there is no number from which on limits begin.  Documents with equal numbers of words and
+characters count once, so that copies and near copies, however many, do not pass for the bulk.
 """
 
 from __future__ import annotations
@@ -17,20 +21,26 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from veriscope.session import written
 
+from .caches import WordCache, sliced
+
 SPACE = " \t\n\v\f\r"
 SYMBOLS = "#*$%&|<>"  # counted by the base rules
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
-CACHE_WORDS = 300_000  # per worker process
-LOW_QUANTILE = 0.001  # share of a script's texts under a lower limit, at most
-HIGH_QUANTILE = 0.001  # share of a script's texts over an upper limit, at most
-BINS = 256  # of a histogram for each unit of a measure
+CORE = 0.25  # share of the documents in the interval that is taken for the bulk
+CORE_SPREADS = 0.6373  # width of that interval of a normal distribution, in standard deviations
+SPREADS = 7.0  # below the middle of the bulk
+LEAST_SPREAD = 0.01  # of the middle
+UNSURE = 0.05  # of the middle, more spread for one document; less with the root of their number
+GAP = 0.25  # of the bulk's density: fewer documents than that between two intervals part them
+BINS = 1024  # of a histogram for each unit of a measure
 ENTROPY_TOKENS = 512  # a longer text is not asked for more entropy
 
 
@@ -54,9 +64,8 @@ BANDS = {
     "east_asian": Band(0.25, 6.0, 0.95, 0.3),
     "other": Band(0.2, 20.0, 1.0, 0.3),
 }
-#: Measures with a lower limit from the data, and those with an upper one.
-LOW = ("chars_per_token", "chars_per_byte_token", "token_entropy")
-HIGH = ("chars_per_token", "chars_per_byte_token", "fallback_share")
+#: Measures with a limit from the data.
+FOLLOWED = ("chars_per_token", "chars_per_byte_token", "token_entropy")
 #: Lead bytes of UTF-8 by script.
 LEAD_BYTES = {
     "latin": [*range(0x41, 0x5B), *range(0x61, 0x7B), *range(0xC3, 0xCA)],
@@ -83,26 +92,24 @@ COLUMNS = {
 SQL_TYPES = {pa.int64(): "long", pa.bool_(): "boolean", pa.string(): "string", pa.float64(): "double"}
 
 
-class Words(dict):
-    """Word (bytes) to its piece ids as bytes, its byte fallbacks and its number of byte-level tokens."""
+class Words(WordCache):
+    """Word (bytes) to its piece ids as bytes and its number of byte-level tokens."""
 
     def __init__(self, piece_model: str, byte_ranks: str, pattern: str):
         import sentencepiece
         import tiktoken
 
+        super().__init__(self.tokens)
         self.pieces = sentencepiece.SentencePieceProcessor(model_file=piece_model)
         with open(byte_ranks, "rb") as lines:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         self.bytes = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
         self.fallback = np.array([self.pieces.is_byte(i) for i in range(self.pieces.vocab_size())])
 
-    def __missing__(self, word: bytes) -> tuple[bytes, int]:
-        if len(self) >= CACHE_WORDS:
-            self.clear()
+    def tokens(self, word: bytes) -> tuple[bytes, int]:
         text = word.decode(errors="replace")
         ids = np.array(self.pieces.encode(text, num_threads=1), dtype="<u2")
-        found = self[word] = (ids.tobytes(), len(self.bytes.encode_ordinary(" " + text)))
-        return found
+        return ids.tobytes(), len(self.bytes.encode_ordinary(" " + text))
 
 
 _words: dict[tuple, Words] = {}
@@ -197,8 +204,8 @@ def measured(docs: DataFrame, carry: tuple[str, ...] = ("doc_id",), files: tuple
     schema = f"{kinds}, " + ", ".join(f"{name} {SQL_TYPES[kind]}" for name, kind in COLUMNS.items())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = words_of(*files)
-        for batch in batches:
+        vocabulary = words_of(*files).begin()
+        for batch in sliced(batches):
             rows = [measure(text, vocabulary) for text in batch.column(0).to_pylist()]
             values = [pa.array([r[i] for r in rows], kind) for i, kind in enumerate(COLUMNS.values())]
             carried = [batch.column(i + 1) for i in range(len(carry))]
@@ -207,53 +214,85 @@ def measured(docs: DataFrame, carry: tuple[str, ...] = ("doc_id",), files: tuple
     return docs.select(docs["text"].alias("_text"), *(docs[c] for c in carry)).mapInArrow(run, schema)
 
 
-def _bin(measure: str) -> Column:
-    return F.floor(F.col(measure) * BINS)
+def shortest(bins: np.ndarray, counts: np.ndarray, need: float) -> tuple[int, int] | None:
+    """Places of the first and last bin of the shortest interval that holds ``need`` documents; the upper of equal ones."""
+    ends = np.cumsum(counts)
+    if not len(ends) or ends[-1] < need:
+        return None
+    first = np.arange(len(bins))
+    last = np.searchsorted(ends, ends - counts + need - 1e-9)
+    fits = last < len(bins)
+    width = np.where(fits, bins[np.minimum(last, len(bins) - 1)] - bins[first], np.iinfo(np.int64).max)
+    best = len(width) - 1 - int(width[::-1].argmin())
+    return best, int(last[best])
 
 
-def limits(rows: DataFrame) -> dict[str, list[tuple[str, int | None, int | None]]]:
-    """For each script the measures with their least and largest accepted bin, from histograms over all of ``rows``.
+def bulk(bins: np.ndarray, counts: np.ndarray) -> tuple[float, float]:
+    """Middle and spread of the bulk, in bins; ``bins`` are sorted and not empty.
 
-    The driver gets one row for each script, measure and bin that occurs.
+    From the shortest interval on, upwards to one that is parted from it by a gap, if there is one.
     """
-    names = tuple(dict.fromkeys(LOW + HIGH))
-    each = F.explode(F.array(*(F.struct(F.lit(m).alias("measure"), _bin(m).alias("bin")) for m in names))).alias("m")
-    counts: dict[tuple[str, str], list[tuple[int, int]]] = {}
-    for r in rows.filter("kept").select("script", each).groupBy("script", "m.measure", "m.bin").count().collect():
-        counts.setdefault((r["script"], r["measure"]), []).append((r["bin"], r["count"]))
-    found: dict[str, list[tuple[str, int | None, int | None]]] = {}
-    for (script, name), seen in sorted(counts.items()):
-        n = sum(k for _, k in seen)
-        low = _first_over(sorted(seen), LOW_QUANTILE * n) if name in LOW else None
-        high = _first_over(sorted(seen, reverse=True), HIGH_QUANTILE * n) if name in HIGH else None
-        found.setdefault(script, []).append((name, low, high))
-    return found
-
-
-def _first_over(seen: list[tuple[int, int]], most: float) -> int:
-    """The first bin that must be accepted so that no more than ``most`` texts lie before it."""
-    before = 0
-    for at, n in seen:
-        before += n
-        if before > most:
+    total = float(counts.sum())
+    need = CORE * total
+    first, last = shortest(bins, counts, need)
+    while (above := shortest(bins[last + 1 :], counts[last + 1 :], need)) is not None:
+        lo, hi = above[0] + last + 1, above[1] + last + 1
+        room = float(bins[lo] - bins[last] - 1)
+        dense = min(need / float(bins[j] - bins[i] + 1) for i, j in ((first, last), (lo, hi)))
+        if room <= 0 or counts[last + 1 : lo].sum() >= GAP * dense * room:
             break
-    return at
+        first, last = lo, hi
+    middle = (bins[first] + bins[last] + 1) / 2
+    spread = (bins[last] - bins[first] + 1) / CORE_SPREADS
+    return float(middle), float(max(spread, LEAST_SPREAD * middle) + UNSURE * middle / np.sqrt(total))
+
+
+def lower_limit(bins: np.ndarray, counts: np.ndarray) -> float:
+    """The least accepted value of a measure."""
+    middle, spread = bulk(bins, counts)
+    return (middle - SPREADS * spread) / BINS
+
+
+def limits(rows: DataFrame) -> DataFrame:
+    """``script, _lang, low``: the least accepted value of each of ``FOLLOWED`` per script and language, from all of ``rows``.
+
+    A script also has a row without a language, with the least of its languages' limits: for documents whose language is not
+    known.  A histogram has a row per bin that occurs, and is looked at as a whole.
+    """
+    key = ["script", "_lang"]
+    values = F.struct(*FOLLOWED)
+    one_each = rows.filter("kept").groupBy(*key, "n_words", "word_chars").agg(F.max_by(values, F.xxhash64(*FOLLOWED)).alias("v"))
+    each = F.array(*(F.struct(F.lit(i).alias("measure"), F.floor(F.col("v")[m] * BINS).alias("bin")) for i, m in enumerate(FOLLOWED)))
+    counts = one_each.select(*key, F.inline(each)).groupBy(*key, "measure", "bin").count()
+
+    def fit(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("bin")
+        low = lower_limit(rows["bin"].to_numpy(np.int64), rows["count"].to_numpy(np.int64))
+        return rows.iloc[:1][[*key, "measure"]].assign(low=low)
+
+    fitted = counts.groupBy(*key, "measure").applyInPandas(fit, "script string, _lang string, measure int, low double")
+    own = fitted.groupBy(*key).agg(*(F.max(F.when(F.col("measure") == i, F.col("low"))).alias(f"_low{i}") for i in range(len(FOLLOWED))))
+    own = written(own)
+    least = own.groupBy("script").agg(*(F.min(f"_low{i}").alias(f"_low{i}") for i in range(len(FOLLOWED))))
+    least = least.withColumn("_lang", F.lit(None).cast("string"))
+    return written(own.filter("_lang IS NOT NULL").unionByName(least))
 
 
 def fertility(docs: DataFrame, carry: tuple[str, ...] = ("doc_id",), files: tuple[str, str, str] | None = None) -> DataFrame:
     """The columns ``carry`` of every document with its measures and verdict.
 
-    Measures are written once, then judged by limits from all of them.  NULL and empty texts have no words: measures are
-    NULL, the script is ``other``, and they fail the base rules.  Equal texts get equal verdicts.  Columns outside ``carry``
-    are not read.
+    Measures are written once, then judged by limits from all of them, per script and ``lang`` (per script if ``docs`` has no
+    such column).  NULL and empty texts have no words: measures are NULL, the script is ``other``, and they fail the base
+    rules.  Equal texts of one language get equal verdicts.  Columns outside ``carry`` are not read.
     """
-    rows = written(measured(docs, carry, files))
+    lang = F.col("lang").cast("string") if "lang" in docs.columns else F.lit(None).cast("string")
+    rows = written(measured(docs.withColumn("_lang", lang), (*carry, "_lang"), files))
+    low = limits(rows).withColumnsRenamed({"script": "_script", "_lang": "_of"})
+    joined = rows.join(low, (F.col("script") == F.col("_script")) & F.col("_lang").eqNullSafe(F.col("_of")), "left")
     inside = F.lit(True)
-    for script, own in limits(rows).items():
-        for name, low, high in own:
-            ok = (_bin(name) >= low if low is not None else F.lit(True)) & (_bin(name) <= high if high is not None else F.lit(True))
-            inside = inside & ((F.col("script") != script) | F.coalesce(ok, F.lit(True)))
-    return rows.withColumn("kept", F.col("kept") & inside).select(*carry, *COLUMNS)
+    for i, name in enumerate(FOLLOWED):
+        inside = inside & F.coalesce(F.col(name) >= F.col(f"_low{i}"), F.lit(True))
+    return joined.withColumn("kept", F.col("kept") & inside).select(*(F.col(c) for c in carry), *COLUMNS)
 
 
 def rejections(found: DataFrame) -> DataFrame:

@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from veriscope.session import written
 
+from .caches import WordCache, sliced
 from .components import components
 
 SHINGLE = 5
@@ -35,22 +36,13 @@ ROWS, BANDS = 5, 25
 BATCH = 32
 MISS = 1e-5  # over all looks at a pair
 BLOCK = 256  # members of a bucket that are compared with as many others in one group
-CACHE_WORDS = 300_000  # per worker process
 
 _rng = np.random.default_rng(20210)
 _FACTORS = _rng.integers(1, 2**63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _ADDENDS = _rng.integers(0, 2**63, HASHES, dtype=np.uint64)
 
 
-class _WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= CACHE_WORDS:
-            self.clear()
-        h = self[word] = xxhash.xxh64_intdigest(word)
-        return h
-
-
-_hashes = _WordHashes()
+_hashes = WordCache(xxhash.xxh64_intdigest)
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -126,7 +118,8 @@ def nodes(docs: DataFrame) -> DataFrame:
     """``doc_id, key, n_shingles, signature, bands`` per document; a text without words has no signature."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        _hashes.begin()
+        for batch in sliced(batches):
             sizes, signatures, bands = [], [], []
             for text in batch.column(2).to_pylist():
                 own = shingles(text)
@@ -175,7 +168,8 @@ def _shingle_sets(docs: DataFrame, keys: DataFrame) -> DataFrame:
     texts = docs.select(_key(), "text").join(keys, "key", "left_semi").groupBy("key").agg(F.first("text").alias("text"))
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        _hashes.begin()
+        for batch in sliced(batches):
             own = [shingles(text).tobytes() for text in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(own, pa.binary())], names=["key", "shingles"])
 

@@ -24,16 +24,17 @@ from pyspark.sql import functions as F
 
 from veriscope.session import written
 
+from .caches import WordCache, sliced
+
 CAPACITY = 4096
 END_ID = 1  # closes every document
 GRID = 128  # cells of the coarse grid
 PATTERN_PIECES = 4  # lengths in a pattern, at most
 SALTS = 64  # parts in which the pieces of one length are ranked
-CACHE_WORDS = 500_000  # per worker process, twice
 PUNCTUATION = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"  # without the apostrophe, which may start an ending
 
 
-class WordIds(dict):
+class WordIds(WordCache):
     """White-space separated word (bytes) to its ids as little-endian 32-bit bytes, for a tokenizer that drops white space.
 
     A Latin word, with or without punctuation behind it, skips the tokenizer's normalisation, which would change only its
@@ -43,24 +44,14 @@ class WordIds(dict):
     def __init__(self, file: str):
         from tokenizers import Tokenizer
 
+        super().__init__(self.made)
         self.tokenizer = Tokenizer.from_file(file)
         self.model = self.tokenizer.model
-        self.older: dict[bytes, bytes] = {}
         alphabet = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
         others = [b for b in range(256) if b not in alphabet]
         # The byte-level alphabet: printable bytes stand for themselves, others for characters from 256 on.
         self.shown = {b: chr(b) for b in alphabet} | {b: chr(256 + i) for i, b in enumerate(others)}
 
-    def __missing__(self, word: bytes) -> bytes:
-        ids = self.older.pop(word, None)
-        if ids is None:
-            ids = self.made(word)
-        if len(self) >= CACHE_WORDS:  # words not used for long go; frequent ones come back from the older half
-            self.older = dict(self)
-            self.clear()
-        self[word] = ids
-        return ids
-
     def made(self, word: bytes) -> bytes:
         low = word.lower()
         core = low.rstrip(PUNCTUATION)
@@ -91,9 +82,16 @@ class WordIds(dict):
 _ids: dict[str, WordIds] = {}
 
 
+def words_of(file: str) -> WordIds:
+    """The worker's words for a vocabulary file; its tokenizer outlives a task."""
+    if file not in _ids:
+        _ids[file] = WordIds(file)
+    return _ids[file]
+
+
 def ids_of(text: str | None, file: str) -> bytes:
     """A document's ids with the closing one, as little-endian 32-bit bytes."""
-    words = _ids.get(file) or _ids.setdefault(file, WordIds(file))
+    words = words_of(file)
     spaced = (text or "").encode().split()
     return b"".join(map(words.__getitem__, spaced)) + END_ID.to_bytes(4, "little")
 
@@ -114,7 +112,8 @@ def pieces(docs: DataFrame, file: str | None = None, capacity: int = CAPACITY, w
     schema += ", ids array<int>" if with_ids else ""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        words_of(file).begin()
+        for batch in sliced(batches):
             owner, piece, start, length, crc, ids = [], [], [], [], [], []
             for i, text in enumerate(batch.column(1).to_pylist()):
                 raw = ids_of(text, file)
