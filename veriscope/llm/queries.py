@@ -182,14 +182,21 @@ def op2_revisit_resolution(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 ORACLES["op2_revisit_resolution"] = r"""
 WITH page AS (
-  SELECT page_id, url, sha256(coalesce(html, '')) AS digest, octet_length(encode(coalesce(html, ''))) AS size FROM pages
+  SELECT page_id AS n, url, regexp_replace(url, '^https?://', 'HTTP://www.') || '#again' AS other, 'http://crawled.example/robots.txt' AS robots,
+         sha256(coalesce(html, '')) AS one, sha256(coalesce(html, '') || ' again') AS two, sha256('robots ' || page_id // 50) AS rules,
+         octet_length(encode(coalesce(html, ''))) AS size, page_id % 3 = 0 AS twice
+  FROM pages
 ), record AS (
-  SELECT 2 * page_id AS record_id, url, page_id AS moment, true AS is_response, digest AS etag, page_id // 100 AS modified, digest, size, page_id
-  FROM page
-  UNION ALL
-  SELECT 2 * page_id + 1, regexp_replace(url, '^https?://', 'HTTP://www.') || '#again', page_id + 1000, false,
-         CASE WHEN page_id % 7 <> 0 THEN CASE WHEN page_id % 5 = 0 THEN digest || '-new' ELSE digest END END, page_id // 100, NULL, NULL, page_id
-  FROM page
+  SELECT 10 * n AS record_id, url, n AS moment, true AS is_response, one AS etag, n // 100 AS modified, size FROM page
+  UNION ALL SELECT 10 * n + 1, other, n + 1000, false,
+    CASE WHEN n % 7 <> 0 THEN (CASE WHEN twice THEN two ELSE one END) || (CASE WHEN n % 5 = 0 THEN '-new' ELSE '' END) END, n // 100, size FROM page
+  UNION ALL SELECT 10 * n + 2, other, n - 300, false, one, n // 100, size FROM page WHERE n % 4 = 0
+  UNION ALL SELECT 10 * n + 3, url, n + 200, false, one, n // 100, size FROM page
+  UNION ALL SELECT 10 * n + 4, url, n + 500, true, two, n // 100, size FROM page WHERE twice
+  UNION ALL SELECT 10 * n + 5, other, n + 700, false, one, n // 100, size FROM page
+  UNION ALL SELECT 10 * n + 6, url, n + 800, false, two, n // 100, size FROM page
+  UNION ALL SELECT 10 * n + 7, robots, n, true, rules, n // 100, size FROM page WHERE n % 10 = 0
+  UNION ALL SELECT 10 * n + 8, robots, n, false, rules, n // 100, size FROM page WHERE n % 10 <> 0
 ), plain AS (
   SELECT *, regexp_replace(regexp_replace(trim(url), '#.*$', ''), '^[A-Za-z][A-Za-z0-9+.-]*://', '') AS u FROM record
 ), query AS (
@@ -204,8 +211,7 @@ WITH page AS (
             || regexp_replace(substr(v, length(regexp_extract(v, '^[^/?]*')) + 1), '/+$', '') AS canonical_url
   FROM joined
 ), matched AS (
-  SELECT r.*, s.record_id AS source, s.etag AS source_etag, s.modified AS source_modified, s.digest AS source_digest, s.size AS source_size,
-         s.page_id AS source_page,
+  SELECT r.*, s.record_id AS source, s.etag AS source_etag, s.modified AS source_modified, s.size AS source_size,
          row_number() OVER (PARTITION BY r.record_id ORDER BY s.moment DESC, s.record_id DESC) AS k
   FROM (SELECT * FROM record_of WHERE NOT is_response) r
   LEFT JOIN (SELECT * FROM record_of WHERE is_response) s ON s.canonical_url = r.canonical_url AND s.moment <= r.moment
@@ -217,10 +223,10 @@ WITH page AS (
 )
 SELECT record_id, canonical_url, status,
        CASE WHEN status = 'resolved' THEN source END AS response_id,
-       CASE WHEN status = 'resolved' THEN source_digest END AS payload,
+       CASE WHEN status = 'resolved' THEN source_etag END AS payload,
        CASE WHEN status = 'resolved' THEN
          'cache-control: max-age=60' || chr(10) || 'content-length: ' || source_size || chr(10) || 'content-type: text/html' || chr(10)
-         || 'date: later ' || page_id || chr(10) || 'etag: ' || source_digest END AS headers
+         || 'date: fetch ' || moment || chr(10) || 'etag: ' || source_etag END AS headers
 FROM judged
 """
 

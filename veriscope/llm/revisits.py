@@ -2,8 +2,8 @@
 
 Records have ``record_id, url, at`` (capture time, any orderable number), ``kind`` (``response`` or ``revisit``), ``etag``,
 ``last_modified``, ``headers`` (a map of lower-case names) and ``payload`` (a digest or place of the body).  A revisit
-says that the server answered "not modified"; it is resolved to the latest earlier response of the same canonical URL whose
-validators agree with its own.
+says that the server answered "not modified"; it is resolved to the latest earlier response of the same canonical URL if the
+validators of the two agree.
 
 A host, or one URL, may hold a third of all records.  The latest response is therefore looked up within (URL, bucket of
 time) first, and only one row per URL and bucket goes on to the next bucket.
@@ -87,38 +87,53 @@ def listed(headers: Column) -> Column:
 
 
 def captures(pages: DataFrame) -> DataFrame:
-    """A crawl's records from pages, each of which is fetched at the time of its number.
+    """A crawl's records from pages, with several responses and revisits per URL; a page is first fetched at its number.
 
-    Every page gives a full response and, 1000 fetches later, a revisit by another spelling of its URL.  The server
-    changes one page in five in between, so those revisits carry another etag; one in seven sends no etag.
+    Every third page changes 500 fetches later and is fetched in full again.  Each page is revisited by another spelling of its
+    URL: 200 and 700 fetches after the first with the first one's etag, 800 after it with the second one's, 1000 after it with
+    the then known etag, none (one page in seven), or that of a change that was not fetched (one in five).  One page in four
+    was also revisited before any response.  With every page the crawler asks for one robots.txt, which is answered in
+    full at every tenth page and changes every fifty; so that URL holds a seventh of all records.
     """
     digest = F.sha2(F.coalesce("html", F.lit("")), 256)
+    second = F.sha2(F.concat(F.coalesce("html", F.lit("")), F.lit(" again")), 256)
     length = F.octet_length(F.coalesce("html", F.lit(""))).cast("string")
-    modified = F.concat(F.lit("day "), F.floor(F.col("page_id") / 100).cast("string"))
-    page = F.col("page_id").cast("string")
-    response = F.struct(
-        (2 * F.col("page_id")).alias("record_id"),
-        F.col("url").alias("url"),
-        F.col("page_id").alias("at"),
-        F.lit("response").alias("kind"),
-        digest.alias("etag"),
-        modified.alias("last_modified"),
-        F.create_map(
-            F.lit("content-length"), length, F.lit("content-type"), F.lit("text/html"), F.lit("date"), page, F.lit("etag"), digest
-        ).alias("headers"),
-        digest.alias("payload"),
-    )
-    changed = F.when(F.col("page_id") % 5 == 0, F.concat(digest, F.lit("-new"))).otherwise(digest)
-    own = F.when(F.col("page_id") % 7 != 0, changed)
-    later = F.concat(F.lit("later "), page)
-    revisit = F.struct(
-        (2 * F.col("page_id") + 1).alias("record_id"),
-        F.concat(F.regexp_replace("url", "^https?://", "HTTP://www."), F.lit("#again")).alias("url"),
-        (F.col("page_id") + 1000).alias("at"),
-        F.lit("revisit").alias("kind"),
-        own.alias("etag"),
-        modified.alias("last_modified"),
-        F.create_map(F.lit("date"), later, F.lit("content-length"), F.lit("0"), F.lit("cache-control"), F.lit("max-age=60")).alias("headers"),
-        F.lit(None).cast("string").alias("payload"),
-    )
-    return pages.select(F.inline(F.array(response, revisit)))
+    number, page = F.col("page_id"), F.col("page_id").cast("string")
+    modified = F.concat(F.lit("day "), F.floor(number / 100).cast("string"))
+    spelling = F.concat(F.regexp_replace("url", "^https?://", "HTTP://www."), F.lit("#again"))
+    robots = F.lit("http://crawled.example/robots.txt")
+    version = F.sha2(F.concat(F.lit("robots "), F.floor(number / 50).cast("string")), 256)
+    twice = number % 3 == 0
+
+    def record(place: int, at: Column, kind: str, url: Column, etag: Column, payload: Column | None, when: Column | None = None) -> Column:
+        date = F.concat(F.lit("fetch "), at.cast("string"))
+        if payload is None:
+            fields = [F.lit("date"), date, F.lit("content-length"), F.lit("0"), F.lit("cache-control"), F.lit("max-age=60")]
+        else:
+            fields = [F.lit("content-length"), length, F.lit("content-type"), F.lit("text/html"), F.lit("date"), date, F.lit("etag"), etag]
+        row = F.struct(
+            (10 * number + place).alias("record_id"),
+            url.alias("url"),
+            at.alias("at"),
+            F.lit(kind).alias("kind"),
+            etag.alias("etag"),
+            modified.alias("last_modified"),
+            F.create_map(*fields).alias("headers"),
+            (F.lit(None).cast("string") if payload is None else payload).alias("payload"),
+        )
+        return row if when is None else F.when(when, row)
+
+    newest = F.when(twice, second).otherwise(digest)
+    newest = F.when(number % 5 == 0, F.concat(newest, F.lit("-new"))).otherwise(newest)
+    records = [
+        record(0, number, "response", F.col("url"), digest, digest),
+        record(1, number + 1000, "revisit", spelling, F.when(number % 7 != 0, newest), None),
+        record(2, number - 300, "revisit", spelling, digest, None, number % 4 == 0),
+        record(3, number + 200, "revisit", F.col("url"), digest, None),
+        record(4, number + 500, "response", F.concat("url", F.lit("#")), second, second, twice),
+        record(5, number + 700, "revisit", spelling, digest, None),
+        record(6, number + 800, "revisit", F.col("url"), second, None),
+        record(7, number, "response", robots, version, version, number % 10 == 0),
+        record(8, number, "revisit", robots, version, None, number % 10 != 0),
+    ]
+    return pages.select(F.inline(F.filter(F.array(*records), lambda r: r.isNotNull())))

@@ -10,6 +10,7 @@ multiplied by the whitening matrix and joined back by their numbers, which are u
 from __future__ import annotations
 
 import numpy as np
+from pyspark import StorageLevel
 from pyspark.ml.functions import array_to_vector
 from pyspark.mllib.common import callMLlibFunc
 from pyspark.mllib.linalg import Matrices
@@ -51,7 +52,9 @@ def blocks(rows: DataFrame, n: int, width: int) -> BlockMatrix:
     """``_index, _values`` (numbered rows of doubles) as a matrix of row blocks."""
     vectors = rows.select("_index", array_to_vector("_values").alias("vector"))
     vectors = MLUtils.convertVectorColumnsFromML(vectors, "vector")
-    return IndexedRowMatrix(vectors, n, width).toBlockMatrix(max(1, BLOCK_VALUES // width), width)
+    matrix = IndexedRowMatrix(vectors, n, width).toBlockMatrix(max(1, BLOCK_VALUES // width), width)
+    # A product asks for the blocks' places first; kept blocks are not put together again, lost ones are.
+    return matrix.persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def scatter(matrix: BlockMatrix) -> np.ndarray:
