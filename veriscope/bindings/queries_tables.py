@@ -15,7 +15,7 @@ from ..operators.keyed import delete_insert, merge_upsert, scd2_counts, scd2_his
 from ..plans import jobs, ods
 from ..plans.checks import all_checks
 from ..schemas import OPEN_END, PROVIDERS
-from ..session import own_folder
+from ..session import own_folder, written
 from ..sources.documents import (
     append_documents,
     high_watermark,
@@ -728,7 +728,7 @@ def _built_by_thirds(spark, sf_dir) -> Warehouse:
     folder = _new_folder(spark)
     warehouse = Warehouse(spark, f"{folder}/warehouse")
     cities = _every_city(spark, sf_dir)
-    docs = {kind: A.documents(spark, sf_dir, kind) for kind in ("current", "forecast")}
+    docs = {kind: written(A.documents(spark, sf_dir, kind)) for kind in ("current", "forecast")}
     ends = [dt.datetime(1970, 1, 1), dt.datetime(2024, 1, 11), dt.datetime(2024, 1, 21), dt.datetime(2100, 1, 1)]
     paths = {kind: f"{folder}/documents/{kind}" for kind in docs}
     for start, end in zip(ends, ends[1:]):
