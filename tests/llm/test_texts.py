@@ -121,14 +121,35 @@ def test_suffixes_remove_what_repeats(spark, messy, nothing):
         kept = bytes(np.frombuffer(t, np.uint8)[covered[1:-1] == 0])
         row = (doc_id, len(t), int(covered.sum()), int((np.diff(covered) == 1).sum()), hashlib.sha256(kept).hexdigest())
         expected[row] += 1
-    assert Counter(map(tuple, suffixes.digests(suffixes.deduplicated(docs)).collect())) == expected
+    found = suffixes.digests(suffixes.deduplicated(docs))
+    assert Counter(map(tuple, found.drop("n_shared_passages").collect())) == expected
     assert suffixes.deduplicated(nothing).count() == 0
+    # Passages of 51 words, also such as are under 400 bytes, that another document holds.
+    holders = {}
+    own = [(r.doc_id, r.text or "") for r in docs.collect()]
+    windows = lambda t: [tuple(w[i : i + 51]) for w in [word_list(t)] for i in range(len(w) - 50)]
+    for document in set(own):
+        for w in windows(document[1]):
+            holders.setdefault(w, set()).add(document)
+    shared = Counter((d[0], sum(len(holders[w]) > 1 for w in windows(d[1]))) for d in own)
+    assert Counter((r.doc_id, r.n_shared_passages) for r in found.collect()) == shared and sum(n > 0 for _, n in shared) > 4
+
+
+def test_short_passages_in_ever_other_surroundings(spark):
+    passages = [" ".join(prose(60 + i, 400).split()[:n]) for i, n in enumerate((50, 51, 55))]
+    texts = [(i, prose(800 + i, 30) + " " + " ".join(w[:4] for w in passages[i % 3].split()) + " " + prose(900 + i, 30)) for i in range(30)]
+    texts += [(99, "a b " * 300), (100, "a b " * 40), (101, None), (102, " ".join("b" * (i % 7 + 1) for i in range(60)))]
+    found = suffixes.digests(suffixes.deduplicated(spark.createDataFrame(texts, "doc_id long, text string").repartition(3)))
+    shared = {r.doc_id: r.n_shared_passages for r in found.collect()}
+    assert {shared[i] for i in range(0, 30, 3)} == {0} and {shared[i] for i in range(1, 30, 3)} == {1} and {shared[i] for i in range(2, 30, 3)} == {5}
+    assert (shared[99], shared[100], shared[101], shared[102]) == (550, 30, 0, 0)
+    assert found.filter("n_removed > 0").select("doc_id").collect() == [(99,)]
 
 
 def test_suffixes_blocks_of_a_long_text(monkeypatch):
     """Cutting a text into blocks changes no string's run."""
     raw = np.frombuffer((prose(30, 3000) + "z" * 1200).encode(), np.uint8)
-    first, strings, left, *_ = suffixes.block_runs(raw)
+    first, strings, left, *_ = suffixes.block_runs(suffixes._VALUES[raw], suffixes.LENGTH, suffixes.GRAM)
     assert first[0] == 0 and (first[1:] == first[:-1] + strings[:-1]).all()
     assert first[-1] + strings[-1] == len(raw) - suffixes.LENGTH + 1
     assert (left >= strings - 1).all() and (left <= suffixes.LENGTH - suffixes.GRAM).all()
@@ -148,7 +169,8 @@ def test_suffixes_of_an_anchor_with_many_surroundings(spark, monkeypatch):
 
     monkeypatch.setattr(suffixes, "compared", watched)
     monkeypatch.setattr(suffixes, "HOT_RUNS", 20, raising=False)
-    found = suffixes.digests(suffixes.deduplicated(spark.createDataFrame(texts, "doc_id long, text string"))).collect()
+    found = suffixes.digests(suffixes.deduplicated(spark.createDataFrame(texts, "doc_id long, text string")))
+    found = found.drop("n_shared_passages").collect()
     starts = Counter(t.encode()[i : i + 400] for _, t in texts for i in range(len(t) - 399))
     expected = Counter()
     for doc_id, t in texts:

@@ -19,6 +19,9 @@ equal anchors.  Neighbouring strings mostly share an anchor; such a *run* of str
 5. Spans go back to their documents.
 
 Rows with the same runs (copies) are only counted, never compared; what is compared at one anchor are different runs.
+
+Passages of ``PASSAGE`` words that other documents hold too may be shorter than ``LENGTH`` bytes.  They are counted, not removed,
+by the same runs and anchors over words instead of bytes; strings at an anchor with different runs are told apart by hashes.
 """
 
 from __future__ import annotations
@@ -28,10 +31,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from veriscope.session import written
+from veriscope.session import dropped, written
+
+from .caches import WordCache, sliced
 
 LENGTH = 400
 GRAM = 200  # bytes hashed at an anchor
@@ -40,6 +46,8 @@ LEADING = 64  # bytes by which suffixes are dealt out
 BATCH_RUNS = 4000  # runs compared at a time; a whole group at least
 HOT_RUNS = 4000  # different runs at one anchor that are compared in one group
 CUT_RUNS = 500  # runs cut into strings at a time
+PASSAGE = 51  # words
+PASSAGE_GRAM = 8  # words hashed at an anchor
 
 _PLACE_BITS = np.uint64(20)
 _PLACES = np.uint64((1 << 20) - 1)
@@ -74,22 +82,27 @@ def _least(x: np.ndarray, span: int) -> np.ndarray:
     return x if size == span else np.minimum(x[: len(x) - (span - size)], x[span - size :])
 
 
-def block_runs(raw: np.ndarray) -> tuple[np.ndarray, ...]:
-    """First start, number of strings, place of the anchor, hash of the anchor, hash of the run; for bytes of one block."""
+def block_runs(values: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, ...]:
+    """First start, number of strings, place of the anchor, hash of the anchor, hash of the run, of one block; a hash per string.
+
+    ``values`` are odd random numbers that stand for the bytes (or words).
+    """
     power, inverse = _power_tables()
-    n = len(raw)
+    n = len(values)
     sums = np.zeros(n + 1, dtype=np.uint64)
-    np.cumsum(_VALUES[raw] * power[:n], out=sums[1:])
-    grams = _mixed((sums[GRAM:] - sums[:-GRAM]) * inverse[: n + 1 - GRAM])
+    np.cumsum(values * power[:n], out=sums[1:])
+    grams = _mixed((sums[gram:] - sums[:-gram]) * inverse[: n + 1 - gram])
     places = np.arange(len(grams), dtype=np.uint64)
-    least = _least((grams & ~_PLACES) | places, LENGTH - GRAM + 1)
+    least = _least((grams & ~_PLACES) | places, length - gram + 1)
     change = np.flatnonzero(least[1:] != least[:-1]) + 1
     first = np.concatenate([[0], change])
     last = np.concatenate([change - 1, [len(least) - 1]])
     anchor = (least[first] & _PLACES).astype(np.int64)
-    own = (sums[last + LENGTH] - sums[first]) * inverse[first]
+    own = (sums[last + length] - sums[first]) * inverse[first]
     shape = ((anchor - first) << 32 | (last - first)).astype(np.uint64)
-    return first, last - first + 1, anchor - first, grams[anchor].view(np.int64), (_mixed(own) ^ _mixed(shape + np.uint64(1))).view(np.int64)
+    run = (_mixed(own) ^ _mixed(shape + np.uint64(1))).view(np.int64)
+    strings = _mixed((sums[length:] - sums[:-length]) * inverse[: n + 1 - length])
+    return first, last - first + 1, anchor - first, grams[anchor].view(np.int64), run, strings
 
 
 RUN_FIELDS = "row binary, start long, strings int, left int, anchor long, run long"
@@ -109,7 +122,7 @@ def runs(rows: DataFrame) -> DataFrame:
             for i, text in enumerate(batch.column(1).to_pylist()):
                 raw = np.frombuffer((text or "").encode(), dtype=np.uint8)
                 for at in range(0, len(raw) - LENGTH + 1, BLOCK):
-                    first, strings, left, anchor, run = block_runs(raw[at : at + BLOCK + LENGTH - 1])
+                    first, strings, left, anchor, run, _ = block_runs(_VALUES[raw[at : at + BLOCK + LENGTH - 1]], LENGTH, GRAM)
                     found.append([np.full(len(first), i), first + at, strings, left, anchor, run])
             if found:
                 owner, start, strings, left, anchor, run = (np.concatenate(c) for c in zip(*found, strict=True))
@@ -128,6 +141,65 @@ def runs(rows: DataFrame) -> DataFrame:
     return rows.select("row", "text").mapInArrow(cut, RUN_FIELDS)
 
 
+_hashes = WordCache(lambda word: xxhash.xxh64_intdigest(word) | 1)
+
+
+def word_runs(rows: DataFrame) -> DataFrame:
+    """The runs of passages of ``PASSAGE`` words: ``row, anchor, run, left, strings`` with a hash per passage."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _hashes.begin()
+        for batch in sliced(batches):
+            found: list[list[np.ndarray]] = []
+            hashes: list[np.ndarray] = []
+            for i, text in enumerate(batch.column(1).to_pylist()):
+                words = (text or "").encode().split()
+                if len(words) < PASSAGE:
+                    continue
+                values = np.fromiter(map(_hashes.__getitem__, words), dtype=np.uint64, count=len(words))
+                for at in range(0, len(words) - PASSAGE + 1, BLOCK):
+                    first, n, left, anchor, run, strings = block_runs(values[at : at + BLOCK + PASSAGE - 1], PASSAGE, PASSAGE_GRAM)
+                    found.append([np.full(len(first), i), n, left, anchor, run])
+                    hashes.append((strings >> np.uint64(32)).astype(np.uint32).view(np.int32))
+            if found:
+                owner, n, left, anchor, run = (np.concatenate(c) for c in zip(*found, strict=True))
+                ends = pa.array(np.concatenate([[0], np.cumsum(n)]).astype(np.int32))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column(0).take(pa.array(owner)),
+                        pa.array(anchor),
+                        pa.array(run),
+                        pa.array(left.astype(np.int32)),
+                        pa.ListArray.from_arrays(ends, pa.array(np.concatenate(hashes))),
+                    ],
+                    names=["row", "anchor", "run", "left", "strings"],
+                )
+
+    return rows.select("row", "text").mapInArrow(cut, "row binary, anchor long, run long, left int, strings array<int>")
+
+
+def shared_passages(rows: DataFrame) -> DataFrame:
+    """``row, n_shared``: how many of a row's passages of ``PASSAGE`` words another row holds too; rows without one are left out."""
+    own = written(word_runs(rows))
+    kinds = own.groupBy("anchor").agg(F.min("row").alias("a"), F.max("row").alias("b"), F.min("run").alias("lo"), F.max("run").alias("hi"))
+    kinds = written(kinds.filter("a <> b").select("anchor", (F.col("lo") != F.col("hi")).alias("mixed")))
+    again = written(own.join(kinds, "anchor"))
+    dropped(own)
+    # A passage lies as far before its anchor wherever it stands.
+    each = again.filter("mixed").select("row", "anchor", "left", F.posexplode("strings").alias("at", "hash"))
+    each = each.select("row", "anchor", (F.col("left") - F.col("at")).alias("before"), "hash")
+    key = ["anchor", "before", "hash"]
+    twice = written(each.groupBy(*key).agg(F.min("row").alias("a"), F.max("row").alias("b")).filter("a <> b").select(*key))
+    settled = again.filter("NOT mixed").select("row", F.size("strings").alias("n"))
+    met = each.join(twice, key, "left_semi").select("row", F.lit(1).alias("n"))
+    # Rows equal in id and text have one key, so their passages were counted once for each of them.
+    copies = written(rows.groupBy("row").agg(F.count("*").alias("_copies")).filter("_copies > 1"))
+    total = settled.union(met).groupBy("row").agg(F.sum("n").alias("n")).join(copies, "row", "left")
+    found = written(total.select("row", F.expr("n div coalesce(_copies, 1)").alias("n_shared")))
+    dropped(kinds, again, twice, copies)
+    return found
+
+
 def multikey_sort(group: np.ndarray, rows: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Order of byte strings (``rows``, zero behind ``size``) within groups, and common prefixes of neighbours (-1 across groups).
 
@@ -277,7 +349,9 @@ def repeated_spans(rows: DataFrame) -> DataFrame:
     different = written(
         mixed.groupBy("anchor", "run").agg(F.count("*").alias("copies"), F.min(F.struct("row", "start", "strings", "left")).alias("r"))
     )
-    equal = mixed.join(different.filter("copies > 1").select("anchor", "run"), ["anchor", "run"], "left_semi")
+    # By their places, which are unique, not by run: one run may hold a third of all rows.
+    single = different.filter("copies = 1").select("r.row", "r.start")
+    equal = mixed.join(single, ["row", "start"], "left_anti")
     wanted = different.select("anchor", "copies", "r.*")
     size = (F.col("strings") - 1 + LENGTH).cast("int")
     data = F.substring(F.encode("text", "UTF-8"), (F.col("start") + 1).cast("int"), size)
@@ -299,13 +373,17 @@ def repeated_spans(rows: DataFrame) -> DataFrame:
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
-    """``doc_id, n_bytes, spans, kept`` of every document: removed spans (maximal, in bytes) and the bytes that stay.
+    """``doc_id, n_bytes, spans, kept, n_shared`` of every document: removed spans (maximal, in bytes) and the bytes that stay.
+
+    ``n_shared`` counts the passages of ``PASSAGE`` words, at every start, that another document holds too, removed or not.
 
     NULL counts as an empty text; a text shorter than ``LENGTH`` bytes loses nothing.  Rows that repeat are copies of each
     other.  Bytes are judged on the input, so a string goes everywhere.
     """
     rows = docs.select(row_key().alias("row"), "doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    shared = shared_passages(rows)
     found = repeated_spans(rows).groupBy("row").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
+    found = found.join(shared, "row", "full")
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -325,12 +403,13 @@ def deduplicated(docs: DataFrame) -> DataFrame:
                 kept.append(b"".join(raw[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True)))
             span = pa.struct([("start", pa.int64()), ("end", pa.int64())])
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(removed, pa.list_(span)), pa.array(kept, pa.binary())],
-                names=["doc_id", "n_bytes", "spans", "kept"],
+                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(removed, pa.list_(span)), pa.array(kept, pa.binary()), batch.column(3)],
+                names=["doc_id", "n_bytes", "spans", "kept", "n_shared"],
             )
 
-    joined = rows.join(found, "row", "left").select("doc_id", "text", "spans")
-    return joined.mapInArrow(remove, f"doc_id {kind}, n_bytes long, spans array<struct<start:long,end:long>>, kept binary")
+    joined = rows.join(found, "row", "left").select("doc_id", "text", "spans", F.coalesce("n_shared", F.lit(0)).cast("long").alias("n_shared"))
+    schema = f"doc_id {kind}, n_bytes long, spans array<struct<start:long,end:long>>, kept binary, n_shared long"
+    return joined.mapInArrow(remove, schema)
 
 
 def digests(deduped: DataFrame) -> DataFrame:
@@ -342,4 +421,5 @@ def digests(deduped: DataFrame) -> DataFrame:
         removed.alias("n_removed"),
         F.size("spans").cast("long").alias("n_spans"),
         F.sha2(F.col("kept"), 256).alias("kept_sha256"),
+        F.col("n_shared").alias("n_shared_passages"),
     )
