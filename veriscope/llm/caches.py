@@ -9,8 +9,8 @@ from typing import Any
 
 import pyarrow as pa
 
-BYTES = 64 << 20  # of all words that a worker remembers, for any operator
-ENTRY = 120  # bytes of a dictionary's entry, about
+BYTES = 96 << 20  # of all words that a worker remembers, for any operator
+ENTRY = 80  # bytes of a dictionary's entry, about
 ROWS = 512  # of whole texts that are made Python objects at a time
 
 _all: weakref.WeakSet[WordCache] = weakref.WeakSet()
