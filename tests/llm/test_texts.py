@@ -231,6 +231,28 @@ def test_near_duplicates(spark, messy, nothing):
     assert ids == Counter({1: 1, 2: 1, 3: 1, None: 2, 4: 1, 5: 1, 6: 2, 10: 1, 11: 1, 13: 1, 14: 1, 15: 1, 16: 1})
 
 
+def test_near_duplicates_move_few_other_texts(spark):
+    """Texts that share no band are held back before any shuffle, also where the members are too many for a join by broadcast."""
+    docs = spark.createDataFrame([(i, f"text {i}" if i else None) for i in range(4000)], "doc_id long, text string")
+    texts = docs.select(near_dup._key(), "text")
+    keys = docs.filter("doc_id % 100 = 1").select(near_dup._key())
+    moved = {r.text for r in near_dup._possible(texts, keys).collect()}
+    wanted = {f"text {i}" for i in range(1, 4000, 100)}
+    assert wanted <= moved
+    assert len(moved) < 4000 / 8
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = near_dup._texts_of(docs, keys)._jdf.queryExecution().executedPlan().toString()
+        sets = near_dup._shingle_sets(docs, keys).collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    # A plan is printed from its end to its start: the filter comes before the join that shuffles.
+    assert 0 <= plan.index("SortMergeJoin") < plan.index("BroadcastHashJoin")
+    assert sorted(bytes(r.shingles) for r in sets) == sorted(near_dup.shingles(t).tobytes() for t in wanted)
+    assert near_dup._possible(texts, keys.limit(0)).count() == 0
+
+
 def test_near_duplicates_in_a_group_whose_head_differs(spark):
     """Copies that differ from each other, some too far apart, give the components of all pairs."""
     base = prose(40, 200).split(" ")

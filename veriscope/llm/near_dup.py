@@ -36,6 +36,7 @@ ROWS, BANDS = 5, 25
 BATCH = 32
 MISS = 1e-5  # over all looks at a pair
 BLOCK = 256  # members of a bucket that are compared with as many others in one group
+FILTER_BITS = 16  # per key of a filter that keeps most other texts from being shuffled
 
 _rng = np.random.default_rng(20210)
 _FACTORS = _rng.integers(1, 2**63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -163,9 +164,30 @@ def _pruned(pairs: DataFrame, signed: DataFrame) -> DataFrame:
     return pairs.select("a", "b").join(one, "a").join(two, "b").mapInArrow(run, "a binary, b binary")
 
 
+def _possible(texts: DataFrame, keys: DataFrame) -> DataFrame:
+    """The rows of all ``keys`` and, of other rows, about one in ``FILTER_BITS``; no text is moved.
+
+    What is broadcast is a bit map of ``FILTER_BITS`` bits for each key, in words of 64.
+    """
+    words = -(-keys.count() * FILTER_BITS // 64)
+    if not words:
+        return texts.limit(0)
+    word, bit = F.pmod(F.xxhash64("key"), F.lit(words)), F.pmod(F.xxhash64("key", F.lit(1)), F.lit(64)).cast("int")
+    marks = keys.select(word.alias("word"), F.call_function("shiftleft", F.lit(1).cast("long"), bit).alias("mark"))
+    marks = marks.groupBy("word").agg(F.bit_or("mark").alias("marks"))
+    marked = texts.withColumn("word", word).withColumn("bit", bit).join(F.broadcast(marks), "word")
+    return marked.filter(F.getbit("marks", "bit") == 1).select(*texts.columns)
+
+
+def _texts_of(docs: DataFrame, keys: DataFrame) -> DataFrame:
+    """``key, text`` of the distinct ``keys``; an inner join, since Spark would move a semi-join below the filter."""
+    texts = _possible(docs.select(_key(), "text"), keys)
+    return texts.join(keys, "key").groupBy("key").agg(F.first("text").alias("text"))
+
+
 def _shingle_sets(docs: DataFrame, keys: DataFrame) -> DataFrame:
     """``key, shingles`` of every text of ``keys``, written; the one place where texts are shuffled."""
-    texts = docs.select(_key(), "text").join(keys, "key", "left_semi").groupBy("key").agg(F.first("text").alias("text"))
+    texts = _texts_of(docs, keys)
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         _hashes.begin()
