@@ -11,6 +11,7 @@ from veriscope.bindings import adapters as A
 from veriscope.operators.anomalies import dimension_anomalies, run_anomalies, run_metrics, volume_anomalies
 from veriscope.operators.history import most_recent
 from veriscope.operators.keyed import DuplicateKeyError
+from veriscope.operators.normalize import normalize_current
 from veriscope.operators.quality import Check, failing_city_coordinates, run_checks
 from veriscope.plans import jobs
 from veriscope.plans.checks import all_checks
@@ -189,3 +190,11 @@ def test_listing_limits(spark):
     newest = most_recent(docs, 3, "o_orderdate", "o_orderkey")
     assert newest.count() == 3
     assert "TakeOrderedAndProject" in newest._jdf.queryExecution().executedPlan().toString()
+
+
+def test_answers_are_made_and_parsed_in_dealt_rows(spark):
+    """A file of one row group is one task, so rows are dealt out before they become answers, whole requests together."""
+    plan = normalize_current(A.landing_current(spark, SF_DIR, broken=False))._jdf.queryExecution().executedPlan().toString()
+    # A plan is printed from its end to its start.
+    assert 0 <= plan.index("from_json") < plan.index("Exchange hashpartitioning(nth")
+    assert "to_json" not in plan[plan.index("Exchange hashpartitioning(nth") :]
