@@ -13,7 +13,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from veriscope.llm import fertility, near_dup, packing, secrets, suffixes, winnowing
+from veriscope.llm import caches, fertility, near_dup, packing, secrets, suffixes, winnowing
 
 from .conftest import BASE, TEXTS, changed, prose
 
@@ -59,6 +59,35 @@ def noise(kind, seed):
     return " ".join("".join(rng.choices(LETTERS[kind], k=rng.randint(4, 9))) for _ in range(rng.randint(60, 260)))
 
 
+def test_fertility_makes_new_words_together():
+    files = fertility.vocabularies()
+    texts = [[f"w{i}é".encode() for i in range(k, k + 900)] for k in (0, 600, 9000)]
+    words = sorted({w for text in texts for w in text})
+    vocabulary, calls = fertility.Words(*files), []
+    encode = vocabulary.pieces.encode
+    vocabulary.pieces.encode = lambda *a, **b: calls.append(a) or encode(*a, **b)
+    vocabulary.learn(texts)
+    vocabulary.measures(words)
+    assert len(calls) == -(-len(words) // fertility.AT_ONCE)
+    # Each word has the tokens that it has alone.
+    for word in [*words[::100], b"x", "漢字".encode(), b"\xff\x00", b"ab" * 40_000]:
+        text = word.decode(errors="replace")
+        ids, n_bytes = vocabulary.measures([word, word])
+        assert ids.tolist() == 2 * encode(text) and n_bytes == 2 * len(vocabulary.bytes.encode_ordinary(" " + text))
+
+
+def test_fertility_does_not_depend_on_what_is_remembered(monkeypatch):
+    texts = [None, "", " \n", "x", BASE, " ".join(f"w{i % 700}é" for i in range(3000)), BASE + " " + BASE, "é" * 3000]
+    vocabulary = fertility.Words(*fertility.vocabularies())
+    alone = [fertility.measure(text, vocabulary) for text in texts]
+    for limit in (1 << 10, 1 << 16):
+        monkeypatch.setattr(caches, "BYTES", limit)
+        monkeypatch.setattr(fertility, "SEEN", 50)
+        vocabulary.forget()
+        vocabulary.learn(text.encode().split() for text in texts if text)
+        assert [fertility.measure(text, vocabulary) for text in texts] == alone
+
+
 def test_fertility_bands_follow_the_documents(spark):
     """Letters drawn at random lie inside the outer band, and outside what texts look like, whatever their share."""
     good = {lang: [(f"{lang}{i}", lang, prose(7000 * n + i, 60 + 3 * (i % 90))) for i in range(240)] for n, lang in enumerate("xy")}

@@ -44,8 +44,10 @@ class WordCache(dict):
 
     def __missing__(self, word: bytes) -> Any:
         value = self.older.pop(word, None)
-        if value is None:
-            value = self.make(word)
+        return self.keep(word, self.make(word) if value is None else value)
+
+    def keep(self, word: bytes, value: Any) -> Any:
+        """Remembers the value of a word that is not in the newer half, and returns it."""
         self.held += ENTRY + getsizeof(word) + getsizeof(value)
         if isinstance(value, tuple):
             self.held += sum(map(getsizeof, value))

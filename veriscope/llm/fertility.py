@@ -17,8 +17,9 @@ characters count once, so that copies and near copies, however many, do not pass
 from __future__ import annotations
 
 import base64
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from itertools import accumulate, chain, filterfalse, pairwise
 
 import numpy as np
 import pandas as pd
@@ -42,6 +43,8 @@ UNSURE = 0.05  # of the middle, more spread for one document; less with the root
 GAP = 0.25  # of the bulk's density: fewer documents than that between two intervals part them
 BINS = 1024  # of a histogram for each unit of a measure
 ENTROPY_TOKENS = 512  # a longer text is not asked for more entropy
+AT_ONCE = 2048  # new words in one call of the piece model
+SEEN = 1 << 16  # distinct words of texts that are looked through for new ones at a time, and those of one more text
 
 
 @dataclass(frozen=True)
@@ -93,23 +96,59 @@ SQL_TYPES = {pa.int64(): "long", pa.bool_(): "boolean", pa.string(): "string", p
 
 
 class Words(WordCache):
-    """Word (bytes) to its piece ids as bytes and its number of byte-level tokens."""
+    """Word (bytes) to 16-bit numbers as bytes: its piece ids, then its number of byte-level tokens, low half first.
+
+    One short value for each word, so that many fit into what a worker may remember (:meth:`measures` takes them apart).
+    A call of the piece model costs several times what a word in it costs, so the new words of several texts go in
+    together (:meth:`learn`).
+    """
 
     def __init__(self, piece_model: str, byte_ranks: str, pattern: str):
         import sentencepiece
         import tiktoken
 
-        super().__init__(self.tokens)
+        super().__init__(lambda word: self.tokens([word])[0])
         self.pieces = sentencepiece.SentencePieceProcessor(model_file=piece_model)
         with open(byte_ranks, "rb") as lines:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         self.bytes = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
         self.fallback = np.array([self.pieces.is_byte(i) for i in range(self.pieces.vocab_size())])
 
-    def tokens(self, word: bytes) -> tuple[bytes, int]:
-        text = word.decode(errors="replace")
-        ids = np.array(self.pieces.encode(text, num_threads=1), dtype="<u2")
-        return ids.tobytes(), len(self.bytes.encode_ordinary(" " + text))
+    def tokens(self, words: list[bytes]) -> list[bytes]:
+        texts = [word.decode(errors="replace") for word in words]
+        pieces = self.pieces.encode(texts, num_threads=1)
+        ids = np.fromiter(chain.from_iterable(pieces), dtype="<u2").tobytes()
+        ends = list(accumulate((2 * len(x) for x in pieces), initial=0))
+        tails = np.array([len(self.bytes.encode_ordinary(" " + text)) for text in texts], dtype="<u4").tobytes()
+        return [ids[a:b] + tails[4 * i : 4 * i + 4] for i, (a, b) in enumerate(pairwise(ends))]
+
+    def measures(self, words: list[bytes]) -> tuple[np.ndarray, int]:
+        """The piece ids of all of these words (one at least), and their number of byte-level tokens."""
+        found = list(map(self.__getitem__, words))
+        numbers = np.frombuffer(b"".join(found), dtype="<u2")
+        ends = np.cumsum(np.fromiter(map(len, found), dtype=np.int64, count=len(found))) // 2
+        piece = np.ones(len(numbers), dtype=bool)
+        piece[ends - 2] = piece[ends - 1] = False
+        return numbers[piece], int(numbers[ends - 2].sum(dtype=np.int64)) + (int(numbers[ends - 1].sum(dtype=np.int64)) << 16)
+
+    def learn(self, texts: Iterable[list[bytes]]) -> None:
+        """Makes the new words of these texts, ``AT_ONCE`` in a call."""
+        seen: set[bytes] = set()
+        for words in texts:
+            seen.update(words)
+            if len(seen) >= SEEN:
+                self.make_all(seen)
+                seen = set()
+        self.make_all(seen)
+
+    def make_all(self, words: set[bytes]) -> None:
+        for word in self.older.keys() & words:
+            self[word]  # back to the newer half, so that the words made here do not push it out
+        new = list(filterfalse(self.__contains__, words))
+        for at in range(0, len(new), AT_ONCE):
+            part = new[at : at + AT_ONCE]
+            for word, value in zip(part, self.tokens(part), strict=True):
+                self.keep(word, value)
 
 
 _words: dict[tuple, Words] = {}
@@ -144,8 +183,11 @@ def repeated_words(words: list[bytes]) -> int:
         return 0
     h = np.fromiter(map(hash, words), dtype=np.int64, count=len(words)).view(np.uint64)
     windows = (h[:-2] * np.uint64(0x9E3779B97F4A7C15) + h[1:-1]) * np.uint64(0xC2B2AE3D27D4EB4F) + h[2:]
-    _, place, times = np.unique(windows, return_inverse=True, return_counts=True)
-    starts = np.flatnonzero(times[place] > 1)
+    ordered = np.sort(windows)
+    twice = ordered[1:][ordered[1:] == ordered[:-1]]
+    if not len(twice):
+        return 0
+    starts = np.flatnonzero(twice[np.minimum(np.searchsorted(twice, windows), len(twice) - 1)] == windows)
     covered = np.zeros(len(words), dtype=bool)
     for shift in range(3):
         covered[starts + shift] = True
@@ -172,12 +214,11 @@ def measure(text: str | None, vocabulary: Words, bands: dict[str, Band] = BANDS)
     script = script_of(raw)
     kept = not base_failed
     if words:
-        found = list(map(vocabulary.__getitem__, words))
-        ids = np.frombuffer(b"".join(ids for ids, _ in found), dtype="<u2")
+        ids, n_bytes = vocabulary.measures(words)
         _, counts = np.unique(ids, return_counts=True)
         n = max(1, len(ids))
         per_token = word_chars / n
-        per_byte_token = word_chars / max(1, sum(n for _, n in found))
+        per_byte_token = word_chars / max(1, n_bytes)
         fallback = float(vocabulary.fallback[ids].mean()) if len(ids) else 1.0
         share = counts / n
         entropy = float(-(share * np.log2(share)).sum() / np.log2(min(n, ENTROPY_TOKENS))) if n > 1 else 0.0
@@ -206,7 +247,9 @@ def measured(docs: DataFrame, carry: tuple[str, ...] = ("doc_id",), files: tuple
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = words_of(*files).begin()
         for batch in sliced(batches):
-            rows = [measure(text, vocabulary) for text in batch.column(0).to_pylist()]
+            texts = batch.column(0).to_pylist()
+            vocabulary.learn(text.encode().split() for text in texts if text)
+            rows = [measure(text, vocabulary) for text in texts]
             values = [pa.array([r[i] for r in rows], kind) for i, kind in enumerate(COLUMNS.values())]
             carried = [batch.column(i + 1) for i in range(len(carry))]
             yield pa.RecordBatch.from_arrays([*carried, *values], names=[*carry, *COLUMNS])
