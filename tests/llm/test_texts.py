@@ -282,6 +282,26 @@ def test_near_duplicates_move_few_other_texts(spark):
     assert near_dup._possible(texts, keys.limit(0)).count() == 0
 
 
+def test_near_duplicates_make_only_members_all_minima(spark):
+    """All texts get the minima of the bands alone; a text that shares a band gets the others with its shingles."""
+    texts = [None, "", "one two", prose(50, 40), prose(51, 900), prose(50, 40).upper()]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    nodes = near_dup.nodes(docs)
+    assert nodes.columns == ["doc_id", "key", "n_shingles", "bands"]
+    nodes = {r.doc_id: r for r in nodes.collect()}
+    assert [nodes[i].bands is None for i in range(6)] == [True, True, False, False, False, False]
+    full = {bytes(r.key): r for r in near_dup._shingle_sets(docs, docs.filter("doc_id > 1").select(near_dup._key())).collect()}
+    for i in range(2, 6):
+        own = [int(x) for x in near_dup.shingles(texts[i])]
+        assert own == sorted(set(own)) and nodes[i].n_shingles == len(own)
+        parameters = zip(near_dup._FACTORS.tolist(), near_dup._ADDENDS.tolist(), strict=True)
+        least = [min((x * f + a) % 2**64 >> 32 for x in own) for f, a in parameters]
+        assert near_dup.minima(np.array(own, dtype=np.uint64)).tolist() == least
+        assert bytes(full[bytes(nodes[i].key)].signature) == bytes(x & 255 for x in least)
+        assert full[bytes(nodes[i].key)].bands == nodes[i].bands and len(nodes[i].bands) == near_dup.BANDS
+    assert nodes[3].bands == nodes[5].bands != nodes[4].bands
+
+
 def test_near_duplicates_in_a_group_whose_head_differs(spark):
     """Copies that differ from each other, some too far apart, give the components of all pairs."""
     base = prose(40, 200).split(" ")

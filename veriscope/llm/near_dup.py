@@ -1,7 +1,8 @@
 """Near-duplicates: MinHash bands, sequential Bayesian pruning, exact verification, connected components.
 
 Equal texts are one node (digest of the text).  A node has ``HASHES`` minima, of which the last byte is kept as its
-signature, and ``BANDS`` band hashes over the first of them; two nodes with an equal band are candidates.  A band's bucket may
+signature, and ``BANDS`` band hashes over the first of them; two nodes with an equal band are candidates.  Most nodes have no
+candidate, so all texts get the minima of the bands alone, and only members of a bucket the other ones.  A band's bucket may
 hold a very large group, so its pairs are never listed: every member is first compared with its most central neighbour
 (the one with the most bucket mates), components are formed, and only members of a bucket that are still in
 different components are compared with each other, block against block, inside a task, in the first band they share.
@@ -26,7 +27,7 @@ from pyspark.sql import functions as F
 
 from veriscope.session import written
 
-from .caches import WordCache, sliced
+from .caches import sliced
 from .components import components
 
 SHINGLE = 5
@@ -43,9 +44,6 @@ _FACTORS = _rng.integers(1, 2**63, HASHES, dtype=np.uint64) * np.uint64(2) + np.
 _ADDENDS = _rng.integers(0, 2**63, HASHES, dtype=np.uint64)
 
 
-_hashes = WordCache(xxhash.xxh64_intdigest)
-
-
 def _mixed(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
@@ -57,31 +55,34 @@ def shingles(text: str | None) -> np.ndarray:
     words = (text or "").encode().lower().split()  # bytes: A-Z and ASCII white space alone
     if not words:
         return np.empty(0, dtype=np.uint64)
-    h = np.fromiter(map(_hashes.__getitem__, words), dtype=np.uint64, count=len(words))
     if len(words) < SHINGLE:
         return np.array([xxhash.xxh64_intdigest(b" ".join(words), seed=len(words))], dtype=np.uint64)
+    # A word's hash takes less time than its place in a dictionary; a digest has its bytes in big-endian order.
+    h = np.frombuffer(b"".join(map(xxhash.xxh64_digest, words)), dtype=">u8").astype(np.uint64)
     n = len(words) - SHINGLE + 1
     mixed = np.zeros(n, dtype=np.uint64)
     for i in range(SHINGLE):
         mixed = _mixed(mixed * np.uint64(0x9E3779B97F4A7C15) + h[i : i + n])
-    return np.unique(mixed)
+    mixed.sort()
+    return mixed[np.concatenate([[True], mixed[1:] != mixed[:-1]])]
 
 
-def minima(sets: np.ndarray) -> np.ndarray:
-    """``HASHES`` minima of 32 bits each."""
-    least = np.full(HASHES, 2**32 - 1, dtype=np.uint32)
-    for at in range(0, len(sets), 512):
-        part = sets[at : at + 512, None] * _FACTORS + _ADDENDS
-        least = np.minimum(least, (part >> np.uint64(32)).min(axis=0).astype(np.uint32))
-    return least
+def minima(sets: np.ndarray, hashes: int = HASHES) -> np.ndarray:
+    """The first ``hashes`` minima, of 32 bits each."""
+    least = np.full(hashes, 2**64 - 1, dtype=np.uint64)
+    for at in range(0, len(sets), 256):
+        part = sets[at : at + 256, None] * _FACTORS[:hashes]
+        part += _ADDENDS[:hashes]
+        np.minimum(least, part.min(axis=0), out=least)
+    return (least >> np.uint64(32)).astype(np.uint32)
 
 
-def bands_of(least: np.ndarray) -> list[int]:
-    """A 64-bit hash of each band of ``ROWS`` minima."""
+def bands_of(least: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each band of ``ROWS`` minima, for each row of a matrix of minima."""
     mixed = np.arange(BANDS, dtype=np.uint64)
-    for row in least[: BANDS * ROWS].reshape(BANDS, ROWS).T:
-        mixed = _mixed(mixed * np.uint64(0x9E3779B97F4A7C15) + row)
-    return mixed.view(np.int64).tolist()
+    for at in range(ROWS):
+        mixed = _mixed(mixed * np.uint64(0x9E3779B97F4A7C15) + least[:, at : BANDS * ROWS : ROWS])
+    return mixed.view(np.int64)
 
 
 @functools.cache
@@ -116,32 +117,29 @@ def _signatures(column: pa.Array) -> np.ndarray:
 
 
 def nodes(docs: DataFrame) -> DataFrame:
-    """``doc_id, key, n_shingles, signature, bands`` per document; a text without words has no signature."""
+    """``doc_id, key, n_shingles, bands`` per document; a text without words has no bands."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        _hashes.begin()
         for batch in sliced(batches):
-            sizes, signatures, bands = [], [], []
+            sizes, least = [], []
             for text in batch.column(2).to_pylist():
                 own = shingles(text)
-                least = minima(own) if len(own) else None
                 sizes.append(len(own))
-                signatures.append(None if least is None else (least & np.uint32(255)).astype(np.uint8).tobytes())
-                bands.append(None if least is None else bands_of(least))
+                least.append(minima(own, ROWS * BANDS))
+            bands = [row if size else None for size, row in zip(sizes, bands_of(np.array(least)).tolist(), strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
                     batch.column(1),
                     pa.array(sizes, pa.int64()),
-                    pa.array(signatures, pa.binary()),
                     pa.array(bands, pa.list_(pa.int64())),
                 ],
-                names=["doc_id", "key", "n_shingles", "signature", "bands"],
+                names=["doc_id", "key", "n_shingles", "bands"],
             )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", _key(), "text").mapInArrow(
-        run, f"doc_id {kind}, key binary, n_shingles long, signature binary, bands array<bigint>"
+        run, f"doc_id {kind}, key binary, n_shingles long, bands array<bigint>"
     )
 
 
@@ -186,16 +184,29 @@ def _texts_of(docs: DataFrame, keys: DataFrame) -> DataFrame:
 
 
 def _shingle_sets(docs: DataFrame, keys: DataFrame) -> DataFrame:
-    """``key, shingles`` of every text of ``keys``, written; the one place where texts are shuffled."""
+    """``key, shingles, signature, bands`` of every text of ``keys``, written; the one place where texts are shuffled."""
     texts = _texts_of(docs, keys)
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        _hashes.begin()
         for batch in sliced(batches):
-            own = [shingles(text).tobytes() for text in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(own, pa.binary())], names=["key", "shingles"])
+            own, least = [], []
+            for text in batch.column(1).to_pylist():
+                full = shingles(text)
+                own.append(full.tobytes())
+                least.append(minima(full))
+            least = np.array(least)
+            signatures = (least & np.uint32(255)).astype(np.uint8)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0),
+                    pa.array(own, pa.binary()),
+                    pa.array([row.tobytes() for row in signatures], pa.binary()),
+                    pa.array(bands_of(least).tolist(), pa.list_(pa.int64())),
+                ],
+                names=["key", "shingles", "signature", "bands"],
+            )
 
-    return written(texts.mapInArrow(sets, "key binary, shingles binary"))
+    return written(texts.mapInArrow(sets, "key binary, shingles binary, signature binary, bands array<bigint>"))
 
 
 def _verified(pairs: DataFrame, full: DataFrame) -> DataFrame:
@@ -287,10 +298,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     ``doc_id`` count as one document.  A document without ``doc_id`` is kept only if no document of its component has one.
     """
     own = written(nodes(docs))
-    first = F.first(F.struct("signature", "bands"))
-    signed = own.filter("n_shingles > 0").groupBy("key").agg(F.min("doc_id").alias("first_id"), first.alias("s"))
-    signed = written(signed.select("key", "first_id", "s.*"))
-    members = signed.select("key", F.posexplode("bands").alias("band", "bucket"))
+    named = own.filter("n_shingles > 0").groupBy("key").agg(F.min("doc_id").alias("first_id"), F.first("bands").alias("bands"))
+    named = written(named)
+    members = named.select("key", F.posexplode("bands").alias("band", "bucket"))
     mates = members.groupBy("band", "bucket").agg(F.count("*").alias("n")).filter("n > 1")
     members = written(members.join(mates, ["band", "bucket"]))
     # The most central member of a bucket is the one with the most mates over all its bands.
@@ -298,16 +308,16 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     weighed = written(members.select("band", "bucket", "key").join(weighed, "key"))
     heads = weighed.groupBy("band", "bucket").agg(F.max(F.struct("weight", "key")).alias("head"))
     stars = weighed.join(heads, ["band", "bucket"]).groupBy("key").agg(F.max("head").alias("head"))
-    first = written(_pruned(stars.select(F.col("head.key").alias("a"), F.col("key").alias("b")).filter("a <> b"), signed))
     full = _shingle_sets(docs, written(weighed.select("key").distinct()))
+    first = written(_pruned(stars.select(F.col("head.key").alias("a"), F.col("key").alias("b")).filter("a <> b"), full))
     links = _verified(first, full)
     labels = components(links)
-    across = _across(_apart(weighed.select("band", "bucket", "key"), labels), signed)
+    across = _across(_apart(weighed.select("band", "bucket", "key"), labels), full)
     tested = first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     second = written(across.join(tested, ["a", "b"], "left_anti"))
     if not second.isEmpty():
         labels = components(links.union(_verified(second, full)))
-    named = signed.select(F.col("key"), "first_id").join(labels.withColumnRenamed("node", "key"), "key", "left")
+    named = named.select("key", "first_id").join(labels.withColumnRenamed("node", "key"), "key", "left")
     named = written(named.withColumn("label", F.coalesce("label", "key")))
     smallest = named.groupBy("label").agg(F.min("first_id").alias("component_id"))
     classes = named.join(smallest, "label").select("key", "component_id")
