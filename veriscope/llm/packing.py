@@ -1,6 +1,6 @@
 """Best-fit packing by length patterns.
 
-Documents are tokenised once, cut only where they are longer than a sequence, and written as pieces without their ids.
+Documents are tokenised once, cut only where they are longer than a sequence, and written as pieces, with their ids if asked for.
 The histogram of piece lengths (at most one number per length) then decides everything: patterns of a few lengths that
 fill a sequence are enumerated on a coarse grid, their repeat counts are fitted to the histogram by non-negative least
 squares and rounded down, and what is left is packed best-fit into the gaps and into new sequences.  All this works on
@@ -311,17 +311,17 @@ def pack(parts: DataFrame, capacity: int = CAPACITY) -> DataFrame:
         .drop("_salt", "_row", "_length", "_part", "_first")
     )
     key = runs[:, 0] << np.int64(40) | runs[:, 1]  # lengths and ranks in one sorted number
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in parts.schema.fields)
 
-    def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for rows in batches:
-            rank = rows.pop("_rank").to_numpy(dtype=np.int64)
-            run = runs[np.searchsorted(key, rows["length"].to_numpy(dtype=np.int64) << np.int64(40) | rank, side="right") - 1]
-            yield rows.assign(sequence_id=run[:, 3] + rank - run[:, 1], offset=run[:, 4])
+    # Only lengths and ranks go to Python, so pieces with their ids stay where they are.
+    @F.pandas_udf("sequence_id long, offset long")
+    def place(length: pd.Series, rank: pd.Series) -> pd.DataFrame:
+        rank = rank.to_numpy(dtype=np.int64)
+        run = runs[np.searchsorted(key, length.to_numpy(dtype=np.int64) << np.int64(40) | rank, side="right") - 1]
+        return pd.DataFrame({"sequence_id": run[:, 3] + rank - run[:, 1], "offset": run[:, 4]})
 
-    return ranked.mapInPandas(place, f"{fields}, sequence_id long, offset long")
+    return ranked.withColumn("_place", place("length", "_rank")).select(*parts.columns, "_place.sequence_id", "_place.offset")
 
 
-def packed(docs: DataFrame, file: str | None = None, capacity: int = CAPACITY) -> DataFrame:
-    """Whole documents to packed pieces; the pieces are written once to the shared folder."""
-    return pack(written(pieces(docs, file, capacity)), capacity)
+def packed(docs: DataFrame, file: str | None = None, capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
+    """Whole documents to packed pieces, with their ids if asked for; the pieces are written once to the shared folder."""
+    return pack(written(pieces(docs, file, capacity, with_ids)), capacity)
