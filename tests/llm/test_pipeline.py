@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from veriscope.llm import near_dup, packing, secrets
@@ -84,3 +85,13 @@ def test_pipeline_returns_the_sequences(spark, tmp_path):
     plain = packing.packed(spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string"))
     assert plain.columns == [*names, "sequence_id", "offset"]
     assert Counter(map(tuple, plain.collect())) == Counter(map(tuple, result.drop("ids").collect()))
+
+
+def test_packing_returns_ids_of_any_size(spark):
+    for largest in (0, 32_767, 32_768, 65_534, 65_535, 65_536, 2**31 - 1):
+        rows = [(i, 0, 0, 3, i, [0, i, largest]) for i in range(5)] + [(None, 0, 0, 1, 7, [min(largest, 40_000)])]
+        parts = spark.createDataFrame(rows, "doc_id long, piece int, start long, length long, ids_crc32 long, ids array<int>")
+        packed = packing.pack(parts)
+        assert packed.schema["ids"].dataType == parts.schema["ids"].dataType
+        assert Counter((r.doc_id, tuple(r.ids)) for r in packed.collect()) == Counter((r[0], tuple(r[5])) for r in rows)
+    assert packing.packed(parts.select("doc_id").withColumn("text", F.lit(None).cast("string")).limit(0), with_ids=True).count() == 0

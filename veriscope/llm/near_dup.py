@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from veriscope.session import written
+from veriscope.session import dropped, written
 
 from .caches import sliced
 from .components import components
@@ -319,6 +319,7 @@ def _classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         labels = components(links.union(_verified(second, full)))
     named = named.select("key", "first_id").join(labels.withColumnRenamed("node", "key"), "key", "left")
     named = written(named.withColumn("label", F.coalesce("label", "key")))
+    dropped(members, weighed, full)
     smallest = named.groupBy("label").agg(F.min("first_id").alias("component_id"))
     return own, named.join(smallest, "label").select("key", "label", "component_id")
 

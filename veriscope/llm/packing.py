@@ -30,6 +30,7 @@ CAPACITY = 4096
 END_ID = 1  # closes every document
 GRID = 128  # cells of the coarse grid
 PATTERN_PIECES = 4  # lengths in a pattern, at most
+HALF = (1 << 15) - 1  # the largest number of 16 bits
 SALTS = 64  # parts in which the pieces of one length are ranked
 PUNCTUATION = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"  # without the apostrophe, which may start an ending
 
@@ -291,10 +292,14 @@ def pack(parts: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     ``parts`` is read three times and should be a written table.  Pieces of equal length are told apart by doc_id, piece
     and digest; equal rows may swap places, which changes nothing.  No rows give no sequences.
     """
+    with_ids = "ids" in parts.columns
+    largest = F.max(F.array_max("ids")) if with_ids else F.lit(None)
     # At most one row per possible length reaches the driver.
     counts = np.zeros(capacity + 1, dtype=np.int64)
-    for length, n in parts.groupBy("length").count().collect():
+    narrow = with_ids
+    for length, n, most in parts.groupBy("length").agg(F.count("*"), largest).collect():
         counts[length] = n
+        narrow = narrow and most <= 2 * HALF
     runs, _ = plan(counts, capacity)
     salt = F.pmod(F.xxhash64("doc_id", "piece"), F.lit(SALTS))
     sizes = parts.groupBy("length", salt.alias("_salt")).agg(F.count("*").alias("_n"))  # at most lengths x SALTS rows
@@ -303,8 +308,10 @@ def pack(parts: DataFrame, capacity: int = CAPACITY) -> DataFrame:
         F.col("length").alias("_length"), F.col("_salt").alias("_part"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_first")
     )
     within = Window.partitionBy("length", "_salt").orderBy("doc_id", "piece", "ids_crc32")
+    # Ids of 16 bits are moved as such.
+    moved = parts.withColumn("ids", F.transform("ids", lambda x: (x - HALF - 1).cast("smallint"))) if narrow else parts
     ranked = (
-        parts.withColumn("_salt", salt)
+        moved.withColumn("_salt", salt)
         .withColumn("_row", F.row_number().over(within) - 1)
         .join(firsts, (F.col("length") == F.col("_length")) & (F.col("_salt") == F.col("_part")))
         .withColumn("_rank", (F.col("_first") + F.col("_row")).cast("long"))
@@ -319,7 +326,8 @@ def pack(parts: DataFrame, capacity: int = CAPACITY) -> DataFrame:
         run = runs[np.searchsorted(key, length.to_numpy(dtype=np.int64) << np.int64(40) | rank, side="right") - 1]
         return pd.DataFrame({"sequence_id": run[:, 3] + rank - run[:, 1], "offset": run[:, 4]})
 
-    return ranked.withColumn("_place", place("length", "_rank")).select(*parts.columns, "_place.sequence_id", "_place.offset")
+    placed = ranked.withColumn("_place", place("length", "_rank")).select(*parts.columns, "_place.sequence_id", "_place.offset")
+    return placed.withColumn("ids", F.transform("ids", lambda x: x.cast("int") + HALF + 1)) if narrow else placed
 
 
 def packed(docs: DataFrame, file: str | None = None, capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
